@@ -25,7 +25,7 @@ def line_count(c, dialect: str = "pg") -> Column:
     c = col(c)
     if dialect == "pg":
         return F.length(c) + 1 - F.length(F.regexp_replace(c, "\n", ""))
-    trimmed = F.regexp_replace(c, " +$", "")
+    trimmed = F.rtrim(c)
     return F.coalesce(F.length(trimmed) - F.length(F.regexp_replace(trimmed, "\n", "")), F.lit(0))
 
 

@@ -37,8 +37,6 @@ OBJECTS = """select pkey, case when relkind = 'q' then 'PUBLIC' else owner end a
   else 'SYNONYM' end as object_type from est_tables"""
 SYNONYMS = """select pkey, 'PUBLIC' as owner, case when num_rows % 700 = 0 then concat('/', table_name) else table_name end
   as synonym_name, owner as table_owner from est_tables where relkind = 'q'"""
-OBJECTS_Q = OBJECTS.replace("else 'SYNONYM' end as object_type from est_tables",
-                            "else 'SYNONYM' end as object_type from est_tables")
 OBJECTS_WITH_SLASH = """select pkey, case when relkind = 'q' then 'PUBLIC' else owner end as owner,
   case when relkind = 'q' and num_rows % 700 = 0 then concat('/', table_name) else table_name end as object_name,
   case relkind when 'r' then 'TABLE' when 'p' then 'TABLE PARTITION' when 'v' then 'VIEW' when 'f' then 'DIRECTORY'
@@ -222,3 +220,454 @@ l as (select pkey, owner, name, max(line) as lines from src group by all)
 select v.pkey, v.owner, '"' || v.object_name || '"' as object_name, v.object_type, l.lines
 from v left join l on v.pkey = l.pkey and v.owner = l.owner and v.object_name = l.name"""),
 }
+
+D14_TABLES = """select pkey, owner, table_name, engine, num_rows, bytes as data_bytes, bytes % 100000 as index_bytes
+from est_tables"""
+D14_STATS = """select pkey, owner, table_name, index_name, case when uniqueness = 'UNIQUE' then 0 else 1 end as non_unique,
+  case when bytes % 2 = 0 then 'YES' else '' end as nullable from est_indexes"""
+D14_ORACLE = """with pk as (select pkey, owner, table_name, 'YES' as pkf from stats group by pkey, owner, table_name, index_name
+    having sum(case when non_unique = 0 and nullable <> 'YES' then 1 else 0 end) = count(*)),
+  ic as (select pkey, owner, table_name, count(*) as index_count from stats group by pkey, owner, table_name),
+  pc as (select pkey, owner, table_name, count(*) as partition_count from parts group by pkey, owner, table_name),
+  d14 as (select t.*, coalesce(ic.index_count, 0) as index_count, coalesce(pc.partition_count, 0) as partition_count,
+    coalesce(pk.pkf, 'NO') as has_primary_key
+  from tables t left join pk on t.pkey = pk.pkey and t.owner = pk.owner and t.table_name = pk.table_name
+  left join ic on t.pkey = ic.pkey and t.owner = ic.owner and t.table_name = ic.table_name
+  left join pc on t.pkey = pc.pkey and t.owner = pc.owner and t.table_name = pc.table_name)"""
+
+D16_INPUTS = {
+    "tables": """select pkey, owner, table_name, compress_for,
+  case when relkind <> 'v' then 'ENABLED' else 'DISABLED' end as compression from est_tables""",
+    "parts": """select pkey, owner, concat(table_name, '_P') as partition_name, compress_for, 'ENABLED' as compression
+from est_tables where relkind = 'p'""",
+    "subparts": """select pkey, owner, concat(table_name, '_S') as subpartition_name, compress_for, 'ENABLED' as compression
+from est_tables where temporary = 'Y'""",
+    "segs": """select pkey, owner, table_name as segment_name, bytes from est_tables
+union all select pkey, owner, concat(table_name, '_P'), bytes * 2 from est_tables where relkind = 'p'
+union all select pkey, owner, concat(table_name, '_S'), bytes * 3 from est_tables where temporary = 'Y'""",
+}
+
+
+def _compress_cells() -> str:
+    out = ["floor(sum(ceil(case when compress_for = 'BASIC' then gbytes when compress_for = 'ENABLED' then 0.0 end)))"
+           " as basic"]
+    for name, members in inv.COMPRESSION_CLASSES[1:]:
+        out.append(f"floor(sum(ceil(case when compress_for in ({_in(members)}) then gbytes else 0.0 end))) as {name}")
+    out.append("floor(sum(ceil(gbytes))) as total_gb")
+    return ",\n  ".join(out)
+
+
+D17_INPUTS = {
+    "cols": "select * from est_columns",
+    "tables": """select pkey, owner, table_name, num_rows, case when relkind = 'p' then 'YES' else 'NO' end as partitioned
+from est_tables""",
+    "lobs": """select pkey, owner, table_name, column_name, concat('SEG_', column_name) as segment_name,
+  concat('P_', table_name) as partition_name from est_columns where data_type = 'CLOB'""",
+    "segs": """select pkey, owner, concat('SEG_', column_name) as segment_name,
+  case when cast(substr(table_name, 5) as bigint) % 5 = 1 then concat('P_', table_name) end as partition_name,
+  cast(length(column_name) * 1000 as bigint) as bytes from est_columns where data_type = 'CLOB'""",
+}
+SEGMENTS = """select pkey, owner, case relkind when 'p' then 'TABLE PARTITION' else 'TABLE' end as segment_type, bytes,
+  case when temporary = 'Y' then 'SYSAUX' when owner = 'SYS' then 'SYSTEM' else 'USERS' end as tablespace_name
+from est_tables
+union all
+select pkey, owner, 'INDEX', bytes, case when uniqueness = 'UNIQUE' and index_type = 'BITMAP' then 'SYSTEM' else 'USERS' end
+from est_indexes"""
+TRIGGERS = """select pkey, case when num_rows % 1100 = 0 then 'SYS' else owner end as owner,
+  case when object_id % 17 = 0 then 'AW_DROP_TRG' else concat('TRG_', cast(object_id as string)) end as trigger_name,
+  case when num_rows % 300 = 0 then 'AFTER EVENT' else 'BEFORE EVENT' end as trigger_type,
+  case relkind when 'r' then 'LOGON ' else 'DDL ' end as triggering_event,
+  case when temporary = 'Y' then 'TABLE' when relkind in ('r', 'p') then 'DATABASE  ' else 'SCHEMA' end as base_object_type,
+  case when iot_type is null then 'ENABLED' else 'DISABLED' end as status
+from est_tables"""
+LINES_DEFS = "select pkey, owner, type, object_id, definition from est_lines"
+LINES_ORACLE = """with l as (select pkey, owner, cast(object_id as varchar) as name, type,
+    unnest(string_split(definition, chr(10))) as text, generate_subscripts(string_split(definition, chr(10)), 1) as line
+  from defs),
+o as (select pkey, owner, name, type, max(line) as nr_lines,
+    count(case when lower(text) like '%utl_%' then 1 end) as count_utl,
+    count(case when lower(text) like '%dbms_%' then 1 end) as count_dbms,
+    count(case when lower(text) like '%dbms_%' and lower(text) like '%utl_%' then 1 end) as count_dbms_utl,
+    count(case when lower(text) like '%execute%immediate%' then 1 end) as count_exec_im,
+    count(case when lower(text) like '%dbms_sql%' then 1 end) as count_dbms_sql,
+    count(*) as count_total
+  from l group by pkey, owner, name, type)"""
+PROCS = """select pkey, owner, object_id, definition, type as lang_code,
+  case length(definition) % 4 when 0 then 'f' when 1 then 'p' when 2 then 'a' else 'w' end as prokind,
+  length(definition) % 3 = 0 as security_definer from est_lines"""
+DIALECT_PATTERN = "[a-z]*eaux"
+D27_SOURCES = {
+    "s1": "select pkey, owner, 'USER_TABLE' as object_type, table_name as object_name, cast(null as string) as definition "
+          "from est_tables where relkind in ('r', 'p')",
+    "s2": "select pkey, owner, 'VIEW' as object_type, table_name as object_name, "
+          "concat('select *  ', chr(10), 'from ', table_name, '  ') as definition from est_tables where relkind = 'v'",
+    "s3": "select pkey, owner, 'INDEX' as object_type, index_name as object_name, cast(null as string) as definition "
+          "from est_indexes",
+    "s4": "select pkey, owner, 'CONSTRAINT' as object_type, constraint_name as object_name, "
+          "cast(null as string) as definition from est_constraints",
+    "s5": "select pkey, owner, 'SQL_STORED_PROCEDURE' as object_type, cast(object_id as string) as object_name, "
+          "definition from est_lines",
+    "s6": "select pkey, owner, 'SYNONYM' as object_type, table_name as object_name, cast(null as string) as definition "
+          "from est_tables where relkind = 'q'",
+    "s7": "select pkey, owner, 'EXTERNAL_TABLE' as object_type, table_name as object_name, "
+          "cast(null as string) as definition from est_tables where relkind = 'f'",
+    "s8": "select pkey, owner, 'VIEW' as object_type, table_name as object_name, "
+          "concat('select *  ', chr(10), 'from ', table_name, '  ') as definition from est_tables where relkind = 'v'",
+}
+D37_INPUTS = {
+    "g": "select pkey, setting_name as variable_name, setting_value as variable_value from est_settings",
+    "s": """select pkey, upper(setting_name) as variable_name, 'session' as variable_value from est_settings
+union all select pkey, extension_name, 'ON' from est_extensions
+union all select pkey, 'ssl_private_key', 'secret' from est_databases""",
+    "st": "select pkey, stat_name as variable_name, cast(max(value) as string) as variable_value from est_counters "
+          "group by pkey, stat_name",
+}
+XML_SQL = """select concat('pk', cast(o_custkey % 3 as string)) as pkey, o_orderkey, o_orderpriority, o_orderstatus,
+  cast(cast(o_orderdate as date) as string) as applied, cast(o_custkey % 20 as string) as minor,
+  concat('<patches><patch><patch_id>', cast(o_orderkey as string), '</patch_id><description>', o_orderpriority,
+    '</description><applied>', cast(cast(o_orderdate as date) as string), '</applied><component>', o_orderstatus,
+    '</component><version>19.', cast(o_custkey % 20 as string), '</version><status>OK</status></patch>',
+    '<patch><patch_id>', cast(o_orderkey + 1000000 as string), '</patch_id><description>fix</description><applied>',
+    cast(cast(o_orderdate as date) as string), '</applied><component>RDBMS</component><version>19.0</version>',
+    '<status>ROLLED BACK</status></patch></patches>') as xml
+from orders"""
+
+SPECS.update({
+    "d11_schema_objects": Spec(
+        build=lambda tables, views, indexes, constraints, triggers, routines:
+        inv.schema_objects(tables, views, indexes, constraints, triggers, routines),
+        inputs={
+            "tables": "select pkey, owner, table_name as object_name, case relkind when 'p' then 'PARTITIONED TABLE' "
+                      "else 'TABLE' end as object_type from est_tables where relkind in ('r', 'p')",
+            "views": "select pkey, owner, table_name as object_name, 'VIEW' as object_type from est_tables "
+                     "where relkind = 'v'",
+            "indexes": "select pkey, owner, index_name as object_name, index_type as object_type from est_indexes",
+            "constraints": "select pkey, owner, constraint_name, constraint_type as object_type from est_constraints",
+            "triggers": "select pkey, owner, case when num_rows % 300 = 0 then concat('CON_', cast(object_id as string)) "
+                        "else concat('TRG_', cast(object_id as string)) end as object_name, 'ROW TRIGGER' as object_type "
+                        "from est_tables where relkind in ('r', 'p')",
+            "routines": "select pkey, owner, cast(object_id as string) as object_name, type as object_type from est_lines",
+        },
+        oracle="""select pkey, owner, object_name, 'TABLE' as object_category, object_type from tables
+union all select pkey, owner, object_name, 'VIEW', object_type from views
+union all select pkey, owner, object_name, 'INDEX', object_type from indexes
+union all select pkey, owner, constraint_name, 'CONSTRAINT', object_type from constraints
+union all select pkey, owner, object_name, 'TRIGGER', object_type from triggers t where not exists (
+  select 1 from constraints c where c.pkey = t.pkey and c.owner = t.owner and c.constraint_name = t.object_name)
+union all select pkey, owner, object_name, 'ROUTINE', object_type from routines"""),
+    "d12_schema_details": Spec(
+        build=lambda schemas, tables, views, funcs: inv.schema_details(schemas, tables, views, funcs),
+        inputs={"schemas": "select distinct pkey, owner from est_columns",
+                "tables": "select pkey, owner, bytes from est_tables where relkind in ('r', 'p')",
+                "views": "select pkey, owner from est_tables where relkind = 'v'",
+                "funcs": "select pkey, owner, bytes from est_indexes where index_type = 'BITMAP'"},
+        oracle="""with t as (select pkey, owner, count(*) as table_count, sum(bytes) as table_bytes from tables group by all),
+v as (select pkey, owner, count(*) as view_count from views group by all),
+f as (select pkey, owner, count(*) as function_count, sum(bytes) as function_bytes from funcs group by all)
+select s.pkey, s.owner, coalesce(table_count, 0) as table_count, coalesce(table_bytes, 0) as table_bytes,
+  coalesce(view_count, 0) as view_count, coalesce(function_count, 0) as function_count,
+  coalesce(function_bytes, 0) as function_bytes, case when s.owner in ('SYS') then 'Y' else 'N' end as is_system
+from (select distinct pkey, owner from schemas) s
+left join t on s.pkey = t.pkey and s.owner = t.owner left join v on s.pkey = v.pkey and s.owner = v.owner
+left join f on s.pkey = f.pkey and s.owner = f.owner"""),
+    "d13_table_details_pg": Spec(
+        build=lambda objs, stat, io, fdw: inv.table_details_pg(objs, stat, io, fdw),
+        inputs={"objs": "select pkey, owner, table_name, object_id from est_tables",
+                "stat": "select pkey, object_id, num_rows as live_rows, num_rows % 17 as dead_rows from est_tables "
+                        "where relkind in ('r', 'p')",
+                "io": "select pkey, object_id, bytes % 1000 as heap_blks_read, bytes % 777 as heap_blks_hit "
+                      "from est_tables where temporary = 'N'",
+                "fdw": "select pkey, object_id, 'srv1' as server_name from est_tables where relkind = 'f'"},
+        oracle="""select o.pkey, o.object_id, o.owner, o.table_name, s.live_rows, s.dead_rows,
+  coalesce(i.heap_blks_read, 0) as heap_blks_read, coalesce(i.heap_blks_hit, 0) as heap_blks_hit, f.server_name
+from objs o left join stat s on o.pkey = s.pkey and o.object_id = s.object_id
+left join io i on o.pkey = i.pkey and o.object_id = i.object_id
+left join fdw f on o.pkey = f.pkey and o.object_id = f.object_id"""),
+    "d14_table_details_mysql": Spec(
+        build=lambda tables, parts, stats: inv.table_details_mysql(tables, parts, stats),
+        inputs={"tables": D14_TABLES, "parts": "select pkey, owner, table_name from est_columns", "stats": D14_STATS},
+        oracle=D14_ORACLE + "\nselect * from d14"),
+    "d15_database_rollup": Spec(
+        build=lambda tables, parts, stats: inv.database_rollup(inv.table_details_mysql(tables, parts, stats)),
+        inputs={"tables": D14_TABLES, "parts": "select pkey, owner, table_name from est_columns", "stats": D14_STATS},
+        oracle=D14_ORACLE + "\nselect pkey, owner, " + ", ".join(
+            f"sum({e}) as total_{n}, sum(case when upper(engine) = 'INNODB' then {e} else 0 end) as innodb_{n}, "
+            f"sum(case when upper(engine) <> 'INNODB' then {e} else 0 end) as other_{n}"
+            for n, e in (("tables", "1"), ("rows", "num_rows"), ("data_bytes", "data_bytes"),
+                         ("index_bytes", "index_bytes"), ("total_bytes", "data_bytes + index_bytes"),
+                         ("indexes", "index_count"))) + " from d14 group by pkey, owner"),
+    "d16_compression_by_type": Spec(
+        build=lambda tables, parts, subparts, segs: inv.compression_by_type(tables, parts, subparts, segs),
+        inputs=D16_INPUTS,
+        oracle=f"""with u as (
+  select t.pkey, t.owner, t.compress_for, s.bytes from tables t join segs s
+    on t.pkey = s.pkey and t.owner = s.owner and t.table_name = s.segment_name where t.compression = 'ENABLED'
+  union all
+  select t.pkey, t.owner, t.compress_for, s.bytes from parts t join segs s
+    on t.pkey = s.pkey and t.owner = s.owner and t.partition_name = s.segment_name where t.compression = 'ENABLED'
+  union all
+  select t.pkey, t.owner, t.compress_for, s.bytes from subparts t join segs s
+    on t.pkey = s.pkey and t.owner = s.owner and t.subpartition_name = s.segment_name where t.compression = 'ENABLED'),
+g as (select pkey, owner, compress_for, sum(bytes) / cast(1073741824 as double) as gbytes from u group by all)
+select pkey, owner, {_compress_cells()} from g group by pkey, owner"""),
+    "d17_lob_sizing": Spec(
+        build=lambda cols, tables, lobs, segs: inv.lob_sizing(cols, tables, lobs, segs),
+        inputs=D17_INPUTS,
+        oracle="""with base as (select c.pkey, c.owner, c.table_name, c.column_name, t.num_rows, t.partitioned,
+    l.segment_name, l.partition_name
+  from cols c join tables t on c.pkey = t.pkey and c.owner = t.owner and c.table_name = t.table_name
+  join lobs l on c.pkey = l.pkey and c.owner = l.owner and c.table_name = l.table_name and c.column_name = l.column_name
+  where c.data_type like '%LOB%'),
+j as (select b.*, s.bytes from base b left join segs s on b.pkey = s.pkey and b.owner = s.owner
+  and b.segment_name = s.segment_name
+  and (case when b.partitioned = 'YES' then b.partition_name = s.partition_name else s.partition_name is null end))
+select pkey, owner, table_name, column_name, num_rows, coalesce(sum(bytes), 0) as lob_bytes,
+  case when num_rows = 0 then 0.0 else round(coalesce(sum(bytes), 0) / num_rows, 2) end as avg_bytes_per_row
+from j group by pkey, owner, table_name, column_name, num_rows"""),
+    "d18_space_by_segment_type": Spec(
+        build=lambda segs: inv.space_by_segment_type(segs),
+        inputs={"segs": SEGMENTS},
+        oracle="select pkey, owner, segment_type, round(sum(bytes) / cast(1073741824 as double), 4) as gb from segs group by all"),
+    "d18_system_tablespace_segments": Spec(
+        build=lambda segs: inv.system_tablespace_segments(segs),
+        inputs={"segs": SEGMENTS},
+        oracle=f"""select pkey, owner, segment_type, tablespace_name, count(*) as segment_count from segs
+where not coalesce({_sys_sql('owner')}, false) and tablespace_name in ('SYSTEM', 'SYSAUX') group by all"""),
+    "d19_trigger_counts": Spec(
+        build=lambda trgs, builtin: inv.trigger_counts(trgs, builtin),
+        inputs={"trgs": TRIGGERS, "builtin": BUILTIN_TRG_SQL},
+        oracle="""select pkey, owner, trigger_type, triggering_event, base_object_type, count(*) as trigger_count from trgs t
+where trim(base_object_type) in ('DATABASE', 'SCHEMA') and status = 'ENABLED'
+  and not exists (select 1 from builtin b where b.owner = t.owner and b.trigger_name = t.trigger_name)
+group by all"""),
+    "d20_link_counts": Spec(
+        build=lambda links: inv.link_counts(links),
+        inputs={"links": "select pkey, extension_owner as owner, case when extension_name = 'hstore' then null "
+                         "else extension_name end as username from est_extensions"},
+        oracle="select pkey, owner, count(*) as link_count from links where username is not null group by all"),
+    "d20_application_counts": Spec(
+        build=lambda s: inv.application_counts(s),
+        inputs={"s": "select pkey, concat('prog', cast(cast(signature as int) % 4 as string)) as application_name "
+                     "from est_statements"},
+        oracle="select pkey, application_name, count(*) as connection_count from s group by all"),
+    "d20_user_counts": Spec(
+        build=lambda u: inv.user_counts(u),
+        inputs={"u": "select pkey, extension_owner as user_name, database_name as host from est_extensions"},
+        oracle="select pkey, host, count(*) as user_count from u group by all"),
+    "d21_source_code_by_object": Spec(
+        build=lambda defs: inv.source_code_by_object(inv.source_lines(defs)),
+        inputs={"defs": LINES_DEFS},
+        oracle=LINES_ORACLE + "\nselect * from o"),
+    "d21_source_code_metrics": Spec(
+        build=lambda defs: inv.source_code_metrics(inv.source_lines(defs)),
+        inputs={"defs": LINES_DEFS},
+        oracle=LINES_ORACLE + """
+select pkey, owner, type, sum(nr_lines) as sum_nr_lines, count(*) as qt_objs, sum(count_utl) as sum_nr_lines_w_utl,
+  sum(count_dbms) as sum_nr_lines_w_dbms, sum(count_exec_im) as count_exec_im, sum(count_dbms_sql) as count_dbms_sql,
+  sum(count_dbms_utl) as sum_nr_lines_w_dbms_utl, sum(count_total) as sum_count_total from o group by pkey, owner, type"""),
+    "d22_routine_details": Spec(
+        build=lambda procs, langs: inv.routine_details(procs, langs),
+        inputs={"procs": PROCS, "langs": LANG_SQL},
+        oracle="""select p.pkey, p.owner, p.object_id, case p.prokind when 'f' then 'FUNCTION' when 'p' then 'PROCEDURE'
+  when 'a' then 'AGGREGATE' when 'w' then 'WINDOW' else 'UNKNOWN' end as object_kind, l.language_name,
+  length(p.definition) as num_chars, length(p.definition) + 1 - length(replace(p.definition, chr(10), '')) as num_lines,
+  case when p.security_definer then 'DEFINER' else 'INVOKER' end as security,
+  p.owner in ('pg_catalog', 'information_schema') as is_system
+from procs p left join langs l on p.lang_code = l.lang_code"""),
+    "d23_dialect_dependencies": Spec(
+        build=lambda defs: inv.dialect_dependencies(defs, DIALECT_PATTERN),
+        inputs={"defs": "select pkey, owner, type as object_kind, object_id, definition from est_lines"},
+        oracle=f"""select pkey, owner, object_kind, object_id, matched, count(*) as match_count from (
+  select pkey, owner, object_kind, object_id, unnest(regexp_extract_all(definition, '(?i){DIALECT_PATTERN}', 0)) as matched
+  from defs where regexp_matches(definition, '(?i){DIALECT_PATTERN}')) t group by all"""),
+    "d24_index_details_pg": Spec(
+        build=lambda idx, tabs, access, io, stat: inv.index_details_pg(idx, tabs, access, io, stat),
+        inputs={"idx": "select pkey, owner, table_name, index_name, index_type from est_indexes",
+                "tabs": "select pkey, owner, table_name, object_id from est_tables",
+                "access": ACCESS_SQL,
+                "io": "select pkey, owner, index_name, bytes % 1000 as idx_blks_read from est_indexes "
+                      "where uniqueness = 'UNIQUE'",
+                "stat": "select pkey, owner, index_name, bytes % 313 as idx_scan from est_indexes "
+                        "where index_type = 'NORMAL'"},
+        oracle="""select i.index_type, i.pkey, i.owner, i.index_name, i.table_name, t.object_id, a.access_method,
+  io.idx_blks_read, st.idx_scan
+from idx i join tabs t on i.pkey = t.pkey and i.owner = t.owner and i.table_name = t.table_name
+join access a on i.index_type = a.index_type
+left join io on i.pkey = io.pkey and i.owner = io.owner and i.index_name = io.index_name
+left join stat st on i.pkey = st.pkey and i.owner = st.owner and i.index_name = st.index_name
+where io.idx_blks_read is not null or st.idx_scan is not null"""),
+    "d25_table_list_mssql": Spec(
+        build=lambda tables, parts: inv.table_list_mssql(tables, parts),
+        inputs={"tables": "select * from est_tables",
+                "parts": """select pkey, owner, table_name, case when index_type = 'NORMAL' then 1
+  when uniqueness = 'UNIQUE' then 5 else 2 end as index_type_code, bytes % 1000 as rows,
+  case when bytes % 3 = 0 then 'PAGE' else 'NONE' end as data_compression, bytes % 500 as pages from est_indexes"""},
+        oracle="""with a as (select pkey, owner, table_name, count(*) as partition_count, sum(rows) as row_count,
+    case when count(distinct data_compression) > 1 then 'Mixed' else min(data_compression) end as data_compression,
+    round(sum(pages) * 8 / 1024.0, 2) as size_mb
+  from parts where index_type_code in (0, 1, 5) group by pkey, owner, table_name)
+select a.* from (select distinct pkey, owner, table_name from tables) t
+join a on t.pkey = a.pkey and t.owner = a.owner and t.table_name = a.table_name"""),
+    "d26_index_list_mssql": Spec(
+        build=lambda idx, cols, ft: inv.index_list_mssql(idx, cols, ft),
+        inputs={"idx": """select pkey, owner, table_name, index_name, index_type, bytes % 800 as pages,
+  uniqueness = 'UNIQUE' and index_type = 'BITMAP' as is_view from est_indexes""",
+                "cols": """select pkey, owner, table_name, index_name, 1 as key_ordinal,
+  case when index_type = 'BITMAP' then 1 else 0 end as partition_ordinal, uniqueness = 'NONUNIQUE' as is_included,
+  bytes % 11 = 0 as is_computed from est_indexes
+union all select pkey, owner, table_name, index_name, 2, 0, false, false from est_indexes where uniqueness = 'UNIQUE'""",
+                "ft": "select pkey, owner, table_name, concat('FT_', table_name) as index_name, false as is_view "
+                      "from est_tables where relkind = 'v'"},
+        oracle="""with c as (select pkey, owner, table_name, index_name, sum(key_ordinal) as key_ordinal_sum,
+    sum(partition_ordinal) as partition_ordinal_sum, sum(case when is_included then 1 else 0 end) as included_columns,
+    max(case when is_computed then 1 else 0 end) as has_computed_column from cols group by all)
+select i.pkey, i.owner, i.table_name, i.index_name, i.index_type, round(i.pages * 8 / 1024.0, 2) as size_mb,
+  c.key_ordinal_sum, c.partition_ordinal_sum, c.included_columns, c.has_computed_column, i.is_view
+from idx i left join c on i.pkey = c.pkey and i.owner = c.owner and i.table_name = c.table_name
+  and i.index_name = c.index_name
+union
+select pkey, owner, table_name, index_name, 'FULLTEXT', 0.0, null, null, 0, 0, is_view from ft"""),
+    "d27_object_list_mssql": Spec(
+        build=lambda **s: inv.object_list_mssql([s[k] for k in sorted(s)]),
+        inputs=D27_SOURCES,
+        oracle="with u as (" + "\nunion\n".join(f"select * from {k}" for k in D27_SOURCES) + """)
+select pkey, owner, object_type, object_name, count(*) as object_count,
+  sum(coalesce(length(rtrim(definition, ' ')) - length(replace(rtrim(definition, ' '), chr(10), '')), 0)) as lines_of_code
+from u group by all"""),
+    "d28_database_sizes": Spec(
+        build=lambda files: inv.database_sizes(files),
+        inputs={"files": """select pkey, concat('db', cast(object_id % 10 as string)) as database_name,
+  case when temporary = 'Y' then 'LOG' else 'ROWS' end as file_type,
+  case when engine = 'InnoDB' then 'FULL' else 'SIMPLE' end as recovery_model, bytes / 8192 as pages from est_tables"""},
+        oracle="""select pkey, database_name, file_type, recovery_model, round(sum(pages / 128.0), 2) as size_mb
+from files group by all"""),
+    "d28_volume_usage": Spec(
+        build=lambda v: inv.volume_usage(v),
+        inputs={"v": """select pkey, concat('/vol/', owner) as volume_mount_point,
+  cast(length(owner) as bigint) * 1073741824 as total_bytes, cast(length(owner) as bigint) * 268435456 as available_bytes
+from est_tables"""},
+        oracle="""select pkey, volume_mount_point, round(total_bytes / 1073741824.0, 2) as total_gb,
+  round(available_bytes / 1073741824.0, 2) as free_gb,
+  round(case when total_bytes = 0 then 0.0 else 100.0 * available_bytes / total_bytes end, 2) as free_pct
+from (select distinct pkey, volume_mount_point, total_bytes, available_bytes from v) t"""),
+    "d28_managed_database_size": Spec(
+        build=lambda s: inv.managed_database_size(s),
+        inputs={"s": "select pkey, concat('db', cast(object_id % 10 as string)) as database_name, "
+                     "cast(bytes as double) / 1048576 as size_mb from est_tables"},
+        oracle="""select pkey, sum(size_mb) as total_size_mb, count(*) as database_count
+from (select pkey, database_name, max(size_mb) as size_mb from s group by all) t group by pkey"""),
+    "d29_container_memory": Spec(
+        build=lambda sga, pga, cons: inv.container_memory(sga, pga, cons),
+        inputs={"sga": "select pkey, instance_number, concat('PDB_', stat_name) as con_name, value as bytes "
+                       "from est_counters where stat_name in ('click', 'view')",
+                "pga": "select pkey, instance_number, concat('PDB_', stat_name) as con_name, value as bytes "
+                       "from est_counters where stat_name in ('purchase', 'signup')",
+                "cons": "select distinct pkey, instance_number, concat('PDB_', stat_name) as con_name from est_counters"},
+        oracle="""with allc as (select pkey, instance_number, con_name from cons
+    union select distinct pkey, instance_number, 'CDB$ROOT' from cons),
+s as (select pkey, instance_number, con_name, sum(bytes) as sga_bytes from sga group by all),
+p as (select pkey, instance_number, con_name, sum(bytes) as pga_bytes from pga group by all)
+select a.pkey, a.instance_number, a.con_name, s.sga_bytes, p.pga_bytes from allc a
+left join s on a.pkey = s.pkey and a.instance_number = s.instance_number and a.con_name = s.con_name
+left join p on a.pkey = p.pkey and a.instance_number = p.instance_number and a.con_name = p.con_name"""),
+    "d30_database_summary": Spec(
+        build=lambda t, i, c, k, s: inv.database_summary(t, i, c, k, s),
+        inputs={"t": "select * from est_tables", "i": "select * from est_indexes", "c": "select * from est_columns",
+                "k": "select * from est_constraints", "s": "select * from est_settings"},
+        oracle="""with ta as (select pkey, count(*) as table_count, round(sum(bytes) / cast(1073741824 as double), 3) as table_gb
+    from t group by pkey),
+ia as (select pkey, count(*) as index_count, round(sum(bytes) / cast(1048576 as double), 3) as index_mb from i group by pkey),
+ca as (select pkey, count(*) as column_count from c group by pkey),
+ka as (select pkey, count(*) as constraint_count from k group by pkey),
+sa as (select pkey, max(case when setting_name = 'wal_level' then setting_value end) as wal_level from s group by pkey),
+keys as (select pkey from ta union select pkey from ia union select pkey from ca union select pkey from ka
+  union select pkey from sa)
+select keys.pkey, table_count, table_gb, index_count, index_mb, column_count, constraint_count, wal_level from keys
+left join ta on keys.pkey = ta.pkey left join ia on keys.pkey = ia.pkey left join ca on keys.pkey = ca.pkey
+left join ka on keys.pkey = ka.pkey left join sa on keys.pkey = sa.pkey"""),
+    "d31_calculated_metrics_pg": Spec(
+        build=lambda t, e: inv.calculated_metrics_pg(t, e, SUPPORTED_EXT),
+        inputs={"t": "select * from est_tables", "e": "select * from est_extensions"},
+        oracle=f"""with ta as (select pkey,
+    count(distinct case when relkind in ('r', 'p') then concat_ws('.', owner, table_name) end) as tc,
+    count(distinct case when relkind = 'f' then concat_ws('.', owner, table_name) end) as ftc from t group by pkey),
+ea as (select pkey, count(distinct case when extension_name in ({_in(SUPPORTED_EXT)}) then extension_name end) as sc,
+    count(distinct case when extension_name not in ({_in(SUPPORTED_EXT)}) then extension_name end) as uc
+  from e group by pkey),
+w as (select coalesce(ta.pkey, ea.pkey) as pkey, tc, ftc, sc, uc from ta full join ea on ta.pkey = ea.pkey)
+""" + _stack_sql([("TABLE_COUNT", "cast(coalesce(tc, 0) as varchar)"),
+                  ("FOREIGN_TABLE_COUNT", "cast(coalesce(ftc, 0) as varchar)"),
+                  ("SUPPORTED_EXTENSION_COUNT", "cast(coalesce(sc, 0) as varchar)"),
+                  ("UNSUPPORTED_EXTENSION_COUNT", "cast(coalesce(uc, 0) as varchar)")],
+                 "metric_name", "metric_value", "w")),
+    "d32_application_footprint": Spec(
+        build=lambda objs: inv.application_footprint(objs, APP_PROBES),
+        inputs={"objs": "select pkey, owner, table_name from est_tables"},
+        oracle="with g as (select pkey, " + ", ".join(
+            f"max(case when table_name = '{t}' then owner end) as p{i}" for i, (_, t) in enumerate(APP_PROBES))
+        + " from objs group by pkey)\nselect *, case when signature_owner is not null then 'Y' end as present from (\n"
+        + _stack_sql([(n, f"p{i}") for i, (n, _) in enumerate(APP_PROBES)], "probe_name", "signature_owner", "g")
+        + ") x"),
+    "d33_feature_usage": Spec(
+        build=lambda objs: inv.feature_usage(objs, FEATURES),
+        inputs={"objs": "select * from est_tables"},
+        oracle="with g as (select pkey, " + ", ".join(
+            f"count(case when {c} then 1 end) as f{i}" for i, (_, c) in enumerate(FEATURES))
+        + " from objs group by pkey)\nselect *, case when object_count > 0 then 1 else 0 end as is_used from (\n"
+        + _stack_sql([(n, f"f{i}") for i, (n, _) in enumerate(FEATURES)], "feature_name", "object_count", "g")
+        + ") x"),
+    "d34_unsupported_settings": Spec(
+        build=lambda cfg, allow: inv.unsupported_settings(cfg, allow),
+        inputs={"cfg": "select pkey, setting_name, setting_value from est_settings",
+                "allow": params.values_sql([("WAL_LEVEL",), ("max_wal_senders",)], ["setting_name"])},
+        oracle="""select * from cfg where lower(setting_name) not in (select lower(setting_name) from allow)
+  and setting_value <> '0'"""),
+    "d35_patch_inventory": Spec(
+        build=lambda x: inv.patch_inventory(x),
+        inputs={"x": XML_SQL},
+        oracle="""select pkey, cast(o_orderkey as varchar) as patch_id, o_orderpriority as description, applied,
+  o_orderstatus as component, '19.' || minor as version, 'OK' as status from x
+union all
+select pkey, cast(o_orderkey + 1000000 as varchar), 'fix', applied, 'RDBMS', '19.0', 'ROLLED BACK' from x"""),
+    "d36_session_connections": Spec(
+        build=lambda s, c: inv.session_connections(s, c, current_session=1),
+        inputs={"s": "select concat('pk', cast(o_orderkey % 3 as string)) as pkey, o_orderkey as session_id, "
+                     "o_custkey as login_id, o_orderstatus as status from orders",
+                "c": "select concat('pk', cast(l_orderkey % 3 as string)) as pkey, l_orderkey as session_id, "
+                     "l_linenumber as connection_id, l_shipdate as connect_time from lineitem"},
+        oracle="""select s.pkey, s.session_id, s.login_id, s.status, c.connection_id, c.connect_time from s
+join c on s.pkey = c.pkey and s.session_id = c.session_id where s.session_id <> 1"""),
+    "d37_settings_config": Spec(
+        build=lambda g, s, st: inv.settings_config(g, s, st),
+        inputs=D37_INPUTS,
+        oracle="""with gg as (select pkey, upper(variable_name) as variable_name, variable_value, 'GLOBAL_VARIABLES' as variable_category
+    from g),
+u as (select * from gg
+  union all select s.pkey, upper(s.variable_name), s.variable_value, 'SESSION_VARIABLES' from s
+    where not exists (select 1 from gg where gg.pkey = s.pkey and gg.variable_name = upper(s.variable_name))
+  union all select pkey, upper(variable_name), variable_value, 'GLOBAL_STATUS' from st)
+select distinct * from u where variable_name not like '%PUBLIC_KEY' and variable_name not like '%PRIVATE_KEY'"""),
+    "d38_no_primary_key": Spec(
+        build=lambda t, c: inv.no_primary_key(t, c),
+        inputs={"t": "select * from est_tables", "c": "select * from est_constraints"},
+        oracle=f"""select pkey, owner, table_name from t where temporary = 'N' and relkind in ('r', 'p')
+  and not coalesce({_sys_sql('owner')}, false)
+  and not exists (select 1 from c where c.constraint_type = 'P' and c.pkey = t.pkey and c.owner = t.owner
+    and c.table_name = t.table_name)"""),
+    "d38_replica_identity_conflicts": Spec(
+        build=lambda t, c: inv.replica_identity_conflicts(t, c),
+        inputs={"t": "select *, case num_rows % 300 when 0 then 'f' when 100 then 'n' else 'd' end as replica_identity "
+                     "from est_tables",
+                "c": "select * from est_constraints"},
+        oracle="""select t.pkey, t.owner, t.table_name, t.replica_identity from t
+join (select distinct pkey, owner, table_name from c where constraint_type = 'P') p
+  on t.pkey = p.pkey and t.owner = p.owner and t.table_name = p.table_name
+where t.replica_identity in ('f', 'n')"""),
+    "d39_missing_privileges": Spec(
+        build=lambda o, g: inv.missing_privileges(o, g, "TABLE", ["SYS", "OWN0"]),
+        inputs={"o": OBJECTS, "g": "select pkey, owner, table_name as object_name from est_constraints "
+                                   "where constraint_type in ('P', 'U')"},
+        oracle="""select pkey, owner, object_name, object_type from o
+where object_type = 'TABLE' and owner not in ('SYS', 'OWN0')
+  and not exists (select 1 from g where g.pkey = o.pkey and g.owner = o.owner and g.object_name = o.object_name)"""),
+})

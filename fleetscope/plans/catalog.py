@@ -9,8 +9,8 @@ from fleetscope.plans.spec import Spec
 
 @lru_cache(maxsize=1)
 def all_specs() -> dict[str, Spec]:
-    from fleetscope.plans import catalog_inventory, catalog_perf
+    from fleetscope.plans import catalog_inventory, catalog_perf, catalog_rules
     specs: dict[str, Spec] = {}
-    for mod in (catalog_perf, catalog_inventory):
+    for mod in (catalog_perf, catalog_inventory, catalog_rules):
         specs.update(mod.SPECS)
     return specs

@@ -9,8 +9,8 @@ from fleetscope.plans.spec import Spec
 
 @lru_cache(maxsize=1)
 def all_specs() -> dict[str, Spec]:
-    from fleetscope.plans import catalog_inventory, catalog_perf, catalog_rules
+    from fleetscope.plans import catalog_inventory, catalog_perf, catalog_rules, catalog_validator
     specs: dict[str, Spec] = {}
-    for mod in (catalog_perf, catalog_inventory, catalog_rules):
+    for mod in (catalog_perf, catalog_inventory, catalog_rules, catalog_validator):
         specs.update(mod.SPECS)
     return specs

@@ -9,8 +9,9 @@ from fleetscope.plans.spec import Spec
 
 @lru_cache(maxsize=1)
 def all_specs() -> dict[str, Spec]:
-    from fleetscope.plans import catalog_inventory, catalog_perf, catalog_rules, catalog_validator
+    from fleetscope.plans import (catalog_inventory, catalog_mask_io, catalog_perf, catalog_rules,
+                                  catalog_validator)
     specs: dict[str, Spec] = {}
-    for mod in (catalog_perf, catalog_inventory, catalog_rules, catalog_validator):
+    for mod in (catalog_perf, catalog_inventory, catalog_rules, catalog_validator, catalog_mask_io):
         specs.update(mod.SPECS)
     return specs

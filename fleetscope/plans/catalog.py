@@ -10,8 +10,8 @@ from fleetscope.plans.spec import Spec
 @lru_cache(maxsize=1)
 def all_specs() -> dict[str, Spec]:
     from fleetscope.plans import (catalog_inventory, catalog_mask_io, catalog_perf, catalog_rules,
-                                  catalog_validator)
+                                  catalog_stream, catalog_validator)
     specs: dict[str, Spec] = {}
-    for mod in (catalog_perf, catalog_inventory, catalog_rules, catalog_validator, catalog_mask_io):
+    for mod in (catalog_perf, catalog_inventory, catalog_rules, catalog_validator, catalog_mask_io, catalog_stream):
         specs.update(mod.SPECS)
     return specs

@@ -14,8 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+TS_NTZ_FORMAT = "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]"
 CSV_OPTIONS = {"sep": "|", "quote": '"', "header": "true", "ignoreLeadingWhiteSpace": "true",
-               "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE"}
+               "ignoreTrailingWhiteSpace": "true", "mode": "PERMISSIVE", "timestampNTZFormat": TS_NTZ_FORMAT}
 
 
 # A1 ----------------------------------------------------------------------------------
@@ -92,7 +93,8 @@ def append_canonical(df: DataFrame, schema: StructType, path: str, partition_by=
 def export_extracts(tables: dict, path: str, sep: str = "|") -> None:
     """Each table to its own folder of delimited files with a header line."""
     for name, df in tables.items():
-        df.write.mode("overwrite").option("sep", sep).option("header", "true").csv(f"{path}/{name}")
+        (df.write.mode("overwrite").option("sep", sep).option("header", "true")
+         .option("timestampNTZFormat", TS_NTZ_FORMAT).csv(f"{path}/{name}"))
 
 
 # A7 / A8 ------------------------------------------------------------------------------

@@ -161,18 +161,33 @@ def join_snapshots(facts: DataFrame, snaps: DataFrame, on, lo=None, hi=None, sna
 
 
 def snapshots_as_of(facts: DataFrame, snaps: DataFrame, keys, fact_ts: str, snap_ts: str = "begin_ts",
-                    snap_col: str = "snap_id") -> DataFrame:
-    """C3 time variant: each fact row gets the last snapshot starting at or before it.
-
-    Written as a union-and-fill (no range join): snapshot rows and fact rows are
-    ordered together per key and the last snapshot id is carried forward."""
-    s = snaps.select(*keys, F.col(snap_ts).alias("__t"), F.col(snap_col).alias("__sid"), F.lit(0).alias("__kind"))
-    f = facts.withColumn("__t", F.col(fact_ts)).withColumn("__sid", F.lit(None).cast("long")) \
-        .withColumn("__kind", F.lit(1))
-    both = f.unionByName(s, allowMissingColumns=True)
-    w = Window.partitionBy(*keys).orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
-    filled = both.withColumn(snap_col, F.last("__sid", ignorenulls=True).over(w))
-    return filled.where(F.col("__kind") == 1).drop("__t", "__sid", "__kind")
+                    snap_col: str = "snap_id", bucket_seconds: int = 86400) -> DataFrame:
+    """C3 time variant: each fact row gets the last snapshot starting at or before it (an
+    as-of join, written without a range join).
+
+    Facts and snapshots are cut into time buckets per key.  Inside a bucket the last
+    snapshot so far is carried forward over the time-ordered union; the snapshot that
+    precedes the bucket comes from a per-bucket ``max_by`` aggregate carried over the
+    (small) per-key sequence of buckets.  No task ever holds a whole key."""
+    keys = list(keys)
+    width = F.lit(bucket_seconds * 1_000_000)
+    s = snaps.select(*keys, micros(snap_ts).alias("__t"), F.col(snap_col).alias("__sid"))
+    s = s.withColumn("__b", F.floor(F.col("__t") / width))
+    f = facts.withColumn("__t", micros(fact_ts)).withColumn("__b", F.floor(F.col("__t") / width))
+    both = (f.withColumn("__sid", F.lit(None).cast("long")).withColumn("__kind", F.lit(1))
+            .unionByName(s.withColumn("__kind", F.lit(0)), allowMissingColumns=True))
+    w = Window.partitionBy(*keys, "__b").orderBy("__t", "__kind").rowsBetween(Window.unboundedPreceding, 0)
+    inner = both.withColumn("__in", F.last("__sid", ignorenulls=True).over(w)).where(F.col("__kind") == 1)
+    last = s.groupBy(*keys, "__b").agg(F.max_by("__sid", F.struct("__t", "__sid")).alias("__last"))
+    # buckets that only hold facts need the carry too: take it from the closest earlier snapshot bucket
+    fb = f.select(*keys, "__b").distinct()
+    allb = fb.unionByName(last.select(*keys, "__b")).distinct()
+    wc = Window.partitionBy(*keys).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)
+    prev = (allb.join(last, [*keys, "__b"], "left")
+            .withColumn("__carry", F.last("__last", ignorenulls=True).over(wc)).select(*keys, "__b", "__carry"))
+    out = inner.join(prev, [*keys, "__b"], "left")
+    return (out.withColumn(snap_col, F.coalesce(F.col("__in"), F.col("__carry")))
+            .drop("__t", "__b", "__sid", "__kind", "__in", "__carry"))
 
 
 # ---------------------------------------------------------------------------
@@ -300,21 +315,28 @@ def io_function_profile(df: DataFrame, keys=("pkey", "dbid", "instance_number",
 
 
 def snapshot_intervals(snaps: DataFrame, keys=("dbid",), order="snap_id", ts="begin_ts",
-                       startup="startup_tag") -> DataFrame:
-    """C11 (statspack form): interval = this snapshot time - previous (0 when none); rows whose
-    startup marker differs from the previous row (restart, and the first row) are dropped;
-    per hour: ids, times, count and statistics of the interval seconds."""
+                       startup="startup_tag", form: str = "statspack", end_ts: str = "end_ts",
+                       bucket_width: int | None = 1 << 16) -> DataFrame:
+    """C11: seconds per snapshot; rows whose startup marker differs from the previous row of
+    the key (restart, and the first row) are dropped; per hour: ids, times, count and
+    statistics of the seconds.  ``form="awr"``: seconds = end - begin, times formatted
+    ``yyyy-MM-dd HH:mm:ss``; ``form="statspack"``: seconds = this begin - previous begin
+    (0 when none).  The lag uses the range-split kernel (no whole key in one task)."""
     keys = list(keys)
-    w = Window.partitionBy(*keys).orderBy(order)
-    s = (snaps.withColumn("__prev_ts", F.lag(ts).over(w))
-         .withColumn("__prev_startup", F.lag(startup).over(w))
-         .withColumn("secs", F.coalesce(micros(ts) - micros("__prev_ts"), F.lit(0))
-                     / F.lit(1e6))
-         .where(F.col(startup) == F.col("__prev_startup")))
+    s = (snaps.withColumn("__tsu", micros(ts))
+         .transform(lambda d: previous_values(d, keys, order, ["__tsu", startup], bucket_width=bucket_width)))
+    if form == "awr":
+        secs = (micros(end_ts) - micros(ts)) / F.lit(1e6)
+    else:
+        secs = F.coalesce(F.col("__tsu") - F.col("prev___tsu"), F.lit(0)) / F.lit(1e6)
+    s = s.withColumn("secs", secs).where(F.col(startup) == F.col("prev_" + startup))
     v = F.col("secs")
+
+    def t(c):
+        return F.date_format(c, "yyyy-MM-dd HH:mm:ss") if form == "awr" else c
     return (s.withColumn("hour", hour_of(ts)).groupBy(*keys, "hour")
             .agg(F.min(order).alias("min_snap_id"), F.max(order).alias("max_snap_id"),
-                 F.min(ts).alias("min_begin_ts"), F.max(ts).alias("max_begin_ts"),
+                 t(F.min(ts)).alias("min_begin_ts"), t(F.max(ts)).alias("max_begin_ts"),
                  F.count(F.lit(1)).alias("cnt"),
                  F.round(F.sum(v)).alias("sum_secs"), F.round(F.avg(v)).alias("avg_secs"),
                  F.round(F.median(v)).alias("median_secs"), F.round(F.mode(v, deterministic=True)).alias("mode_secs"),
@@ -349,14 +371,19 @@ def source_connections(sessions: DataFrame, snaps: DataFrame, commands: DataFram
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 
-def top_statements(stats: DataFrame, n: int = 299, keys=("pkey",)) -> DataFrame:
+def top_statements(stats: DataFrame, n: int = 299, keys=("pkey",), byte_columns=(),
+                   bytes_unavailable: bool = False) -> DataFrame:
     """C14: per statement signature: ``min(sql_id)``, sums and truncated per-execution
     ratios; the ``n`` largest by total elapsed per database (``row_number``; Spark pushes
-    the rank limit below the shuffle, so each task keeps only its local top ``n``)."""
+    the rank limit below the shuffle, so each task keeps only its local top ``n``).
+    ``byte_columns`` are summed into ``<col>_total``; the 11.1 form has no byte counters and
+    reports -1 for them (``bytes_unavailable``)."""
     keys = list(keys)
+    extra = [(F.lit(-1).cast("long") if bytes_unavailable else F.round(F.sum(c)).cast("long")).alias(c + "_total")
+             for c in byte_columns]
     g = (stats.groupBy(*keys, "signature")
          .agg(F.min("sql_id").alias("sql_id"), F.sum("executions").alias("executions"),
-              F.sum("elapsed").alias("elapsed"), F.sum("rows_processed").alias("rows_processed")))
+              F.sum("elapsed").alias("elapsed"), F.sum("rows_processed").alias("rows_processed"), *extra))
     g = (g.withColumn("elapsed_per_exec", safe_ratio("elapsed", "executions"))
          .withColumn("rows_per_exec", safe_ratio("rows_processed", "executions")))
     w = Window.partitionBy(*keys).orderBy(F.col("elapsed").desc(), F.col("signature"))

@@ -75,6 +75,13 @@ def JOIN_ON(cols):
     return " and ".join(f"a.{c} = m.{c}" for c in cols)
 
 
+STMT_ORACLE = """with g as (select pkey, signature, min(sql_id) as sql_id, sum(executions) as executions,
+    sum(elapsed) as elapsed, sum(rows_processed) as rows_processed from stats group by pkey, signature),
+r as (select *, case when executions = 0 then 0 else trunc(elapsed / executions) end as elapsed_per_exec,
+    case when executions = 0 then 0 else trunc(rows_processed / executions) end as rows_per_exec,
+    row_number() over (partition by pkey order by elapsed desc, signature) as rank from g)
+select * from r where rank <= 299"""
+
 PIVOT_NAMES = ["click", "view", "purchase", "signup", "error"]
 
 
@@ -215,12 +222,7 @@ group by s.pkey, strftime(sn.begin_ts, '%H'), s.program, s.module, s.machine, n.
     "c14_top_statements": Spec(
         build=lambda stats: ts.top_statements(stats, n=299),
         inputs={"stats": "select * from est_statements"},
-        oracle="""with g as (select pkey, signature, min(sql_id) as sql_id, sum(executions) as executions,
-    sum(elapsed) as elapsed, sum(rows_processed) as rows_processed from stats group by pkey, signature),
-r as (select *, case when executions = 0 then 0 else trunc(elapsed / executions) end as elapsed_per_exec,
-    case when executions = 0 then 0 else trunc(rows_processed / executions) end as rows_per_exec,
-    row_number() over (partition by pkey order by elapsed desc, signature) as rank from g)
-select * from r where rank <= 299"""),
+        oracle=STMT_ORACLE),
     "c15_log_volume": Spec(
         build=lambda logs: ts.log_volume(logs),
         inputs={"logs": ORDERS_LOGS},
@@ -290,4 +292,41 @@ from h"""),
 a as (select pkey, avg(switches) as avg_switches from d group by pkey),
 b as (select pkey, avg(bytes) as avg_log_bytes from logs group by pkey)
 select a.pkey, round(avg_switches * avg_log_bytes / 1073741824.0) as redo_gb_per_day from a join b on a.pkey = b.pkey"""),
+    "c3_join_snapshots_as_of": Spec(
+        build=lambda facts, snaps: ts.snapshots_as_of(facts, snaps, keys=["dbid"], fact_ts="sample_ts"),
+        inputs={"facts": "select pkey, dbid, instance_number, stat_name, snap_id as sample_id, begin_ts as sample_ts, "
+                         "value from est_counters",
+                "snaps": "select dbid, begin_ts, snap_id from est_snapshots where extract(hour from begin_ts) <> 3"},
+        oracle="""select f.pkey, f.dbid, f.instance_number, f.stat_name, f.sample_id, f.sample_ts, f.value, s.snap_id
+from facts f asof left join snaps s on f.dbid = s.dbid and f.sample_ts >= s.begin_ts"""),
+    "c11_snapshot_intervals_awr": Spec(
+        build=lambda snaps: ts.snapshot_intervals(snaps, keys=("dbid", "instance_number"), form="awr"),
+        inputs={"snaps": "select dbid, 1 as instance_number, snap_id, begin_ts, "
+                         "begin_ts + interval 50 minute as end_ts, startup_tag from est_snapshots"},
+        oracle=f"""with s as (select *, (epoch_us(end_ts) - epoch_us(begin_ts)) / 1e6 as secs,
+    lag(startup_tag) over (partition by dbid, instance_number order by snap_id) as ps from snaps),
+k as (select *, strftime(begin_ts, '%H') as hour from s where startup_tag = ps),
+{mode_cte('k', ['dbid', 'instance_number', 'hour'], 'secs')}
+select a.*, round(m.mode_v) as mode_secs from (
+  select dbid, instance_number, hour, min(snap_id) as min_snap_id, max(snap_id) as max_snap_id,
+    strftime(min(begin_ts), '%Y-%m-%d %H:%M:%S') as min_begin_ts, strftime(max(begin_ts), '%Y-%m-%d %H:%M:%S') as max_begin_ts,
+    count(*) as cnt, round(sum(secs)) as sum_secs, round(avg(secs)) as avg_secs, round(median(secs)) as median_secs,
+    round(min(secs)) as min_secs, round(max(secs)) as max_secs
+  from k group by dbid, instance_number, hour) a
+left join __mode m on a.dbid = m.dbid and a.instance_number = m.instance_number and a.hour = m.hour"""),
+    "c14_top_statements_bytes": Spec(
+        build=lambda stats: ts.top_statements(stats, n=299, byte_columns=["physical_read_bytes", "physical_write_bytes"]),
+        inputs={"stats": "select *, elapsed * 8 as physical_read_bytes, rows_processed * 512 as physical_write_bytes "
+                         "from est_statements"},
+        oracle=STMT_ORACLE.replace("sum(rows_processed) as rows_processed from stats",
+                                   "sum(rows_processed) as rows_processed, cast(round(sum(physical_read_bytes)) as bigint) "
+                                   "as physical_read_bytes_total, cast(round(sum(physical_write_bytes)) as bigint) "
+                                   "as physical_write_bytes_total from stats")),
+    "c14_top_statements_111": Spec(
+        build=lambda stats: ts.top_statements(stats, n=299, byte_columns=["physical_read_bytes", "physical_write_bytes"],
+                                              bytes_unavailable=True),
+        inputs={"stats": "select * from est_statements"},
+        oracle=STMT_ORACLE.replace("sum(rows_processed) as rows_processed from stats",
+                                   "sum(rows_processed) as rows_processed, -1 as physical_read_bytes_total, "
+                                   "-1 as physical_write_bytes_total from stats")),
 }

@@ -521,6 +521,49 @@ def calculated_metrics_pg(tables: DataFrame, extensions: DataFrame, supported_ex
     return w.select("pkey", F.expr(stack))
 
 
+# fixed values: MySQL plugin probes (metric name, LIKE pattern on the upper-cased plugin name)
+MYSQL_PLUGIN_PROBES = [("MYSQLX_PLUGIN", "%MYSQLX%"), ("MEMCACHED_PLUGIN", "%MEMCACHED%"), ("CLONE_PLUGIN", "%CLONE%"),
+                       ("KEYRING_PLUGIN", "%KEYRING%"), ("VALIDATE_PASSWORD_PLUGIN", "%VALIDATE_PASSWORD%"),
+                       ("THREAD_POOL_PLUGIN", "%THREAD_POOL%"), ("FIREWALL_PLUGIN", "%FIREWALL%")]
+
+
+def calculated_metrics_mysql(tables: DataFrame, plugins: DataFrame, versions: DataFrame) -> DataFrame:
+    """D31 (MySQL): EAV rows per collection - sizes and counts of tables split InnoDB / other,
+    tables without a primary key, plugin flags (``sum(like) > 0``), MariaDB flag and the
+    version number (``x.y.z`` kept, otherwise the first two parts + ``.0``).  One grouped
+    row per input, joined on the collection key, then unpivoted; final ``distinct``."""
+    inno = F.upper(F.col("engine")) == "INNODB"
+    t = tables.groupBy("pkey").agg(
+        F.sum("data_bytes").alias("TABLE_SIZE"),
+        F.sum(F.when(inno, F.col("data_bytes")).otherwise(0)).alias("TABLE_INNODB_SIZE"),
+        F.sum(F.when(~inno, F.col("data_bytes")).otherwise(0)).alias("TABLE_NO_INNODB_SIZE"),
+        F.count(F.lit(1)).alias("TABLE_COUNT"),
+        F.sum(F.when(inno, 1).otherwise(0)).alias("TABLE_INNODB_COUNT"),
+        F.sum(F.when(~inno, 1).otherwise(0)).alias("TABLE_NO_INNODB_COUNT"),
+        F.sum(F.when(F.col("has_primary_key") == "NO", 1).otherwise(0)).alias("TABLE_NO_PK_COUNT"))
+    up = F.upper(F.col("plugin_name"))
+    p = plugins.groupBy("pkey").agg(*[F.when(F.sum(F.when(up.like(pat), 1).otherwise(0)) > 0, 1).otherwise(0).alias(n)
+                                      for n, pat in MYSQL_PLUGIN_PROBES])
+    v = versions.groupBy("pkey").agg(F.min("version").alias("__v")).select(
+        "pkey", F.when(F.upper("__v").like("%MARIADB%"), 1).otherwise(0).alias("IS_MARIADB"),
+        F.when(F.col("__v").rlike(r"^[0-9]+\.[0-9]+\.[0-9]+$"), F.col("__v"))
+        .otherwise(F.concat(F.substring_index("__v", ".", 2), F.lit(".0"))).alias("VERSION_NUM"))
+    w = t.join(p, "pkey", "full").join(v, "pkey", "full")
+    names = (["IS_MARIADB", "TABLE_SIZE", "TABLE_INNODB_SIZE", "TABLE_NO_INNODB_SIZE", "TABLE_COUNT",
+              "TABLE_INNODB_COUNT", "TABLE_NO_INNODB_COUNT", "TABLE_NO_PK_COUNT"]
+             + [n for n, _ in MYSQL_PLUGIN_PROBES] + ["VERSION_NUM"])
+    stack = "stack({n}, {args}) as (variable_name, variable_value)".format(
+        n=len(names), args=", ".join(f"'{c}', cast({c} as string)" for c in names))
+    return (w.select("pkey", F.lit("CALCULATED_METRIC").alias("variable_category"), F.expr(stack))
+            .where(F.col("variable_value").isNotNull()).distinct())
+
+
+def application_footprint_lines(footprint: DataFrame) -> DataFrame:
+    """D32 key-value output form: one ``NAME: value`` line per probe and collection."""
+    return footprint.select("pkey", F.concat(F.col("probe_name"), F.lit(": "),
+                                             F.coalesce(F.col("signature_owner"), F.lit(""))).alias("line"))
+
+
 def application_footprint(objects: DataFrame, probes) -> DataFrame:
     """Packaged-application probes ``[(probe_name, signature_table), ...]``: per collection the
     owner of the signature object and 'Y' when it exists, else null; key-value output (one

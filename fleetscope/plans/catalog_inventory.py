@@ -670,4 +670,41 @@ where t.replica_identity in ('f', 'n')"""),
         oracle="""select pkey, owner, object_name, object_type from o
 where object_type = 'TABLE' and owner not in ('SYS', 'OWN0')
   and not exists (select 1 from g where g.pkey = o.pkey and g.owner = o.owner and g.object_name = o.object_name)"""),
+    "d31_calculated_metrics_mysql": Spec(
+        build=lambda tables, parts, stats, plugins, versions: inv.calculated_metrics_mysql(
+            inv.table_details_mysql(tables, parts, stats), plugins, versions),
+        inputs={"tables": D14_TABLES, "parts": "select pkey, owner, table_name from est_columns", "stats": D14_STATS,
+                "plugins": """select distinct pkey, case extension_name when 'pglogical' then 'mysqlx'
+  when 'pg_cron' then 'keyring_file' when 'hstore' then 'clone' else extension_name end as plugin_name from est_extensions""",
+                "versions": """select pkey, case cast(substr(database_name, 3) as int) % 5 when 0 then '5.7.44'
+  when 1 then '8.0' when 2 then '10.6.12-MariaDB' when 3 then '8.4.0' else '5.6.51-log' end as version from est_databases"""},
+        oracle=D14_ORACLE + """,
+t as (select pkey, sum(data_bytes) as TABLE_SIZE, sum(case when upper(engine) = 'INNODB' then data_bytes else 0 end)
+    as TABLE_INNODB_SIZE, sum(case when upper(engine) <> 'INNODB' then data_bytes else 0 end) as TABLE_NO_INNODB_SIZE,
+    count(*) as TABLE_COUNT, sum(case when upper(engine) = 'INNODB' then 1 else 0 end) as TABLE_INNODB_COUNT,
+    sum(case when upper(engine) <> 'INNODB' then 1 else 0 end) as TABLE_NO_INNODB_COUNT,
+    sum(case when has_primary_key = 'NO' then 1 else 0 end) as TABLE_NO_PK_COUNT from d14 group by pkey),
+p as (select pkey, """ + ", ".join(
+            f"case when sum(case when upper(plugin_name) like '{pat}' then 1 else 0 end) > 0 then 1 else 0 end as {n}"
+            for n, pat in inv.MYSQL_PLUGIN_PROBES) + """ from plugins group by pkey),
+v as (select pkey, case when upper(min(version)) like '%MARIADB%' then 1 else 0 end as IS_MARIADB,
+    case when regexp_matches(min(version), '^[0-9]+\\.[0-9]+\\.[0-9]+$') then min(version)
+      else array_to_string(string_split(min(version), '.')[1:2], '.') || '.0' end as VERSION_NUM
+  from versions group by pkey),
+w as (select coalesce(t.pkey, p.pkey, v.pkey) as pkey, t.*, p.*, v.* from t full join p on t.pkey = p.pkey
+  full join v on coalesce(t.pkey, p.pkey) = v.pkey)
+select distinct * from (""" + "\nunion all\n".join(
+            f"select pkey, 'CALCULATED_METRIC' as variable_category, '{c}' as variable_name, "
+            f"cast({c} as varchar) as variable_value from w"
+            for c in ["IS_MARIADB", "TABLE_SIZE", "TABLE_INNODB_SIZE", "TABLE_NO_INNODB_SIZE", "TABLE_COUNT",
+                      "TABLE_INNODB_COUNT", "TABLE_NO_INNODB_COUNT", "TABLE_NO_PK_COUNT"]
+            + [n for n, _ in inv.MYSQL_PLUGIN_PROBES] + ["VERSION_NUM"]) + ") x where variable_value is not null"),
+    "d32_application_footprint_lines": Spec(
+        build=lambda objs: inv.application_footprint_lines(inv.application_footprint(objs, APP_PROBES)),
+        inputs={"objs": "select pkey, owner, table_name from est_tables"},
+        oracle="with g as (select pkey, " + ", ".join(
+            f"max(case when table_name = '{t}' then owner end) as p{i}" for i, (_, t) in enumerate(APP_PROBES))
+        + " from objs group by pkey)\nselect pkey, probe_name || ': ' || coalesce(signature_owner, '') as line from (\n"
+        + _stack_sql([(n, f"p{i}") for i, (n, _) in enumerate(APP_PROBES)], "probe_name", "signature_owner", "g")
+        + ") x"),
 })

@@ -78,6 +78,10 @@ def _managed(databases, extensions):
     return R.managed_flag(databases, extensions)
 
 
+def _facts(databases, settings=None, extensions=None, slots=None):
+    return R.collection_facts(databases, databases, settings, extensions, slots)
+
+
 def _per_db(databases, extensions, usage, privs, missing, nodes, nopk, replica):
     gate = R.database_gate(databases, extensions, usage, privs, missing)
     return R.rules_per_database(gate, nodes, nopk, replica)
@@ -299,19 +303,19 @@ SEV_RANK_SQL = "case severity " + " ".join(f"when '{s}' then {i}" for i, s in en
 
 
 def _pg_all(databases, settings, extensions, ftables, slots, roles, usage, privs, missing, nodes, nopk, replica):
-    m = _managed(databases, extensions)
+    f = _facts(databases, settings, extensions, slots)
     return R.evaluate([
-        R.rule_database_version_pg(databases, m),
+        R.rule_database_version_pg(f),
         R.rule_collation(databases),
-        R.rule_managed_logical_replication(databases, m, settings),
-        R.rule_wal_level(databases, settings),
-        R.rule_max_replication_slots(databases, databases, settings, slots),
-        R.rule_wal_senders_replication_slots(databases, settings),
-        R.rule_max_worker_processes(databases, databases, settings),
+        R.rule_managed_logical_replication(f),
+        R.rule_wal_level(f),
+        R.rule_max_replication_slots(f),
+        R.rule_wal_senders_replication_slots(f),
+        R.rule_max_worker_processes(f),
         R.rule_fdws(ftables, databases),
         R.rule_unsupported_extensions(extensions, databases),
         R.rule_extensions_not_migrated(extensions, databases),
-        R.rule_replication_role(m, roles),
+        R.rule_replication_role(f, roles),
         _per_db(databases, extensions, usage, privs, missing, nodes, nopk, replica),
     ])
 
@@ -340,28 +344,28 @@ union all select database_name, case cast(substr(database_name, 3) as int) % 4 w
         oracle=f"""select database_name, version, {major_sql('version', '9')} as pg_major, {minor_sql('version', '9')} as pg_minor,
   {major_sql('version', '5')} as mysql_major, {minor_sql('version', '5')} as mysql_minor from d"""),
     "e1_database_version": Spec(
-        build=lambda databases, extensions: R.rule_database_version_pg(databases, _managed(databases, extensions)),
+        build=lambda databases, extensions: R.rule_database_version_pg(_facts(databases, extensions=extensions)),
         inputs={k: INPUTS[k] for k in ("databases", "extensions")}, oracle=O_E1),
     "e2_collation": Spec(
         build=lambda databases: R.rule_collation(databases), inputs={"databases": INPUTS["databases"]}, oracle=O_E2),
     "e3_rds_logical_replication": Spec(
         build=lambda databases, extensions, settings: R.rule_managed_logical_replication(
-            databases, _managed(databases, extensions), settings),
+            _facts(databases, settings, extensions)),
         inputs={k: INPUTS[k] for k in ("databases", "extensions", "settings")}, oracle=O_E3),
     "e4_wal_level": Spec(
-        build=lambda databases, settings: R.rule_wal_level(databases, settings),
+        build=lambda databases, settings: R.rule_wal_level(_facts(databases, settings)),
         inputs={k: INPUTS[k] for k in ("databases", "settings")}, oracle=O_E4),
     "e5_max_replication_slots": Spec(
-        build=lambda databases, settings, slots: R.rule_max_replication_slots(databases, databases, settings, slots),
+        build=lambda databases, settings, slots: R.rule_max_replication_slots(_facts(databases, settings, slots=slots)),
         inputs={k: INPUTS[k] for k in ("databases", "settings", "slots")}, oracle=O_E5),
     "e6_wal_senders_replication_slots": Spec(
-        build=lambda databases, settings: R.rule_wal_senders_replication_slots(databases, settings),
+        build=lambda databases, settings: R.rule_wal_senders_replication_slots(_facts(databases, settings)),
         inputs={k: INPUTS[k] for k in ("databases", "settings")}, oracle=O_E6),
     "e7_max_worker_processes": Spec(
-        build=lambda databases, settings: R.rule_max_worker_processes(databases, databases, settings),
+        build=lambda databases, settings: R.rule_max_worker_processes(_facts(databases, settings)),
         inputs={k: INPUTS[k] for k in ("databases", "settings")}, oracle=O_E7),
     "e8_max_wal_senders": Spec(
-        build=lambda databases, settings: R.rule_max_wal_senders(databases, databases, settings),
+        build=lambda databases, settings: R.rule_max_wal_senders(_facts(databases, settings)),
         inputs={k: INPUTS[k] for k in ("databases", "settings")}, oracle=O_E8),
     "e9_fdws": Spec(
         build=lambda ftables, databases: R.rule_fdws(ftables, databases),
@@ -373,7 +377,7 @@ union all select database_name, case cast(substr(database_name, 3) as int) % 4 w
         build=lambda extensions, databases: R.rule_extensions_not_migrated(extensions, databases),
         inputs={k: INPUTS[k] for k in ("extensions", "databases")}, oracle=O_E11),
     "e12_replication_role": Spec(
-        build=lambda databases, extensions, roles: R.rule_replication_role(_managed(databases, extensions), roles),
+        build=lambda databases, extensions, roles: R.rule_replication_role(_facts(databases, extensions=extensions), roles),
         inputs={k: INPUTS[k] for k in ("databases", "extensions", "roles")}, oracle=O_E12),
     "e13_e17_per_database_checks": Spec(
         build=_per_db,
@@ -383,7 +387,7 @@ union all select database_name, case cast(substr(database_name, 3) as int) % 4 w
     "e18_managed_flag": Spec(
         build=_managed, inputs={k: INPUTS[k] for k in ("databases", "extensions")}, oracle=O_E18),
     "e19_database_version_mysql": Spec(
-        build=lambda mdatabases: R.rule_database_version_mysql(mdatabases),
+        build=lambda mdatabases: R.rule_database_version_mysql(R.collection_facts(mdatabases, mdatabases)),
         inputs={"mdatabases": MYSQL_INPUTS["mdatabases"]}, oracle=O_E19),
     "e20_plugins": Spec(
         build=lambda plugins, mdatabases: R.rule_plugins(plugins, mdatabases),

@@ -105,12 +105,6 @@ def sorted_join(values: Column, sep: str) -> Column:
     return F.array_join(F.array_sort(values), sep)
 
 
-def setting_value(settings: DataFrame, name: str, alias: str) -> DataFrame:
-    """One setting per collection (smallest value when several rows exist)."""
-    return (settings.where(F.col("setting_name") == name).groupBy("pkey")
-            .agg(F.min("setting_value").alias(alias)))
-
-
 def _as_int(c: str) -> Column:
     return F.coalesce(F.col(c).try_cast("long"), F.lit(0))
 
@@ -126,34 +120,71 @@ def managed_flag(collections: DataFrame, extensions: DataFrame, role: str = MANA
             .select("pkey", (F.coalesce(F.col("__m"), F.lit(0)) == 1).alias("is_managed")))
 
 
+# ---------------------------------------------------------------------------
+# per-collection facts (one pass per source, shared by the rules)
+# ---------------------------------------------------------------------------
+
+def collection_facts(collections: DataFrame, databases: DataFrame | None = None, settings: DataFrame | None = None,
+                     extensions: DataFrame | None = None, slots: DataFrame | None = None) -> DataFrame:
+    """One row per collection: version, database count, managed flag, the settings the rules
+    read (one conditional aggregation over the settings, not one job per setting) and the
+    used replication slots.  Every source is aggregated per ``pkey`` before the joins."""
+    out = collections.select("pkey").distinct()
+    if databases is not None:
+        out = out.join(databases.groupBy("pkey").agg(F.count(F.lit(1)).alias("db_count"),
+                                                     F.min("version").alias("version")), "pkey", "left")
+    if settings is not None:
+        name, val = F.col("setting_name"), F.col("setting_value")
+
+        def sv(n):
+            return F.min(F.when(name == n, val))
+        out = out.join(settings.groupBy("pkey").agg(
+            sv("max_replication_slots").alias("s_slots"), sv("max_wal_senders").alias("s_senders"),
+            sv("max_worker_processes").alias("s_workers"), sv("rds.logical_replication").alias("rds_logical"),
+            F.min(F.when((name == "wal_level") & (val != "logical"), val)).alias("wal_level_bad")), "pkey", "left")
+    if extensions is not None:
+        out = out.join(extensions.groupBy("pkey").agg(
+            F.max(F.when(F.col("extension_owner") == MANAGED_ADMIN_ROLE, 1).otherwise(0)).alias("__m")),
+            "pkey", "left").withColumn("is_managed", F.coalesce(F.col("__m"), F.lit(0)) == 1).drop("__m")
+    if slots is not None:
+        out = out.join(slots.groupBy("pkey").agg(F.count(F.lit(1)).alias("used_slots")), "pkey", "left")
+    if "is_managed" not in out.columns:
+        out = out.withColumn("is_managed", F.lit(False))
+    fills = {"db_count": F.coalesce(F.col("db_count"), F.lit(0)), "used_slots": F.coalesce(F.col("used_slots"), F.lit(0)),
+             "slots": _as_int("s_slots"), "senders": _as_int("s_senders"), "workers": _as_int("s_workers")}
+    for c, e in fills.items():
+        src = c if c in ("db_count", "used_slots") else "s_" + c
+        if src in out.columns:
+            out = out.withColumn(c, e)
+    return out
+
+
 # ---------------------------------------------------------------------------
 # Database version
 # ---------------------------------------------------------------------------
 
-def rule_database_version_pg(collections: DataFrame, managed: DataFrame, targets=PG_TARGETS) -> DataFrame:
-    c = collections.groupBy("pkey").agg(F.min("version").alias("version")).join(managed, "pkey", "left")
-    c = c.withColumn("major", major_version("version", "9")).withColumn("minor", minor_version("version", "9"))
+def rule_database_version_pg(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    c = facts.withColumn("major", major_version("version", "9")).withColumn("minor", minor_version("version", "9"))
     t = with_targets(c, targets)
     min_minor = F.create_map(*[x for k, v in PG_MANAGED_MIN_MINOR.items() for x in (F.lit(k), F.lit(v))])[F.col("major")]
     managed_err = min_minor.isNotNull() & (F.col("minor") < min_minor)
     self_err = (~F.col("major").isin(*PG_VERSIONS) | (F.col("major") < F.col("min_major"))
                 | (F.col("max_major").isNotNull() & (F.col("major") > F.col("max_major"))))
-    is_err = F.when(F.coalesce(F.col("is_managed"), F.lit(False)), managed_err).otherwise(self_err)
+    managed = F.coalesce(F.col("is_managed"), F.lit(False))
+    is_err = F.when(managed, managed_err).otherwise(self_err)
     ok = F.concat(F.lit("Version "), F.col("version"), F.lit(" is supported.  Please ensure that you selected a "
                                                               "version that meets or exceeds version "),
                   F.col("major").cast("string"), F.lit("."))
-    err = F.when(F.coalesce(F.col("is_managed"), F.lit(False)),
-                 F.concat(F.lit("Source managed database server has unsupported minor version: ("),
-                          F.col("minor").cast("string"), F.lit(")")))\
+    err = F.when(managed, F.concat(F.lit("Source managed database server has unsupported minor version: ("),
+                                   F.col("minor").cast("string"), F.lit(")")))\
         .otherwise(F.concat(F.lit("Migration from source database server ("), F.col("version"),
                             F.lit(") is not supported")))
     return finding(t, "DATABASE_VERSION", F.when(is_err, F.lit(ERROR)).otherwise(F.lit(PASS)),
                    F.when(is_err, err).otherwise(ok))
 
 
-def rule_database_version_mysql(collections: DataFrame, targets=MYSQL_TARGETS) -> DataFrame:
-    c = collections.groupBy("pkey").agg(F.min("version").alias("version"))
-    t = with_targets(c.withColumn("major", major_version("version", "5")), targets)
+def rule_database_version_mysql(facts: DataFrame, targets=MYSQL_TARGETS) -> DataFrame:
+    t = with_targets(facts.withColumn("major", major_version("version", "5")), targets)
     is_err = ~F.col("major").isin(*MYSQL_VERSIONS) | (F.col("major") < F.col("min_major"))
     ok = F.concat(F.lit("Version "), F.col("version"), F.lit(" is supported.  Please ensure that you selected a "
                                                               "version that meets or exceeds version "),
@@ -212,11 +243,9 @@ def rule_plugins(plugins: DataFrame, collections: DataFrame, targets=MYSQL_TARGE
 # settings
 # ---------------------------------------------------------------------------
 
-def rule_managed_logical_replication(collections: DataFrame, managed: DataFrame, settings: DataFrame,
-                                     targets=PG_TARGETS) -> DataFrame:
-    s = setting_value(settings, "rds.logical_replication", "v")
-    c = (collections.select("pkey").distinct().join(managed.where(F.col("is_managed")), "pkey")
-         .join(s, "pkey", "left").withColumn("v", F.coalesce(F.col("v"), F.lit("unset"))))
+def rule_managed_logical_replication(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    c = facts.where(F.coalesce(F.col("is_managed"), F.lit(False))) \
+        .withColumn("v", F.coalesce(F.col("rds_logical"), F.lit("unset")))
     t = with_targets(c, targets)
     bad = F.col("v") != "on"
     return finding(t, "RDS_LOGICAL_REPLICATION", F.when(bad, F.lit(ACTION)).otherwise(F.lit(PASS)),
@@ -225,10 +254,8 @@ def rule_managed_logical_replication(collections: DataFrame, managed: DataFrame,
                    .otherwise(F.lit('`rds.logical_replication` was correctly set to "on"')))
 
 
-def rule_wal_level(collections: DataFrame, settings: DataFrame, targets=PG_TARGETS) -> DataFrame:
-    s = (settings.where((F.col("setting_name") == "wal_level") & (F.col("setting_value") != "logical"))
-         .groupBy("pkey").agg(F.min("setting_value").alias("v")))
-    t = with_targets(collections.select("pkey").distinct().join(s, "pkey", "left"), targets)
+def rule_wal_level(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    t = with_targets(facts.withColumn("v", F.col("wal_level_bad")), targets)
     bad = F.col("v").isNotNull()
     return finding(t, "WAL_LEVEL", F.when(bad, F.lit(ACTION)).otherwise(F.lit(PASS)),
                    F.when(bad, F.concat(F.lit('The `wal_level` settings should be set to "logical" instead of "'),
@@ -236,21 +263,6 @@ def rule_wal_level(collections: DataFrame, settings: DataFrame, targets=PG_TARGE
                    .otherwise(F.lit('`wal_level` is correctly set to "logical".')))
 
 
-def _counts(collections: DataFrame, databases: DataFrame, settings: DataFrame, slots: DataFrame | None) -> DataFrame:
-    db = databases.groupBy("pkey").agg(F.count(F.lit(1)).alias("db_count"))
-    out = (collections.select("pkey").distinct().join(db, "pkey", "left")
-           .join(setting_value(settings, "max_replication_slots", "s_slots"), "pkey", "left")
-           .join(setting_value(settings, "max_wal_senders", "s_senders"), "pkey", "left")
-           .join(setting_value(settings, "max_worker_processes", "s_workers"), "pkey", "left"))
-    if slots is not None:
-        out = out.join(slots.groupBy("pkey").agg(F.count(F.lit(1)).alias("used_slots")), "pkey", "left")
-    else:
-        out = out.withColumn("used_slots", F.lit(0))
-    return out.select("pkey", F.coalesce("db_count", F.lit(0)).alias("db_count"),
-                      _as_int("s_slots").alias("slots"), _as_int("s_senders").alias("senders"),
-                      _as_int("s_workers").alias("workers"), F.coalesce("used_slots", F.lit(0)).alias("used_slots"))
-
-
 def _band_rule(t: DataFrame, rule_code: str, have: str, need: Column, setting: str, extra_word: str) -> DataFrame:
     hv, mx = F.col(have), need + F.col("extra")
     sev = F.when(hv < need, F.lit(ACTION)).when(hv < mx, F.lit(WARNING)).otherwise(F.lit(PASS))
@@ -267,30 +279,26 @@ def _band_rule(t: DataFrame, rule_code: str, have: str, need: Column, setting: s
     return finding(t, rule_code, sev, info)
 
 
-def rule_max_replication_slots(collections, databases, settings, slots=None, targets=PG_TARGETS) -> DataFrame:
-    t = with_targets(_counts(collections, databases, settings, slots), targets)
-    return _band_rule(t, "MAX_REPLICATION_SLOTS", "slots", F.col("db_count") + F.col("used_slots"),
-                      "max_replication_slots", "subscriptions")
+def rule_max_replication_slots(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    """E5: required = databases + used slots; short -> ACTION, within the extra band -> WARNING."""
+    f = facts if "used_slots" in facts.columns else facts.withColumn("used_slots", F.lit(0))
+    return _band_rule(with_targets(f, targets), "MAX_REPLICATION_SLOTS", "slots",
+                      F.col("db_count") + F.col("used_slots"), "max_replication_slots", "subscriptions")
 
 
-def rule_max_worker_processes(collections, databases, settings, targets=PG_TARGETS) -> DataFrame:
-    t = with_targets(_counts(collections, databases, settings, None), targets)
-    return _band_rule(t, "MAX_WORKER_PROCESSES", "workers", F.col("db_count"), "max_worker_processes",
-                      "`worker_processes`")
+def rule_max_worker_processes(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    return _band_rule(with_targets(facts, targets), "MAX_WORKER_PROCESSES", "workers", F.col("db_count"),
+                      "max_worker_processes", "`worker_processes`")
 
 
-def rule_max_wal_senders(collections, databases, settings, targets=PG_TARGETS) -> DataFrame:
+def rule_max_wal_senders(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
     """Defined by the reference but not part of its default run; call explicitly."""
-    t = with_targets(_counts(collections, databases, settings, None), targets)
-    return _band_rule(t, "MAX_WAL_SENDERS", "senders", F.col("db_count"), "max_wal_senders", "`wal_senders`")
+    return _band_rule(with_targets(facts, targets), "MAX_WAL_SENDERS", "senders", F.col("db_count"),
+                      "max_wal_senders", "`wal_senders`")
 
 
-def rule_wal_senders_replication_slots(collections, settings, targets=PG_TARGETS) -> DataFrame:
-    c = (collections.select("pkey").distinct()
-         .join(setting_value(settings, "max_wal_senders", "s_senders"), "pkey", "left")
-         .join(setting_value(settings, "max_replication_slots", "s_slots"), "pkey", "left")
-         .select("pkey", _as_int("s_senders").alias("senders"), _as_int("s_slots").alias("slots")))
-    t = with_targets(c, targets)
+def rule_wal_senders_replication_slots(facts: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    t = with_targets(facts, targets)
     bad = F.col("senders") < F.col("slots")
     return finding(t, "WAL_SENDERS_REPLICATION_SLOTS", F.when(bad, F.lit(ACTION)).otherwise(F.lit(PASS)),
                    F.when(bad, F.concat(F.lit("Insufficient `max_wal_senders`: "), F.col("senders").cast("string"),
@@ -301,10 +309,10 @@ def rule_wal_senders_replication_slots(collections, settings, targets=PG_TARGETS
                                        F.col("slots").cast("string"))))
 
 
-def rule_replication_role(managed: DataFrame, roles: DataFrame, targets=PG_TARGETS) -> DataFrame:
+def rule_replication_role(facts: DataFrame, roles: DataFrame, targets=PG_TARGETS) -> DataFrame:
     """Self-managed collections only; no role row -> no finding."""
     r = roles.groupBy("pkey").agg(F.min("rolreplication").alias("r"))
-    c = r.join(managed.where(~F.col("is_managed")), "pkey")
+    c = r.join(facts.where(~F.coalesce(F.col("is_managed"), F.lit(False))).select("pkey"), "pkey")
     t = with_targets(c, targets)
     bad = F.col("r") == "false"
     return finding(t, "REPLICATION_ROLE", F.when(bad, F.lit(ACTION)).otherwise(F.lit(PASS)),

@@ -23,16 +23,22 @@ def _managed(spark, flag=True):
     return spark.createDataFrame([("pk", flag)], "pkey string, is_managed boolean")
 
 
+def _facts(spark, flag, settings=None, version=None):
+    cols = spark.createDataFrame([("pk", version)], "pkey string, version string")
+    f = R.collection_facts(cols, cols, settings)
+    return f.join(_managed(spark, flag), "pkey")
+
+
 def test_managed_logical_replication(spark):
     cols = spark.createDataFrame([("pk",)], "pkey string")
     empty = spark.createDataFrame([], "pkey string, setting_name string, setting_value string")
-    sev, n = _sev(R.rule_managed_logical_replication(cols, _managed(spark), empty))
+    sev, n = _sev(R.rule_managed_logical_replication(_facts(spark, True, empty)))
     assert {s for _, s in sev} == {"ACTION REQUIRED"} and n == 2
     on = spark.createDataFrame([("pk", "rds.logical_replication", "on")],
                                "pkey string, setting_name string, setting_value string")
-    sev, n = _sev(R.rule_managed_logical_replication(cols, _managed(spark), on))
+    sev, n = _sev(R.rule_managed_logical_replication(_facts(spark, True, on)))
     assert {s for _, s in sev} == {"PASS"} and n == 2
-    sev, n = _sev(R.rule_managed_logical_replication(cols, _managed(spark, False), on))
+    sev, n = _sev(R.rule_managed_logical_replication(_facts(spark, False, on)))
     assert n == 0
 
 
@@ -59,19 +65,16 @@ def test_extensions_not_migrated(spark):
 
 
 def test_managed_version(spark):
-    m = _managed(spark)
-    bad = spark.createDataFrame([("pk", "10.2")], "pkey string, version string")
-    sev, n = _sev(R.rule_database_version_pg(bad, m))
+    sev, n = _sev(R.rule_database_version_pg(_facts(spark, True, version="10.2")))
     assert {s for _, s in sev} == {"ERROR"} and n == 2
-    good = spark.createDataFrame([("pk", "10.7")], "pkey string, version string")
-    sev, n = _sev(R.rule_database_version_pg(good, m))
+    sev, n = _sev(R.rule_database_version_pg(_facts(spark, True, version="10.7")))
     assert {s for _, s in sev} == {"PASS"} and n == 2
 
 
 def test_self_managed_version_bounds(spark):
-    m = _managed(spark, False)
     v = spark.createDataFrame([("a", "9.3"), ("b", "17.1")], "pkey string, version string")
-    rows = {(r.pkey, r.migration_target): r.severity for r in R.rule_database_version_pg(v, m).collect()}
+    f = R.collection_facts(v, v)
+    rows = {(r.pkey, r.migration_target): r.severity for r in R.rule_database_version_pg(f).collect()}
     assert rows[("a", "ALLOYDB")] == "ERROR" and rows[("a", "CLOUDSQL")] == "ERROR"
     assert rows[("b", "ALLOYDB")] == "ERROR" and rows[("b", "CLOUDSQL")] == "PASS"
 

@@ -25,7 +25,7 @@ def _managed(spark, flag=True):
 
 def _facts(spark, flag, settings=None, version=None):
     cols = spark.createDataFrame([("pk", version)], "pkey string, version string")
-    f = R.collection_facts(cols, cols, settings)
+    f = R.collection_facts(cols, cols, settings).drop("is_managed")
     return f.join(_managed(spark, flag), "pkey")
 
 

@@ -244,7 +244,7 @@ def archive_log_count(db: DataFrame, logs: DataFrame) -> DataFrame:
 
 
 def privileges(db: DataFrame, sys_privs: DataFrame, role_privs: DataFrame, role_sys_privs: DataFrame,
-               tab_privs: DataFrame, tables: DataFrame, user: str = "DMS_USER") -> DataFrame:
+               tab_privs: DataFrame, tables: DataFrame, user: str = "MIGRATION_USER") -> DataFrame:
     """Held = direct system privileges U granted roles U privileges of granted roles.
     Required privileges depend on the version (>11 adds LOGMINING); nothing is required
     with the DBA role; dictionary permissions are skipped with SELECT ANY DICTIONARY and

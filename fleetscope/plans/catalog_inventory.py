@@ -249,11 +249,12 @@ union all select pkey, owner, concat(table_name, '_S'), bytes * 3 from est_table
 
 
 def _compress_cells() -> str:
-    out = ["floor(sum(ceil(case when compress_for = 'BASIC' then gbytes when compress_for = 'ENABLED' then 0.0 end)))"
-           " as basic"]
+    out = ["cast(floor(sum(ceil(case when compress_for = 'BASIC' then gbytes when compress_for = 'ENABLED' then 0.0 end)))"
+           " as bigint) as basic"]
     for name, members in inv.COMPRESSION_CLASSES[1:]:
-        out.append(f"floor(sum(ceil(case when compress_for in ({_in(members)}) then gbytes else 0.0 end))) as {name}")
-    out.append("floor(sum(ceil(gbytes))) as total_gb")
+        out.append(f"cast(floor(sum(ceil(case when compress_for in ({_in(members)}) then gbytes else 0.0 end))) as bigint)"
+                   f" as {name}")
+    out.append("cast(floor(sum(ceil(gbytes))) as bigint) as total_gb")
     return ",\n  ".join(out)
 
 

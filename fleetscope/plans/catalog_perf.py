@@ -245,8 +245,8 @@ from ev group by pkey, cast(ts as date)"""),
     "c17_hour_matrix_size": Spec(
         build=lambda ev: ts.hour_matrix(ev.where(F.col("event_type") == "click"), size_col="bytes"),
         inputs={"ev": EVENTS_PK},
-        oracle=f"""select pkey, cast(ts as date) as day, ceil(round(sum(bytes / 1048576.0))) as total,
-  {', '.join(f"sum(case when hour(ts) = {h} then ceil(bytes / 1048576.0) else 0 end) as h{h:02d}" for h in range(24))}
+        oracle=f"""select pkey, cast(ts as date) as day, cast(ceil(round(sum(bytes / 1048576.0))) as bigint) as total,
+  {', '.join(f"sum(case when hour(ts) = {h} then cast(ceil(bytes / 1048576.0) as bigint) else 0 end) as h{h:02d}" for h in range(24))}
 from ev where event_type = 'click' group by pkey, cast(ts as date)"""),
     "c18_counter_pivot": Spec(
         build=lambda counters: ts.counter_pivot(counters, PIVOT_NAMES, keys=("pkey", "instance_number"),

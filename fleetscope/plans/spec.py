@@ -11,6 +11,8 @@ from dataclasses import dataclass, field
 from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import TimestampType
 
 from fleetscope.sources import fixtures
 
@@ -31,9 +33,8 @@ class Spec:
         for v in views:
             spark.sql(fixtures.VIEWS[v]).createOrReplaceTempView(v)
         frames = {alias: spark.sql(text) for alias, text in self.inputs.items()}
-        if self.needs_spark:
-            return self.build(spark, **frames)
-        return self.build(**frames)
+        out = self.build(spark, **frames) if self.needs_spark else self.build(**frames)
+        return normalize_types(out)
 
     def oracle_sql(self) -> str | None:
         if self.oracle is None:
@@ -46,3 +47,19 @@ class Spec:
             else:
                 body = f"with {ctes}\n{body}"
         return fixtures.with_views(body)
+
+
+def normalize_types(df: DataFrame) -> DataFrame:
+    """Report-level types: zoned timestamps become zone-less (same wall clock in the UTC
+    session, as the landed files carry no zone), so results do not depend on the reader's
+    time zone."""
+    cols = []
+    changed = False
+    for f in df.schema.fields:
+        c = F.col(f"`{f.name}`")
+        if isinstance(f.dataType, TimestampType):
+            cols.append(c.cast("timestamp_ntz").alias(f.name))
+            changed = True
+        else:
+            cols.append(c)
+    return df.select(*cols) if changed else df

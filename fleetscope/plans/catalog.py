@@ -14,4 +14,6 @@ def all_specs() -> dict[str, Spec]:
     specs: dict[str, Spec] = {}
     for mod in (catalog_perf, catalog_inventory, catalog_rules, catalog_validator, catalog_mask_io, catalog_stream):
         specs.update(mod.SPECS)
+    for name, spec in specs.items():
+        spec.name = name
     return specs

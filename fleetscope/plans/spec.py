@@ -23,6 +23,7 @@ class Spec:
     inputs: dict[str, str] = field(default_factory=dict)
     oracle: str | None = None
     needs_spark: bool = False
+    name: str | None = None
 
     def run(self, spark: SparkSession, sf_dir: str) -> DataFrame:
         texts = list(self.inputs.values()) + ([self.oracle] if self.oracle else [])
@@ -46,7 +47,13 @@ class Spec:
                 body = f"with {ctes},\n{body[5:]}"
             else:
                 body = f"with {ctes}\n{body}"
-        return fixtures.with_views(body)
+        body = fixtures.with_views(body)
+        from fleetscope.plans.oracle_casts import CASTS
+        casts = CASTS.get(self.name or "", {})
+        if casts:
+            rep = ", ".join(f'cast("{c}" as {t}) as "{c}"' for c, t in sorted(casts.items()))
+            body = f"select * replace ({rep}) from (\n{body}\n) __oracle"
+        return body
 
 
 def normalize_types(df: DataFrame) -> DataFrame:

@@ -43,16 +43,17 @@ def sanitize_text(c, length: int | None = None, replacement: str = " ") -> Colum
 
 
 def classify_trigger(tgtype) -> Column:
-    """Trigger type bitmask -> ``<TIMING>_<EVENTS>_TRIGGER``; unknown combination -> null."""
+    """Trigger type bitmask -> ``<TIMING>_<EVENTS>_TRIGGER``: ``& 66`` gives BEFORE (2),
+    INSTEAD_OF (64) or AFTER (anything else); ``& 28`` gives the event combination; an
+    unknown combination makes the whole label null."""
     t = col(tgtype)
-    timing = (F.when((t.bitwiseAND(66)) == 2, F.lit("BEFORE"))
-              .when((t.bitwiseAND(66)) == 64, F.lit("INSTEAD_OF"))
-              .when((t.bitwiseAND(66)) == 0, F.lit("AFTER")))
+    timing = (F.when(t.bitwiseAND(66) == 2, F.lit("BEFORE")).when(t.bitwiseAND(66) == 64, F.lit("INSTEAD_OF"))
+              .otherwise(F.lit("AFTER")))
     ev = t.bitwiseAND(28)
     # fixed values: event bit combinations (4 insert, 8 delete, 16 update)
-    events = (F.when(ev == 4, F.lit("INSERT")).when(ev == 8, F.lit("DELETE")).when(ev == 16, F.lit("UPDATE"))
-              .when(ev == 12, F.lit("INSERT_DELETE")).when(ev == 20, F.lit("INSERT_UPDATE"))
-              .when(ev == 24, F.lit("DELETE_UPDATE")).when(ev == 28, F.lit("INSERT_DELETE_UPDATE")))
+    events = (F.when(ev == 16, F.lit("UPDATE")).when(ev == 8, F.lit("DELETE")).when(ev == 4, F.lit("INSERT"))
+              .when(ev == 20, F.lit("INSERT_UPDATE")).when(ev == 28, F.lit("INSERT_UPDATE_DELETE"))
+              .when(ev == 24, F.lit("UPDATE_DELETE")).when(ev == 12, F.lit("INSERT_DELETE")))
     return F.concat(timing, F.lit("_"), events, F.lit("_TRIGGER"))
 
 

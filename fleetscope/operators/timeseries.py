@@ -409,21 +409,25 @@ def backup_volume(jobs: DataFrame, keys=("pkey",), ts="start_time") -> DataFrame
                  F.round(F.sum("output_bytes") / F.lit(1048576.0)).alias("mb_out")))
 
 
-def hour_matrix(events: DataFrame, keys=("pkey",), ts="ts", size_col: str | None = None) -> DataFrame:
-    """C17: one row per day with 24 hour columns.  Count form: total, h00..h23 and
-    avg_per_hour = count div 24 (integer division before the ceiling).  Size form: cells sum
-    ceil(bytes / 2^20) and total = ceil(round(sum))."""
+def hour_matrix(events: DataFrame, keys=("pkey",), ts="ts", size_col: str | None = None, as_of=None) -> DataFrame:
+    """C17: one row per day (``MM/dd/yyyy`` and day of month) with 24 hour columns.
+    Count form: total_logs_generated, h0_count..h23_count, avg_per_hour = count div 24
+    (integer division before the ceiling).  Size form: hN_size_in_mb cells sum
+    ceil(bytes / 2^20), total = ceil(round(sum)), avg_mb_per_hour = ceil(round(sum / 24)).
+    Rows at or after ``as_of`` are left out."""
     hour = F.hour(ts)
-    e = events.withColumn("day", F.to_date(ts))
+    e = events if as_of is None else events.where(F.col(ts) < F.to_timestamp(F.lit(as_of)))
+    e = e.withColumn("collection_date", F.date_format(ts, "MM/dd/yyyy")).withColumn("day_of_month", F.dayofmonth(ts))
+    g = [*keys, "collection_date", "day_of_month"]
     if size_col is None:
-        cells = [F.sum(F.when(hour == h, 1).otherwise(0)).alias(f"h{h:02d}") for h in range(24)]
-        return (e.groupBy(*keys, "day")
-                .agg(F.count(F.lit(1)).alias("total"), *cells)
-                .withColumn("avg_per_hour", F.expr("total div 24")))
+        cells = [F.sum(F.when(hour == h, 1).otherwise(0)).alias(f"h{h}_count") for h in range(24)]
+        return (e.groupBy(*g).agg(F.count(F.lit(1)).alias("total_logs_generated"), *cells)
+                .withColumn("avg_per_hour", F.expr("total_logs_generated div 24")))
     mb = F.ceil(F.col(size_col) / F.lit(1048576.0))
-    cells = [F.sum(F.when(hour == h, mb).otherwise(0)).alias(f"h{h:02d}") for h in range(24)]
-    return (e.groupBy(*keys, "day")
-            .agg(F.ceil(F.round(F.sum(F.col(size_col) / F.lit(1048576.0)))).alias("total"), *cells))
+    cells = [F.sum(F.when(hour == h, mb).otherwise(0)).alias(f"h{h}_size_in_mb") for h in range(24)]
+    total_mb = F.sum(F.col(size_col) / F.lit(1048576.0))
+    return e.groupBy(*g).agg(F.ceil(F.round(total_mb)).alias("total_logs_generated_in_mb"), *cells,
+                             F.ceil(F.round(total_mb / F.lit(24.0))).alias("avg_mb_per_hour"))
 
 
 def counter_pivot(counters: DataFrame, names, keys=("pkey",), name_col="counter_name", value="value",

@@ -96,11 +96,11 @@ group by table_name having count(*) > 1"""),
     "b3_classify_trigger": Spec(
         build=lambda t: t.select("object_id", X.classify_trigger("tgtype").alias("trigger_kind")),
         inputs={"t": "select object_id, cast(num_rows / 100 * 2 + object_id % 7 as int) as tgtype from est_tables"},
-        oracle="""select object_id, case when t is null or e is null then null else t || '_' || e || '_TRIGGER' end as trigger_kind
+        oracle="""select object_id, case when e is null then null else t || '_' || e || '_TRIGGER' end as trigger_kind
 from (select object_id,
-  case tgtype & 66 when 2 then 'BEFORE' when 64 then 'INSTEAD_OF' when 0 then 'AFTER' end as t,
-  case tgtype & 28 when 4 then 'INSERT' when 8 then 'DELETE' when 16 then 'UPDATE' when 12 then 'INSERT_DELETE'
-    when 20 then 'INSERT_UPDATE' when 24 then 'DELETE_UPDATE' when 28 then 'INSERT_DELETE_UPDATE' end as e from t) x"""),
+  case tgtype & 66 when 2 then 'BEFORE' when 64 then 'INSTEAD_OF' else 'AFTER' end as t,
+  case tgtype & 28 when 16 then 'UPDATE' when 8 then 'DELETE' when 4 then 'INSERT' when 20 then 'INSERT_UPDATE'
+    when 28 then 'INSERT_UPDATE_DELETE' when 24 then 'UPDATE_DELETE' when 12 then 'INSERT_DELETE' end as e from t) x"""),
     "b4_sanitize_text": Spec(
         build=lambda t: t.select("object_id", X.sanitize_text("definition", 60).alias("short_text"),
                                  X.sanitize_text("definition").alias("clean_text")),

@@ -236,18 +236,21 @@ from logs group by pkey, cast(first_time as date), strftime(first_time, '%H'), t
   round(sum(input_bytes) / 1048576.0) as mb_in, round(sum(output_bytes) / 1048576.0) as mb_out
 from jobs group by pkey, cast(start_time as date), input_type"""),
     "c17_hour_matrix_count": Spec(
-        build=lambda ev: ts.hour_matrix(ev),
+        build=lambda ev: ts.hour_matrix(ev, as_of="2024-01-30 00:00:00"),
         inputs={"ev": EVENTS_PK},
-        oracle=f"""select pkey, cast(ts as date) as day, count(*) as total,
-  {', '.join(f"sum(case when hour(ts) = {h} then 1 else 0 end) as h{h:02d}" for h in range(24))},
+        oracle=f"""select pkey, strftime(ts, '%m/%d/%Y') as collection_date, day(ts) as day_of_month,
+  count(*) as total_logs_generated,
+  {', '.join(f"sum(case when hour(ts) = {h} then 1 else 0 end) as h{h}_count" for h in range(24))},
   count(*) // 24 as avg_per_hour
-from ev group by pkey, cast(ts as date)"""),
+from ev where ts < timestamp '2024-01-30 00:00:00' group by pkey, strftime(ts, '%m/%d/%Y'), day(ts)"""),
     "c17_hour_matrix_size": Spec(
         build=lambda ev: ts.hour_matrix(ev.where(F.col("event_type") == "click"), size_col="bytes"),
         inputs={"ev": EVENTS_PK},
-        oracle=f"""select pkey, cast(ts as date) as day, cast(ceil(round(sum(bytes / 1048576.0))) as bigint) as total,
-  {', '.join(f"sum(case when hour(ts) = {h} then cast(ceil(bytes / 1048576.0) as bigint) else 0 end) as h{h:02d}" for h in range(24))}
-from ev where event_type = 'click' group by pkey, cast(ts as date)"""),
+        oracle=f"""select pkey, strftime(ts, '%m/%d/%Y') as collection_date, day(ts) as day_of_month,
+  cast(ceil(round(sum(bytes / 1048576.0))) as bigint) as total_logs_generated_in_mb,
+  {', '.join(f"sum(case when hour(ts) = {h} then cast(ceil(bytes / 1048576.0) as bigint) else 0 end) as h{h}_size_in_mb" for h in range(24))},
+  cast(ceil(round(sum(bytes / 1048576.0) / 24.0)) as bigint) as avg_mb_per_hour
+from ev where event_type = 'click' group by pkey, strftime(ts, '%m/%d/%Y'), day(ts)"""),
     "c18_counter_pivot": Spec(
         build=lambda counters: ts.counter_pivot(counters, PIVOT_NAMES, keys=("pkey", "instance_number"),
                                                 name_col="stat_name", ratio=("hit_ratio", "purchase", "click")),

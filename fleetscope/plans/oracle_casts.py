@@ -20,54 +20,56 @@ CASTS = {'a8_collection_completeness': {'error_lines': 'BIGINT'},
                               'rank': 'INTEGER',
                               'rows_processed': 'BIGINT'},
  'c16_backup_volume': {'elapsed_seconds': 'BIGINT'},
- 'c17_hour_matrix_count': {'h00': 'BIGINT',
-                           'h01': 'BIGINT',
-                           'h02': 'BIGINT',
-                           'h03': 'BIGINT',
-                           'h04': 'BIGINT',
-                           'h05': 'BIGINT',
-                           'h06': 'BIGINT',
-                           'h07': 'BIGINT',
-                           'h08': 'BIGINT',
-                           'h09': 'BIGINT',
-                           'h10': 'BIGINT',
-                           'h11': 'BIGINT',
-                           'h12': 'BIGINT',
-                           'h13': 'BIGINT',
-                           'h14': 'BIGINT',
-                           'h15': 'BIGINT',
-                           'h16': 'BIGINT',
-                           'h17': 'BIGINT',
-                           'h18': 'BIGINT',
-                           'h19': 'BIGINT',
-                           'h20': 'BIGINT',
-                           'h21': 'BIGINT',
-                           'h22': 'BIGINT',
-                           'h23': 'BIGINT'},
- 'c17_hour_matrix_size': {'h00': 'BIGINT',
-                          'h01': 'BIGINT',
-                          'h02': 'BIGINT',
-                          'h03': 'BIGINT',
-                          'h04': 'BIGINT',
-                          'h05': 'BIGINT',
-                          'h06': 'BIGINT',
-                          'h07': 'BIGINT',
-                          'h08': 'BIGINT',
-                          'h09': 'BIGINT',
-                          'h10': 'BIGINT',
-                          'h11': 'BIGINT',
-                          'h12': 'BIGINT',
-                          'h13': 'BIGINT',
-                          'h14': 'BIGINT',
-                          'h15': 'BIGINT',
-                          'h16': 'BIGINT',
-                          'h17': 'BIGINT',
-                          'h18': 'BIGINT',
-                          'h19': 'BIGINT',
-                          'h20': 'BIGINT',
-                          'h21': 'BIGINT',
-                          'h22': 'BIGINT',
-                          'h23': 'BIGINT'},
+ 'c17_hour_matrix_count': {'day_of_month': 'INTEGER',
+                           'h0_count': 'BIGINT',
+                           'h10_count': 'BIGINT',
+                           'h11_count': 'BIGINT',
+                           'h12_count': 'BIGINT',
+                           'h13_count': 'BIGINT',
+                           'h14_count': 'BIGINT',
+                           'h15_count': 'BIGINT',
+                           'h16_count': 'BIGINT',
+                           'h17_count': 'BIGINT',
+                           'h18_count': 'BIGINT',
+                           'h19_count': 'BIGINT',
+                           'h1_count': 'BIGINT',
+                           'h20_count': 'BIGINT',
+                           'h21_count': 'BIGINT',
+                           'h22_count': 'BIGINT',
+                           'h23_count': 'BIGINT',
+                           'h2_count': 'BIGINT',
+                           'h3_count': 'BIGINT',
+                           'h4_count': 'BIGINT',
+                           'h5_count': 'BIGINT',
+                           'h6_count': 'BIGINT',
+                           'h7_count': 'BIGINT',
+                           'h8_count': 'BIGINT',
+                           'h9_count': 'BIGINT'},
+ 'c17_hour_matrix_size': {'day_of_month': 'INTEGER',
+                          'h0_size_in_mb': 'BIGINT',
+                          'h10_size_in_mb': 'BIGINT',
+                          'h11_size_in_mb': 'BIGINT',
+                          'h12_size_in_mb': 'BIGINT',
+                          'h13_size_in_mb': 'BIGINT',
+                          'h14_size_in_mb': 'BIGINT',
+                          'h15_size_in_mb': 'BIGINT',
+                          'h16_size_in_mb': 'BIGINT',
+                          'h17_size_in_mb': 'BIGINT',
+                          'h18_size_in_mb': 'BIGINT',
+                          'h19_size_in_mb': 'BIGINT',
+                          'h1_size_in_mb': 'BIGINT',
+                          'h20_size_in_mb': 'BIGINT',
+                          'h21_size_in_mb': 'BIGINT',
+                          'h22_size_in_mb': 'BIGINT',
+                          'h23_size_in_mb': 'BIGINT',
+                          'h2_size_in_mb': 'BIGINT',
+                          'h3_size_in_mb': 'BIGINT',
+                          'h4_size_in_mb': 'BIGINT',
+                          'h5_size_in_mb': 'BIGINT',
+                          'h6_size_in_mb': 'BIGINT',
+                          'h7_size_in_mb': 'BIGINT',
+                          'h8_size_in_mb': 'BIGINT',
+                          'h9_size_in_mb': 'BIGINT'},
  'c3_join_snapshots': {'snap_id': 'INTEGER'},
  'c4_snapshot_window': {'max_snap_id': 'INTEGER', 'min_snap_id': 'INTEGER'},
  'd12_schema_details': {'function_bytes': 'BIGINT', 'table_bytes': 'BIGINT'},

@@ -343,8 +343,8 @@ def snapshot_intervals(snaps: DataFrame, keys=("dbid",), order="snap_id", ts="be
                  F.round(F.min(v)).alias("min_secs"), F.round(F.max(v)).alias("max_secs")))
 
 
-COMMAND_MEASURES = ["executions", "elapsed", "cpu_time", "buffer_gets", "disk_reads", "rows_processed",
-                    "parse_calls", "fetches", "sorts", "io_wait"]
+COMMAND_MEASURES = ["buffer_gets", "elapsed_time", "rows_processed", "executions", "cpu_time", "iowait", "clwait",
+                    "apwait", "ccwait", "plsexec_time"]
 
 
 def command_profile(stats: DataFrame, text: DataFrame, snaps: DataFrame, names: DataFrame,
@@ -355,19 +355,21 @@ def command_profile(stats: DataFrame, text: DataFrame, snaps: DataFrame, names:
          .join(snaps, on=["dbid", "snap_id"], how="inner")
          .join(F.broadcast(names), on="command_type", how="left"))
     aggs = [F.count(F.lit(1)).alias("cnt")] + [F.round(F.avg(m)).alias("avg_" + m) for m in COMMAND_MEASURES]
-    return (j.withColumn("hour", hour_of(ts))
-            .groupBy(*keys, "hour", "command_type", "command_name").agg(*aggs))
+    return (j.withColumn("hh24", hour_of(ts))
+            .groupBy(*keys, "hh24", "command_type", "command_name").agg(*aggs))
 
 
 def source_connections(sessions: DataFrame, snaps: DataFrame, commands: DataFrame, keys=("pkey",),
                        ts="begin_ts") -> DataFrame:
-    """Foreground sessions joined to snapshots and to the literal command table;
-    count per hour, program, module, machine and command."""
+    """Foreground sessions joined to snapshots and to the literal command table; count
+    per hour, database, instance, program, module, machine and command (``|`` in the text
+    columns replaced by ``_``)."""
     j = (sessions.where(F.col("session_type") == "FOREGROUND")
          .join(snaps, on=["dbid", "snap_id"], how="inner")
          .join(F.broadcast(commands), on="command_type", how="inner"))
-    return (j.withColumn("hour", hour_of(ts))
-            .groupBy(*keys, "hour", "program", "module", "machine", "command_name")
+    clean = {c: F.replace(F.col(c), F.lit("|"), F.lit("_")) for c in ("program", "module", "machine")}
+    return (j.withColumn("hour", hour_of(ts)).withColumns(clean)
+            .groupBy(*keys, "dbid", "instance_number", "hour", "program", "module", "machine", "command_name")
             .agg(F.count(F.lit(1)).alias("cnt")))
 
 

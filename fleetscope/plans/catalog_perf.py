@@ -25,14 +25,16 @@ IO_FUNCS = ("select pkey, dbid, instance_number, snap_id, begin_ts, stat_name as
             + " from est_counters")
 
 STATS_SQL = """select pkey, 1 as dbid, sql_id, cast(substr(sql_id, 4) as bigint) % 700 + 1 as snap_id,
-  executions, elapsed, elapsed % 1000 as cpu_time, rows_processed * 10 as buffer_gets, rows_processed % 7 as disk_reads,
-  rows_processed, executions + 1 as parse_calls, rows_processed % 5 as fetches, executions % 2 as sorts, elapsed % 97 as io_wait
+  rows_processed * 10 as buffer_gets, elapsed as elapsed_time, rows_processed, executions, elapsed % 1000 as cpu_time,
+  elapsed % 97 as iowait, elapsed % 13 as clwait, rows_processed % 7 as apwait, executions % 2 as ccwait,
+  rows_processed % 5 as plsexec_time
 from est_statements"""
 TEXT_SQL = """select pkey, sql_id, min(cast(signature as int)) % 8 as command_type from est_statements group by pkey, sql_id"""
 NAMES_SQL = params.values_sql(params.COMMAND_NAMES, ["command_type", "command_name"])
-SESSIONS_SQL = """select pkey, 1 as dbid, cast(substr(sql_id, 4) as bigint) % 700 + 1 as snap_id,
+SESSIONS_SQL = """select pkey, 1 as dbid, cast(executions % 2 as int) + 1 as instance_number,
+  cast(substr(sql_id, 4) as bigint) % 700 + 1 as snap_id,
   case when executions > 0 then 'FOREGROUND' else 'BACKGROUND' end as session_type,
-  concat('prog', cast(cast(signature as int) % 4 as string)) as program,
+  concat('prog|', cast(cast(signature as int) % 4 as string)) as program,
   concat('mod', cast(rows_processed % 3 as string)) as module,
   concat('host_', pkey) as machine, cast(signature as int) % 8 as command_type
 from est_statements"""
@@ -204,7 +206,7 @@ select a.*, round(m.mode_v) as mode_secs from (
     "c12_command_profile": Spec(
         build=_c12,
         inputs={"stats": STATS_SQL, "text": TEXT_SQL, "snaps": "select * from est_snapshots", "names": NAMES_SQL},
-        oracle=f"""select st.pkey, strftime(sn.begin_ts, '%H') as hour, st.command_type, n.command_name, count(*) as cnt,
+        oracle=f"""select st.pkey, strftime(sn.begin_ts, '%H') as hh24, st.command_type, n.command_name, count(*) as cnt,
   {', '.join(f"round(avg({m})) as avg_{m}" for m in ts.COMMAND_MEASURES)}
 from (select s.*, t.command_type from stats s join text t on s.pkey = t.pkey and s.sql_id = t.sql_id) st
 join snaps sn on st.dbid = sn.dbid and st.snap_id = sn.snap_id
@@ -213,12 +215,14 @@ group by st.pkey, strftime(sn.begin_ts, '%H'), st.command_type, n.command_name""
     "c13_source_connections": Spec(
         build=lambda sessions, snaps, names: ts.source_connections(sessions, snaps, names),
         inputs={"sessions": SESSIONS_SQL, "snaps": "select * from est_snapshots", "names": NAMES_SQL},
-        oracle="""select s.pkey, strftime(sn.begin_ts, '%H') as hour, s.program, s.module, s.machine, n.command_name,
-  count(*) as cnt
+        oracle="""select s.pkey, s.dbid, s.instance_number, strftime(sn.begin_ts, '%H') as hour,
+  replace(s.program, '|', '_') as program, replace(s.module, '|', '_') as module, replace(s.machine, '|', '_') as machine,
+  n.command_name, count(*) as cnt
 from sessions s join snaps sn on s.dbid = sn.dbid and s.snap_id = sn.snap_id
 join names n on s.command_type = n.command_type
 where s.session_type = 'FOREGROUND'
-group by s.pkey, strftime(sn.begin_ts, '%H'), s.program, s.module, s.machine, n.command_name"""),
+group by s.pkey, s.dbid, s.instance_number, strftime(sn.begin_ts, '%H'), replace(s.program, '|', '_'),
+  replace(s.module, '|', '_'), replace(s.machine, '|', '_'), n.command_name"""),
     "c14_top_statements": Spec(
         build=lambda stats: ts.top_statements(stats, n=299),
         inputs={"stats": "select * from est_statements"},

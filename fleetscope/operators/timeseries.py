@@ -392,23 +392,30 @@ def top_statements(stats: DataFrame, n: int = 299, keys=("pkey",), byte_columns=
     return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+def _since(df: DataFrame, ts: str, as_of, days):
+    """Rows with ``ts >= trunc(as_of) - days`` (the extracts' history window)."""
+    if days is None:
+        return df
+    return df.where(F.col(ts) >= F.date_sub(F.to_date(F.lit(as_of)), int(days)).cast("timestamp_ntz"))
+
+
 def log_volume(logs: DataFrame, keys=("pkey",), ts="first_time", as_of=None, days: int | None = None) -> DataFrame:
     """Per day, hour, thread and destination: log count and MB =
     round(sum(blocks * block_size) / 2^20)."""
-    if days is not None:
-        logs = logs.where(F.col(ts) >= F.to_timestamp(F.lit(as_of)) - F.expr(f"make_interval(0,0,0,{int(days)})"))
-    return (logs.withColumn("day", F.to_date(ts)).withColumn("hour", hour_of(ts))
-            .groupBy(*keys, "day", "hour", "thread", "dest_id")
+    return (_since(logs, ts, as_of, days)
+            .withColumn("log_start_date", F.to_date(ts)).withColumn("hour", hour_of(ts))
+            .groupBy(*keys, "log_start_date", "hour", F.col("thread").alias("thread_num"), "dest_id")
             .agg(F.count(F.lit(1)).alias("cnt"),
-                 F.round(F.sum(F.col("blocks") * F.col("block_size")) / F.lit(1048576.0)).alias("mb")))
+                 F.round(F.sum(F.col("blocks") * F.col("block_size")) / F.lit(1048576.0)).alias("mbytes")))
 
 
-def backup_volume(jobs: DataFrame, keys=("pkey",), ts="start_time") -> DataFrame:
-    """Per day and input type: seconds, MB in, MB out."""
-    return (jobs.withColumn("day", F.to_date(ts)).groupBy(*keys, "day", "input_type")
-            .agg(F.sum("elapsed_seconds").alias("elapsed_seconds"),
-                 F.round(F.sum("input_bytes") / F.lit(1048576.0)).alias("mb_in"),
-                 F.round(F.sum("output_bytes") / F.lit(1048576.0)).alias("mb_out")))
+def backup_volume(jobs: DataFrame, keys=("pkey",), ts="start_time", as_of=None, days: int | None = None) -> DataFrame:
+    """Per day and input type: seconds, MB in, MB out (each rounded)."""
+    return (_since(jobs, ts, as_of, days)
+            .withColumn("backup_start_date", F.to_date(ts)).groupBy(*keys, "backup_start_date", "input_type")
+            .agg(F.round(F.sum("elapsed_seconds")).alias("elapsed_seconds"),
+                 F.round(F.sum("input_bytes") / F.lit(1048576.0)).alias("mbytes_in"),
+                 F.round(F.sum("output_bytes") / F.lit(1048576.0)).alias("mbytes_out")))
 
 
 def hour_matrix(events: DataFrame, keys=("pkey",), ts="ts", size_col: str | None = None, as_of=None) -> DataFrame:

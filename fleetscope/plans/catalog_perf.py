@@ -228,17 +228,20 @@ group by s.pkey, s.dbid, s.instance_number, strftime(sn.begin_ts, '%H'), replace
         inputs={"stats": "select * from est_statements"},
         oracle=STMT_ORACLE),
     "c15_log_volume": Spec(
-        build=lambda logs: ts.log_volume(logs),
+        build=lambda logs: ts.log_volume(logs, as_of="1998-08-02", days=3650),
         inputs={"logs": ORDERS_LOGS},
-        oracle="""select pkey, cast(first_time as date) as day, strftime(first_time, '%H') as hour, thread, dest_id,
-  count(*) as cnt, round(sum(blocks * block_size) / 1048576.0) as mb
-from logs group by pkey, cast(first_time as date), strftime(first_time, '%H'), thread, dest_id"""),
+        oracle="""select pkey, cast(first_time as date) as log_start_date, strftime(first_time, '%H') as hour,
+  thread as thread_num, dest_id, count(*) as cnt, round(sum(blocks * block_size) / 1048576.0) as mbytes
+from logs where first_time >= cast(date '1998-08-02' - interval 3650 day as timestamp)
+group by pkey, cast(first_time as date), strftime(first_time, '%H'), thread, dest_id"""),
     "c16_backup_volume": Spec(
-        build=lambda jobs: ts.backup_volume(jobs),
+        build=lambda jobs: ts.backup_volume(jobs, as_of="1998-08-02", days=3650),
         inputs={"jobs": BACKUP_JOBS},
-        oracle="""select pkey, cast(start_time as date) as day, input_type, sum(elapsed_seconds) as elapsed_seconds,
-  round(sum(input_bytes) / 1048576.0) as mb_in, round(sum(output_bytes) / 1048576.0) as mb_out
-from jobs group by pkey, cast(start_time as date), input_type"""),
+        oracle="""select pkey, cast(start_time as date) as backup_start_date, input_type,
+  round(sum(elapsed_seconds)) as elapsed_seconds, round(sum(input_bytes) / 1048576.0) as mbytes_in,
+  round(sum(output_bytes) / 1048576.0) as mbytes_out
+from jobs where start_time >= cast(date '1998-08-02' - interval 3650 day as timestamp)
+group by pkey, cast(start_time as date), input_type"""),
     "c17_hour_matrix_count": Spec(
         build=lambda ev: ts.hour_matrix(ev, as_of="2024-01-30 00:00:00"),
         inputs={"ev": EVENTS_PK},

@@ -393,42 +393,42 @@ def database_gate(databases: DataFrame, extensions: DataFrame, schema_usage: Dat
             .groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("kind_order", "__sub", "__msg"))).alias("__l"))
             .select(*k, F.array_join(F.transform("__l", lambda x: x["__msg"]), "\n").alias("errors")))
     out = d.join(errs, k, "left")
-    return out.withColumn("passed", F.col("installed") & F.col("errors").isNull())
+    # one row per database of the fleet, read by every per-database rule: keep it once
+    # (recomputed from lineage if an executor is lost)
+    return out.withColumn("passed", F.col("installed") & F.col("errors").isNull()).persist()
 
 
-def _db_list_rows(frame: DataFrame, rule_code: str, severity: str, prefix: str, suffix: str, sep: str,
-                  item: Column, targets) -> DataFrame:
-    g = frame.groupBy("pkey").agg(F.array_sort(F.collect_list(F.struct(F.col("database_name").alias("d"),
-                                                                       item.alias("i")))).alias("__l"))
-    g = g.withColumn("__info", F.concat(F.lit(prefix), F.array_join(F.transform("__l", lambda x: x["i"]), sep),
-                                        F.lit(suffix)))
-    return finding(with_targets(g, targets), rule_code, severity, F.col("__info"))
+# (rule, severity) -> (prefix, separator, suffix) of the per-database list findings
+_DB_LIST_FORMATS = {
+    ("PGLOGICAL_INSTALLED", ACTION): ("`pglogical` extension is not installed on the databases: ", ",", "."),
+    ("PGLOGICAL_INSTALLED", PASS): ("`pglogical` is installed on the databases: ", ",", "."),
+    ("PRIVILEGES", ACTION): ("", ";\n\n", ""),
+    ("PRIVILEGES", PASS): ("", ";\n", ""),
+    ("PGLOGICAL_NODE_ALREADY_EXISTS", ACTION): ("pglogical provider node already exists on databases: ", ",", ""),
+    ("PGLOGICAL_NODE_ALREADY_EXISTS", PASS): ("No existing pglogical provider node on the database: ", ",", ""),
+    ("TABLES_WITH_NO_PK", WARNING): ("Some tables have limited support. Tables without primary keys were identified "
+                                     "and only INSERT statements will be replicated for these tables: ", ";", ""),
+    ("UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", ACTION): (
+        "Source has table(s) with both primary key and replica identity FULL or NOTHING. Please remove replica "
+        "identity or change it to DEFAULT to migrate: ", ";", ""),
+}
+
+
+def _items(frame: DataFrame, rule_code: str, severity: str, item: Column) -> DataFrame:
+    return frame.select("pkey", F.lit(rule_code).alias("rule_code"), F.lit(severity).alias("severity"),
+                        "database_name", item.alias("item"))
 
 
 def rules_per_database(gate: DataFrame, provider_nodes: DataFrame, no_pk_tables: DataFrame,
                        replica_tables: DataFrame, targets=PG_TARGETS) -> DataFrame:
-    """E13 - E17.  A database failing the privilege check skips E15 - E17 (the gate column)."""
+    """E13 - E17.  A database failing the privilege check skips E15 - E17 (the gate column).
+
+    All per-database items go through one union and ONE grouped aggregation per
+    (collection, rule, severity); each finding joins its items sorted by database name."""
     k = ["pkey", "database_name"]
     db = F.col("database_name")
-    out = [
-        _db_list_rows(gate.where(~F.col("installed")), "PGLOGICAL_INSTALLED", ACTION,
-                      "`pglogical` extension is not installed on the databases: ", ".", ",", db, targets),
-        _db_list_rows(gate.where("installed"), "PGLOGICAL_INSTALLED", PASS,
-                      "`pglogical` is installed on the databases: ", ".", ",", db, targets),
-        _db_list_rows(gate.where(F.col("installed") & ~F.col("passed")), "PRIVILEGES", ACTION, "", "", ";\n\n",
-                      F.concat(F.col("errors"), F.lit(" in database "), db), targets),
-        _db_list_rows(gate.where("passed"), "PRIVILEGES", PASS, "", "", ";\n",
-                      F.concat(F.lit("User has all privileges required for migration for the database "), db),
-                      targets),
-    ]
     nodes = provider_nodes.select(*k).distinct().withColumn("__node", F.lit(True))
     checked = gate.where("passed").join(nodes, k, "left")
-    out += [
-        _db_list_rows(checked.where(F.col("__node").isNotNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", ACTION,
-                      "pglogical provider node already exists on databases: ", "", ",", db, targets),
-        _db_list_rows(checked.where(F.col("__node").isNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", PASS,
-                      "No existing pglogical provider node on the database: ", "", ",", db, targets),
-    ]
     open_dbs = gate.where(~F.col("installed") | F.col("passed")).select(*k)
 
     def tables_by_db(tables):
@@ -436,20 +436,37 @@ def rules_per_database(gate: DataFrame, provider_nodes: DataFrame, no_pk_tables:
                 .groupBy(*k).agg(sorted_join(F.collect_list(F.concat("schema_name", F.lit("."), "table_name")), ", ")
                                  .alias("__tables")))
 
-    nopk = tables_by_db(no_pk_tables)
-    rep = tables_by_db(replica_tables)
-    out += [
-        _db_list_rows(nopk, "TABLES_WITH_NO_PK", WARNING,
-                      "Some tables have limited support. Tables without primary keys were identified and only "
-                      "INSERT statements will be replicated for these tables: ", "", ";",
-                      F.concat(F.lit("In database "), db, F.lit(", "), F.col("__tables"),
-                               F.lit(" don't have primary keys")), targets),
-        _db_list_rows(rep, "UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", ACTION,
-                      "Source has table(s) with both primary key and replica identity FULL or NOTHING. Please remove "
-                      "replica identity or change it to DEFAULT to migrate: ", "", ";",
-                      F.concat(F.col("__tables"), F.lit(" in database "), db), targets),
+    items = [
+        _items(gate.where(~F.col("installed")), "PGLOGICAL_INSTALLED", ACTION, db),
+        _items(gate.where("installed"), "PGLOGICAL_INSTALLED", PASS, db),
+        _items(gate.where(F.col("installed") & ~F.col("passed")), "PRIVILEGES", ACTION,
+               F.concat(F.col("errors"), F.lit(" in database "), db)),
+        _items(gate.where("passed"), "PRIVILEGES", PASS,
+               F.concat(F.lit("User has all privileges required for migration for the database "), db)),
+        _items(checked.where(F.col("__node").isNotNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", ACTION, db),
+        _items(checked.where(F.col("__node").isNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", PASS, db),
+        _items(tables_by_db(no_pk_tables), "TABLES_WITH_NO_PK", WARNING,
+               F.concat(F.lit("In database "), db, F.lit(", "), F.col("__tables"), F.lit(" don't have primary keys"))),
+        _items(tables_by_db(replica_tables), "UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", ACTION,
+               F.concat(F.col("__tables"), F.lit(" in database "), db)),
     ]
-    return reduce(DataFrame.unionByName, out)
+    g = (reduce(DataFrame.unionByName, items)
+         .groupBy("pkey", "rule_code", "severity")
+         .agg(F.array_sort(F.collect_list(F.struct(F.col("database_name").alias("d"), F.col("item").alias("i"))))
+              .alias("__l")))
+    key = F.concat(F.col("rule_code"), F.lit("|"), F.col("severity"))
+    fmt = {f"{r}|{sv}": v for (r, sv), v in _DB_LIST_FORMATS.items()}
+    prefix = F.create_map(*[x for kk, v in fmt.items() for x in (F.lit(kk), F.lit(v[0]))])[key]
+    suffix = F.create_map(*[x for kk, v in fmt.items() for x in (F.lit(kk), F.lit(v[2]))])[key]
+    seps = sorted({v[1] for v in fmt.values()})
+    joined = None
+    for sep in seps:
+        cond = key.isin(*[kk for kk, v in fmt.items() if v[1] == sep])
+        e = F.array_join(F.transform("__l", lambda x: x["i"]), sep)
+        joined = F.when(cond, e) if joined is None else joined.when(cond, e)
+    g = g.withColumn("__info", F.concat(prefix, joined, suffix))
+    t = with_targets(g, targets)
+    return t.select("pkey", "migration_target", "rule_code", "severity", F.col("__info").alias("info"))
 
 
 # ---------------------------------------------------------------------------

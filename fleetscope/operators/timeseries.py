@@ -12,8 +12,9 @@ Scale notes
 * Profiles are a single ``groupBy`` with exact ``percentile`` (one shared buffer
   for all percentages), ``mode`` and min/max/sum; partial aggregation runs before
   the shuffle.
-* Dimension joins carry no broadcast hints unless the dimension is a literal of
-  bounded size; AQE turns small runtime sides into broadcast joins.
+* Dimension joins carry no broadcast hints: literal dimensions are tiny local relations
+  the planner broadcasts on its own, and AQE turns small runtime sides into broadcast
+  joins with sort-merge as the fallback.
 """
 
 from __future__ import annotations
@@ -353,7 +354,7 @@ def command_profile(stats: DataFrame, text: DataFrame, snaps: DataFrame, names:
     per hour and command type: count and the rounded averages of 10 measures."""
     j = (stats.join(text, on=[*keys, "sql_id"], how="inner")
          .join(snaps, on=["dbid", "snap_id"], how="inner")
-         .join(F.broadcast(names), on="command_type", how="left"))
+         .join(names, on="command_type", how="left"))
     aggs = [F.count(F.lit(1)).alias("cnt")] + [F.round(F.avg(m)).alias("avg_" + m) for m in COMMAND_MEASURES]
     return (j.withColumn("hh24", hour_of(ts))
             .groupBy(*keys, "hh24", "command_type", "command_name").agg(*aggs))
@@ -366,7 +367,7 @@ def source_connections(sessions: DataFrame, snaps: DataFrame, commands: DataFram
     columns replaced by ``_``)."""
     j = (sessions.where(F.col("session_type") == "FOREGROUND")
          .join(snaps, on=["dbid", "snap_id"], how="inner")
-         .join(F.broadcast(commands), on="command_type", how="inner"))
+         .join(commands, on="command_type", how="inner"))
     clean = {c: F.replace(F.col(c), F.lit("|"), F.lit("_")) for c in ("program", "module", "machine")}
     return (j.withColumn("hour", hour_of(ts)).withColumns(clean)
             .groupBy(*keys, "dbid", "instance_number", "hour", "program", "module", "machine", "command_name")

@@ -60,3 +60,25 @@ def test_top_statements_limit(spark, sf_small):
     per = {r.pkey: r["count"] for r in out.groupBy("pkey").count().collect()}
     assert per and all(v == 5 for v in per.values())
     assert out.where(F.col("rank") > 5).count() == 0
+
+
+def test_as_of_join_bucket_widths(spark, sf_small):
+    facts = estate(spark, sf_small, "est_counters").selectExpr("pkey", "dbid", "snap_id as sample_id",
+                                                               "begin_ts as sample_ts")
+    snaps = estate(spark, sf_small, "est_snapshots").where("extract(hour from begin_ts) % 5 <> 0") \
+        .select("dbid", "begin_ts", "snap_id")
+    cols = ["sample_id", "snap_id"]
+    # brute force: latest snapshot at or before each sample
+    brute = (facts.join(snaps, (facts.dbid == snaps.dbid) & (snaps.begin_ts <= facts.sample_ts), "left")
+             .groupBy("sample_id").agg(F.max_by("snap_id", "begin_ts").alias("snap_id")))
+    expected = _rows(brute, cols)
+    for width in (600, 3600, 86400, 7 * 86400):
+        got = ts.snapshots_as_of(facts, snaps, keys=["dbid"], fact_ts="sample_ts", bucket_seconds=width)
+        assert _rows(got, cols) == expected
+
+
+def test_snapshot_intervals_split_equals_plain(spark, sf_small):
+    snaps = estate(spark, sf_small, "est_snapshots")
+    a = ts.snapshot_intervals(snaps, bucket_width=None).orderBy("hour").collect()
+    b = ts.snapshot_intervals(snaps, bucket_width=5).orderBy("hour").collect()
+    assert a == b and len(a) > 0

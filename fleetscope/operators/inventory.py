@@ -470,7 +470,7 @@ def volume_usage(volumes: DataFrame) -> DataFrame:
 def managed_database_size(samples: DataFrame) -> DataFrame:
     """Latest (max) size per database, then summed per collection."""
     per_db = samples.groupBy("pkey", "database_name").agg(F.max("size_mb").alias("size_mb"))
-    return per_db.groupBy("pkey").agg(F.sum("size_mb").alias("total_size_mb"),
+    return per_db.groupBy("pkey").agg(F.round(F.sum("size_mb"), 2).alias("total_size_mb"),
                                       F.count(F.lit(1)).alias("database_count"))
 
 

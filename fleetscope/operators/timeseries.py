@@ -441,10 +441,13 @@ def hour_matrix(events: DataFrame, keys=("pkey",), ts="ts", size_col: str | None
 
 
 def counter_pivot(counters: DataFrame, names, keys=("pkey",), name_col="counter_name", value="value",
-                  ratio=None) -> DataFrame:
+                  ratio=None, digits: int | None = None) -> DataFrame:
     """Long counters -> one wide row per key (pivot over a fixed name list, avg);
-    ``ratio=(out, num, den)`` adds round(100 * num / den), 0 when den is 0."""
+    ``ratio=(out, num, den)`` adds round(100 * num / den), 0 when den is 0; ``digits``
+    rounds the averages for reporting."""
     wide = counters.groupBy(*keys).pivot(name_col, list(names)).agg(F.avg(value))
+    if digits is not None:
+        wide = wide.select(*keys, *[F.round(F.col(n), digits).alias(n) for n in names])
     if ratio:
         out, num, den = ratio
         wide = wide.withColumn(out, F.round(F.when(F.col(den) == 0, F.lit(0.0))

@@ -555,7 +555,7 @@ from (select distinct pkey, volume_mount_point, total_bytes, available_bytes fro
         build=lambda s: inv.managed_database_size(s),
         inputs={"s": "select pkey, concat('db', cast(object_id % 10 as string)) as database_name, "
                      "cast(bytes as double) / 1048576 as size_mb from est_tables"},
-        oracle="""select pkey, sum(size_mb) as total_size_mb, count(*) as database_count
+        oracle="""select pkey, round(sum(size_mb), 2) as total_size_mb, count(*) as database_count
 from (select pkey, database_name, max(size_mb) as size_mb from s group by all) t group by pkey"""),
     "d29_container_memory": Spec(
         build=lambda sga, pga, cons: inv.container_memory(sga, pga, cons),

@@ -260,10 +260,11 @@ from ev where ts < timestamp '2024-01-30 00:00:00' group by pkey, strftime(ts, '
 from ev where event_type = 'click' group by pkey, strftime(ts, '%m/%d/%Y'), day(ts)"""),
     "c18_counter_pivot": Spec(
         build=lambda counters: ts.counter_pivot(counters, PIVOT_NAMES, keys=("pkey", "instance_number"),
-                                                name_col="stat_name", ratio=("hit_ratio", "purchase", "click")),
+                                                name_col="stat_name", ratio=("hit_ratio", "purchase", "click"),
+                                                digits=4),
         inputs={"counters": COUNTERS},
         oracle=f"""select *, round(case when click = 0 then 0.0 else 100.0 * purchase / click end) as hit_ratio from (
-  select pkey, instance_number, {', '.join(f"avg(case when stat_name = '{n}' then value end) as {n}" for n in PIVOT_NAMES)}
+  select pkey, instance_number, {', '.join(f"round(avg(case when stat_name = '{n}' then value end), 4) as {n}" for n in PIVOT_NAMES)}
   from counters group by pkey, instance_number) t"""),
     "c19_health_samples": Spec(
         build=lambda rec: ts.health_samples(rec),

@@ -37,7 +37,7 @@ def _i2(spark, counters):
 def _i3(spark, counters):
     src, sink, ckpt = _dirs(spark, "delta")
     S.land_by_day(counters, src)
-    S.stream_counter_delta(spark, src, counters.schema, sink, ckpt, keys=KEYS, max_files_per_trigger=4)
+    S.stream_counter_delta(spark, src, counters.schema, sink, ckpt, keys=KEYS, max_files_per_trigger=10)
     return spark.read.parquet(sink).drop("batch_id")
 
 

@@ -19,8 +19,6 @@ Scale notes
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -523,7 +521,3 @@ def redo_per_day(history: DataFrame, logs: DataFrame, as_of, keys=("pkey",), ts=
     size = logs.groupBy(*keys).agg(F.avg("bytes").alias("avg_log_bytes"))
     return per_day.join(size, on=keys, how="inner").select(
         *keys, F.round(F.col("avg_switches") * F.col("avg_log_bytes") / F.lit(1073741824.0)).alias("redo_gb_per_day"))
-
-
-def union_all(frames) -> DataFrame:
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)

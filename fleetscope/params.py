@@ -1,13 +1,11 @@
 """Fixed values that the jobs must share with the source systems' catalogs.
 
-Everything here is data (lookup tables, allow-lists, name lists); the jobs turn
-these into small literal DataFrames whose size is bounded by this file.
+Everything here is data (lookup tables); jobs read them as literal ``VALUES``
+relations whose size is bounded by this file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 # fixed values: Oracle statement command codes and names (v$sqlcommand, 10g numbering)
 COMMAND_NAMES = [
@@ -63,8 +61,3 @@ def values_sql(rows, names) -> str:
         return str(v)
     body = ", ".join("(" + ", ".join(lit(v) for v in r) + ")" for r in rows)
     return f"select * from (values {body}) as t({', '.join(names)})"
-
-
-def literal_frame(spark: SparkSession, rows, names) -> DataFrame:
-    """A bounded literal dimension; safe to broadcast because its size is fixed here."""
-    return F.broadcast(spark.sql(values_sql(rows, names)))

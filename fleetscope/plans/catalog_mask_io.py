@@ -8,13 +8,15 @@ import uuid
 from pyspark.sql import functions as F
 from pyspark.sql.types import IntegerType, LongType, StringType, StructField, StructType
 
-from fleetscope.functions.expressions import normalize_timestamp
+from fleetscope.functions.expressions import major_version, normalize_timestamp
+from fleetscope.plans.catalog_rules import major_sql
 from fleetscope.operators import masking as M
 from fleetscope.plans.spec import Spec
 from fleetscope.session import checkpoint_path
 from fleetscope.sources import extracts as X
 
 SALT = "fleet-salt"
+MAJOR_PG = major_sql("version", "9")
 
 TABLES_SCHEMA = StructType([
     StructField("pkey", StringType()), StructField("owner", StringType()), StructField("table_name", StringType()),
@@ -181,6 +183,24 @@ select file_name, f[2] as script_version, f[3] as host_name, f[4] as database_na
         oracle="""select pkey, owner, table_name, object_id, num_rows, bytes, temporary, iot_type, engine, relkind, compress_for
 from v1 union all
 select pkey, owner, table_name, object_id, num_rows, bytes, temporary, null, null, relkind, compress_for from v2"""),
+    "a4_canonicalize_by_version": Spec(
+        build=lambda v12, v13, vbase, versions: X.canonicalize_by_version(
+            {"12": v12, "13": v13, "base": vbase}, versions.withColumn("major", major_version("version", "9")),
+            TABLES_SCHEMA),
+        inputs={"v12": "select pkey, owner, table_name, object_id, num_rows, bytes, temporary, relkind, compress_for "
+                       "from est_tables",
+                "v13": "select pkey, owner, table_name, object_id, num_rows, bytes, temporary, iot_type, relkind, "
+                       "compress_for from est_tables",
+                "vbase": "select * from est_tables",
+                "versions": "select pkey, min(version) as version from est_databases group by pkey"},
+        oracle=f"""with v as (select pkey, {MAJOR_PG} as major from versions),
+pick as (select distinct pkey, case when major > 13 then 'base' when major = 13 then '13' else '12' end as variant from v)
+select t.pkey, owner, table_name, object_id, num_rows, bytes, temporary, null as iot_type, null as engine, relkind,
+  compress_for from v12 t join pick p on t.pkey = p.pkey and p.variant = '12'
+union all select t.pkey, owner, table_name, object_id, num_rows, bytes, temporary, iot_type, null, relkind, compress_for
+  from v13 t join pick p on t.pkey = p.pkey and p.variant = '13'
+union all select t.pkey, owner, table_name, object_id, num_rows, bytes, temporary, iot_type, engine, relkind, compress_for
+  from vbase t join pick p on t.pkey = p.pkey and p.variant = 'base'"""),
     "a5_append_canonical": Spec(
         build=_a5, inputs={"tables": EST_TABLES}, needs_spark=True,
         oracle="""select pkey, owner, table_name, object_id, num_rows, bytes, temporary, iot_type, engine, relkind, compress_for

@@ -83,6 +83,31 @@ def canonicalize(frames, schema: StructType) -> DataFrame:
     return reduce(DataFrame.unionByName, [conform(f, schema) for f in frames])
 
 
+def version_variant(major, family: str = "postgres") -> Column:
+    """A4 variant choice from the major version: Postgres > 13 -> ``base``, 13 -> ``13``,
+    else ``12``; MySQL 5.x -> ``5`` else ``base``; background-writer stats < 17 -> ``lt17``
+    else ``ge17``."""
+    m = F.col(major) if isinstance(major, str) else major
+    if family == "postgres":
+        return F.when(m > 13, F.lit("base")).when(m == 13, F.lit("13")).otherwise(F.lit("12"))
+    if family == "mysql":
+        return F.when(F.floor(m) == 5, F.lit("5")).otherwise(F.lit("base"))
+    if family == "bg_writer":
+        return F.when(m < 17, F.lit("lt17")).otherwise(F.lit("ge17"))
+    raise ValueError(family)
+
+
+def canonicalize_by_version(variants: dict, versions: DataFrame, schema: StructType, family: str = "postgres",
+                            major_col: str = "major") -> DataFrame:
+    """A4 with version dispatch: ``variants`` maps a variant label to the rows extracted with
+    that variant's query; each collection keeps only the rows of the variant its version
+    selects (an equi-join on (pkey, variant), no per-collection driver logic)."""
+    tagged = reduce(DataFrame.unionByName,
+                    [conform(df, schema).withColumn("__variant", F.lit(label)) for label, df in variants.items()])
+    pick = versions.select("pkey", version_variant(major_col, family).alias("__variant")).distinct()
+    return tagged.join(pick, ["pkey", "__variant"], "inner").drop("__variant")
+
+
 def append_canonical(df: DataFrame, schema: StructType, path: str, partition_by=("pkey",)) -> None:
     """A5: insert by column name into the canonical table (unknown columns null); an empty
     input writes nothing.  Partitioned by collection so later jobs prune by ``pkey``."""

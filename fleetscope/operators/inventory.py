@@ -587,6 +587,25 @@ def feature_usage(objects: DataFrame, features) -> DataFrame:
             .withColumn("is_used", F.when(F.col("object_count") > 0, 1).otherwise(0)))
 
 
+# fixed values: database permissions the managed target does not support
+UNSUPPORTED_PERMISSIONS = ["ADMINISTER BULK OPERATIONS", "ALTER ANY CREDENTIAL", "ALTER ANY EVENT NOTIFICATION",
+                           "ALTER ANY EVENT SESSION", "ALTER RESOURCES", "ALTER SETTINGS", "AUTHENTICATE SERVER",
+                           "CONTROL SERVER", "CREATE DDL EVENT NOTIFICATION", "CREATE ENDPOINT",
+                           "CREATE TRACE EVENT NOTIFICATION", "EXTERNAL ACCESS ASSEMBLY", "SHUTDOWN",
+                           "EXTERNAL ASSEMBLIES", "CREATE ASSEMBLY"]
+
+
+def unsupported_permissions(perms: DataFrame) -> DataFrame:
+    """D33 (permissions part): unsupported permissions granted to principals other than
+    ``NT SERVICE\\`` service accounts, counted by permission name per database as
+    (feature, 1, count)."""
+    p = perms.where(~F.col("principal_name").startswith("NT SERVICE\\")
+                    & F.col("permission_name").isin(*UNSUPPORTED_PERMISSIONS))
+    return (p.groupBy("pkey", "database_name", F.col("permission_name").alias("feature_name"))
+            .agg(F.count(F.lit(1)).alias("object_count"))
+            .withColumn("is_used", F.when(F.col("object_count") > 0, 1).otherwise(0)))
+
+
 def unsupported_settings(cfg: DataFrame, allow: DataFrame) -> DataFrame:
     """Settings whose lower-cased name is not allowed and whose value is not 0."""
     c = cfg.withColumn("__name", F.lower("setting_name"))

@@ -617,6 +617,17 @@ w as (select coalesce(ta.pkey, ea.pkey) as pkey, tc, ftc, sc, uc from ta full jo
         + " from objs group by pkey)\nselect *, case when object_count > 0 then 1 else 0 end as is_used from (\n"
         + _stack_sql([(n, f"f{i}") for i, (n, _) in enumerate(FEATURES)], "feature_name", "object_count", "g")
         + ") x"),
+    "d33_unsupported_permissions": Spec(
+        build=lambda perms: inv.unsupported_permissions(perms),
+        inputs={"perms": """select pkey, database_name,
+  case when extension_owner = 'rdsadmin' then concat('NT SERVICE', chr(92), 'SQLAgent') else extension_owner end
+    as principal_name,
+  case extension_name when 'pglogical' then 'CREATE ASSEMBLY' when 'pg_cron' then 'SHUTDOWN' when 'hstore' then 'SELECT'
+    else 'CONTROL SERVER' end as permission_name from est_extensions"""},
+        oracle=f"""select pkey, database_name, permission_name as feature_name, count(*) as object_count,
+  case when count(*) > 0 then 1 else 0 end as is_used
+from perms where not starts_with(principal_name, 'NT SERVICE' || chr(92)) and permission_name in ({_in(inv.UNSUPPORTED_PERMISSIONS)})
+group by pkey, database_name, permission_name"""),
     "d34_unsupported_settings": Spec(
         build=lambda cfg, allow: inv.unsupported_settings(cfg, allow),
         inputs={"cfg": "select pkey, setting_name, setting_value from est_settings",

@@ -44,6 +44,14 @@ def _i3(spark, counters):
 SPECS: dict[str, Spec] = {
     "i1_stream_landing": Spec(build=_i1, inputs={"counters": COUNTERS}, oracle="select * from counters",
                               needs_spark=True),
-    "i2_stream_interval_profile": Spec(build=_i2, inputs={"counters": COUNTERS}, needs_spark=True),
+    "i2_stream_interval_profile": Spec(
+        build=_i2, inputs={"counters": COUNTERS}, needs_spark=True,
+        # percentile_approx returns the smallest value with at least 95% of the values at or below it;
+        # with accuracy 10000 it is exact for groups of this size
+        oracle="""select date_trunc('hour', begin_ts) as window_start, date_trunc('hour', begin_ts) + interval 1 hour
+  as window_end, pkey, dbid, instance_number, stat_name, count(*) as cnt, round(avg(value), 4) as avg_value,
+  min(value) as min_value, max(value) as max_value,
+  list_sort(list(value))[cast(greatest(1, ceil(0.95 * count(*))) as bigint)] as p95_value
+from counters group by date_trunc('hour', begin_ts), pkey, dbid, instance_number, stat_name"""),
     "i3_stream_counter_delta": Spec(build=_i3, inputs={"counters": COUNTERS}, oracle=C1_SQL, needs_spark=True),
 }

@@ -61,7 +61,8 @@ def stream_interval_profile(spark: SparkSession, src: str, schema: StructType, s
     s = (reader.parquet(src).select(*schema.names).withColumn(ts, F.col(ts).cast("timestamp"))
          .withWatermark(ts, watermark))
     agg = (s.groupBy(F.window(ts, window).alias("w"), *keys)
-           .agg(F.count(F.lit(1)).alias("cnt"), F.avg(value).alias("avg_value"), F.min(value).alias("min_value"),
+           .agg(F.count(F.lit(1)).alias("cnt"), F.round(F.avg(value), 4).alias("avg_value"),
+                F.min(value).alias("min_value"),
                 F.max(value).alias("max_value"), F.percentile_approx(value, 0.95, 10000).alias("p95_value"))
            .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "cnt",
                    "avg_value", "min_value", "max_value", "p95_value"))

@@ -26,6 +26,16 @@ from pyspark.sql.types import StructType
 
 from fleetscope.sources.extracts import CSV_OPTIONS, TS_NTZ_FORMAT, conform
 
+# The state function runs in Python workers.  Pickle this module's functions by value so
+# workers need not import the package (no --py-files / PYTHONPATH set-up required).
+try:
+    import sys as _sys
+
+    from pyspark import cloudpickle as _cloudpickle
+    _cloudpickle.register_pickle_by_value(_sys.modules[__name__])
+except Exception:  # pragma: no cover - older cloudpickle without by-value registration
+    pass
+
 
 def _batch_writer(path: str, partition_by=()):
     def write(batch: DataFrame, batch_id: int) -> None:

@@ -125,19 +125,13 @@ def stream_counter_delta(spark: SparkSession, src: str, schema: StructType, sink
     q.awaitTermination()
 
 
-def land_by_day(df: DataFrame, path: str, ts: str = "begin_ts", fmt: str = "parquet") -> list[str]:
-    """Test helper: split a table into one folder per day, written in time order (file
-    sources pick files up by modification time)."""
-    days = [r[0] for r in df.select(F.to_date(ts).alias("d")).distinct().orderBy("d").collect()]
-    out = []
-    for d in days:
-        p = os.path.join(path, f"day={d.isoformat()}")
-        # one file per day keeps the per-key order inside and across micro-batches
-        part = df.where(F.to_date(ts) == F.lit(d)).coalesce(1)
-        if fmt == "parquet":
-            part.write.mode("overwrite").parquet(p)
-        else:
-            (part.write.mode("overwrite").option("sep", "|").option("header", "true")
-             .option("timestampNTZFormat", TS_NTZ_FORMAT).csv(p))
-        out.append(p)
-    return out
+def land_by_day(df: DataFrame, path: str, ts: str = "begin_ts", fmt: str = "parquet") -> str:
+    """Split a table into one folder (and one file) per day in a single write job: rows are
+    hash-partitioned by day, so each day folder is written by one task."""
+    day = F.to_date(ts)
+    w = df.withColumn("day", day).repartition("day").write.mode("overwrite").partitionBy("day")
+    if fmt == "parquet":
+        w.parquet(path)
+    else:
+        w.option("sep", "|").option("header", "true").option("timestampNTZFormat", TS_NTZ_FORMAT).csv(path)
+    return path

@@ -210,12 +210,92 @@ def profile_aggs(value: str, prefix: str = "") -> list[Column]:
     return aggs
 
 
-def hourly_profile(df: DataFrame, keys=COUNTER_KEYS, value: str = "value_delta", ts: str = "begin_ts") -> DataFrame:
+def split_percentiles(df: DataFrame, keys, value: str, percentages: dict, n_buckets: int = 128) -> DataFrame:
+    """Exact percentiles (same interpolation and floating-point steps as Spark's
+    ``percentile``) without putting a whole group in one task.
+
+    1. distinct values per group with their counts (shuffle on group *and* value);
+    2. per group ``n_buckets - 1`` approximate quantile boundaries (mergeable sketch) cut the
+       value range into buckets; per bucket the count and, over the <= n_buckets buckets of a
+       group, the rank range it covers;
+    3. the ranks each percentile needs (floor / ceil of (n - 1) * p) are located in their
+       bucket, and only those buckets are ordered (a window per group *and* bucket).
+    Output: one row per group with one double column per name in ``percentages``."""
+    keys = list(keys)
+    base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
+    vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
+    qs = [i / n_buckets for i in range(1, n_buckets)]
+    bounds = base.groupBy(*keys).agg(F.percentile_approx("__v", qs, 10000).alias("__b"),
+                                     F.count(F.lit(1)).alias("__n"))
+    vb = (vc.join(bounds.select(*keys, "__b"), keys)
+          .withColumn("__bk", F.size(F.filter("__b", lambda b: b < F.col("__v")))).drop("__b"))
+    wb = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, 0)
+    buckets = (vb.groupBy(*keys, "__bk").agg(F.sum("__c").alias("__bc"))
+               .withColumn("__end", F.sum("__bc").over(wb)).withColumn("__start", F.col("__end") - F.col("__bc")))
+    names = list(percentages)
+    pos = {n: (F.col("__n") - 1).cast("double") * F.lit(float(percentages[n])) for n in names}
+    targets = bounds.select(*keys, "__n", F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), F.lit(which).alias("which"),
+                 (F.floor(pos[n]) if which == "lo" else F.ceil(pos[n])).cast("long").alias("rank"))
+        for n in names for which in ("lo", "hi")])).alias("__t")).select(*keys, "__t.*")
+    located = (targets.join(buckets, keys)
+               .where((F.col("__start") <= F.col("rank")) & (F.col("rank") < F.col("__end")))
+               .select(*keys, "name", "which", "rank", "__bk", "__start"))
+    need = located.select(*keys, "__bk").distinct()
+    wv = Window.partitionBy(*keys, "__bk").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (vb.join(need, [*keys, "__bk"])
+              .withColumn("__cend", F.sum("__c").over(wv)).withColumn("__cstart", F.col("__cend") - F.col("__c")))
+    picked = (located.join(ranked, [*keys, "__bk"])
+              .where((F.col("__cstart") <= F.col("rank") - F.col("__start"))
+                     & (F.col("rank") - F.col("__start") < F.col("__cend")))
+              .groupBy(*keys).pivot("name", names)
+              .agg(F.max(F.when(F.col("which") == "lo", F.col("__v"))).alias("lo"),
+                   F.max(F.when(F.col("which") == "hi", F.col("__v"))).alias("hi")))
+    out = bounds.select(*keys, "__n").join(picked, keys, "left")
+    cols = []
+    for n in names:
+        p = pos[n]
+        lo, hi = F.col(f"{n}_lo").cast("double"), F.col(f"{n}_hi").cast("double")
+        lower, higher = F.floor(p), F.ceil(p)
+        val = (F.when(lower == higher, lo).when(lo == hi, lo)
+               .otherwise((higher.cast("double") - p) * lo + (p - lower.cast("double")) * hi))
+        cols.append(val.alias(n))
+    return out.select(*keys, *cols)
+
+
+HOT_GROUP_ROWS = 2_000_000
+
+
+def hourly_profile(df: DataFrame, keys=COUNTER_KEYS, value: str = "value_delta", ts: str = "begin_ts",
+                   split_groups="auto", n_buckets: int = 128, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
     """Per hour of day and key - count, avg, mode, median, min, max, sum and
-    P50/75/90/95/100, each rounded half away from zero."""
-    return (df.withColumn("hour", hour_of(ts))
-            .groupBy(*keys, "hour")
-            .agg(*profile_aggs(value)))
+    P50/75/90/95/100, each rounded half away from zero.
+
+    ``split_groups=True`` computes the exact percentiles with ``split_percentiles`` and the
+    mode with a grouped ``max_by`` over (value, count) pairs, so no task ever holds a whole
+    (key, hour) group; the result is identical.  ``"auto"`` first measures the largest group
+    (one small aggregate) and splits only when it exceeds ``hot_group_rows``; otherwise one
+    aggregate with a shared exact ``percentile`` buffer per group is cheaper."""
+    keys = list(keys)
+    d = df.withColumn("hour", hour_of(ts))
+    if split_groups == "auto":
+        largest = (d.groupBy(*keys, "hour").agg(F.count(F.lit(1)).alias("__n"))
+                   .agg(F.max("__n").alias("m")).first())
+        split_groups = bool(largest and largest["m"] and largest["m"] > hot_group_rows)
+    if not split_groups:
+        return d.groupBy(*keys, "hour").agg(*profile_aggs(value))
+    g = [*keys, "hour"]
+    v = F.col(value)
+    main = d.groupBy(*g).agg(F.count(F.lit(1)).alias("cnt"), F.round(F.avg(v)).alias("avg_value"),
+                             F.round(F.min(v)).alias("min_value"), F.round(F.max(v)).alias("max_value"),
+                             F.round(F.sum(v)).alias("sum_value"))
+    mode = (d.where(v.isNotNull()).groupBy(*g, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+            .groupBy(*g).agg(F.max_by("__v", F.struct(F.col("__c"), -F.col("__v"))).alias("__mode")))
+    pcts = split_percentiles(d, g, value, PROFILE_PERCENTILES, n_buckets)
+    out = main.join(mode, g, "left").join(pcts, g, "left")
+    return out.select(*g, "cnt", "avg_value", F.round("__mode").alias("mode_value"),
+                      F.round("perc50").alias("median_value"), "min_value", "max_value", "sum_value",
+                      *[F.round(n).alias(n) for n in PROFILE_PERCENTILES])
 
 
 def os_stat_profile(df: DataFrame, keys=COUNTER_KEYS, ts: str = "begin_ts", end_ts: str = "end_ts",

@@ -82,3 +82,12 @@ def test_snapshot_intervals_split_equals_plain(spark, sf_small):
     a = ts.snapshot_intervals(snaps, bucket_width=None).orderBy("hour").collect()
     b = ts.snapshot_intervals(snaps, bucket_width=5).orderBy("hour").collect()
     assert a == b and len(a) > 0
+
+
+def test_split_profile_equals_single_aggregate(spark, sf_small):
+    d = ts.counter_delta(estate(spark, sf_small, "est_counters"))
+    plain = ts.hourly_profile(d)
+    cols = plain.columns
+    for buckets in (2, 4, 128):
+        split = ts.hourly_profile(d, split_groups=True, n_buckets=buckets).select(*cols)
+        assert sorted(split.collect()) == sorted(plain.collect())

@@ -263,6 +263,23 @@ def split_percentiles(df: DataFrame, keys, value: str, percentages: dict, n_buck
     return out.select(*keys, *cols)
 
 
+def has_hot_group(df: DataFrame, group, hot_group_rows: int = 2_000_000) -> bool:
+    """True when the largest group exceeds ``hot_group_rows`` (one small aggregate)."""
+    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n").alias("m")).first()
+    return bool(largest and largest["m"] and largest["m"] > hot_group_rows)
+
+
+def split_mode_and_percentiles(df: DataFrame, group, value: str, n_buckets: int = 128) -> DataFrame:
+    """Mode (most frequent, smallest on ties; a grouped ``max_by`` over (value, count) pairs)
+    and the profile percentiles via ``split_percentiles``: one row per group with ``__mode``
+    and ``perc50`` .. ``perc100``."""
+    group = list(group)
+    v = F.col(value)
+    mode = (df.where(v.isNotNull()).groupBy(*group, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+            .groupBy(*group).agg(F.max_by("__v", F.struct(F.col("__c"), -F.col("__v"))).alias("__mode")))
+    return mode.join(split_percentiles(df, group, value, PROFILE_PERCENTILES, n_buckets), group, "full")
+
+
 HOT_GROUP_ROWS = 2_000_000
 
 
@@ -278,37 +295,48 @@ def hourly_profile(df: DataFrame, keys=COUNTER_KEYS, value: str = "value_delta",
     aggregate with a shared exact ``percentile`` buffer per group is cheaper."""
     keys = list(keys)
     d = df.withColumn("hour", hour_of(ts))
+    g = [*keys, "hour"]
     if split_groups == "auto":
-        largest = (d.groupBy(*keys, "hour").agg(F.count(F.lit(1)).alias("__n"))
-                   .agg(F.max("__n").alias("m")).first())
-        split_groups = bool(largest and largest["m"] and largest["m"] > hot_group_rows)
+        split_groups = has_hot_group(d, g, hot_group_rows)
     if not split_groups:
-        return d.groupBy(*keys, "hour").agg(*profile_aggs(value))
-    g = [*keys, "hour"]
+        return d.groupBy(*g).agg(*profile_aggs(value))
     v = F.col(value)
     main = d.groupBy(*g).agg(F.count(F.lit(1)).alias("cnt"), F.round(F.avg(v)).alias("avg_value"),
                              F.round(F.min(v)).alias("min_value"), F.round(F.max(v)).alias("max_value"),
                              F.round(F.sum(v)).alias("sum_value"))
-    mode = (d.where(v.isNotNull()).groupBy(*g, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-            .groupBy(*g).agg(F.max_by("__v", F.struct(F.col("__c"), -F.col("__v"))).alias("__mode")))
-    pcts = split_percentiles(d, g, value, PROFILE_PERCENTILES, n_buckets)
-    out = main.join(mode, g, "left").join(pcts, g, "left")
+    out = main.join(split_mode_and_percentiles(d, g, value, n_buckets), g, "left")
     return out.select(*g, "cnt", "avg_value", F.round("__mode").alias("mode_value"),
                       F.round("perc50").alias("median_value"), "min_value", "max_value", "sum_value",
                       *[F.round(n).alias(n) for n in PROFILE_PERCENTILES])
 
 
 def os_stat_profile(df: DataFrame, keys=COUNTER_KEYS, ts: str = "begin_ts", end_ts: str = "end_ts",
-                    counter_names=OS_COUNTER_STATS, bucket_width: int | None = 1 << 16) -> DataFrame:
+                    counter_names=OS_COUNTER_STATS, bucket_width: int | None = 1 << 16,
+                    split_groups=False, hot_group_rows: int = 2_000_000) -> DataFrame:
     """C2 deltas, then per key and hour: total interval seconds, avg cumulative value and
     the C5 statistics.  The reference averages window percentiles over the same group,
-    which equals the group percentile, so it is one aggregate here."""
+    which equals the group percentile, so it is one aggregate here.  ``split_groups`` (True
+    or "auto") computes mode and percentiles with the split path of ``hourly_profile``."""
     staged = counter_or_gauge(df, counter_names=counter_names, keys=keys, bucket_width=bucket_width)
-    staged = staged.withColumn("__us", micros(end_ts) - micros(ts))
+    staged = staged.withColumn("__us", micros(end_ts) - micros(ts)).withColumn("hh24", hour_of(ts))
+    g = [*keys, "hh24"]
+    if split_groups == "auto":
+        split_groups = has_hot_group(staged, g, hot_group_rows)
     v = F.col("delta_value")
+    if split_groups:
+        main = staged.groupBy(*g).agg(
+            F.round(F.sum("__us") / F.lit(1e6)).alias("hh24_total_secs"), F.round(F.avg("value")).alias("cumulative_value"),
+            F.round(F.avg(v)).alias("avg_value"), F.round(F.min(v)).alias("min_value"),
+            F.round(F.max(v)).alias("max_value"), F.round(F.sum(v)).alias("sum_value"),
+            F.count(F.lit(1)).alias("count"))
+        st = split_mode_and_percentiles(staged, g, "delta_value")
+        return main.join(st, g, "left").select(
+            *g, "hh24_total_secs", "cumulative_value", "avg_value", F.round("__mode").alias("mode_value"),
+            F.round("perc50").alias("median_value"), *[F.round(n).alias(n) for n in PROFILE_PERCENTILES],
+            "min_value", "max_value", "sum_value", "count")
     pct = F.percentile(v, F.array(*[F.lit(p) for p in PROFILE_PERCENTILES.values()]))
-    return (staged.withColumn("hh24", hour_of(ts))
-            .groupBy(*keys, "hh24")
+    return (staged
+            .groupBy(*g)
             .agg(F.round(F.sum("__us") / F.lit(1e6)).alias("hh24_total_secs"),
                  F.round(F.avg("value")).alias("cumulative_value"),
                  F.round(F.avg(v)).alias("avg_value"),

@@ -142,7 +142,7 @@ where begin_ts >= timestamp '{AS_OF}' - interval 7 day and begin_ts <= timestamp
         inputs={"counters": COUNTERS},
         oracle=f"with d as ({C1_SQL}),\n" + profile_sql("d", CK.split(", "), "value_delta")[5:]),
     "c6_os_stat_profile": Spec(
-        build=lambda counters: ts.os_stat_profile(counters, counter_names=["click", "view"]),
+        build=lambda counters: ts.os_stat_profile(counters, counter_names=["click", "view"], split_groups="auto"),
         inputs={"counters": "select *, date_trunc('hour', begin_ts) + interval 1 hour as end_ts from est_counters"},
         oracle=f"""with d as (select *, case when stat_name in ('click', 'view') then dd else value end as delta_value,
     strftime(begin_ts, '%H') as hh24, epoch_us(end_ts) - epoch_us(begin_ts) as us

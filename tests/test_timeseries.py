@@ -91,3 +91,10 @@ def test_split_profile_equals_single_aggregate(spark, sf_small):
     for buckets in (2, 4, 128):
         split = ts.hourly_profile(d, split_groups=True, n_buckets=buckets).select(*cols)
         assert sorted(split.collect()) == sorted(plain.collect())
+
+
+def test_split_os_stat_profile_equals_single_aggregate(spark, sf_small):
+    c = estate(spark, sf_small, "est_counters").withColumn("end_ts", F.expr("begin_ts + interval 1 hour"))
+    plain = ts.os_stat_profile(c, counter_names=["click", "view"])
+    split = ts.os_stat_profile(c, counter_names=["click", "view"], split_groups=True).select(*plain.columns)
+    assert sorted(split.collect()) == sorted(plain.collect())

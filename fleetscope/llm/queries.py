@@ -7,12 +7,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, packing, simhash, token_files
+from fleetscope.llm import bpe, chat, packing, quality, simhash, token_files
 from fleetscope.llm.common import scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch(spark, "token-files")
     token_files.write_token_files(table(spark, sf_dir, "documents"), folder, WORD_BPE, end_id=1)
@@ -27,6 +32,19 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = "\\### Assistant: </turn> ok"
+    more = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
+    formatted = chat.render(chat.reconstruct(chat.turn_events(turns.unionByName(more))))
+    read = formatted.select("conv_id", "formatted", chat.read_turns(F.col("formatted")).alias("turns"),
+                            chat.read_loss(F.col("formatted"), F.col("loss_spans")).alias("loss"))
+    flat = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return read.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(flat, 256).alias("turns_sha256"),
+                       F.length("loss").cast("long").alias("loss_chars"), F.sha2("loss", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))
+
+
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     linked = simhash.near_duplicates(table(spark, sf_dir, "documents"), shingle=3, max_bits=2)
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -37,5 +55,62 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op3_bpe, op5_simhash, op7_packing)}
-ORACLE_SQL: dict[str, str] = {}
+QUERIES = {f.__name__: f for f in (op1_quality, op2_token_files, op3_bpe, op4_chat, op5_simhash, op7_packing)}
+
+_OP1_SQL = r"""
+with d as (select row_number() over () as rn, doc_id, lang, source, coalesce(text, '') as text from documents),
+w as (select *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') as words,
+  list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) as lines from d),
+windows as (select rn, unnest(range(1, len(words) - 6)) as i, words from w where len(words) > 8),
+keyed as (select rn, i, list_slice(words, i, i + 7) as k from windows),
+twice as (select rn, i from (select rn, i, count(*) over (partition by rn, k) as c from keyed) where c > 1),
+covered as (select rn, count(distinct i + o) as n from twice, (select unnest(range(0, 8)) as o) group by rn),
+m as (select w.rn, doc_id, lang, source, cast(len(words) as bigint) as n_words,
+  cast(coalesce(list_sum(list_transform(words, lambda x: length(x))), 0) as bigint) as word_chars,
+  cast(len(regexp_extract_all(text, '[#*$%&|<>]')) as bigint) as n_symbols,
+  cast(len(lines) - len(list_distinct(lines)) as bigint) as n_dup_lines, cast(len(lines) as bigint) as n_lines,
+  cast(coalesce(c.n, 0) as bigint) as n_repeat_words from w left join covered c on c.rn = w.rn),
+r as (select *, n_words < 20 or 100 * n_repeat_words > 30 * n_words as base_failed,
+  n_symbols * 10000 // greatest(word_chars, 1) as symbol_rate, n_dup_lines * 10000 // greatest(n_lines, 1) as dup_rate,
+  word_chars * 1000 // greatest(n_words, 1) as word_length from m),
+u as (select lang, source, 'symbol_rate' as measure, symbol_rate as v from r where not base_failed
+  union all select lang, source, 'dup_rate', dup_rate from r where not base_failed
+  union all select lang, source, 'word_length', word_length from r where not base_failed),
+b as (select lang, source, measure, v - v % cast(pow(2, greatest(length(bin(v)) - 7, 0)) as bigint) as bucket from u),
+s as (select 0 as lvl, lang, source, measure, bucket, count(*) as n from b group by all
+  union all select 1, lang, null, measure, bucket, count(*) from b group by all
+  union all select 2, null, null, measure, bucket, count(*) from b group by all),
+c as (select *, sum(n) over (partition by lvl, lang, source, measure order by bucket) as upto,
+  sum(n) over (partition by lvl, lang, source, measure) as total from s),
+q as (select lvl, lang, source, measure, max(total) as total, min(bucket) filter (upto >= ceil(total * 0.25)) as q25,
+  min(bucket) filter (upto >= ceil(total * 0.5)) as q50, min(bucket) filter (upto >= ceil(total * 0.75)) as q75
+  from c group by all),
+f as (select lvl, lang, source, max(total) as total,
+  max(q50 + 6 * abs(q50 - q25) + 200) filter (measure = 'symbol_rate') as high_symbol_rate,
+  max(q50 + 6 * abs(q50 - q25) + 7000) filter (measure = 'dup_rate') as high_dup_rate,
+  max(q50 + 6 * abs(q50 - q75) + 1500) filter (measure = 'word_length') as high_word_length,
+  max(q50 - 6 * abs(q50 - q25) - 1500) filter (measure = 'word_length') as low_word_length from q group by all),
+t as (select r.*, case when o.total >= 100 then o.lvl when l.total >= 100 then l.lvl else 2 end as lvl
+  from r left join f o on o.lvl = 0 and o.lang is not distinct from r.lang and o.source is not distinct from r.source
+  left join f l on l.lvl = 1 and l.lang is not distinct from r.lang)
+select t.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  not base_failed and coalesce(symbol_rate <= high_symbol_rate, true) and coalesce(dup_rate <= high_dup_rate, true)
+  and coalesce(word_length <= high_word_length, true) and coalesce(word_length >= low_word_length, true) as kept
+from t left join f on f.lvl = t.lvl and (t.lvl = 2 or f.lang is not distinct from t.lang)
+  and (t.lvl > 0 or f.source is not distinct from t.source)
+"""
+
+_OP4_SQL = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+  union all select -7, 0, 'user', '\### Assistant: </turn> ok' union all select -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+e as (select *, replace(replace(replace(text, '\', '\0'), '###', '\1'), '</turn>', '\2') as body,
+  replace(replace(replace(replace(role, '\', '\0'), '###', '\1'), '</turn>', '\2'), ':', '\3') as head from c)
+select conv_id, count(*) as n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' order by turn nulls first, role, text)) as turns_sha256,
+  cast(coalesce(sum(length(text)) filter (role = 'assistant'), 0) as bigint) as loss_chars,
+  sha256(coalesce(string_agg(text, '' order by turn nulls first, role, text) filter (role = 'assistant'), '')) as loss_sha256,
+  cast(sum(4 + length(head) + 2 + length(body) + 8) as bigint) as formatted_chars
+from e group by conv_id
+"""
+
+ORACLE_SQL = {"op1_quality": _OP1_SQL, "op4_chat": _OP4_SQL}

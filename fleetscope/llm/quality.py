@@ -62,10 +62,13 @@ def _repeated_words(words: str) -> str:
 
 
 def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-            source_col: str = "source") -> DataFrame:
+            source_col: str = "source", whole_rows: bool = False) -> DataFrame:
     """(doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
-    base_failed, one column for each measure of ``RULES``)."""
-    texts = docs.select(F.col(id_col).alias("doc_id"), F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
+    base_failed, one column for each measure of ``RULES``); with ``whole_rows`` the first column
+    is ``row``, a struct of all columns of ``docs``, instead of doc_id."""
+    first = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row") if whole_rows else F.col(id_col).alias("doc_id")
+    key = "row" if whole_rows else "doc_id"
+    texts = docs.select(first, F.col(lang_col).alias("lang"), F.col(source_col).alias("source"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     words = f"array_remove(split(text, r'{SPACES}+'), '')"
     lines = f"filter(split(text, '\\n'), l -> l rlike r'{SPACES.replace('[', '[^')}')"
@@ -74,9 +77,9 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
                     f"'n_repeat_words', {_repeated_words('w')})")
     of_lines = _let(lines, "ls", "named_struct('n_lines', cast(size(ls) as long), "
                     "'n_dup_lines', cast(size(ls) - size(array_distinct(ls)) as long))")
-    counted = texts.select("doc_id", "lang", "source", F.expr(of_words).alias("w"), F.expr(of_lines).alias("l"),
+    counted = texts.select(key, "lang", "source", F.expr(of_words).alias("w"), F.expr(of_lines).alias("l"),
                            F.expr("cast(regexp_count(text, '[#*$%&|<>]') as long)").alias("n_symbols"))
-    flat = counted.select("doc_id", "lang", "source", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines",
+    flat = counted.select(key, "lang", "source", "w.n_words", "w.word_chars", "n_symbols", "l.n_dup_lines",
                           "w.n_repeat_words", "l.n_lines")
     return flat.select(
         *[c for c in flat.columns if c != "n_lines"],
@@ -159,3 +162,10 @@ def quality(docs: DataFrame, **columns: str) -> DataFrame:
     """Measures, ``base_failed`` and ``kept`` for every row of ``docs``."""
     measured = cut(measure(docs, **columns))
     return judge(measured, stored(thresholds(measured), "quality-thresholds"))
+
+
+def keep_good(docs: DataFrame, **columns: str) -> DataFrame:
+    """The rows of ``docs`` that are kept, all columns as they were.  Texts are measured again on
+    the way out instead of being shuffled to meet their verdicts."""
+    limits = stored(thresholds(cut(measure(docs, **columns))), "quality-thresholds")
+    return judge(measure(docs, whole_rows=True, **columns), limits).where("kept").select("row.*")

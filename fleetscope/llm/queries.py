@@ -7,7 +7,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, chat, packing, quality, simhash, token_files
+from fleetscope.llm import bpe, chat, html_text, langid, multi_index, packing, pii, quality, simhash, token_files
 from fleetscope.llm.common import scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
@@ -50,12 +50,41 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linked.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op6_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return multi_index.search(vectors, vectors.where("vec_id % 20 = 0"), k=20)
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed_documents(table(spark, sf_dir, "documents"), WORD_BPE, end_id=0, capacity=2048).select(
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality, op2_token_files, op3_bpe, op4_chat, op5_simhash, op7_packing)}
+def op8_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymise(docs, pii.session_key(spark))
+
+
+def training_rows(docs: DataFrame) -> DataFrame:
+    """The documents that may teach: labelled, and crc32 of the id as text mod 3 is not 1."""
+    return docs.where((F.crc32(F.col("doc_id").cast("string")) % 3 != 1) & F.col("lang").isNotNull())
+
+
+def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.predict(docs, langid.fit(training_rows(docs)))
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 3 == 1, F.lit(False)).alias("held_out")
+    return found.select("doc_id", held_out, "lang_pred", "score", "rejected")
+
+
+def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_text.main_text(pages, html_text.fit(pages)).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op1_quality, op2_token_files, op3_bpe, op4_chat, op5_simhash, op6_neighbours,
+                                   op7_packing, op8_surrogates, op9_language_id, op10_html_text)}
 
 _OP1_SQL = r"""
 with d as (select row_number() over () as rn, doc_id, lang, source, coalesce(text, '') as text from documents),

@@ -8,7 +8,7 @@ word, so this equals merging each word alone, lowest rank first, leftmost first.
 merge bring up a pair of a lower rank than its own, the rank's other positions go back to the
 index and the lower rank is applied first.
 
-Encoded words are kept for the worker's next slices (bounded, see ``encoding.WordCache``).
+Encoded words are kept for the worker's next slices (bounded, see ``encoding.Cache``).
 Cases: null or empty text = no ids, decoded to an empty text; ids unknown to the vocabulary
 decode to nothing; repeated rows are encoded alike; other columns, also one named ``ids`` or
 ``decoded``, are dropped; an empty table gives an empty result.
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import byte_slices, ship
-from fleetscope.llm.encoding import CACHE_WORD_CHARS, CACHE_WORDS
+from fleetscope.llm.encoding import CACHE_CHARS, Cache
 from fleetscope.llm.pretokens import Pretokenizer
 
 _CODECS: dict[str, "PairIndexCodec"] = {}
@@ -61,7 +61,7 @@ class PairIndexCodec:
         self.inner = [vocab[c] for c in chars]
         self.last = [vocab[c + suffix] for c in chars]
         self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.pre.added.items()}
-        self.cache: dict[str, bytes] = {}
+        self.cache = Cache(lambda w: np.array(self.encode_words([w])[0], dtype="<u4").tobytes())
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, by one pair-occurrence index over all of them."""
@@ -125,19 +125,12 @@ class PairIndexCodec:
             for _, words in p:
                 if words:
                     need.update(words)
-        if len(self.cache) + len(need) > CACHE_WORDS:
-            self.cache.clear()
-        new = [w for w in need if w not in self.cache]
-        known = self.cache
+        new = [w for w in need if len(w) <= CACHE_CHARS and not self.cache.knows(w)]
         for w, ids in zip(new, self.encode_words(new)):
-            known[w] = np.array(ids, dtype="<u4").tobytes()
-        get = known.__getitem__
-        out = [np.frombuffer(b"".join(np.uint32(t).tobytes() if w is None else b"".join(map(get, w)) for t, w in p),
-                             dtype="<u4") for p in parts]
-        for w in new:
-            if len(w) > CACHE_WORD_CHARS:
-                del known[w]
-        return out
+            self.cache.put(w, np.array(ids, dtype="<u4").tobytes())
+        get = self.cache.__getitem__
+        return [np.frombuffer(b"".join(t.to_bytes(4, "little") if w is None else b"".join(map(get, w)) for t, w in p),
+                              dtype="<u4") for p in parts]
 
     def decode(self, ids: list[int]) -> str:
         """Tokens joined by a space, as the library decodes files without a decoder."""

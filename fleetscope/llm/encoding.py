@@ -1,8 +1,8 @@
 """Token ids by the ``tokenizers`` library, with one library call for each distinct word.
 
 BPE never merges across pre-tokens, so a text's ids are its words' ids in order.  The library's
-BPE model encodes a word the first time a Python worker meets it; the worker keeps at most
-``CACHE_WORDS`` of them (then starts over), so memory stays bounded for any vocabulary.
+BPE model encodes a word the first time a Python worker meets it; the worker keeps the ids of
+at most ``2 * CACHE_ENTRIES`` words, so memory stays bounded for any vocabulary.
 """
 
 from __future__ import annotations
@@ -12,26 +12,39 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from fleetscope.llm.pretokens import Pretokenizer
 
-CACHE_WORDS = 400_000
+CACHE_ENTRIES = 400_000
 #: Longer words are encoded but not kept.
-CACHE_WORD_CHARS = 64
+CACHE_CHARS = 64
 
 _ENCODERS: dict[str, "Encoder"] = {}
 
 
-class WordCache(dict):
-    """word -> little-endian unsigned 32-bit ids, made by ``encode`` on a miss."""
+class Cache(dict):
+    """word -> little-endian unsigned 32-bit ids, made by ``encode`` on a miss.
 
-    def __init__(self, encode, most: int = CACHE_WORDS):
+    Two generations: when the young one is full it becomes the old one, and what is asked for
+    again moves back, so frequent words stay and the rest is forgotten."""
+
+    def __init__(self, encode, most: int = CACHE_ENTRIES):
         super().__init__()
-        self._encode, self._most = encode, most
+        self._encode, self._most, self._old = encode, most, {}
+
+    def put(self, word: str, ids: bytes) -> None:
+        if len(self) >= self._most:
+            self._old = dict(self)
+            self.clear()
+        self[word] = ids
+
+    def knows(self, word: str) -> bool:
+        return word in self or word in self._old
 
     def __missing__(self, word: str) -> bytes:
-        ids = np.asarray(self._encode(word), dtype="<u4").tobytes()
-        if len(word) <= CACHE_WORD_CHARS:
-            if len(self) >= self._most:
-                self.clear()
-            self[word] = ids
+        ids = self._old.get(word)
+        if ids is None:
+            ids = self._encode(word)
+            if len(word) > CACHE_CHARS:
+                return ids
+        self.put(word, ids)
         return ids
 
 
@@ -43,14 +56,14 @@ class Encoder:
         model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         model.no_truncation()
         model.no_padding()
-        self.cache = WordCache(lambda w: model.encode(w, add_special_tokens=False).ids)
+        self.cache = Cache(lambda w: np.array(model.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes())
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; null counts as empty."""
         if not text:
             return b""
         get = self.cache.__getitem__
-        return b"".join(np.uint32(token).astype("<u4").tobytes() if words is None else b"".join(map(get, words))
+        return b"".join(token.to_bytes(4, "little") if words is None else b"".join(map(get, words))
                         for token, words in self.pre.parts(text))
 
 

@@ -21,6 +21,32 @@ _UNSETTLED = re.compile("[^\u0000-\u0377\u0391-\u03A1\u03A3-\u052F\u1E00-\u1EFF\
                         "\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3]")
 
 
+#: Beyond this character the explicit classes of ``latin_pattern`` do not hold.
+_BEYOND_LATIN = re.compile("[^\u0000-\u024F]")
+
+
+def latin_pattern(pattern: str) -> str:
+    """``pattern`` for ``re`` and texts up to U+024F: its Unicode classes as explicit ranges,
+    which scan twice as fast."""
+    def ranges(inside) -> str:
+        out, first = [], None
+        for c in range(0x251):
+            if c < 0x250 and inside(chr(c)):
+                first = c if first is None else first
+            elif first is not None:
+                out.append(f"\\u{first:04x}-\\u{c - 1:04x}")
+                first = None
+        return "".join(out)
+
+    for name, inside in ((r"\p{L}", lambda c: unicodedata.category(c)[0] == "L"),
+                         (r"\p{N}", lambda c: unicodedata.category(c)[0] == "N"),
+                         (r"\s", lambda c: c.isspace() and not "\x1c" <= c <= "\x1f")):
+        pattern = pattern.replace(name, ranges(inside))
+    if "\\p" in pattern:
+        raise ValueError(f"a class that is not known here: {pattern}")
+    return pattern
+
+
 class Pretokenizer:
     def __init__(self, path: str):
         with open(path, encoding="utf-8") as f:
@@ -32,6 +58,7 @@ class Pretokenizer:
             raise ValueError(f"{path}: not a word-level BPE file of the supported shape")
         pattern = steps[0]["pattern"]["Regex"]
         self._find = regex.compile(pattern).findall
+        self._find_latin = re.compile(latin_pattern(pattern)).findall
         self._normalize = Tokenizer.from_file(path).normalizer.normalize_str
         self._split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
         self.added = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
@@ -41,11 +68,12 @@ class Pretokenizer:
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text without added tokens."""
         if text.isascii():
-            return self._find(text.lower())
+            return self._find_latin(text.lower())
         if _UNSETTLED.search(text):
             return [w for w, _ in self._split(self._normalize(text))]
         # str.lower() looks at the word around a capital sigma; the library does not
-        return self._find(unicodedata.normalize("NFC", text).replace("Σ", "σ").lower())
+        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        return (self._find if _BEYOND_LATIN.search(text) else self._find_latin)(text)
 
     def parts(self, text: str):
         """``(added token id, None)`` or ``(None, words)``, in order."""

@@ -9,8 +9,8 @@ merge bring up a pair of a lower rank than its own, the rank's other positions g
 index and the lower rank is applied first.
 
 Encoded words are kept for the worker's next slices (bounded, see ``encoding.Cache``).
-Cases: null or empty text = no ids, decoded to an empty text; ids unknown to the vocabulary
-decode to nothing; repeated rows are encoded alike; other columns, also one named ``ids`` or
+Cases: null or empty text = no ids, decoded to an empty text; ids null or unknown to the
+vocabulary decode to nothing; repeated rows are encoded alike; other columns, also one named ``ids`` or
 ``decoded``, are dropped; an empty table gives an empty result.
 """
 
@@ -20,14 +20,19 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import byte_slices, ship
 from fleetscope.llm.encoding import CACHE_CHARS, Cache
-from fleetscope.llm.pretokens import Pretokenizer
+from fleetscope.llm.pretokens import Pretokenizer, read_spec
 
-_CODECS: dict[str, "PairIndexCodec"] = {}
+#: Encoding and decoding run side by side in an executor, so each keeps fewer words.
+CACHE_ENTRIES = 300_000
+
+_CODECS: dict[str, "PairIndexEncoder"] = {}
+_DECODERS: dict[str, "Decoder"] = {}
 
 
 def byte_characters() -> list[str]:
@@ -43,15 +48,17 @@ def byte_characters() -> list[str]:
     return out
 
 
-class PairIndexCodec:
+class PairIndexEncoder:
     def __init__(self, path: str):
-        self.pre = Pretokenizer(path)
-        model = self.pre.spec["model"]
+        spec = read_spec(path)
+        self.pre = Pretokenizer(path, spec)
+        model = spec["model"]
         if model["type"] != "BPE" or model.get("dropout") or model.get("byte_fallback") or model.get("ignore_merges") \
-                or model.get("continuing_subword_prefix") or self.pre.spec["decoder"] is not None:
+                or model.get("continuing_subword_prefix"):
             raise ValueError(f"{path}: not a plain BPE file")
         vocab, suffix = model["vocab"], model.get("end_of_word_suffix") or ""
-        self.size = max(vocab.values()) + 1
+        self.border = max(vocab.values()) + 1  # stands between words and in merged places; no pair has it
+        self.size = self.border + 1
         self.rank, self.made = {}, []
         for r, merge in enumerate(model["merges"]):
             a, b = merge if isinstance(merge, list) else merge.split(" ")
@@ -60,58 +67,63 @@ class PairIndexCodec:
         chars = byte_characters()
         self.inner = [vocab[c] for c in chars]
         self.last = [vocab[c + suffix] for c in chars]
-        self.tokens = {i: t for t, i in vocab.items()} | {i: t for t, i in self.pre.added.items()}
-        self.cache = Cache(lambda w: np.array(self.encode_words([w])[0], dtype="<u4").tobytes())
+        self.cache = Cache(lambda w: np.array(self.encode_words([w])[0], dtype="<u4").tobytes(), CACHE_ENTRIES)
 
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """Ids of each word, by one pair-occurrence index over all of them."""
-        rank, size, made, inner, last = self.rank, self.size, self.made, self.inner, self.last
-        symbol, follow, before, starts = [], [], [], []
+        rank, size, made, border = self.rank.get, self.size, self.made, self.border
+        inner, last = self.inner.__getitem__, self.last
+        symbol, starts = [border], []
         for w in words:
             data = w.encode("utf-8")
-            at = len(symbol)
-            starts.append(at)
-            symbol.extend([inner[b] for b in data[:-1]])
-            symbol.append(last[data[-1]])
-            follow.extend(range(at + 1, at + len(data)))
-            follow.append(-1)
-            before.append(-1)
-            before.extend(range(at, at + len(data) - 1))
+            starts.append(len(symbol))
+            symbol.extend(map(inner, data))
+            symbol[-1] = last[data[-1]]
+            symbol.append(border)
+        follow, before = list(range(1, len(symbol) + 1)), list(range(-1, len(symbol) - 1))
         places: dict[int, list[int]] = {}
-        for p, q in enumerate(follow):
-            if q >= 0 and (r := rank.get(symbol[p] * size + symbol[q])) is not None:
-                places.setdefault(r, []).append(p)
+        for p in range(len(symbol) - 1):
+            r = rank(symbol[p] * size + symbol[p + 1])
+            if r is not None:
+                if r in places:
+                    places[r].append(p)
+                else:
+                    places[r] = [p]
         active = list(places)
         heapq.heapify(active)
         while active:
             r = heapq.heappop(active)
-            todo = sorted(places.pop(r, ()))
+            todo = places.pop(r)
+            todo.sort()
             new = made[r]
             for n, p in enumerate(todo):
                 q = follow[p]
-                if symbol[p] < 0 or q < 0 or rank.get(symbol[p] * size + symbol[q]) != r:
+                if rank(symbol[p] * size + symbol[q]) != r:
                     continue  # an earlier merge took one of the two
-                symbol[p], symbol[q] = new, -1
+                symbol[p], symbol[q] = new, border
                 after = follow[p] = follow[q]
-                if after >= 0:
-                    before[after] = p
+                before[after] = p
                 lower = False
-                for left, right in ((before[p], p), (p, after)):
-                    if left >= 0 <= right and (x := rank.get(symbol[left] * size + symbol[right])) is not None:
+                left = before[p]
+                for at, key in ((left, symbol[left] * size + new), (p, new * size + symbol[after])):
+                    x = rank(key)
+                    if x is not None:
                         if x in places:
-                            places[x].append(left)
+                            places[x].append(at)
                         else:
-                            places[x] = [left]
+                            places[x] = [at]
                             heapq.heappush(active, x)
                         lower |= x < r
-                if lower:
-                    places.setdefault(r, []).extend(todo[n + 1:])
-                    heapq.heappush(active, r)
+                if lower:  # the rest of this rank waits for the lower one
+                    if r not in places:
+                        places[r] = []
+                        heapq.heappush(active, r)
+                    places[r] += todo[n + 1:]
                     break
         out = []
         for p in starts:
             ids = []
-            while p >= 0:
+            while symbol[p] != border:
                 ids.append(symbol[p])
                 p = follow[p]
             out.append(ids)
@@ -120,35 +132,50 @@ class PairIndexCodec:
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
         """Ids of each text; the words not met before are indexed together."""
         parts = [list(self.pre.parts(t)) if t else [] for t in texts]
-        need = set()
+        new = set()
         for p in parts:
             for _, words in p:
                 if words:
-                    need.update(words)
-        new = [w for w in need if len(w) <= CACHE_CHARS and not self.cache.knows(w)]
+                    new.update(words)
+        new = [w for w in new if len(w) <= CACHE_CHARS and not self.cache.knows(w)]
         for w, ids in zip(new, self.encode_words(new)):
             self.cache.put(w, np.array(ids, dtype="<u4").tobytes())
         get = self.cache.__getitem__
         return [np.frombuffer(b"".join(t.to_bytes(4, "little") if w is None else b"".join(map(get, w)) for t, w in p),
                               dtype="<u4") for p in parts]
 
-    def decode(self, ids: list[int]) -> str:
+
+class Decoder:
+    def __init__(self, path: str):
+        spec = read_spec(path)
+        if spec["decoder"] is not None:
+            raise ValueError(f"{path}: has a decoder of its own")
+        named = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.tokens = [named.get(i) for i in range(max(named) + 1)]
+
+    def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by a space, as the library decodes files without a decoder."""
-        if not ids:
-            return ""
         try:
-            return " ".join([self.tokens[i] for i in ids])
-        except KeyError:
-            return " ".join([self.tokens[i] for i in ids if i in self.tokens])
+            return " ".join(map(self.tokens.__getitem__, ids.tolist()))
+        except (IndexError, TypeError):  # ids out of range, or without a token
+            known = (self.tokens[i] for i in ids.tolist() if 0 <= i < len(self.tokens))
+            return " ".join([t for t in known if t is not None])
 
 
-def codec(path: str) -> PairIndexCodec:
+def codec(path: str) -> PairIndexEncoder:
     """The worker's codec for a tokenizer file."""
     if path not in _CODECS:
-        _CODECS[path] = PairIndexCodec(path)
+        _CODECS[path] = PairIndexEncoder(path)
     return _CODECS[path]
 
 
+def decoder(path: str) -> Decoder:
+    """The worker's decoder for a tokenizer file."""
+    if path not in _DECODERS:
+        _DECODERS[path] = Decoder(path)
+    return _DECODERS[path]
+
+
 def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, ids array<int>) for every row."""
     ship(docs.sparkSession)
@@ -159,7 +186,7 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
             for part in byte_slices(batch, text_col, 4 << 20):
                 ids = code.encode(part.column(1).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
-                flat = np.concatenate([np.empty(0, "<u4"), *ids]).astype(np.int32)
+                flat = np.concatenate([np.empty(0, "<u4"), *ids]).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[id_col, "ids"])
 
@@ -172,11 +199,13 @@ def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFr
     ship(encoded.sparkSession)
 
     def run(batches):
-        code = codec(tokenizer)
+        code = decoder(tokenizer)
         for batch in batches:
             for at in range(0, batch.num_rows, 1000):
                 part = batch.slice(at, 1000)
-                texts = [code.decode(x.values.to_pylist() if x.is_valid else []) for x in part.column(1)]
+                offsets = part.column(1).offsets.to_numpy()
+                flat = pc.fill_null(part.column(1).values, -1).to_numpy(zero_copy_only=False)
+                texts = [code.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
 
     kind = encoded.schema[id_col].dataType.simpleString()

@@ -47,30 +47,43 @@ def latin_pattern(pattern: str) -> str:
     return pattern
 
 
+def read_spec(path: str) -> dict:
+    with open(path, encoding="utf-8") as f:
+        return json.load(f)
+
+
 class Pretokenizer:
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            self.spec = json.load(f)
-        steps = self.spec["pre_tokenizer"].get("pretokenizers", [])
-        kinds = [n["type"] for n in (self.spec["normalizer"] or {}).get("normalizers", [])]
+    def __init__(self, path: str, spec: dict | None = None):
+        if spec is None:
+            spec = read_spec(path)
+        steps = spec["pre_tokenizer"].get("pretokenizers", [])
+        kinds = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
         if kinds != ["NFC", "Replace", "Lowercase"] or [s["type"] for s in steps] != ["Split", "ByteLevel"] \
                 or not steps[0]["invert"] or steps[0]["behavior"] != "Removed" or steps[1]["use_regex"]:
             raise ValueError(f"{path}: not a word-level BPE file of the supported shape")
-        pattern = steps[0]["pattern"]["Regex"]
-        self._find = regex.compile(pattern).findall
-        self._find_latin = re.compile(latin_pattern(pattern)).findall
-        self._normalize = Tokenizer.from_file(path).normalizer.normalize_str
-        self._split = pre_tokenizers.Split(Regex(pattern), "removed", invert=True).pre_tokenize_str
-        self.added = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
+        self._path, self._pattern = path, steps[0]["pattern"]["Regex"]
+        self._find = regex.compile(self._pattern).findall
+        self._find_latin = re.compile(latin_pattern(self._pattern)).findall
+        self._library = None
+        self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+        self.largest_id = max([*spec["model"]["vocab"].values(), *self.added.values()])
         self._added = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") \
             if self.added else None
 
+    def library_words(self, text: str) -> list[str]:
+        """Pre-tokens by the library's own normaliser and splitter (loaded when first needed)."""
+        if self._library is None:
+            self._library = (Tokenizer.from_file(self._path).normalizer.normalize_str,
+                             pre_tokenizers.Split(Regex(self._pattern), "removed", invert=True).pre_tokenize_str)
+        normalize, split = self._library
+        return [w for w, _ in split(normalize(text))]
+
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text without added tokens."""
         if text.isascii():
             return self._find_latin(text.lower())
         if _UNSETTLED.search(text):
-            return [w for w, _ in self._split(self._normalize(text))]
+            return self.library_words(text)
         # str.lower() looks at the word around a capital sigma; the library does not
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
         return (self._find if _BEYOND_LATIN.search(text) else self._find_latin)(text)

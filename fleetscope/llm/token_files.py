@@ -121,7 +121,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
 
     def write(batches):
         enc = encoder(tokenizer)
-        width = 2 if max(max(enc.pre.spec["model"]["vocab"].values()), *enc.pre.added.values(), end_id) < 1 << 16 else 4
+        width = 2 if max(enc.pre.largest_id, end_id) < 1 << 16 else 4
         fs, path = open_store(folder)
         name, sink, out, first = f"tokens-{uuid.uuid4().hex}.zst", None, None, None
         end = np.array([end_id], dtype="<u4")

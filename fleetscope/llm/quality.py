@@ -133,15 +133,15 @@ def thresholds(measured: DataFrame) -> DataFrame:
     base = cut(sketch(measured, ["lang", "source"]))
     own = fences(base, ["lang", "source"])
     by_lang = fences(merge(base, ["lang"]), ["lang"])
-    level = F.lit(0).alias("one")
-    overall = fences(merge(base.select("*", level), ["one"]), ["one"])
-    groups = measured.groupBy("lang", "source").count().select("lang", "source", F.lit(0).alias("one"))
+    # one row: the fences of everything
+    overall = fences(merge(base.select("*", F.lit(0).alias("one")), ["one"]), ["one"]).first()
+    groups = measured.select("lang", "source").distinct()
     rename = lambda df, tag: df.select(*[F.col(c).alias(f"{tag}_{c}") for c in df.columns])
-    g, o, b, a = groups, rename(own, "o"), rename(by_lang, "b"), rename(overall, "a")
-    joined = (g.join(o, g.lang.eqNullSafe(o.o_lang) & g.source.eqNullSafe(o.o_source), "left")
-              .join(b, g.lang.eqNullSafe(b.b_lang), "left").join(a, g.one == a.a_one, "left"))
+    o, b = rename(own, "o"), rename(by_lang, "b")
+    joined = (groups.join(o, groups.lang.eqNullSafe(o.o_lang) & groups.source.eqNullSafe(o.o_source), "left")
+              .join(b, groups.lang.eqNullSafe(b.b_lang), "left"))
     pick = lambda c: F.when(F.col("o_rows") >= MIN_ROWS, F.col(f"o_{c}")).when(
-        F.col("b_rows") >= MIN_ROWS, F.col(f"b_{c}")).otherwise(F.col(f"a_{c}"))
+        F.col("b_rows") >= MIN_ROWS, F.col(f"b_{c}")).otherwise(F.lit(overall and overall[c]).cast("long"))
     return joined.select("lang", "source", *[pick(n).alias(n) for n in names])
 
 

@@ -85,13 +85,13 @@ class Model:
     limits: dict[str, np.ndarray]  # largest accepted distance by the length's power of two
     idf: np.ndarray
 
-    def vector(self, n: np.ndarray) -> np.ndarray:
-        v = np.sqrt(n) * self.idf
-        norm = np.linalg.norm(v)
-        return (v / norm if norm else v).astype(np.float32)
+    def weights(self, at: np.ndarray, n: np.ndarray) -> np.ndarray:
+        """Unit TF-IDF weights of the dimensions ``at`` with counts ``n``."""
+        v = np.sqrt(n) * self.idf[at]
+        return (v / np.linalg.norm(v)).astype(np.float32)
 
-    def nearest(self, n: np.ndarray) -> tuple[str, float]:
-        cosine = self.centroids @ self.vector(n)
+    def nearest(self, at: np.ndarray, n: np.ndarray) -> tuple[str, float]:
+        cosine = self.centroids[:, at] @ self.weights(at, n)
         k = int(np.argmax(cosine))
         return self.languages[k], min(max(float(cosine[k]), 0.0), 1.0)
 
@@ -100,7 +100,8 @@ class Model:
         n = counts(text)
         if n is None or not len(self.languages):
             return UNKNOWN, 0.0, True
-        lang, score = self.nearest(n)
+        at = np.flatnonzero(n)
+        lang, score = self.nearest(at, n[at])
         return lang, score, bool(1 - score > self.limits[lang][length_class(n)])
 
 
@@ -126,25 +127,33 @@ def k_means(x: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return c
 
 
-def train(rows: list[tuple[str, np.ndarray]], snippets: list[tuple[str, np.ndarray]] = ()) -> Model:
-    """A model from (language, counts) of whole texts; ``snippets`` only widen the limits."""
+Row = tuple[str, np.ndarray, np.ndarray]  # language, dimensions, their counts
+
+
+def train(rows: list[Row], snippets: list[Row] = ()) -> Model:
+    """A model from whole texts; ``snippets`` only widen the limits.  At most one language's
+    rows are dense at a time."""
     df = np.zeros(DIMS)
-    for _, n in rows:
-        df += n > 0
+    for _, at, _ in rows:
+        df[at] += 1
     model = Model([], np.zeros((0, DIMS), np.float32), {}, np.log((1 + len(rows)) / (1 + df)) + 1)
     centres = []
     for lang in sorted({r[0] for r in rows}):
-        c = k_means(np.array([model.vector(n) for own, n in rows if own == lang]), CENTROIDS)
+        own = [r for r in rows if r[0] == lang]
+        dense = np.zeros((len(own), DIMS), dtype=np.float32)
+        for x, (_, at, n) in zip(dense, own):
+            x[at] = model.weights(at, n)
+        c = k_means(dense, CENTROIDS)
         centres += list(c)
         model.languages += [lang] * len(c)
         model.limits[lang] = np.zeros(LENGTHS)
     if centres:
         model.centroids = np.array(centres, dtype=np.float32)
-    for own, n in [*rows, *snippets]:
-        lang, score = model.nearest(n)
+    for own, at, n in [*rows, *snippets]:
+        lang, score = model.nearest(at, n)
         if lang == own:
-            at = length_class(n)
-            model.limits[lang][at] = max(model.limits[lang][at], 1 - score)
+            size = length_class(n)
+            model.limits[lang][size] = max(model.limits[lang][size], 1 - score)
     for lang, far in model.limits.items():  # a shorter text may be as far as any longer one
         model.limits[lang] = np.minimum(np.maximum.accumulate(far[::-1])[::-1] + MARGIN, MOST_DISTANCE)
     return model
@@ -177,10 +186,8 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
         run, "l string, whole boolean, at array<int>, n array<bigint>").toArrow()
     rows, snippets = [], []
     for lang, whole, at, n in zip(*(sample.column(c) for c in ("l", "whole", "at", "n"))):
-        v = np.zeros(DIMS, dtype=np.int64)
-        v[at.values.to_numpy()] = n.values.to_numpy()
-        (rows if whole.as_py() else snippets).append((lang.as_py(), v))
-    rows.sort(key=lambda r: (r[0], r[1].tobytes()))  # the same model whatever order the rows came in
+        (rows if whole.as_py() else snippets).append((lang.as_py(), at.values.to_numpy(), n.values.to_numpy()))
+    rows.sort(key=lambda r: (r[0], r[1].tobytes(), r[2].tobytes()))  # the same model whatever order the rows came in
     return train(rows, snippets)
 
 

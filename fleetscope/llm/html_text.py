@@ -30,6 +30,8 @@ from fleetscope.llm.common import byte_slices, ship
 SAMPLE_PAGES = 1000
 MOST_CONTEXTS = 10_000
 LEAST_SEEN = 20
+#: Weights of contexts and tags that the labelled pages do not show.
+UNSEEN_WORD, UNSEEN_TAG = 1.0, -0.5
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -137,10 +139,11 @@ class Page:
         self.marked.append(marked)
 
     def counts(self) -> dict[str, list[int]]:
-        """key -> [inside, outside] occurrences: words of text contexts, single tags."""
+        """key -> [inside, outside] occurrences: words of text contexts, single tags; what is
+        boilerplate by kind does not score and does not count."""
         out: dict[str, list[int]] = {}
-        for kind, key, value, marked in zip(self.kind, self.key, self.value, self.marked):
-            if key:
+        for kind, key, value, junk, marked in zip(self.kind, self.key, self.value, self.junk, self.marked):
+            if key and not junk:
                 out.setdefault(key, [0, 0])[not marked] += len(value.split()) if kind == "t" else 1
         return out
 
@@ -148,13 +151,12 @@ class Page:
         """First and one past the last token of the best contiguous region; (0, 0) if none is positive."""
         best, best_at, total, start = 0.0, (0, 0), 0.0, 0
         for i, (kind, key) in enumerate(zip(self.kind, self.key)):
+            if self.junk[i]:
+                continue  # left out in any case: it neither joins nor parts what is around it
             if kind == "t":
-                w = weights.get(key)
-                if w is None:
-                    w = -2.0 if self.junk[i] else 1.0
-                total += w * len(self.value[i].split())
+                total += weights.get(key, UNSEEN_WORD) * len(self.value[i].split())
             elif key:
-                total += weights.get(key, -0.5)
+                total += weights.get(key, UNSEEN_TAG)
             if total <= 0:
                 total, start = 0.0, i + 1
             elif total > best and kind == "t":

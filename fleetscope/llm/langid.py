@@ -7,8 +7,8 @@ wins.  A text is rejected if it is farther from its centroid than texts of its l
 Those limits are the largest distances seen in training, for each doubling of the number of
 n-grams; the first few words of each training text stand for short texts.
 
-The model is fitted on a bounded sample: ``PER_LANGUAGE`` labelled rows of each of at most
-``MOST_LANGUAGES`` languages, chosen by the hash of their id.  Only the
+The model is fitted on a bounded sample: ``PER_LANGUAGE`` labelled rows of each of the
+``MOST_LANGUAGES`` most frequent languages, chosen by the hash of their id.  Only the
 hashed counts of these texts and snippets (at most ``DIMS`` numbers each) reach the driver.
 
 Cases: null text, or text without a letter = ``und``, score 0, rejected; null labels teach
@@ -30,6 +30,7 @@ from fleetscope.llm.common import byte_slices, ship
 DIMS = 1 << 14
 PER_LANGUAGE = 400
 MOST_LANGUAGES = 200
+OVERSAMPLE = 4
 CENTROIDS = 4
 CHUNK = 1 << 20
 #: Words of the snippets that stand for short texts when limits are set.
@@ -164,8 +165,14 @@ def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lan
     ship(labelled.sparkSession)
     usable = labelled.where(F.col(lang_col).isNotNull() & F.col(id_col).isNotNull())
     ids = usable.select(F.col(lang_col).alias("l"), F.col(id_col).alias("i"), F.xxhash64(F.col(id_col)).alias("h"))
-    top = ids.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))).where(f"r <= {PER_LANGUAGE}")
-    chosen = top.orderBy("r", "h").limit(PER_LANGUAGE * MOST_LANGUAGES).select("l", "i").distinct()
+    sizes = ids.groupBy("l").count().orderBy(F.desc("count"), "l").limit(MOST_LANGUAGES).collect()
+    if not sizes:
+        return train([])
+    # a hash share that holds a few times the rows wanted, so that little is shuffled and ranked
+    share = F.create_map(*[x for r in sizes for x in (F.lit(r["l"]), F.lit(min(1.0, OVERSAMPLE * PER_LANGUAGE / r["count"])))])
+    some = ids.where(F.pmod("h", F.lit(1 << 20)) < F.coalesce(F.element_at(share, F.col("l")), F.lit(0.0)) * (1 << 20))
+    top = some.withColumn("r", F.row_number().over(Window.partitionBy("l").orderBy("h", "i"))).where(f"r <= {PER_LANGUAGE}")
+    chosen = top.select("l", "i").distinct()
 
     def run(batches):
         for batch in batches:

@@ -35,7 +35,9 @@ from fleetscope.llm.common import cut, ship
 
 SAMPLE_ROWS = 20_000
 MOST_CENTROIDS = 1_024
-SHARD_ROWS = 8_192
+SHARD_ROWS = 2_048
+#: Queries that one task leads through the cells.
+TASK_QUERIES = 256
 CALIBRATION_QUERIES = 64
 RECALL_TARGET = 0.97
 #: Equal vectors may differ by rounding in a matrix product; they are scored again, row by row.
@@ -222,7 +224,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
         return pa.Table.from_batches([result_batch(out)])
 
     entries = indexed.withColumn("h", F.xxhash64("id")).mapInArrow(place, "shard int, id long, v array<double>, cell int")
-    routed = asked.select("id", "v").mapInArrow(plan, "shard int, id long, v array<double>, cells array<int>")
+    tasks = -(-asked.count() // TASK_QUERIES)
+    routed = asked.select("id", "v").repartition(tasks).mapInArrow(plan, "shard int, id long, v array<double>, cells array<int>")
     found = entries.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(scan, RESULT)
     return top(found, k).select("query_id", "rank", "vec_id", "score")
 

@@ -153,7 +153,7 @@ def script(value: str) -> str:
 
 def _like(value: str, draw: Stream) -> str:
     """Digits for digits, letters for letters of the same case; hexadecimal stays hexadecimal."""
-    hexadecimal = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value) is not None and len(value) >= 8
+    hexadecimal = re.fullmatch("[0-9a-f]+|[0-9A-F]+", value) is not None and len(value) >= 8 and not value.isdigit()
     out = []
     for c in value:
         if hexadecimal:

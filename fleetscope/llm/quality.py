@@ -150,12 +150,12 @@ def judge(measured: DataFrame, limits: DataFrame) -> DataFrame:
     broadcast it where its size allows; else AQE splits a hot group's side of the join."""
     lim = limits.withColumnRenamed("lang", "t_lang").withColumnRenamed("source", "t_source")
     joined = measured.join(lim, measured.lang.eqNullSafe(lim.t_lang) & measured.source.eqNullSafe(lim.t_source), "left")
-    passed = ~F.col("base_failed")
+    tests = [~F.col("base_failed")]
     for m, side, *_ in RULES:
         limit = F.col(f"{side}_{m}")
-        inside = F.col(m) <= limit if side == "high" else F.col(m) >= limit
-        passed = passed & F.coalesce(inside, F.lit(True))
-    return joined.select(*measured.columns, passed.alias("kept"))
+        tests.append(F.coalesce(F.col(m) <= limit if side == "high" else F.col(m) >= limit, F.lit(True)))
+    # as one value: a filter on it is not split and pushed below the join, where texts would be measured twice
+    return joined.select(*measured.columns, F.forall(F.array(*tests), lambda x: x).alias("kept"))
 
 
 def quality(docs: DataFrame, **columns: str) -> DataFrame:

@@ -12,8 +12,9 @@ follows the data: well clustered vectors need a small share, vectors without str
 Cells are laid out on shards of about ``SHARD_ROWS`` vectors; a cell larger than that (a third
 of all vectors may be equal) is spread over several shards by the hash of the id, and all of
 them are searched, so no cell is cut short.  A query goes once to each shard it needs and brings
-back at most k rows.  The driver sees the sample, the centroids and the counts of at most
-``MOST_CENTROIDS`` squared cells.
+back at most k rows, and none below its k-th best score among the sample's vectors in the cells
+it visits: those are candidates too, so the final k lie at or above it.  The driver sees the
+sample, the centroids and the counts of at most ``MOST_CENTROIDS`` squared cells.
 
 Nearness is the inner product in double precision.  Cases: vectors that are null, empty, zero,
 hold null or non-finite components, have no id or not the most frequent length take no part;
@@ -35,7 +36,7 @@ from fleetscope.llm.common import cut, ship
 
 SAMPLE_ROWS = 20_000
 MOST_CENTROIDS = 1_024
-SHARD_ROWS = 2_048
+SHARD_ROWS = 4_096
 #: Queries that one task leads through the cells.
 TASK_QUERIES = 256
 CALIBRATION_QUERIES = 64
@@ -118,15 +119,16 @@ def layout(counts: np.ndarray, shard_rows: int) -> tuple[np.ndarray, np.ndarray,
     return first, parts, shard + 1
 
 
-def best(scores: np.ndarray, ids: np.ndarray, own: int, x: np.ndarray, q: np.ndarray, k: int):
-    """Rows of the k best by exact score, ties to the smaller id, without the query's own id."""
+def kth_best(scores: np.ndarray, k: int) -> float:
+    """The k-th largest score; minus infinity if there are fewer."""
+    return float(np.partition(scores, len(scores) - k)[len(scores) - k]) if len(scores) >= k else -np.inf
+
+
+def best(scores: np.ndarray, ids: np.ndarray, own: int, x: np.ndarray, q: np.ndarray, k: int, floor: float = -np.inf):
+    """Rows of the k best by exact score, ties to the smaller id, without the query's own id and
+    without what lies below ``floor``."""
     scores = np.where(ids == own, -np.inf, scores)
-    if len(scores) > k:
-        edge = np.partition(scores, len(scores) - k)[len(scores) - k]
-        at = np.flatnonzero(scores >= edge - ROUNDING)
-    else:
-        at = np.arange(len(scores))
-    at = at[scores[at] > -np.inf]
+    at = np.flatnonzero((scores >= max(kth_best(scores, k), floor) - ROUNDING) & (scores > -np.inf))
     exact = (x[at] * q).sum(axis=1)
     order = np.lexsort((ids[at], -exact))[:k]
     return at[order], exact[order]
@@ -155,10 +157,12 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     points = cut(usable(vectors, id_col, vector_col))
     asked = cut(usable(queries, id_col, vector_col).dropDuplicates(["id"]))
     rows = points.count()
-    sample = points.orderBy("h", "id").limit(SAMPLE_ROWS).select("v").toArrow()
+    sample = points.orderBy("h", "id").limit(SAMPLE_ROWS).select("id", "v").toArrow()
     if not rows or asked.isEmpty():
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    quantiser = Quantiser(matrix(sample.column("v")), rows)
+    sample_ids, sample_x = sample.column("id").to_numpy(), matrix(sample.column("v"))
+    quantiser = Quantiser(sample_x, rows)
+    sample_cells = quantiser.cell(sample_x)
 
     def assign(batches):
         for batch in batches:
@@ -176,21 +180,24 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
     def plan(batches):
         sizes, starts, spread = counts.tolist(), first.tolist(), parts.tolist()
         for batch in batches:
-            for own, q in zip(batch.column(0).to_pylist(), matrix(batch.column(1))):
-                seen, wanted = 0, {}
+            asking = matrix(batch.column(1))
+            for own, q in zip(batch.column(0).to_pylist(), asking):
+                seen, wanted, visited = 0, {}, np.zeros(len(counts), dtype=bool)
                 for cell in quantiser.traverse(q):
                     if not sizes[cell]:
                         continue
+                    visited[cell] = True
                     for s in range(starts[cell], starts[cell] + spread[cell]):
                         wanted.setdefault(s, []).append(cell)
                     seen += sizes[cell]
                     if seen >= budget:
                         break
+                floor = kth_best(sample_x[visited[sample_cells] & (sample_ids != own)] @ q, k)
                 n = len(wanted)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(list(wanted), pa.int32()), pa.array([own] * n, pa.int64()),
-                     pa.array([q] * n, pa.list_(pa.float64())), pa.array(list(wanted.values()), pa.list_(pa.int32()))],
-                    names=["shard", "id", "v", "cells"])
+                    [pa.array(list(wanted), pa.int32()), pa.array([own] * n, pa.int64()), pa.array([q] * n, pa.list_(pa.float64())),
+                     pa.array([floor] * n, pa.float64()), pa.array(list(wanted.values()), pa.list_(pa.int32()))],
+                    names=["shard", "id", "v", "floor", "cells"])
 
     def place(batches):
         for batch in batches:
@@ -207,6 +214,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
         names, starts = np.unique(cell, return_index=True)
         ends = dict(zip(names.tolist(), zip(starts.tolist(), [*starts[1:].tolist(), len(cell)])))
         q, own, lists = matrix(wanted.column("v")), wanted.column("id").to_numpy(), wanted.column("cells").to_pylist()
+        floors = wanted.column("floor").to_numpy()
         out = []
         for at in range(0, len(q), 256):
             visits: dict[int, list[int]] = {}
@@ -219,13 +227,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "v
                 a, b = ends[c]
                 scores[who, a:b] = q[at:at + 256][who] @ x[a:b].T
             for i in range(len(scores)):
-                rows_, exact = best(scores[i], ids, own[at + i], x, q[at + i], k)
+                rows_, exact = best(scores[i], ids, own[at + i], x, q[at + i], k, floors[at + i])
                 out += [(own[at + i], ids[r], s, cell[r]) for r, s in zip(rows_, exact)]
         return pa.Table.from_batches([result_batch(out)])
 
     entries = indexed.withColumn("h", F.xxhash64("id")).mapInArrow(place, "shard int, id long, v array<double>, cell int")
     tasks = -(-asked.count() // TASK_QUERIES)
-    routed = asked.select("id", "v").repartition(tasks).mapInArrow(plan, "shard int, id long, v array<double>, cells array<int>")
+    routed = asked.select("id", "v").repartition(tasks).mapInArrow(
+        plan, "shard int, id long, v array<double>, floor double, cells array<int>")
     found = entries.groupBy("shard").cogroup(routed.groupBy("shard")).applyInArrow(scan, RESULT)
     return top(found, k).select("query_id", "rank", "vec_id", "score")
 

@@ -19,6 +19,8 @@ Scale notes
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -193,160 +195,95 @@ def snapshots_as_of(facts: DataFrame, snaps: DataFrame, keys, fact_ts: str, snap
 # Profiles
 # ---------------------------------------------------------------------------
 
-def profile_aggs(value: str, prefix: str = "") -> list[Column]:
-    """The rounded statistics of one hourly profile (C5), in output order."""
-    v = F.col(value)
-    pct = F.percentile(v, F.array(*[F.lit(p) for p in PROFILE_PERCENTILES.values()]))
-    aggs = [
-        F.count(F.lit(1)).alias(prefix + "cnt"),
-        F.round(F.avg(v)).alias(prefix + "avg_value"),
-        F.round(F.mode(v, deterministic=True)).alias(prefix + "mode_value"),
-        F.round(pct[0]).alias(prefix + "median_value"),
-        F.round(F.min(v)).alias(prefix + "min_value"),
-        F.round(F.max(v)).alias(prefix + "max_value"),
-        F.round(F.sum(v)).alias(prefix + "sum_value"),
-    ]
-    aggs += [F.round(pct[i]).alias(prefix + name) for i, name in enumerate(PROFILE_PERCENTILES)]
-    return aggs
-
-
-def split_percentiles(df: DataFrame, keys, value: str, percentages: dict, n_buckets: int = 128) -> DataFrame:
-    """Exact percentiles (same interpolation and floating-point steps as Spark's
-    ``percentile``) without putting a whole group in one task.
-
-    1. distinct values per group with their counts (shuffle on group *and* value);
-    2. per group ``n_buckets - 1`` approximate quantile boundaries (mergeable sketch) cut the
-       value range into buckets; per bucket the count and, over the <= n_buckets buckets of a
-       group, the rank range it covers;
-    3. the ranks each percentile needs (floor / ceil of (n - 1) * p) are located in their
-       bucket, and only those buckets are ordered (a window per group *and* bucket).
-    Output: one row per group with one double column per name in ``percentages``."""
-    keys = list(keys)
-    base = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("__v"))
-    vc = base.groupBy(*keys, "__v").agg(F.count(F.lit(1)).alias("__c"))
-    qs = [i / n_buckets for i in range(1, n_buckets)]
-    bounds = base.groupBy(*keys).agg(F.percentile_approx("__v", qs, 10000).alias("__b"),
-                                     F.count(F.lit(1)).alias("__n"))
-    vb = (vc.join(bounds.select(*keys, "__b"), keys)
-          .withColumn("__bk", F.size(F.filter("__b", lambda b: b < F.col("__v")))).drop("__b"))
-    wb = Window.partitionBy(*keys).orderBy("__bk").rowsBetween(Window.unboundedPreceding, 0)
-    buckets = (vb.groupBy(*keys, "__bk").agg(F.sum("__c").alias("__bc"))
-               .withColumn("__end", F.sum("__bc").over(wb)).withColumn("__start", F.col("__end") - F.col("__bc")))
-    names = list(percentages)
-    pos = {n: (F.col("__n") - 1).cast("double") * F.lit(float(percentages[n])) for n in names}
-    targets = bounds.select(*keys, "__n", F.explode(F.array(*[
-        F.struct(F.lit(n).alias("name"), F.lit(which).alias("which"),
-                 (F.floor(pos[n]) if which == "lo" else F.ceil(pos[n])).cast("long").alias("rank"))
-        for n in names for which in ("lo", "hi")])).alias("__t")).select(*keys, "__t.*")
-    located = (targets.join(buckets, keys)
-               .where((F.col("__start") <= F.col("rank")) & (F.col("rank") < F.col("__end")))
-               .select(*keys, "name", "which", "rank", "__bk", "__start"))
-    need = located.select(*keys, "__bk").distinct()
-    wv = Window.partitionBy(*keys, "__bk").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (vb.join(need, [*keys, "__bk"])
-              .withColumn("__cend", F.sum("__c").over(wv)).withColumn("__cstart", F.col("__cend") - F.col("__c")))
-    picked = (located.join(ranked, [*keys, "__bk"])
-              .where((F.col("__cstart") <= F.col("rank") - F.col("__start"))
-                     & (F.col("rank") - F.col("__start") < F.col("__cend")))
-              .groupBy(*keys).pivot("name", names)
-              .agg(F.max(F.when(F.col("which") == "lo", F.col("__v"))).alias("lo"),
-                   F.max(F.when(F.col("which") == "hi", F.col("__v"))).alias("hi")))
-    out = bounds.select(*keys, "__n").join(picked, keys, "left")
-    cols = []
-    for n in names:
-        p = pos[n]
-        lo, hi = F.col(f"{n}_lo").cast("double"), F.col(f"{n}_hi").cast("double")
-        lower, higher = F.floor(p), F.ceil(p)
-        val = (F.when(lower == higher, lo).when(lo == hi, lo)
-               .otherwise((higher.cast("double") - p) * lo + (p - lower.cast("double")) * hi))
-        cols.append(val.alias(n))
-    return out.select(*keys, *cols)
-
-
-def has_hot_group(df: DataFrame, group, hot_group_rows: int = 2_000_000) -> bool:
-    """True when the largest group exceeds ``hot_group_rows`` (one small aggregate)."""
-    largest = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__n")).agg(F.max("__n").alias("m")).first()
-    return bool(largest and largest["m"] and largest["m"] > hot_group_rows)
-
-
-def split_mode_and_percentiles(df: DataFrame, group, value: str, n_buckets: int = 128) -> DataFrame:
-    """Mode (most frequent, smallest on ties; a grouped ``max_by`` over (value, count) pairs)
-    and the profile percentiles via ``split_percentiles``: one row per group with ``__mode``
-    and ``perc50`` .. ``perc100``."""
-    group = list(group)
-    v = F.col(value)
-    mode = (df.where(v.isNotNull()).groupBy(*group, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-            .groupBy(*group).agg(F.max_by("__v", F.struct(F.col("__c"), -F.col("__v"))).alias("__mode")))
-    return mode.join(split_percentiles(df, group, value, PROFILE_PERCENTILES, n_buckets), group, "full")
-
-
-HOT_GROUP_ROWS = 2_000_000
-
-
-def hourly_profile(df: DataFrame, keys=COUNTER_KEYS, value: str = "value_delta", ts: str = "begin_ts",
-                   split_groups="auto", n_buckets: int = 128, hot_group_rows: int = HOT_GROUP_ROWS) -> DataFrame:
+VALUE_BUCKETS = 1024
+
+
+def value_bucket(value: Column) -> Column:
+    """A number's place on a log-linear scale, ``VALUE_BUCKETS`` places for each doubling; it
+    never falls as the value grows, so buckets can be ranked one after another."""
+    size = F.abs(value.cast("double"))
+    power = F.floor(F.log2(size))
+    place = power * VALUE_BUCKETS + F.floor((size / F.pow(F.lit(2.0), power) - 1) * VALUE_BUCKETS) + 2048 * VALUE_BUCKETS
+    return F.when(value.isNull(), None).when(size == 0, F.lit(0)).otherwise(F.signum(value.cast("double")) * place).cast("long")
+
+
+def value_profile(df: DataFrame, group, value: str, percentages: dict, sums: dict | None = None) -> DataFrame:
+    """Exact statistics of ``value`` per group from one (group, value, count) relation, one plan
+    at every size.  Output: group, ``__cnt`` (all rows), ``__n`` (rows with a value), ``__min``,
+    ``__max``, ``__sum``, ``__mode`` (smallest of the most frequent), a double per percentage
+    (interpolated as Spark's ``percentile`` does) and a sum per expression of ``sums``.
+
+    Rows are counted by group *and* value before anything else (partial aggregate), so equal
+    values of a hot group are one row.  Ranks come in two steps: running counts over a group's
+    value buckets, then over the values inside one bucket; no task orders a whole group."""
+    group, sums = list(group), sums or {}
+    counts = (df.groupBy(*group, F.col(value).alias("__v"))
+              .agg(F.count(F.lit(1)).alias("__c"), F.sum(value).alias("__s"), *[F.sum(e).alias(n) for n, e in sums.items()])
+              .withColumn("__b", value_bucket(F.col("__v"))))
+    over = Window.partitionBy(*[f"__k{i}" for i in range(len(group))])
+    buckets = (counts.where("__v is not null")
+               .groupBy(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(group)], F.col("__b").alias("__kb"))
+               .agg(F.sum("__c").alias("__bc"))
+               .withColumn("__start", F.sum("__bc").over(over.orderBy("__kb").rowsBetween(Window.unboundedPreceding, 0))
+                           - F.col("__bc"))
+               .withColumn("__n", F.sum("__bc").over(over)).drop("__bc"))
+    same = F.col("__b") == F.col("__kb")
+    for i, g in enumerate(group):
+        same = same & F.col(g).eqNullSafe(F.col(f"__k{i}"))
+    inside = Window.partitionBy(*group, "__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = (counts.join(buckets, same, "left")
+              .withColumn("__to", F.col("__start") + F.sum("__c").over(inside))
+              .withColumn("__from", F.col("__to") - F.col("__c")))
+
+    def position(p):
+        return (F.col("__n") - 1).cast("double") * F.lit(float(p))
+
+    def at(rank):
+        return F.max(F.when((F.col("__from") <= rank) & (rank < F.col("__to")), F.col("__v")))
+
+    picks = [a for n, p in percentages.items()
+             for a in (at(F.floor(position(p))).alias(f"__lo_{n}"), at(F.ceil(position(p))).alias(f"__hi_{n}"))]
+    out = ranked.groupBy(*group).agg(
+        F.sum("__c").alias("__cnt"), F.max("__n").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
+        F.sum("__s").alias("__sum"),
+        F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(F.col("__c"), -F.col("__v")))).alias("__mode"),
+        *picks, *[F.sum(n).alias(n) for n in sums])
+    cells = []
+    for n, p in percentages.items():
+        lo, hi = F.col(f"__lo_{n}").cast("double"), F.col(f"__hi_{n}").cast("double")
+        lower, upper = F.floor(position(p)).cast("double"), F.ceil(position(p)).cast("double")
+        cells.append(F.when((lower == upper) | (lo == hi), lo)
+                     .otherwise((upper - position(p)) * lo + (position(p) - lower) * hi).alias(n))
+    return out.select(*group, "__cnt", "__n", "__min", "__max", "__sum", "__mode", *cells, *sums)
+
+
+def hourly_profile(df: DataFrame, keys=COUNTER_KEYS, value: str = "value_delta", ts: str = "begin_ts") -> DataFrame:
     """Per hour of day and key - count, avg, mode, median, min, max, sum and
-    P50/75/90/95/100, each rounded half away from zero.
-
-    ``split_groups=True`` computes the exact percentiles with ``split_percentiles`` and the
-    mode with a grouped ``max_by`` over (value, count) pairs, so no task ever holds a whole
-    (key, hour) group; the result is identical.  ``"auto"`` first measures the largest group
-    (one small aggregate) and splits only when it exceeds ``hot_group_rows``; otherwise one
-    aggregate with a shared exact ``percentile`` buffer per group is cheaper."""
-    keys = list(keys)
-    d = df.withColumn("hour", hour_of(ts))
-    g = [*keys, "hour"]
-    if split_groups == "auto":
-        split_groups = has_hot_group(d, g, hot_group_rows)
-    if not split_groups:
-        return d.groupBy(*g).agg(*profile_aggs(value))
-    v = F.col(value)
-    main = d.groupBy(*g).agg(F.count(F.lit(1)).alias("cnt"), F.round(F.avg(v)).alias("avg_value"),
-                             F.round(F.min(v)).alias("min_value"), F.round(F.max(v)).alias("max_value"),
-                             F.round(F.sum(v)).alias("sum_value"))
-    out = main.join(split_mode_and_percentiles(d, g, value, n_buckets), g, "left")
-    return out.select(*g, "cnt", "avg_value", F.round("__mode").alias("mode_value"),
-                      F.round("perc50").alias("median_value"), "min_value", "max_value", "sum_value",
-                      *[F.round(n).alias(n) for n in PROFILE_PERCENTILES])
+    P50/75/90/95/100, each rounded half away from zero."""
+    group = [*keys, "hour"]
+    p = value_profile(df.withColumn("hour", hour_of(ts)), group, value, PROFILE_PERCENTILES)
+    return p.select(*group, F.col("__cnt").alias("cnt"), F.round(F.col("__sum") / F.col("__n")).alias("avg_value"),
+                    F.round("__mode").alias("mode_value"), F.round("perc50").alias("median_value"),
+                    F.round("__min").alias("min_value"), F.round("__max").alias("max_value"),
+                    F.round("__sum").alias("sum_value"), *[F.round(n).alias(n) for n in PROFILE_PERCENTILES])
 
 
 def os_stat_profile(df: DataFrame, keys=COUNTER_KEYS, ts: str = "begin_ts", end_ts: str = "end_ts",
-                    counter_names=OS_COUNTER_STATS, bucket_width: int | None = 1 << 16,
-                    split_groups=False, hot_group_rows: int = 2_000_000) -> DataFrame:
+                    counter_names=OS_COUNTER_STATS, bucket_width: int | None = 1 << 16) -> DataFrame:
     """C2 deltas, then per key and hour: total interval seconds, avg cumulative value and
     the C5 statistics.  The reference averages window percentiles over the same group,
-    which equals the group percentile, so it is one aggregate here.  ``split_groups`` (True
-    or "auto") computes mode and percentiles with the split path of ``hourly_profile``."""
+    which equals the group percentile, so it is one aggregate here."""
     staged = counter_or_gauge(df, counter_names=counter_names, keys=keys, bucket_width=bucket_width)
     staged = staged.withColumn("__us", micros(end_ts) - micros(ts)).withColumn("hh24", hour_of(ts))
-    g = [*keys, "hh24"]
-    if split_groups == "auto":
-        split_groups = has_hot_group(staged, g, hot_group_rows)
-    v = F.col("delta_value")
-    if split_groups:
-        main = staged.groupBy(*g).agg(
-            F.round(F.sum("__us") / F.lit(1e6)).alias("hh24_total_secs"), F.round(F.avg("value")).alias("cumulative_value"),
-            F.round(F.avg(v)).alias("avg_value"), F.round(F.min(v)).alias("min_value"),
-            F.round(F.max(v)).alias("max_value"), F.round(F.sum(v)).alias("sum_value"),
-            F.count(F.lit(1)).alias("count"))
-        st = split_mode_and_percentiles(staged, g, "delta_value")
-        return main.join(st, g, "left").select(
-            *g, "hh24_total_secs", "cumulative_value", "avg_value", F.round("__mode").alias("mode_value"),
-            F.round("perc50").alias("median_value"), *[F.round(n).alias(n) for n in PROFILE_PERCENTILES],
-            "min_value", "max_value", "sum_value", "count")
-    pct = F.percentile(v, F.array(*[F.lit(p) for p in PROFILE_PERCENTILES.values()]))
-    return (staged
-            .groupBy(*g)
-            .agg(F.round(F.sum("__us") / F.lit(1e6)).alias("hh24_total_secs"),
-                 F.round(F.avg("value")).alias("cumulative_value"),
-                 F.round(F.avg(v)).alias("avg_value"),
-                 F.round(F.mode(v, deterministic=True)).alias("mode_value"),
-                 F.round(pct[0]).alias("median_value"),
-                 *[F.round(pct[i]).alias(n) for i, n in enumerate(PROFILE_PERCENTILES)],
-                 F.round(F.min(v)).alias("min_value"),
-                 F.round(F.max(v)).alias("max_value"),
-                 F.round(F.sum(v)).alias("sum_value"),
-                 F.count(F.lit(1)).alias("count")))
+    group = [*keys, "hh24"]
+    p = value_profile(staged, group, "delta_value", PROFILE_PERCENTILES, sums={
+        "__secs": F.col("__us"), "__total": F.col("value"), "__values": F.when(F.col("value").isNotNull(), 1).otherwise(0)})
+    return p.select(*group, F.round(F.col("__secs") / F.lit(1e6)).alias("hh24_total_secs"),
+                    F.round(F.col("__total") / F.nullif("__values", F.lit(0))).alias("cumulative_value"),
+                    F.round(F.col("__sum") / F.col("__n")).alias("avg_value"), F.round("__mode").alias("mode_value"),
+                    F.round("perc50").alias("median_value"), *[F.round(n).alias(n) for n in PROFILE_PERCENTILES],
+                    F.round("__min").alias("min_value"), F.round("__max").alias("max_value"),
+                    F.round("__sum").alias("sum_value"), F.col("__cnt").alias("count"))
 
 
 def peak_expr(avg="average", sd="standard_deviation", mn="minval", mx="maxval") -> Column:
@@ -379,9 +316,19 @@ def peak_from_samples(df: DataFrame, keys=("pkey", "dbid", "instance_number", "m
                     *[peak.alias(n) for n in PROFILE_PERCENTILES])
 
 
-def _p95_p100(colname: str, prefix: str) -> list[Column]:
-    p = F.percentile(F.col(colname), F.array(F.lit(0.95), F.lit(1.0)))
-    return [F.round(p[0]).alias(prefix + "_p95"), F.round(p[1]).alias(prefix + "_p100")]
+P95_P100 = {"p95": 0.95, "p100": 1.0}
+
+
+def _counter_percentiles(df: DataFrame, group, counters) -> DataFrame:
+    """P95 and P100 (not rounded) of each counter's delta per group: the counters as rows, one
+    ``value_profile`` over all of them, and back to columns."""
+    group = list(group)
+    cells = F.explode(F.array(*[F.struct(F.lit(i).alias("which"), F.col(c + "_delta").cast("double").alias("v"))
+                                for i, c in enumerate(counters)])).alias("__cell")
+    long = df.select(*group, cells).select(*group, F.col("__cell.which").alias("__which"), F.col("__cell.v").alias("__delta"))
+    p = value_profile(long, [*group, "__which"], "__delta", P95_P100)
+    return p.groupBy(*group).agg(*[F.max(F.when(F.col("__which") == i, F.col(q))).alias(f"{c}_{q}")
+                                   for i, c in enumerate(counters) for q in P95_P100])
 
 
 IO_EVENT_COUNTERS = ["total_waits", "total_timeouts", "time_waited_micro"]
@@ -395,8 +342,9 @@ def io_event_profile(df: DataFrame, keys=("pkey", "dbid", "instance_number", "wa
     keys = list(keys)
     kept = df.where(F.col("wait_class").isin(*IO_WAIT_CLASSES))
     d = counter_delta(kept, keys=keys, order=order, values=counters, bucket_width=bucket_width)
-    aggs = [a for c in counters for a in _p95_p100(c + "_delta", c)]
-    return d.withColumn("hour", hour_of(ts)).groupBy(*keys, "hour").agg(*aggs)
+    group = [*keys, "hour"]
+    p = _counter_percentiles(d.withColumn("hour", hour_of(ts)), group, counters)
+    return p.select(*group, *[F.round(f"{c}_{q}").alias(f"{c}_{q}") for c in counters for q in P95_P100])
 
 
 IO_FUNCTION_COUNTERS = ["sm_read_bytes", "sm_write_bytes", "sm_read_reqs", "sm_write_reqs",
@@ -411,14 +359,11 @@ def io_function_profile(df: DataFrame, keys=("pkey", "dbid", "instance_number",
     the sum of the unrounded percentiles, rounded after adding."""
     keys = list(keys)
     d = counter_delta(df, keys=keys, order=order, values=counters, bucket_width=bucket_width)
-    pcts = {c: F.percentile(F.col(c + "_delta"), F.array(F.lit(0.95), F.lit(1.0))) for c in counters}
-    aggs = []
-    for c in counters:
-        aggs += [F.round(pcts[c][0]).alias(c + "_p95"), F.round(pcts[c][1]).alias(c + "_p100")]
-    for kind in ("read_bytes", "write_bytes", "read_reqs", "write_reqs"):
-        for i, p in ((0, "p95"), (1, "p100")):
-            aggs.append(F.round(pcts["sm_" + kind][i] + pcts["lg_" + kind][i]).alias(f"tot_{kind}_{p}"))
-    return d.withColumn("hour", hour_of(ts)).groupBy(*keys, "hour").agg(*aggs)
+    group = [*keys, "hour"]
+    p = _counter_percentiles(d.withColumn("hour", hour_of(ts)), group, counters)
+    totals = [F.round(F.col(f"sm_{kind}_{q}") + F.col(f"lg_{kind}_{q}")).alias(f"tot_{kind}_{q}")
+              for kind in ("read_bytes", "write_bytes", "read_reqs", "write_reqs") for q in P95_P100]
+    return p.select(*group, *[F.round(f"{c}_{q}").alias(f"{c}_{q}") for c in counters for q in P95_P100], *totals)
 
 
 def snapshot_intervals(snaps: DataFrame, keys=("dbid",), order="snap_id", ts="begin_ts",
@@ -428,7 +373,8 @@ def snapshot_intervals(snaps: DataFrame, keys=("dbid",), order="snap_id", ts="be
     the key (restart, and the first row) are dropped; per hour: ids, times, count and
     statistics of the seconds.  ``form="awr"``: seconds = end - begin, times formatted
     ``yyyy-MM-dd HH:mm:ss``; ``form="statspack"``: seconds = this begin - previous begin
-    (0 when none).  The lag uses the range-split kernel (no whole key in one task)."""
+    (0 when none).  The lag uses the range-split kernel (no whole key in one task), the
+    statistics ``value_profile``."""
     keys = list(keys)
     s = (snaps.withColumn("__tsu", micros(ts))
          .transform(lambda d: previous_values(d, keys, order, ["__tsu", startup], bucket_width=bucket_width)))
@@ -437,17 +383,21 @@ def snapshot_intervals(snaps: DataFrame, keys=("dbid",), order="snap_id", ts="be
     else:
         secs = F.coalesce(F.col("__tsu") - F.col("prev___tsu"), F.lit(0)) / F.lit(1e6)
     s = s.withColumn("secs", secs).where(F.col(startup) == F.col("prev_" + startup))
-    v = F.col("secs")
-
     def t(c):
         return F.date_format(c, "yyyy-MM-dd HH:mm:ss") if form == "awr" else c
-    return (s.withColumn("hour", hour_of(ts)).groupBy(*keys, "hour")
-            .agg(F.min(order).alias("min_snap_id"), F.max(order).alias("max_snap_id"),
-                 t(F.min(ts)).alias("min_begin_ts"), t(F.max(ts)).alias("max_begin_ts"),
-                 F.count(F.lit(1)).alias("cnt"),
-                 F.round(F.sum(v)).alias("sum_secs"), F.round(F.avg(v)).alias("avg_secs"),
-                 F.round(F.median(v)).alias("median_secs"), F.round(F.mode(v, deterministic=True)).alias("mode_secs"),
-                 F.round(F.min(v)).alias("min_secs"), F.round(F.max(v)).alias("max_secs")))
+    group = [*keys, "hour"]
+    hours = s.withColumn("hour", hour_of(ts))
+    ends = hours.groupBy(*group).agg(F.min(order).alias("min_snap_id"), F.max(order).alias("max_snap_id"),
+                                     t(F.min(ts)).alias("min_begin_ts"), t(F.max(ts)).alias("max_begin_ts"))
+    p = value_profile(hours, group, "secs", {"__median": 0.5})
+    named = ends.select(*[F.col(g).alias(f"__e{i}") for i, g in enumerate(group)],
+                        "min_snap_id", "max_snap_id", "min_begin_ts", "max_begin_ts")
+    same = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"__e{i}")) for i, g in enumerate(group)])
+    return p.join(named, same).select(
+        *group, "min_snap_id", "max_snap_id", "min_begin_ts", "max_begin_ts", F.col("__cnt").alias("cnt"),
+        F.round("__sum").alias("sum_secs"), F.round(F.col("__sum") / F.col("__n")).alias("avg_secs"),
+        F.round("__median").alias("median_secs"), F.round("__mode").alias("mode_secs"),
+        F.round("__min").alias("min_secs"), F.round("__max").alias("max_secs"))
 
 
 COMMAND_MEASURES = ["buffer_gets", "elapsed_time", "rows_processed", "executions", "cpu_time", "iowait", "clwait",
@@ -586,13 +536,13 @@ def health_samples(records: DataFrame, now_col="now_ts", ticks_now_col="ms_ticks
 
 
 def file_io_summary(stats: DataFrame, keys=("pkey",)) -> DataFrame:
-    """C20: per database: summed reads, writes, stalls and bytes; bytes/op, ms/op and ops/s
-    with zero guards."""
+    """C20: per database: summed reads, writes, stalls, bytes and sample times; bytes/op, ms/op
+    and ops/s with zero guards."""
     g = stats.groupBy(*keys).agg(
         F.sum("num_of_reads").alias("reads"), F.sum("num_of_writes").alias("writes"),
         F.sum("io_stall_read_ms").alias("read_stall_ms"), F.sum("io_stall_write_ms").alias("write_stall_ms"),
         F.sum("bytes_read").alias("bytes_read"), F.sum("bytes_written").alias("bytes_written"),
-        F.max("sample_ms").alias("sample_ms"))
+        F.sum("sample_ms").alias("sample_ms"))
     ops = F.col("reads") + F.col("writes")
     return g.select(*keys, "reads", "writes", "read_stall_ms", "write_stall_ms", "bytes_read", "bytes_written",
                     F.round(safe_ratio("bytes_read", "reads", truncate=False), 2).alias("bytes_per_read"),

@@ -84,17 +84,26 @@ def test_snapshot_intervals_split_equals_plain(spark, sf_small):
     assert a == b and len(a) > 0
 
 
-def test_split_profile_equals_single_aggregate(spark, sf_small):
-    d = ts.counter_delta(estate(spark, sf_small, "est_counters"))
-    plain = ts.hourly_profile(d)
-    cols = plain.columns
-    for buckets in (2, 4, 128):
-        split = ts.hourly_profile(d, split_groups=True, n_buckets=buckets).select(*cols)
-        assert sorted(split.collect()) == sorted(plain.collect())
-
-
-def test_split_os_stat_profile_equals_single_aggregate(spark, sf_small):
-    c = estate(spark, sf_small, "est_counters").withColumn("end_ts", F.expr("begin_ts + interval 1 hour"))
-    plain = ts.os_stat_profile(c, counter_names=["click", "view"])
-    split = ts.os_stat_profile(c, counter_names=["click", "view"], split_groups=True).select(*plain.columns)
-    assert sorted(split.collect()) == sorted(plain.collect())
+def test_value_profile_equals_plain_aggregates(spark):
+    import random
+    r = random.Random(4)
+    values = [None] * 5 + [0, -3, 7, 7, 1 << 40] + [r.randint(-50, 50) for _ in range(300)] + [5] * 400
+    values += [r.randint(0, 10 ** 12) for _ in range(300)]
+    rows = [(r.choice(["a", "b", None]), v) for v in values] + [("nulls", None), ("one", 3)]
+    for kind in ("long", "double"):
+        df = spark.createDataFrame(rows, "g string, v long").select("g", F.col("v").cast(kind).alias("v"))
+        got = {x["g"]: x for x in ts.value_profile(df, ["g"], "v", ts.PROFILE_PERCENTILES, {"twice": F.col("v") * 2}).collect()}
+        pct = [F.percentile("v", F.lit(p)).alias(n) for n, p in ts.PROFILE_PERCENTILES.items()]
+        plain = df.groupBy("g").agg(F.count(F.lit(1)).alias("__cnt"), F.min("v").alias("__min"), F.max("v").alias("__max"),
+                                    F.sum("v").alias("__sum"), F.mode("v", deterministic=True).alias("__mode"),
+                                    F.sum(F.col("v") * 2).alias("twice"), *pct)
+        for x in plain.collect():
+            assert {c: got[x["g"]][c] for c in plain.columns} == x.asDict()
+        assert len(got) == 5
+
+
+def test_value_bucket_never_falls(spark):
+    df = spark.range(0, 200_000).select((F.pow(F.lit(1.0005), F.col("id") % 40_000) * F.when(F.col("id") % 2 == 0, 1).otherwise(-1))
+                                        .alias("v")).union(spark.sql("select explode(transform(sequence(0, 60), i -> power(2D, i)))"))
+    pairs = df.select("v", ts.value_bucket(F.col("v")).alias("b")).orderBy("v").collect()
+    assert all(x["b"] <= y["b"] for x, y in zip(pairs, pairs[1:]))

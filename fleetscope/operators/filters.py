@@ -18,7 +18,15 @@ ORACLE_SYSTEM_OWNERS = [
 ]
 # fixed values: built-in Oracle owner LIKE patterns
 ORACLE_SYSTEM_PATTERNS = ["WWV_FLOWS%", "APEX%", "%GGADMIN"]
-# fixed values: extra owner prefixes of the migration-job validator
+# fixed values: owners and owner prefixes that the migration-job validator leaves out
+VALIDATOR_OWNERS = [
+    "ANONYMOUS", "APPQOSSYS", "AUDSYS", "CSMIG", "CTXSYS", "DBSFWUSER", "DBSNMP", "DIP", "DMA_COLLECTOR", "DMSYS", "DVSYS",
+    "DVF", "EXFSYS", "GSMADMIN_INTERNAL", "GSMCATUSER", "GSMUSER", "LBACSYS", "MDDATA", "MDSYS", "MGDSYS", "MGMT_VIEW",
+    "MTMSYS", "ODM", "ODM_MTR", "ODMRSYS", "OJVMSYS", "OLAPSYS", "ORACLE_OCM", "ORDDATA", "ORDPLUGINS", "ORDS_METADATA",
+    "ORDS_PUBLIC_USER", "ORDSYS", "OSE$HTTP$ADMIN", "OUTLN", "OWBSYS", "OWBSYS_AUDIT", "PERFSTAT", "SI_INFORMTN_SCHEMA",
+    "SPATIAL_CSW_ADMIN_USR", "SPATIAL_WFS_ADMIN_USR", "SQLTXPLAIN", "SYS$UMF", "SYS", "SYSBACKUP", "SYSDG", "SYSKM",
+    "SYSMAN", "SYSTEM", "TRACESRV", "TSMSYS", "WEBSYS", "WK_PROXY", "WK_TEST", "WKPROXY", "WKSYS", "WMSYS", "XDB", "XS$NULL",
+]
 VALIDATOR_PATTERNS = ["APEX\\_%", "AURORA$%", "OPS$%", "FLOWS\\_%"]
 # fixed values: Postgres and MySQL system schemas
 POSTGRES_SYSTEM_SCHEMAS = ["pg_catalog", "information_schema"]
@@ -36,8 +44,8 @@ def is_system_schema(c, family: str = "oracle") -> Column:
             cond = cond | c.like(p)
         return cond
     if family == "validator":
-        cond = c.isin(*ORACLE_SYSTEM_OWNERS)
-        for p in ORACLE_SYSTEM_PATTERNS + VALIDATOR_PATTERNS:
+        cond = c.isin(*VALIDATOR_OWNERS)
+        for p in VALIDATOR_PATTERNS:
             cond = cond | c.like(p)
         return cond
     if family == "postgres":

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import line_count, normalize_data_type
-from fleetscope.operators.filters import exclude_system_schemas
+from fleetscope.operators.filters import exclude_system_schemas, is_system_schema
 
 TABLE_KEY = ["pkey", "owner", "table_name"]
 
@@ -162,17 +162,16 @@ def constraint_summary_by_owner(tables: DataFrame, cons: DataFrame) -> DataFrame
 
 # D9 / D10 ---------------------------------------------------------------------
 def _visible_objects(objs: DataFrame, syns: DataFrame, family: str = "oracle") -> DataFrame:
-    """Objects without recycle-bin names, public synonyms that start with ``/`` or resolve to a
-    system owner, and system owners (directories owned by SYS are kept)."""
-    o = objs.where(~F.col("object_name").like("BIN$%"))
-    sys_syn = exclude_system_schemas(syns, "table_owner", family=family, keep=False)
-    drop_syn = (syns.where(F.col("synonym_name").startswith("/"))
-                .select("pkey", F.col("owner"), F.col("synonym_name").alias("object_name"))
-                .unionByName(sys_syn.select("pkey", "owner", F.col("synonym_name").alias("object_name")))
-                .distinct().withColumn("object_type", F.lit("SYNONYM")))
-    o = o.join(drop_syn, on=["pkey", "owner", "object_name", "object_type"], how="left_anti")
-    kept_dirs = o.where((F.col("object_type") == "DIRECTORY") & (F.col("owner") == "SYS"))
-    return exclude_system_schemas(o, "owner", family=family).unionByName(kept_dirs)
+    """Objects without recycle-bin names, synonyms of PUBLIC that start with ``/`` or resolve to
+    a system owner, and system owners (directories owned by SYS are kept).  Private synonyms
+    stay."""
+    public = (F.col("owner") == "PUBLIC") & (F.col("object_type") == "SYNONYM")
+    seen = (~F.coalesce(is_system_schema("owner", family), F.lit(False))
+            | ((F.col("object_type") == "DIRECTORY") & (F.col("owner") == "SYS")))
+    o = objs.where(~F.col("object_name").like("BIN$%") & seen & ~(public & F.col("object_name").startswith("/")))
+    to_system = (exclude_system_schemas(syns.where(F.col("owner") == "PUBLIC"), "table_owner", family=family, keep=False)
+                 .select("pkey", "owner", F.col("synonym_name").alias("object_name"), F.lit("SYNONYM").alias("object_type")))
+    return o.join(to_system, on=["pkey", "owner", "object_name", "object_type"], how="left_anti")
 
 
 def object_counts(objs: DataFrame, syns: DataFrame) -> DataFrame:
@@ -266,19 +265,23 @@ def database_rollup(details: DataFrame) -> DataFrame:
 # D16 ------------------------------------------------------------------------------
 def compression_by_type(tables: DataFrame, partitions: DataFrame, subpartitions: DataFrame,
                         segments: DataFrame) -> DataFrame:
-    """GB per owner and compression class from three segment joins (tables, partitions,
-    sub-partitions); ceil per (owner, class), summed and truncated; BASIC maps ENABLED to 0
-    and other classes to null."""
-    seg = segments.select("pkey", "owner", "segment_name", "bytes")
-
-    def level(df, name_col):
-        d = df.where(F.col("compression") == "ENABLED") \
-            .select("pkey", "owner", F.col(name_col).alias("segment_name"), "compress_for")
-        return d.join(seg, on=["pkey", "owner", "segment_name"], how="inner")
-
-    u = union_all([level(tables, "table_name"), level(partitions, "partition_name"),
-                   level(subpartitions, "subpartition_name")])
-    g = u.groupBy("pkey", "owner", "compress_for").agg(
+    """GB per owner and compression class from three segment joins: tables with their
+    unpartitioned segment, partitions and sub-partitions by table and partition name.  Each level
+    is summed and rounded up per (owner, class) by itself, then the levels are added; BASIC maps
+    ENABLED to 0 and other classes to null.  System owners are left out."""
+    seg = segments.select("pkey", "owner", "segment_name", F.col("partition_name").alias("part"), "bytes")
+
+    def level(df, number, part_col=None):
+        d = exclude_system_schemas(df.where(F.col("compression") == "ENABLED"), "owner").select(
+            "pkey", "owner", F.col("table_name").alias("segment_name"), "compress_for",
+            *([F.col(part_col).alias("part")] if part_col else []), F.lit(number).alias("level"))
+        if part_col:
+            return d.join(seg, on=["pkey", "owner", "segment_name", "part"], how="inner")
+        return d.join(seg.where("part is null"), on=["pkey", "owner", "segment_name"], how="inner")
+
+    u = union_all([x.select("pkey", "owner", "compress_for", "level", "bytes") for x in (
+        level(tables, 1), level(partitions, 2, "partition_name"), level(subpartitions, 3, "subpartition_name"))])
+    g = u.groupBy("pkey", "owner", "compress_for", "level").agg(
         (F.sum("bytes") / F.lit(1073741824.0)).alias("gbytes"))
     cf, gb = F.col("compress_for"), F.col("gbytes")
     cells = []
@@ -313,8 +316,9 @@ def lob_sizing(cols: DataFrame, tables: DataFrame, lobs: DataFrame, segments: Da
 
 # D18 ------------------------------------------------------------------------------
 def space_by_segment_type(segs: DataFrame) -> DataFrame:
-    return segs.groupBy("pkey", "owner", "segment_type").agg(
-        F.round(F.sum("bytes") / F.lit(1073741824.0), 4).alias("gb"))
+    """Whole GB per owner and segment type, without system owners."""
+    return exclude_system_schemas(segs, "owner").groupBy("pkey", "owner", "segment_type").agg(
+        F.round(F.sum("bytes") / F.lit(1073741824.0)).alias("gb"))
 
 
 def system_tablespace_segments(segs: DataFrame) -> DataFrame:
@@ -380,11 +384,12 @@ def source_code_metrics(lines: DataFrame) -> DataFrame:
 def routine_details(procs: DataFrame, languages: DataFrame, system_schemas=("pg_catalog", "information_schema")) -> DataFrame:
     """Kind label, characters, lines (pg form), security and a system flag."""
     kind = (F.when(F.col("prokind") == "f", "FUNCTION").when(F.col("prokind") == "p", "PROCEDURE")
-            .when(F.col("prokind") == "a", "AGGREGATE").when(F.col("prokind") == "w", "WINDOW").otherwise("UNKNOWN"))
+            .when(F.col("prokind") == "a", "AGGREGATE_FUNCTION").when(F.col("prokind") == "w", "WINDOW_FUNCTION")
+            .otherwise("UNCATEGORIZED_PROCEDURE"))
     return (procs.join(languages, on="lang_code", how="left")
             .select("pkey", "owner", "object_id", kind.alias("object_kind"), "language_name",
                     F.length("definition").alias("num_chars"), line_count("definition", "pg").alias("num_lines"),
-                    F.when(F.col("security_definer"), "DEFINER").otherwise("INVOKER").alias("security"),
+                    F.when(F.col("security_definer"), "definer").otherwise("invoker").alias("security"),
                     F.when(F.col("owner").isin(*system_schemas), True).otherwise(False).alias("is_system")))
 
 
@@ -614,13 +619,18 @@ def unsupported_settings(cfg: DataFrame, allow: DataFrame) -> DataFrame:
 
 
 # D35 - D39 -------------------------------------------------------------------------------
+PATCH_SCHEMA = ("patches struct<patch: array<struct<patchID: string, uniquePatchID: string, patchDescription: string, "
+                "patchType: string, appliedDate: string, bugs: struct<bug: array<struct<description: string>>>>>>")
+
+
 def patch_inventory(xml: DataFrame, xml_col: str = "xml") -> DataFrame:
-    """One row per ``patches/patch`` node with six fields (``xpath`` arrays zipped and exploded)."""
-    x = F.col(xml_col)
-    fields = ["patch_id", "description", "applied", "component", "version", "status"]
-    arrs = [F.xpath(x, F.lit(f"patches/patch/{f}/text()")).alias(f) for f in fields]
-    return (xml.select("pkey", F.explode(F.arrays_zip(*arrs)).alias("p"))
-            .select("pkey", *[F.col("p")[f].alias(f) for f in fields]))
+    """One row per patch of an inventory document, with the description of its first bug.  The
+    document is parsed once; a child that a patch lacks is null in that patch's row."""
+    parsed = F.from_xml(F.col(xml_col), PATCH_SCHEMA)
+    p = xml.select("pkey", F.explode(parsed["patches"]["patch"]).alias("p")).select("pkey", "p.*")
+    return p.select("pkey", F.col("patchID").alias("patch_id"), F.col("uniquePatchID").alias("unique_patch_id"),
+                    F.col("patchDescription").alias("patch_descr"), F.col("patchType").alias("patch_type"),
+                    F.col("appliedDate").alias("applied_date"), F.get(F.col("bugs")["bug"], F.lit(0))["description"].alias("bug_descr"))
 
 
 def session_connections(sessions: DataFrame, conns: DataFrame, current_session: int) -> DataFrame:
@@ -630,17 +640,18 @@ def session_connections(sessions: DataFrame, conns: DataFrame, current_session:
 
 
 def settings_config(global_vars: DataFrame, session_vars: DataFrame, status: DataFrame) -> DataFrame:
-    """Globals, session variables not among the globals (anti-join), and status rows; names
-    upper-cased, key material dropped, final distinct."""
+    """Globals and session variables not among the globals (anti-join) as ALL_VARIABLES, and
+    status rows; names upper-cased, key material and the full-text syntax dropped, final
+    distinct."""
     g = global_vars.select("pkey", F.upper("variable_name").alias("variable_name"), "variable_value") \
-        .withColumn("variable_category", F.lit("GLOBAL_VARIABLES"))
+        .withColumn("variable_category", F.lit("ALL_VARIABLES"))
     s = (session_vars.select("pkey", F.upper("variable_name").alias("variable_name"), "variable_value")
          .join(g.select("pkey", "variable_name"), on=["pkey", "variable_name"], how="left_anti")
-         .withColumn("variable_category", F.lit("SESSION_VARIABLES")))
+         .withColumn("variable_category", F.lit("ALL_VARIABLES")))
     st = status.select("pkey", F.upper("variable_name").alias("variable_name"), "variable_value") \
         .withColumn("variable_category", F.lit("GLOBAL_STATUS"))
     u = union_all([g, s, st])
-    u = u.where(~F.col("variable_name").like("%PUBLIC_KEY") & ~F.col("variable_name").like("%PRIVATE_KEY"))
+    u = u.where((F.col("variable_name") != "FT_BOOLEAN_SYNTAX") & ~F.col("variable_name").like("%PUBLIC_KEY") & ~F.col("variable_name").like("%PRIVATE_KEY"))
     return u.distinct()
 
 

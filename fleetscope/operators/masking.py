@@ -117,6 +117,12 @@ def is_excluded(c, kind: str) -> Column:
     return F.lit(False)
 
 
+def is_left_alone(c, kind: str) -> Column:
+    """Values that masking never replaces: owner-like ones in every kind of column, and system
+    databases in columns of databases."""
+    return is_excluded(c, "SCHEMA_NAME") | is_excluded(c, kind)
+
+
 def pseudonym(c, kind: str, salt: str, attempt=0, words=None) -> Column:
     if kind == "HOST_NAME":
         return host_pseudonym(c, words)
@@ -155,7 +161,7 @@ def resolve_collisions(mapping: DataFrame, salt: str, max_rounds: int = 20, pseu
 
     gen = pseudo or (lambda o, k, a: _kind_switch(o, k, a, salt))
     m = mapping
-    for round_ in range(max_rounds):
+    for _ in range(max_rounds):
         w = Window.partitionBy("masked").orderBy("original")
         ranked = m.withColumn("__rn", F.row_number().over(w))
         if ranked.where(F.col("__rn") > 1).limit(1).count() == 0:
@@ -164,9 +170,7 @@ def resolve_collisions(mapping: DataFrame, salt: str, max_rounds: int = 20, pseu
         m = (ranked.withColumn("attempt", F.when(bump, F.col("attempt") + 1).otherwise(F.col("attempt")))
              .withColumn("masked", F.when(bump, gen(F.col("original"), F.col("kind"), F.col("attempt")))
                          .otherwise(F.col("masked")))
-             .drop("__rn"))
-        if round_ % 3 == 2:
-            m = m.checkpoint()
+             .drop("__rn").checkpoint())  # a round costs one pass, whatever came before
     raise RuntimeError("masked values still collide after %d rounds" % max_rounds)
 
 
@@ -175,17 +179,19 @@ def _kind_switch(original: Column, kind: Column, attempt: Column, salt: str) ->
     for k in FORMATS:
         e = keyed_pseudonym(original, k, salt, attempt)
         out = F.when(kind == k, e) if out is None else out.when(kind == k, e)
-    return out
+    again = F.concat_ws("#", original, attempt.cast("string"))  # a host in collision is hashed anew
+    return out.when(kind == "HOST_NAME", F.when(attempt == 0, host_pseudonym(original)).otherwise(host_pseudonym(again)))
 
 
 def apply_mask(df: DataFrame, mapping: DataFrame, col: str, kind: str) -> DataFrame:
     """Replace ``col`` through the map; unmapped -> ``~~UNMAPPED~~``; a ``BIN$`` value keeps
-    ``BIN$`` in front of its masked value; excluded values stay as they are."""
+    ``BIN$`` in front of its masked value; owner-like values stay as they are whatever the kind,
+    system databases in columns of databases."""
     m = mapping.select(F.col("original").alias("__o"), F.col("masked").alias("__m"))
     j = df.join(m, df[col] == m["__o"], "left")
     prefix = F.when(F.col(col).startswith("BIN$"), F.lit("BIN$")).otherwise(F.lit(""))
     new = (F.when(F.col(col).isNull(), F.lit(None))
-           .when(is_excluded(col, kind), F.col(col))
+           .when(is_left_alone(col, kind), F.col(col))
            .otherwise(F.concat(prefix, F.coalesce(F.col("__m"), F.lit(UNMAPPED)))))
     return j.withColumn(col, new).drop("__o", "__m")
 

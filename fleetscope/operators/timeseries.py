@@ -400,34 +400,37 @@ def snapshot_intervals(snaps: DataFrame, keys=("dbid",), order="snap_id", ts="be
         F.round("__min").alias("min_secs"), F.round("__max").alias("max_secs"))
 
 
+SNAPSHOT_KEYS = ["dbid", "instance_number", "snap_id"]
 COMMAND_MEASURES = ["buffer_gets", "elapsed_time", "rows_processed", "executions", "cpu_time", "iowait", "clwait",
                     "apwait", "ccwait", "plsexec_time"]
 
 
 def command_profile(stats: DataFrame, text: DataFrame, snaps: DataFrame, names: DataFrame,
                     keys=("pkey",), ts="begin_ts") -> DataFrame:
-    """Statements x statement text x snapshots (inner), command names (left);
-    per hour and command type: count and the rounded averages of 10 measures."""
+    """Statements x statement text x snapshots of the same collection, database and
+    instance (inner); per hour and command type: count and the rounded averages of 10 measures.
+    Command names join (left) the aggregate, not the statements."""
     j = (stats.join(text, on=[*keys, "sql_id"], how="inner")
-         .join(snaps, on=["dbid", "snap_id"], how="inner")
-         .join(names, on="command_type", how="left"))
+         .join(snaps.select(*keys, *SNAPSHOT_KEYS, ts), on=[*keys, *SNAPSHOT_KEYS], how="inner"))
     aggs = [F.count(F.lit(1)).alias("cnt")] + [F.round(F.avg(m)).alias("avg_" + m) for m in COMMAND_MEASURES]
-    return (j.withColumn("hh24", hour_of(ts))
-            .groupBy(*keys, "hh24", "command_type", "command_name").agg(*aggs))
+    return (j.withColumn("hh24", hour_of(ts)).groupBy(*keys, "hh24", "command_type").agg(*aggs)
+            .join(names, on="command_type", how="left"))
 
 
 def source_connections(sessions: DataFrame, snaps: DataFrame, commands: DataFrame, keys=("pkey",),
                        ts="begin_ts") -> DataFrame:
-    """Foreground sessions joined to snapshots and to the literal command table; count
-    per hour, database, instance, program, module, machine and command (``|`` in the text
-    columns replaced by ``_``)."""
+    """Foreground sessions joined to the snapshots of the same collection, database and
+    instance; count per hour, database, instance, program, module, machine and command (``|`` in
+    the text columns replaced by ``_``).  The command table joins (inner) the aggregate; names
+    that several command types share are added up."""
     j = (sessions.where(F.col("session_type") == "FOREGROUND")
-         .join(snaps, on=["dbid", "snap_id"], how="inner")
-         .join(commands, on="command_type", how="inner"))
+         .join(snaps.select(*keys, *SNAPSHOT_KEYS, ts), on=[*keys, *SNAPSHOT_KEYS], how="inner"))
+    group = [*keys, "dbid", "instance_number", "hour", "program", "module", "machine"]
     clean = {c: F.replace(F.col(c), F.lit("|"), F.lit("_")) for c in ("program", "module", "machine")}
     return (j.withColumn("hour", hour_of(ts)).withColumns(clean)
-            .groupBy(*keys, "dbid", "instance_number", "hour", "program", "module", "machine", "command_name")
-            .agg(F.count(F.lit(1)).alias("cnt")))
+            .groupBy(*group, "command_type").agg(F.count(F.lit(1)).alias("cnt"))
+            .join(commands, on="command_type", how="inner")
+            .groupBy(*group, "command_name").agg(F.sum("cnt").alias("cnt")))
 
 
 def top_statements(stats: DataFrame, n: int = 299, keys=("pkey",), byte_columns=(),
@@ -553,17 +556,17 @@ def file_io_summary(stats: DataFrame, keys=("pkey",)) -> DataFrame:
                     .alias("ops_per_sec"))
 
 
-def snapshot_coverage(snaps: DataFrame, keys=("pkey",), ts="begin_ts", min_days: int = 7,
-                      min_per_day: int = 20) -> DataFrame:
-    """Days spanned and snapshots per day; FAILED without snapshots, WARNING when the
-    span or the rate is short, else SUCCESS."""
-    g = snaps.groupBy(*keys).agg(F.count(F.lit(1)).alias("snap_count"), F.min(ts).alias("first_ts"),
-                                 F.max(ts).alias("last_ts"))
-    days = F.round((micros("last_ts") - micros("first_ts")) / F.lit(86400e6), 2)
-    g = g.withColumn("days", days).withColumn(
-        "snaps_per_day", F.round(F.when(F.col("days") == 0, F.col("snap_count").cast("double"))
-                                 .otherwise(F.col("snap_count") / F.col("days")), 2))
-    status = (F.when(F.col("snap_count") == 0, F.lit("FAILED"))
+def snapshot_coverage(collections: DataFrame, snaps: DataFrame, as_of, keys=("pkey",), ts="begin_ts",
+                      min_days: int = 7, min_per_day: int = 20) -> DataFrame:
+    """Whole days spanned and snapshots per day up to the start of the day ``as_of``; FAILED
+    for collections without snapshots or without a whole day of them, WARNING when the span or
+    the rate is short, else SUCCESS."""
+    g = snaps.where(F.col(ts) <= F.lit(as_of).cast("timestamp")).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("snap_count"), F.min(ts).alias("first_ts"), F.max(ts).alias("last_ts"))
+    g = collections.select(*keys).distinct().join(g, on=list(keys), how="left").fillna(0, ["snap_count"])
+    g = g.withColumn("days", F.floor((micros("last_ts") - micros("first_ts")) / F.lit(86400e6)).cast("long"))
+    g = g.withColumn("snaps_per_day", F.round(F.col("snap_count") / F.nullif("days", F.lit(0)), 2))
+    status = (F.when((F.col("snap_count") == 0) | (F.col("days") == 0), F.lit("FAILED"))
               .when((F.col("days") < min_days) | (F.col("snaps_per_day") < min_per_day), F.lit("WARNING"))
               .otherwise(F.lit("SUCCESS")))
     return g.withColumn("status", status)

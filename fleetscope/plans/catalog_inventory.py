@@ -35,9 +35,9 @@ from est_indexes"""
 OBJECTS = """select pkey, case when relkind = 'q' then 'PUBLIC' else owner end as owner, table_name as object_name,
   case relkind when 'r' then 'TABLE' when 'p' then 'TABLE PARTITION' when 'v' then 'VIEW' when 'f' then 'DIRECTORY'
   else 'SYNONYM' end as object_type from est_tables"""
-SYNONYMS = """select pkey, 'PUBLIC' as owner, case when num_rows % 700 = 0 then concat('/', table_name) else table_name end
+SYNONYMS = """select pkey, case when num_rows % 500 = 0 then owner else 'PUBLIC' end as owner, case when num_rows % 700 = 0 then concat('/', table_name) else table_name end
   as synonym_name, owner as table_owner from est_tables where relkind = 'q'"""
-OBJECTS_WITH_SLASH = """select pkey, case when relkind = 'q' then 'PUBLIC' else owner end as owner,
+OBJECTS_WITH_SLASH = """select pkey, case when relkind = 'q' and num_rows % 500 <> 0 then 'PUBLIC' else owner end as owner,
   case when relkind = 'q' and num_rows % 700 = 0 then concat('/', table_name) else table_name end as object_name,
   case relkind when 'r' then 'TABLE' when 'p' then 'TABLE PARTITION' when 'v' then 'VIEW' when 'f' then 'DIRECTORY'
   else 'SYNONYM' end as object_type from est_tables"""
@@ -202,7 +202,7 @@ from m group by pkey, owner"""),
         inputs={"objs": OBJECTS_WITH_SLASH, "syns": SYNONYMS},
         oracle=f"""with v as (select o.* from objs o
   where o.object_name not like 'BIN$%'
-    and not (o.object_type = 'SYNONYM' and (o.object_name like '/%' or exists (
+    and not (o.object_type = 'SYNONYM' and o.owner = 'PUBLIC' and (o.object_name like '/%' or exists (
       select 1 from syns s where s.pkey = o.pkey and s.owner = o.owner and s.synonym_name = o.object_name
         and coalesce({_sys_sql('s.table_owner')}, false))))
     and (not coalesce({_sys_sql('o.owner')}, false) or (o.object_type = 'DIRECTORY' and o.owner = 'SYS')))
@@ -212,7 +212,7 @@ select pkey, owner, object_type, count(*) as object_count from v group by all"""
         inputs={"objs": OBJECTS_WITH_SLASH, "syns": SYNONYMS, "src": SOURCE_LINES},
         oracle=f"""with v as (select o.* from objs o
   where o.object_name not like 'BIN$%'
-    and not (o.object_type = 'SYNONYM' and (o.object_name like '/%' or exists (
+    and not (o.object_type = 'SYNONYM' and o.owner = 'PUBLIC' and (o.object_name like '/%' or exists (
       select 1 from syns s where s.pkey = o.pkey and s.owner = o.owner and s.synonym_name = o.object_name
         and coalesce({_sys_sql('s.table_owner')}, false))))
     and (not coalesce({_sys_sql('o.owner')}, false) or (o.object_type = 'DIRECTORY' and o.owner = 'SYS'))),
@@ -238,13 +238,13 @@ D14_ORACLE = """with pk as (select pkey, owner, table_name, 'YES' as pkf from st
 D16_INPUTS = {
     "tables": """select pkey, owner, table_name, compress_for,
   case when relkind <> 'v' then 'ENABLED' else 'DISABLED' end as compression from est_tables""",
-    "parts": """select pkey, owner, concat(table_name, '_P') as partition_name, compress_for, 'ENABLED' as compression
+    "parts": """select pkey, owner, table_name, concat('P', cast(num_rows % 3 as string)) as partition_name, compress_for, 'ENABLED' as compression
 from est_tables where relkind = 'p'""",
-    "subparts": """select pkey, owner, concat(table_name, '_S') as subpartition_name, compress_for, 'ENABLED' as compression
+    "subparts": """select pkey, owner, table_name, 'S1' as subpartition_name, compress_for, 'ENABLED' as compression
 from est_tables where temporary = 'Y'""",
-    "segs": """select pkey, owner, table_name as segment_name, bytes from est_tables
-union all select pkey, owner, concat(table_name, '_P'), bytes * 2 from est_tables where relkind = 'p'
-union all select pkey, owner, concat(table_name, '_S'), bytes * 3 from est_tables where temporary = 'Y'""",
+    "segs": """select pkey, owner, table_name as segment_name, cast(null as string) as partition_name, bytes from est_tables
+union all select pkey, owner, table_name, 'P1', bytes * 2 from est_tables where relkind = 'p'
+union all select pkey, owner, table_name, 'S1', bytes * 3 from est_tables where temporary = 'Y'""",
 }
 
 
@@ -319,18 +319,19 @@ D37_INPUTS = {
     "g": "select pkey, setting_name as variable_name, setting_value as variable_value from est_settings",
     "s": """select pkey, upper(setting_name) as variable_name, 'session' as variable_value from est_settings
 union all select pkey, extension_name, 'ON' from est_extensions
-union all select pkey, 'ssl_private_key', 'secret' from est_databases""",
+union all select pkey, 'ssl_private_key', 'secret' from est_databases
+union all select pkey, 'ft_boolean_syntax', database_name from est_databases""",
     "st": "select pkey, stat_name as variable_name, cast(max(value) as string) as variable_value from est_counters "
           "group by pkey, stat_name",
 }
 XML_SQL = """select concat('pk', cast(o_custkey % 3 as string)) as pkey, o_orderkey, o_orderpriority, o_orderstatus,
-  cast(cast(o_orderdate as date) as string) as applied, cast(o_custkey % 20 as string) as minor,
-  concat('<patches><patch><patch_id>', cast(o_orderkey as string), '</patch_id><description>', o_orderpriority,
-    '</description><applied>', cast(cast(o_orderdate as date) as string), '</applied><component>', o_orderstatus,
-    '</component><version>19.', cast(o_custkey % 20 as string), '</version><status>OK</status></patch>',
-    '<patch><patch_id>', cast(o_orderkey + 1000000 as string), '</patch_id><description>fix</description><applied>',
-    cast(cast(o_orderdate as date) as string), '</applied><component>RDBMS</component><version>19.0</version>',
-    '<status>ROLLED BACK</status></patch></patches>') as xml
+  cast(cast(o_orderdate as date) as string) as applied,
+  concat('<InventoryInstance><patches><patch><patchID>', cast(o_orderkey as string), '</patchID><uniquePatchID>',
+    cast(o_orderkey * 10 as string), '</uniquePatchID><patchDescription>', o_orderpriority, '</patchDescription>',
+    '<patchType>', o_orderstatus, '</patchType><bugs><bug><description>first</description></bug><bug><description>second',
+    '</description></bug></bugs></patch><patch><patchID>', cast(o_orderkey + 1000000 as string), '</patchID><patchType>singleton',
+    '</patchType><appliedDate>', cast(cast(o_orderdate as date) as string),
+    '</appliedDate></patch></patches></InventoryInstance>') as xml
 from orders"""
 
 SPECS.update({
@@ -401,15 +402,16 @@ left join fdw f on o.pkey = f.pkey and o.object_id = f.object_id"""),
         build=lambda tables, parts, subparts, segs: inv.compression_by_type(tables, parts, subparts, segs),
         inputs=D16_INPUTS,
         oracle=f"""with u as (
-  select t.pkey, t.owner, t.compress_for, s.bytes from tables t join segs s
-    on t.pkey = s.pkey and t.owner = s.owner and t.table_name = s.segment_name where t.compression = 'ENABLED'
+  select 1 as level, t.pkey, t.owner, t.compress_for, s.bytes from tables t join segs s on t.pkey = s.pkey
+    and t.owner = s.owner and t.table_name = s.segment_name and s.partition_name is null where t.compression = 'ENABLED'
   union all
-  select t.pkey, t.owner, t.compress_for, s.bytes from parts t join segs s
-    on t.pkey = s.pkey and t.owner = s.owner and t.partition_name = s.segment_name where t.compression = 'ENABLED'
+  select 2, t.pkey, t.owner, t.compress_for, s.bytes from parts t join segs s on t.pkey = s.pkey and t.owner = s.owner
+    and t.table_name = s.segment_name and t.partition_name = s.partition_name where t.compression = 'ENABLED'
   union all
-  select t.pkey, t.owner, t.compress_for, s.bytes from subparts t join segs s
-    on t.pkey = s.pkey and t.owner = s.owner and t.subpartition_name = s.segment_name where t.compression = 'ENABLED'),
-g as (select pkey, owner, compress_for, sum(bytes) / cast(1073741824 as double) as gbytes from u group by all)
+  select 3, t.pkey, t.owner, t.compress_for, s.bytes from subparts t join segs s on t.pkey = s.pkey and t.owner = s.owner
+    and t.table_name = s.segment_name and t.subpartition_name = s.partition_name where t.compression = 'ENABLED'),
+g as (select level, pkey, owner, compress_for, sum(bytes) / cast(1073741824 as double) as gbytes from u
+  where not coalesce({_sys_sql('owner')}, false) group by all)
 select pkey, owner, {_compress_cells()} from g group by pkey, owner"""),
     "d17_lob_sizing": Spec(
         build=lambda cols, tables, lobs, segs: inv.lob_sizing(cols, tables, lobs, segs),
@@ -428,7 +430,8 @@ from j group by pkey, owner, table_name, column_name, num_rows"""),
     "d18_space_by_segment_type": Spec(
         build=lambda segs: inv.space_by_segment_type(segs),
         inputs={"segs": SEGMENTS},
-        oracle="select pkey, owner, segment_type, round(sum(bytes) / cast(1073741824 as double), 4) as gb from segs group by all"),
+        oracle=f"""select pkey, owner, segment_type, round(sum(bytes) / cast(1073741824 as double)) as gb from segs
+where not coalesce({_sys_sql('owner')}, false) group by all"""),
     "d18_system_tablespace_segments": Spec(
         build=lambda segs: inv.system_tablespace_segments(segs),
         inputs={"segs": SEGMENTS},
@@ -470,9 +473,9 @@ select pkey, owner, type, sum(nr_lines) as sum_nr_lines, count(*) as qt_objs, su
         build=lambda procs, langs: inv.routine_details(procs, langs),
         inputs={"procs": PROCS, "langs": LANG_SQL},
         oracle="""select p.pkey, p.owner, p.object_id, case p.prokind when 'f' then 'FUNCTION' when 'p' then 'PROCEDURE'
-  when 'a' then 'AGGREGATE' when 'w' then 'WINDOW' else 'UNKNOWN' end as object_kind, l.language_name,
+  when 'a' then 'AGGREGATE_FUNCTION' when 'w' then 'WINDOW_FUNCTION' else 'UNCATEGORIZED_PROCEDURE' end as object_kind, l.language_name,
   length(p.definition) as num_chars, length(p.definition) + 1 - length(replace(p.definition, chr(10), '')) as num_lines,
-  case when p.security_definer then 'DEFINER' else 'INVOKER' end as security,
+  case when p.security_definer then 'definer' else 'invoker' end as security,
   p.owner in ('pg_catalog', 'information_schema') as is_system
 from procs p left join langs l on p.lang_code = l.lang_code"""),
     "d23_dialect_dependencies": Spec(
@@ -637,10 +640,10 @@ group by pkey, database_name, permission_name"""),
     "d35_patch_inventory": Spec(
         build=lambda x: inv.patch_inventory(x),
         inputs={"x": XML_SQL},
-        oracle="""select pkey, cast(o_orderkey as varchar) as patch_id, o_orderpriority as description, applied,
-  o_orderstatus as component, '19.' || minor as version, 'OK' as status from x
+        oracle="""select pkey, cast(o_orderkey as varchar) as patch_id, cast(o_orderkey * 10 as varchar) as unique_patch_id,
+  o_orderpriority as patch_descr, o_orderstatus as patch_type, cast(null as varchar) as applied_date, 'first' as bug_descr from x
 union all
-select pkey, cast(o_orderkey + 1000000 as varchar), 'fix', applied, 'RDBMS', '19.0', 'ROLLED BACK' from x"""),
+select pkey, cast(o_orderkey + 1000000 as varchar), null, null, 'singleton', applied, null from x"""),
     "d36_session_connections": Spec(
         build=lambda s, c: inv.session_connections(s, c, current_session=1),
         inputs={"s": "select concat('pk', cast(o_orderkey % 3 as string)) as pkey, o_orderkey as session_id, "
@@ -652,13 +655,13 @@ join c on s.pkey = c.pkey and s.session_id = c.session_id where s.session_id <>
     "d37_settings_config": Spec(
         build=lambda g, s, st: inv.settings_config(g, s, st),
         inputs=D37_INPUTS,
-        oracle="""with gg as (select pkey, upper(variable_name) as variable_name, variable_value, 'GLOBAL_VARIABLES' as variable_category
+        oracle="""with gg as (select pkey, upper(variable_name) as variable_name, variable_value, 'ALL_VARIABLES' as variable_category
     from g),
 u as (select * from gg
-  union all select s.pkey, upper(s.variable_name), s.variable_value, 'SESSION_VARIABLES' from s
+  union all select s.pkey, upper(s.variable_name), s.variable_value, 'ALL_VARIABLES' from s
     where not exists (select 1 from gg where gg.pkey = s.pkey and gg.variable_name = upper(s.variable_name))
   union all select pkey, upper(variable_name), variable_value, 'GLOBAL_STATUS' from st)
-select distinct * from u where variable_name not like '%PUBLIC_KEY' and variable_name not like '%PRIVATE_KEY'"""),
+select distinct * from u where variable_name <> 'FT_BOOLEAN_SYNTAX' and variable_name not like '%PUBLIC_KEY' and variable_name not like '%PRIVATE_KEY'"""),
     "d38_no_primary_key": Spec(
         build=lambda t, c: inv.no_primary_key(t, c),
         inputs={"t": "select * from est_tables", "c": "select * from est_constraints"},

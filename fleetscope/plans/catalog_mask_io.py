@@ -88,7 +88,8 @@ def _masked_tables(tables, cust):
 
 
 def _apply_sql(col: str, kind: str, alias: str) -> str:
-    return (f"case when t.{col} is null then null when {excluded_sql('t.' + col, kind)} then t.{col} else "
+    return (f"case when t.{col} is null then null when {excluded_sql('t.' + col, 'SCHEMA_NAME')} "
+            f"or {excluded_sql('t.' + col, kind)} then t.{col} else "
             f"(case when starts_with(t.{col}, 'BIN$') then 'BIN$' else '' end) || coalesce({alias}.masked, '{M.UNMAPPED}') end")
 
 

@@ -24,14 +24,18 @@ IO_FUNCS = ("select pkey, dbid, instance_number, snap_id, begin_ts, stat_name as
             + ", ".join(f"value * {i + 1} as {c}" for i, c in enumerate(ts.IO_FUNCTION_COUNTERS))
             + " from est_counters")
 
-STATS_SQL = """select pkey, 1 as dbid, sql_id, cast(substr(sql_id, 4) as bigint) % 700 + 1 as snap_id,
+# snapshots of every collection and instance, numbered within each
+SNAPS_SQL = """select pkey, dbid, instance_number, h as begin_ts,
+  row_number() over (partition by pkey, dbid, instance_number order by h) as snap_id
+from (select distinct pkey, dbid, instance_number, date_trunc('hour', begin_ts) as h from est_counters) t"""
+STATS_SQL = """select pkey, 1 as dbid, cast(executions % 2 as int) as instance_number, sql_id, cast(substr(sql_id, 4) as bigint) % 700 + 1 as snap_id,
   rows_processed * 10 as buffer_gets, elapsed as elapsed_time, rows_processed, executions, elapsed % 1000 as cpu_time,
   elapsed % 97 as iowait, elapsed % 13 as clwait, rows_processed % 7 as apwait, executions % 2 as ccwait,
   rows_processed % 5 as plsexec_time
 from est_statements"""
 TEXT_SQL = """select pkey, sql_id, min(cast(signature as int)) % 8 as command_type from est_statements group by pkey, sql_id"""
 NAMES_SQL = params.values_sql(params.COMMAND_NAMES, ["command_type", "command_name"])
-SESSIONS_SQL = """select pkey, 1 as dbid, cast(executions % 2 as int) + 1 as instance_number,
+SESSIONS_SQL = """select pkey, 1 as dbid, cast(executions % 2 as int) as instance_number,
   cast(substr(sql_id, 4) as bigint) % 700 + 1 as snap_id,
   case when executions > 0 then 'FOREGROUND' else 'BACKGROUND' end as session_type,
   concat('prog|', cast(cast(signature as int) % 4 as string)) as program,
@@ -100,6 +104,8 @@ def _c12(stats, text, snaps, names):
     return ts.command_profile(stats, text, snaps, names)
 
 
+COVERAGE_DAY = "2024-01-20 00:00:00"
+
 SPECS: dict[str, Spec] = {
     "c1_counter_delta": Spec(
         build=_c1, inputs={"counters": COUNTERS}, oracle=C1_SQL),
@@ -210,20 +216,20 @@ select a.*, round(m.mode_v) as mode_secs from (
   from k group by dbid, hour) a left join __mode m on a.dbid = m.dbid and a.hour = m.hour"""),
     "c12_command_profile": Spec(
         build=_c12,
-        inputs={"stats": STATS_SQL, "text": TEXT_SQL, "snaps": "select * from est_snapshots", "names": NAMES_SQL},
+        inputs={"stats": STATS_SQL, "text": TEXT_SQL, "snaps": SNAPS_SQL, "names": NAMES_SQL},
         oracle=f"""select st.pkey, strftime(sn.begin_ts, '%H') as hh24, st.command_type, n.command_name, count(*) as cnt,
   {', '.join(f"round(avg({m})) as avg_{m}" for m in ts.COMMAND_MEASURES)}
 from (select s.*, t.command_type from stats s join text t on s.pkey = t.pkey and s.sql_id = t.sql_id) st
-join snaps sn on st.dbid = sn.dbid and st.snap_id = sn.snap_id
+join snaps sn on st.pkey = sn.pkey and st.dbid = sn.dbid and st.instance_number = sn.instance_number and st.snap_id = sn.snap_id
 left join names n on st.command_type = n.command_type
 group by st.pkey, strftime(sn.begin_ts, '%H'), st.command_type, n.command_name"""),
     "c13_source_connections": Spec(
         build=lambda sessions, snaps, names: ts.source_connections(sessions, snaps, names),
-        inputs={"sessions": SESSIONS_SQL, "snaps": "select * from est_snapshots", "names": NAMES_SQL},
+        inputs={"sessions": SESSIONS_SQL, "snaps": SNAPS_SQL, "names": NAMES_SQL},
         oracle="""select s.pkey, s.dbid, s.instance_number, strftime(sn.begin_ts, '%H') as hour,
   replace(s.program, '|', '_') as program, replace(s.module, '|', '_') as module, replace(s.machine, '|', '_') as machine,
   n.command_name, count(*) as cnt
-from sessions s join snaps sn on s.dbid = sn.dbid and s.snap_id = sn.snap_id
+from sessions s join snaps sn on s.pkey = sn.pkey and s.dbid = sn.dbid and s.instance_number = sn.instance_number and s.snap_id = sn.snap_id
 join names n on s.command_type = n.command_type
 where s.session_type = 'FOREGROUND'
 group by s.pkey, s.dbid, s.instance_number, strftime(sn.begin_ts, '%H'), replace(s.program, '|', '_'),
@@ -289,16 +295,16 @@ from rec"""),
   round(case when sample_ms / 1000.0 = 0 then 0.0 else (reads + writes) / (sample_ms / 1000.0) end, 2) as ops_per_sec
 from (select pkey, cast(sum(num_of_reads) as bigint) as reads, cast(sum(num_of_writes) as bigint) as writes,
   cast(sum(io_stall_read_ms) as bigint) as read_stall_ms, cast(sum(io_stall_write_ms) as bigint) as write_stall_ms,
-  cast(sum(bytes_read) as bigint) as bytes_read, cast(sum(bytes_written) as bigint) as bytes_written, max(sample_ms) as sample_ms
+  cast(sum(bytes_read) as bigint) as bytes_read, cast(sum(bytes_written) as bigint) as bytes_written, cast(sum(sample_ms) as bigint) as sample_ms
   from st group by pkey) t"""),
     "c21_snapshot_coverage": Spec(
-        build=lambda snaps: ts.snapshot_coverage(snaps, keys=("pkey", "instance_number")),
-        inputs={"snaps": COUNTERS},
-        oracle="""with g as (select pkey, instance_number, count(*) as snap_count, min(begin_ts) as first_ts, max(begin_ts) as last_ts,
-    round((epoch_us(max(begin_ts)) - epoch_us(min(begin_ts))) / 86400e6, 2) as days
-  from snaps group by pkey, instance_number),
-h as (select *, round(case when days = 0 then cast(snap_count as double) else snap_count / days end, 2) as snaps_per_day from g)
-select *, case when snap_count = 0 then 'FAILED' when days < 7 or snaps_per_day < 20 then 'WARNING' else 'SUCCESS' end as status
+        build=lambda cols, snaps: ts.snapshot_coverage(cols, snaps, COVERAGE_DAY),
+        inputs={"cols": "select distinct pkey from est_databases", "snaps": COUNTERS},
+        oracle=f"""with g as (select c.pkey, count(s.begin_ts) as snap_count, min(begin_ts) as first_ts, max(begin_ts) as last_ts,
+    cast(floor((epoch_us(max(begin_ts)) - epoch_us(min(begin_ts))) / 86400e6) as bigint) as days
+  from cols c left join snaps s on s.pkey = c.pkey and s.begin_ts <= timestamp '{COVERAGE_DAY}' group by c.pkey),
+h as (select *, round(case when days > 0 then snap_count / days end, 2) as snaps_per_day from g)
+select *, case when snap_count = 0 or days = 0 then 'FAILED' when days < 7 or snaps_per_day < 20 then 'WARNING' else 'SUCCESS' end as status
 from h"""),
     "c22_redo_per_day": Spec(
         build=lambda hist, logs: ts.redo_per_day(hist, logs, as_of="1998-08-02"),

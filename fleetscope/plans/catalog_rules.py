@@ -32,7 +32,7 @@ TG_MY = "tg as (select * from (values " + ", ".join(
     f"('{t['target']}', cast({t['min_major']} as double), cast({t['max_major']} as double), {t['extra']})"
     for t in R.MYSQL_TARGETS) + ") as t(migration_target, min_major, max_major, extra))"
 MANAGED = """col as (select distinct pkey from databases),
-mg as (select col.pkey, coalesce(max(case when e.extension_owner = 'rdsadmin' then 1 else 0 end), 0) = 1 as is_managed
+mg as (select col.pkey, coalesce(max(case when e.extension_owner = 'rdsadmin' and e.is_super_user then 1 else 0 end), 0) = 1 as is_managed
   from col left join extensions e on col.pkey = e.pkey group by col.pkey)"""
 
 

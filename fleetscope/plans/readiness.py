@@ -114,8 +114,10 @@ def _as_int(c: str) -> Column:
 # ---------------------------------------------------------------------------
 
 def managed_flag(collections: DataFrame, extensions: DataFrame, role: str = MANAGED_ADMIN_ROLE,
-                 owner_col: str = "extension_owner") -> DataFrame:
-    m = extensions.groupBy("pkey").agg(F.max(F.when(F.col(owner_col) == role, 1).otherwise(0)).alias("__m"))
+                 owner_col: str = "extension_owner", super_col: str = "is_super_user") -> DataFrame:
+    """Managed if an extension belongs to the admin role and that owner is a superuser."""
+    m = extensions.groupBy("pkey").agg(
+        F.max(F.when((F.col(owner_col) == role) & F.col(super_col), 1).otherwise(0)).alias("__m"))
     return (collections.select("pkey").distinct().join(m, "pkey", "left")
             .select("pkey", (F.coalesce(F.col("__m"), F.lit(0)) == 1).alias("is_managed")))
 
@@ -144,7 +146,8 @@ def collection_facts(collections: DataFrame, databases: DataFrame | None = None,
             F.min(F.when((name == "wal_level") & (val != "logical"), val)).alias("wal_level_bad")), "pkey", "left")
     if extensions is not None:
         out = out.join(extensions.groupBy("pkey").agg(
-            F.max(F.when(F.col("extension_owner") == MANAGED_ADMIN_ROLE, 1).otherwise(0)).alias("__m")),
+            F.max(F.when((F.col("extension_owner") == MANAGED_ADMIN_ROLE) & F.col("is_super_user"), 1).otherwise(0))
+            .alias("__m")),
             "pkey", "left").withColumn("is_managed", F.coalesce(F.col("__m"), F.lit(0)) == 1).drop("__m")
     if slots is not None:
         out = out.join(slots.groupBy("pkey").agg(F.count(F.lit(1)).alias("used_slots")), "pkey", "left")

@@ -45,10 +45,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint directory named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the deployment to a shared filesystem and is only
-    read here.  When it is unset (local tests) a private scratch folder is created.
+    read here.  Where it is unset a private scratch folder is made on one machine (local tests);
+    on a cluster, whose executors would not see such a folder, that is an error.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = tempfile.mkdtemp(prefix="fleetscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

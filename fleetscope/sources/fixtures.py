@@ -92,7 +92,8 @@ where s_suppkey % 5 <> 4
     "est_extensions": """
 select distinct concat('pk', cast(c_custkey % 5 as string)) as pkey, concat('db', cast(c_custkey % 10 as string)) as database_name,
        case c_nationkey % 5 when 0 then 'pglogical' when 1 then 'pg_cron' when 2 then 'unsupported_ext' when 3 then 'plpgsql' else 'hstore' end as extension_name,
-       case when c_custkey % 5 = 3 then 'rdsadmin' when c_custkey % 11 = 0 then 'alloydbadmin' else 'postgres' end as extension_owner
+       case when c_custkey % 5 = 3 then 'rdsadmin' when c_custkey % 11 = 0 then 'alloydbadmin' else 'postgres' end as extension_owner,
+       c_custkey % 5 in (1, 3) as is_super_user
 from customer
 """,
     "est_lines": """

@@ -17,12 +17,11 @@ from __future__ import annotations
 
 import os
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from fleetscope.sources.extracts import CSV_OPTIONS, TS_NTZ_FORMAT, conform
 
@@ -92,19 +91,16 @@ def latest_windows(spark: SparkSession, sink: str, keys) -> DataFrame:
 
 def _delta_with_state(key, pdfs, state):
     """Per key: sort the batch by snapshot id, take the previous value from state for the
-    first row, emit deltas (first sample and resets -> 0), keep the last sample in state."""
+    first row, emit deltas (first sample and resets -> 0), keep the last sample in state.
+    Values come as text: pandas would turn 64-bit integers next to nulls into floats."""
     frames = [p for p in pdfs]
     if not frames:
         return
     df = pd.concat(frames, ignore_index=True).sort_values("snap_id", kind="stable")
-    prev = df["value"].shift(1)
-    if state.exists:
-        prev.iloc[0] = state.get[1]
-    v = df["value"]
-    ok = v.notna() & prev.notna() & (v >= prev)
-    df["value_delta"] = np.where(ok, v - prev, 0).astype("int64")
-    last = df.iloc[-1]
-    state.update((int(last["snap_id"]), None if pd.isna(last["value"]) else int(last["value"])))
+    values = [None if v is None or pd.isna(v) else int(v) for v in df["value"]]
+    before = [state.get[1] if state.exists else None, *values[:-1]]
+    df["value_delta"] = [v - p if v is not None and p is not None and v >= p else 0 for v, p in zip(values, before)]
+    state.update((int(df["snap_id"].iloc[-1]), values[-1]))
     yield df
 
 
@@ -116,10 +112,11 @@ def stream_counter_delta(spark: SparkSession, src: str, schema: StructType, sink
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     s = reader.parquet(src).select(*schema.names)
-    out_schema = StructType(schema.fields).add("value_delta", "long")
-    d = s.groupBy(*keys).applyInPandasWithState(
-        _delta_with_state, outputStructType=out_schema, stateStructType="last_snap long, last_value long",
+    text = StructType([StructField(f.name, StringType() if f.name == "value" else f.dataType) for f in schema.fields])
+    d = s.withColumn("value", F.col("value").cast("string")).groupBy(*keys).applyInPandasWithState(
+        _delta_with_state, outputStructType=text.add("value_delta", "long"), stateStructType="last_snap long, last_value long",
         outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
+    d = d.withColumn("value", F.col("value").cast(schema["value"].dataType))
     q = (d.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
          .foreachBatch(_batch_writer(sink)).trigger(availableNow=True).start())
     q.awaitTermination()

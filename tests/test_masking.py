@@ -62,3 +62,17 @@ def test_host_pseudonym_layout(spark):
         assert len(parts) == 4 and parts[3] == words[0]
     again = [r.p for r in df.select(M.host_pseudonym("h").alias("p")).collect()]
     assert out == again
+
+
+def test_owner_like_values_stay_in_every_kind(spark):
+    df = spark.createDataFrame([("APEX_FOO",), ("SYS",), ("OPS$X",), ("T1",), ("BIN$T1",), (None,)], "name string")
+    m = spark.createDataFrame([("T1", "OBJECT_NAME", "OBJ_1", 0)], "original string, kind string, masked string, attempt int")
+    got = [r["name"] for r in M.apply_mask(df, m, "name", "OBJECT_NAME").collect()]
+    assert set(got) == {"APEX_FOO", "SYS", "OPS$X", "OBJ_1", "BIN$" + M.UNMAPPED, None} and len(got) == 6
+
+
+def test_hosts_in_collision_are_hashed_anew(spark):
+    rows = [(f"host{i}", "HOST_NAME", "same", 0) for i in range(4)]
+    m = spark.createDataFrame(rows, "original string, kind string, masked string, attempt int")
+    got = {r["original"]: r["masked"] for r in M.resolve_collisions(m, "salt").collect()}
+    assert got["host0"] == "same" and None not in got.values() and len(set(got.values())) == 4

@@ -101,3 +101,29 @@ def test_privilege_gate_skips_table_checks(spark):
     nopk = by[("TABLES_WITH_NO_PK", "WARNING")]
     assert "s.t1" in nopk and "s.t2" not in nopk   # database b failed the gate
     assert ("PGLOGICAL_NODE_ALREADY_EXISTS", "PASS") in by
+
+
+def test_validator_owner_list(spark):
+    from fleetscope.operators.filters import exclude_system_schemas
+    hidden = ["ANONYMOUS", "SYSBACKUP", "SYS$UMF", "GSMUSER", "ODMRSYS", "SYSDG", "SYSKM", "APEX_1", "AURORA$X", "OPS$A", "FLOWS_1"]
+    shown = ["SDE", "DBA_ADM", "XGGADMIN", "APEXX", "FLOWSX", "HR", None]
+    df = spark.createDataFrame([(o,) for o in hidden + shown], "owner string")
+    kept = [r["owner"] for r in exclude_system_schemas(df, "owner", family="validator").collect()]
+    assert kept == shown
+
+
+def test_managed_needs_a_superuser(spark):
+    rows = [("a", "rdsadmin", True), ("b", "rdsadmin", False), ("c", "postgres", True)]
+    ext = spark.createDataFrame(rows, "pkey string, extension_owner string, is_super_user boolean")
+    got = {r["pkey"]: r["is_managed"] for r in R.managed_flag(ext.select("pkey"), ext).collect()}
+    assert got == {"a": True, "b": False, "c": False}
+
+
+def test_patches_keep_their_own_fields(spark):
+    from fleetscope.operators import inventory as inv
+    xml = ("<InventoryInstance><patches><patch><patchID>1</patchID></patch><patch><patchID>2</patchID>"
+           "<patchDescription>d2</patchDescription><bugs><bug><description>b</description></bug></bugs></patch></patches>"
+           "</InventoryInstance>")
+    got = [tuple(r) for r in inv.patch_inventory(spark.createDataFrame([("p", xml)], "pkey string, xml string")).select(
+        "patch_id", "patch_descr", "bug_descr").collect()]
+    assert got == [("1", None, None), ("2", "d2", "b")]

@@ -36,3 +36,18 @@ def test_landing_is_exactly_once(spark, sf_small):
     S.stream_landing(spark, src, c.schema, sink, ckpt, max_files_per_trigger=4)
     S.stream_landing(spark, src, c.schema, sink, ckpt, max_files_per_trigger=4)   # rerun: nothing new
     assert spark.read.parquet(sink).count() == c.count()
+
+
+def test_counter_delta_is_exact_for_large_values():
+    import pandas as pd
+
+    class State:
+        exists = False
+
+        def update(self, v):
+            self.get, self.exists = v, True
+
+    state, big = State(), (1 << 53) + 1
+    frame = pd.DataFrame({"snap_id": [1, 2, 3], "value": [str(big), str(big + 3), None]})
+    assert next(S._delta_with_state(None, [frame], state))["value_delta"].tolist() == [0, 3, 0]
+    assert state.get == (3, None)

@@ -59,23 +59,23 @@ def _count() -> Column:
 
 # D1 -------------------------------------------------------------------------
 def data_type_counts(cols: DataFrame, objects: DataFrame | None = None, keys=("pkey", "owner")) -> DataFrame:
-    """Columns per (normalized) data type; with ``objects`` only columns of existing tables
-    count, and the distinct owner||table count is added."""
-    c = cols.withColumn("data_type", normalize_data_type("data_type"))
+    """Columns per (normalized) data type, without system owners; with ``objects`` only columns
+    of existing tables count.  Columns are counted per table first, so the distinct table count
+    is a count of those rows."""
+    c = exclude_system_schemas(cols, "owner").withColumn("data_type", normalize_data_type("data_type"))
+    per_table = c.groupBy(*dict.fromkeys([*keys, *TABLE_KEY, "data_type"])).agg(_count().alias("__n"))
     if objects is not None:
-        c = c.join(objects.select(*TABLE_KEY).distinct(), on=TABLE_KEY, how="inner")
-    return c.groupBy(*keys, "data_type").agg(
-        _count().alias("column_count"),
-        F.countDistinct(F.concat_ws(".", "owner", "table_name")).alias("table_count"))
+        per_table = per_table.join(objects.select(*TABLE_KEY), on=TABLE_KEY, how="left_semi")
+    return per_table.groupBy(*keys, "data_type").agg(F.sum("__n").alias("column_count"), _count().alias("table_count"))
 
 
 # D2 -------------------------------------------------------------------------
 def data_type_matrix(cols: DataFrame, objects: DataFrame | None = None) -> DataFrame:
     """One row per table: a 0/1 sum per listed type, SPATIAL (unlisted type owned by MDSYS)
-    and USER_DEFINED (unlisted type with another, non-null owner)."""
-    c = cols.withColumn("data_type", normalize_data_type("data_type"))
+    and USER_DEFINED (unlisted type with another, non-null owner); without system owners."""
+    c = exclude_system_schemas(cols, "owner").withColumn("data_type", normalize_data_type("data_type"))
     if objects is not None:
-        c = c.join(objects.select(*TABLE_KEY).distinct(), on=TABLE_KEY, how="inner")
+        c = c.join(objects.select(*TABLE_KEY), on=TABLE_KEY, how="left_semi")
     dt, own = F.col("data_type"), F.col("data_type_owner")
     unlisted = ~dt.isin(*LISTED_TYPES)
     cells = [F.sum(F.when(dt == t, 1).otherwise(0)).alias(type_column(t)) for t in LISTED_TYPES]
@@ -96,7 +96,7 @@ def col_or_null(df: DataFrame, name: str, dtype: str = "string") -> Column:
 
 
 def _flagged(df: DataFrame, kind: str) -> DataFrame:
-    return df.select(*TABLE_KEY, F.lit(kind).alias("table_kind"),
+    return exclude_system_schemas(df, "owner").select(*TABLE_KEY, F.lit(kind).alias("table_kind"),
                      F.when(col_or_null(df, "partitioned") == "YES", "YES").otherwise("NO").alias("partitioned"),
                      F.coalesce(col_or_null(df, "temporary"), F.lit("N")).alias("temporary"),
                      col_or_null(df, "iot_type").alias("iot_type"))
@@ -123,7 +123,7 @@ def table_type_detail(tables: DataFrame, xml_tables: DataFrame, object_tables: D
 
 # D5 / D6 ----------------------------------------------------------------------
 def index_type_detail(idx: DataFrame) -> DataFrame:
-    return idx.select("pkey", "owner", "table_name", "index_name", "index_type", "uniqueness",
+    return exclude_system_schemas(idx, "owner").select("pkey", "owner", "table_name", "index_name", "index_type", "uniqueness",
                       F.when(F.col("ityp_owner").isNotNull(), "Y").otherwise("N").alias("custom_index_type"))
 
 
@@ -136,7 +136,7 @@ def index_type_counts(idx: DataFrame) -> DataFrame:
 def indexes_per_table(idx: DataFrame) -> DataFrame:
     """Histogram of indexes per table with percent = round(100 * ratio_to_report) per
     collection.  The collection total is a grouped sum joined back (no unpartitioned window)."""
-    per_table = idx.groupBy(*TABLE_KEY).agg(_count().alias("index_count"))
+    per_table = exclude_system_schemas(idx, "owner").groupBy(*TABLE_KEY).agg(_count().alias("index_count"))
     hist = per_table.groupBy("pkey", "index_count").agg(_count().alias("table_count"))
     total = hist.groupBy("pkey").agg(F.sum("table_count").alias("__total"))
     return (hist.join(total, on="pkey")
@@ -148,7 +148,7 @@ def indexes_per_table(idx: DataFrame) -> DataFrame:
 def constraint_matrix(tables: DataFrame, cons: DataFrame) -> DataFrame:
     """Tables left-joined to constraints: one column per type (null when absent, not 0) and
     ``total_cons`` counting joined rows, so a table without constraints shows 1."""
-    j = tables.select(*TABLE_KEY).join(cons.select(*TABLE_KEY, "constraint_type"), on=TABLE_KEY, how="left")
+    j = exclude_system_schemas(tables, "owner").select(*TABLE_KEY).join(cons.select(*TABLE_KEY, "constraint_type"), on=TABLE_KEY, how="left")
     cells = [F.sum(F.when(F.col("constraint_type") == t, 1)).alias(name) for t, name in CONSTRAINT_COLUMNS]
     return j.groupBy(*TABLE_KEY).agg(*cells, _count().alias("total_cons"))
 
@@ -299,7 +299,7 @@ def compression_by_type(tables: DataFrame, partitions: DataFrame, subpartitions:
 def lob_sizing(cols: DataFrame, tables: DataFrame, lobs: DataFrame, segments: DataFrame) -> DataFrame:
     """LOB columns of tables (inner x2) with their segment bytes (left).  The segment match
     uses the partition name only for partitioned LOBs (conditional equi-join, no cartesian)."""
-    c = cols.where(F.col("data_type").like("%LOB%")).select(*TABLE_KEY, "column_name")
+    c = exclude_system_schemas(cols, "owner").where(F.col("data_type").like("%LOB%")).select(*TABLE_KEY, "column_name")
     t = tables.select(*TABLE_KEY, "num_rows", "partitioned")
     lb = lobs.select(*TABLE_KEY, "column_name", "segment_name", "partition_name")
     base = c.join(t, on=TABLE_KEY).join(lb, on=TABLE_KEY + ["column_name"])
@@ -401,7 +401,7 @@ def dialect_dependencies(defs: DataFrame, pattern: str, text_col: str = "definit
     rx = "(?i)" + pattern
     m = (defs.where(F.col(text_col).rlike(rx))
          .select(*keys, F.explode(F.regexp_extract_all(F.col(text_col), F.lit(rx), 0)).alias("matched")))
-    return m.groupBy(*keys, "matched").agg(_count().alias("match_count")).distinct()
+    return m.groupBy(*keys, "matched").agg(_count().alias("match_count"))
 
 
 # D24 - D27 ------------------------------------------------------------------------------
@@ -449,11 +449,12 @@ def index_list_mssql(idx: DataFrame, idx_cols: DataFrame, fulltext: DataFrame) -
 
 
 def object_list_mssql(sources) -> DataFrame:
-    """Distinct union of the object sources, then count and lines of code per object name."""
-    u = union_all([s.select("pkey", "owner", "object_type", "object_name", "definition") for s in sources],
-                  distinct=True)
+    """Distinct union of the object sources, then count and lines of code per object name.  A
+    definition is shuffled as its digest and line count, not as text."""
+    u = union_all([s.select("pkey", "owner", "object_type", "object_name", F.sha2("definition", 256).alias("digest"),
+                            line_count("definition", "mssql").alias("lines")) for s in sources], distinct=True)
     return u.groupBy("pkey", "owner", "object_type", "object_name").agg(
-        _count().alias("object_count"), F.sum(line_count("definition", "mssql")).alias("lines_of_code"))
+        _count().alias("object_count"), F.sum("lines").alias("lines_of_code"))
 
 
 # D28 / D29 / D30 ---------------------------------------------------------------------------

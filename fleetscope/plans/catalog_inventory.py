@@ -178,8 +178,10 @@ left join s on b.pkey = s.pkey and b.owner = s.owner and b.table_name = s.table_
   case when ityp_owner is not null then 'Y' else 'N' end as custom_index_type from idx"""),
     "d6_indexes_per_table": Spec(
         build=lambda idx: inv.indexes_per_table(idx),
-        inputs={"idx": "select * from est_indexes"},
-        oracle="""with p as (select pkey, owner, table_name, count(*) as index_count from idx group by all),
+        inputs={"idx": "select * from est_indexes union all select pkey, 'SYS', table_name, index_name, index_type, uniqueness, bytes "
+                       "from est_indexes where bytes % 9 = 0"},
+        oracle=f"""with p as (select pkey, owner, table_name, count(*) as index_count from idx
+  where not coalesce({_sys_sql('owner')}, false) group by all),
 h as (select pkey, index_count, count(*) as table_count from p group by all)
 select *, round(100.0 * table_count / sum(table_count) over (partition by pkey)) as pct from h"""),
     "d7_constraint_matrix": Spec(
@@ -723,3 +725,8 @@ select distinct * from (""" + "\nunion all\n".join(
         + _stack_sql([(n, f"p{i}") for i, (n, _) in enumerate(APP_PROBES)], "probe_name", "signature_owner", "g")
         + ") x"),
 })
+
+# system owners are left out of these jobs; their results are rows of single owners
+for _name in ("d1_data_type_counts", "d2_data_type_matrix", "d3_table_type_counts", "d4_table_type_detail", "d5_index_type_counts",
+              "d5_index_type_detail", "d7_constraint_matrix", "d8_constraint_summary_by_owner", "d17_lob_sizing"):
+    SPECS[_name].oracle = f"select * from ({SPECS[_name].oracle}) q where not coalesce({_sys_sql('owner')}, false)"

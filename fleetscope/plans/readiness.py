@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from fleetscope.session import ensure_checkpoint_dir
 from fleetscope.functions.expressions import major_version, minor_version
 
 ERROR, ACTION, WARNING, PASS, INFO = "ERROR", "ACTION REQUIRED", "WARNING", "PASS", "INFO"
@@ -396,9 +397,10 @@ def database_gate(databases: DataFrame, extensions: DataFrame, schema_usage: Dat
             .groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("kind_order", "__sub", "__msg"))).alias("__l"))
             .select(*k, F.array_join(F.transform("__l", lambda x: x["__msg"]), "\n").alias("errors")))
     out = d.join(errs, k, "left")
-    # one row per database of the fleet, read by every per-database rule: keep it once
-    # (recomputed from lineage if an executor is lost)
-    return out.withColumn("passed", F.col("installed") & F.col("errors").isNull()).persist()
+    # one row per database of the fleet, read by every per-database rule: computed once, into
+    # the shared checkpoint folder
+    ensure_checkpoint_dir(out.sparkSession)
+    return out.withColumn("passed", F.col("installed") & F.col("errors").isNull()).checkpoint()
 
 
 # (rule, severity) -> (prefix, separator, suffix) of the per-database list findings

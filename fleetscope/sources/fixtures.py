@@ -55,10 +55,11 @@ from lineitem
     "est_constraints": """
 select concat('pk', cast(p_partkey % 3 as string)) as pkey,
        case when p_partkey % 23 = 0 then 'SYS' else concat('OWN', cast(p_partkey % 7 as string)) end as owner,
-       concat('TAB_', cast(p_partkey as string)) as table_name,
+       case when p_partkey % 7 = 1 then concat('GONE_', cast(p_partkey as string))
+            else concat('TAB_', cast(p_partkey as string)) end as table_name,
        case when p_partkey % 37 = 0 then concat('TAB_', cast(p_partkey as string)) else concat('CON_', cast(p_partkey as string)) end as constraint_name,
        case p_size % 4 when 0 then 'P' when 1 then 'U' when 2 then 'C' else 'R' end as constraint_type
-from part where p_partkey % 3 <> 1
+from part
 """,
     "est_indexes": """
 select concat('pk', cast(o_custkey % 3 as string)) as pkey, concat('OWN', cast(o_custkey % 7 as string)) as owner,
@@ -81,13 +82,16 @@ select concat('pk', cast(s_suppkey % 5 as string)) as pkey, concat('db', cast(s_
 from supplier
 """,
     "est_settings": """
-select distinct concat('pk', cast(s_suppkey % 5 as string)) as pkey, n.setting_name,
+select distinct concat('pk', cast(s_suppkey % 5 as string)) as pkey,
+       case when s_suppkey % 5 = 4 then concat('other_', n.setting_name) else n.setting_name end as setting_name,
        case n.setting_name when 'wal_level' then case when s_suppkey % 5 = 1 then 'replica' else 'logical' end
             when 'max_replication_slots' then cast((s_suppkey % 5) * 10 as string)
             when 'max_wal_senders' then cast((s_suppkey % 5) * 8 as string)
             else cast((s_suppkey % 5) * 6 as string) end as setting_value
-from supplier cross join (values ('wal_level'), ('max_replication_slots'), ('max_wal_senders'), ('max_worker_processes')) as n(setting_name)
-where s_suppkey % 5 <> 4
+from (select s_suppkey, 'wal_level' as setting_name from supplier
+      union all select s_suppkey, 'max_replication_slots' from supplier
+      union all select s_suppkey, 'max_wal_senders' from supplier
+      union all select s_suppkey, 'max_worker_processes' from supplier) n
 """,
     "est_extensions": """
 select distinct concat('pk', cast(c_custkey % 5 as string)) as pkey, concat('db', cast(c_custkey % 10 as string)) as database_name,

@@ -12,7 +12,7 @@ from tokenizers import Tokenizer, pre_tokenizers
 
 from fleetscope.llm.pretokens import Pretokenizer
 
-CACHE_ENTRIES = 300_000
+CACHE_ENTRIES = 200_000
 #: Longer words are encoded but not kept.
 CACHE_CHARS = 64
 
@@ -35,6 +35,10 @@ class Cache(dict):
             self.clear()
         self[word] = ids
 
+    def rest(self) -> None:
+        """At a task's end: keep the young generation for the worker's next task only."""
+        self._old = {}
+
     def knows(self, word: str) -> bool:
         return word in self or word in self._old
 

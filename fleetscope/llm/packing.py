@@ -63,6 +63,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int, id_col:
                     values = np.frombuffer(b"".join(flat), dtype="<u4").astype(np.int32)
                     columns.append(pa.ListArray.from_arrays(pa.array(offsets), pa.array(values)))
                 yield pa.RecordBatch.from_arrays(columns, names=names)
+        enc.cache.rest()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(

@@ -140,6 +140,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         finally:
             if sink is not None:
                 sink.close()
+        enc.cache.rest()
         if out is not None:
             row = (*first, f"{folder}/{name}", len(out.docs), out.n_ids, width)
             yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, (

@@ -2,7 +2,7 @@
 
 BPE never merges across pre-tokens, so a text's ids are its words' ids in order.  The library's
 BPE model encodes a word the first time a Python worker meets it; the worker keeps the ids of
-at most ``2 * CACHE_ENTRIES`` words, so memory stays bounded for any vocabulary.
+a bounded number of words, so memory stays bounded for any vocabulary.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ CACHE_ENTRIES = 200_000
 #: Longer words are encoded but not kept.
 CACHE_CHARS = 64
 
-_ENCODERS: dict[str, "Encoder"] = {}
+_ENCODERS: dict[tuple[str, int], "Encoder"] = {}
 
 
 class Cache(dict):
@@ -53,14 +53,15 @@ class Cache(dict):
 
 
 class Encoder:
-    def __init__(self, path: str):
+    def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         self.pre = Pretokenizer(path)
         model = Tokenizer.from_file(path)
         model.normalizer = None  # words come normalised
         model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         model.no_truncation()
         model.no_padding()
-        self.cache = Cache(lambda w: np.array(model.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes())
+        self.cache = Cache(lambda w: np.array(model.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes(),
+                           entries)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; null counts as empty."""
@@ -71,8 +72,8 @@ class Encoder:
                         for token, words in self.pre.parts(text))
 
 
-def encoder(path: str) -> Encoder:
-    """The worker's encoder for a tokenizer file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = Encoder(path)
-    return _ENCODERS[path]
+def encoder(path: str, entries: int = CACHE_ENTRIES) -> Encoder:
+    """The worker's encoder for a tokenizer file, with ``entries`` words in a cache generation."""
+    if (path, entries) not in _ENCODERS:
+        _ENCODERS[path, entries] = Encoder(path, entries)
+    return _ENCODERS[path, entries]

@@ -36,6 +36,8 @@ from fleetscope.llm.encoding import encoder
 
 FRAME_IDS = 1 << 18
 ZSTD_LEVEL = 3
+#: Words a worker keeps in a cache generation; no other operator shares the executor's memory here.
+CACHE_ENTRIES = 400_000
 DOCS_MAGIC, SEEK_MAGIC, FOOTER_MAGIC = 0x184D2A5D, 0x184D2A5E, 0x8F92EAB1
 _DOC = np.dtype([("doc_id", "<i8"), ("null", "u1"), ("frame", "<u4"), ("frames", "<u4"), ("ids", "<u8")])
 _SEEK = np.dtype([("size", "<u4"), ("raw", "<u4"), ("check", "<u4")])
@@ -120,7 +122,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
     ship(spark)
 
     def write(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, CACHE_ENTRIES)
         width = 2 if max(enc.pre.largest_id, end_id) < 1 << 16 else 4
         fs, path = open_store(folder)
         name, sink, out, first = f"tokens-{uuid.uuid4().hex}.zst", None, None, None
@@ -140,7 +142,6 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int,
         finally:
             if sink is not None:
                 sink.close()
-        enc.cache.rest()
         if out is not None:
             row = (*first, f"{folder}/{name}", len(out.docs), out.n_ids, width)
             yield pa.RecordBatch.from_arrays([pa.array([v], type=t) for v, t in zip(row, (

@@ -221,12 +221,15 @@ def value_profile(df: DataFrame, group, value: str, percentages: dict, sums: dic
               .agg(F.count(F.lit(1)).alias("__c"), F.sum(value).alias("__s"), *[F.sum(e).alias(n) for n, e in sums.items()])
               .withColumn("__b", value_bucket(F.col("__v"))))
     over = Window.partitionBy(*[f"__k{i}" for i in range(len(group))])
-    buckets = (counts.where("__v is not null")
-               .groupBy(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(group)], F.col("__b").alias("__kb"))
-               .agg(F.sum("__c").alias("__bc"))
+    # no filter and no narrower columns here: both uses of ``counts`` then share one shuffle
+    totals = ["__s", *sums]
+    buckets = (counts.groupBy(*[F.col(g).alias(f"__k{i}") for i, g in enumerate(group)], F.col("__b").alias("__kb"))
+               .agg(F.sum(F.when(F.col("__v").isNotNull(), F.col("__c")).otherwise(0)).alias("__bc"),
+                    *[F.sum(t).alias(f"__t_{t}") for t in totals])
                .withColumn("__start", F.sum("__bc").over(over.orderBy("__kb").rowsBetween(Window.unboundedPreceding, 0))
                            - F.col("__bc"))
-               .withColumn("__n", F.sum("__bc").over(over)).drop("__bc"))
+               .withColumns({"__n": F.sum("__bc").over(over)} | {f"__t_{t}": F.sum(f"__t_{t}").over(over) for t in totals})
+               .drop("__bc"))
     same = F.col("__b") == F.col("__kb")
     for i, g in enumerate(group):
         same = same & F.col(g).eqNullSafe(F.col(f"__k{i}"))
@@ -241,13 +244,16 @@ def value_profile(df: DataFrame, group, value: str, percentages: dict, sums: dic
     def at(rank):
         return F.max(F.when((F.col("__from") <= rank) & (rank < F.col("__to")), F.col("__v")))
 
+    def total(t):  # of the group, from its buckets; groups of nulls alone meet no bucket
+        return F.coalesce(F.max(f"__t_{t}"), F.sum(t))
+
     picks = [a for n, p in percentages.items()
              for a in (at(F.floor(position(p))).alias(f"__lo_{n}"), at(F.ceil(position(p))).alias(f"__hi_{n}"))]
     out = ranked.groupBy(*group).agg(
         F.sum("__c").alias("__cnt"), F.max("__n").alias("__n"), F.min("__v").alias("__min"), F.max("__v").alias("__max"),
-        F.sum("__s").alias("__sum"),
+        total("__s").alias("__sum"),
         F.max_by("__v", F.when(F.col("__v").isNotNull(), F.struct(F.col("__c"), -F.col("__v")))).alias("__mode"),
-        *picks, *[F.sum(n).alias(n) for n in sums])
+        *picks, *[total(n).alias(n) for n in sums])
     cells = []
     for n, p in percentages.items():
         lo, hi = F.col(f"__lo_{n}").cast("double"), F.col(f"__hi_{n}").cast("double")

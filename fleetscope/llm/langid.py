@@ -5,7 +5,8 @@ lower-cased, everything but letters is one space).  Each language has up to ``CE
 centroids, found by spherical k-means; the language of the centroid with the largest cosine
 wins.  A text is rejected if it is farther from its centroid than texts of its length may be.
 Those limits are the largest distances seen in training, for each doubling of the number of
-n-grams; the first few words of each training text stand for short texts.
+n-grams; the first few words of each training text stand for short texts.  The longest training
+texts, ``LEAST_SUPPORT`` of them at least, share one limit, which holds for all longer texts too.
 
 The model is fitted on a bounded sample: ``PER_LANGUAGE`` labelled rows of each of the
 ``MOST_LANGUAGES`` most frequent languages, chosen by the hash of their id.  Only the
@@ -37,6 +38,8 @@ CHUNK = 1 << 20
 SNIPPETS = (1, 2, 4, 8, 16, 32, 64)
 #: What is added to the largest distance seen, and the largest limit there can be.
 MARGIN, MOST_DISTANCE = 0.05, 0.98
+#: Training texts that a limit rests on at least.
+LEAST_SUPPORT = 20
 LENGTHS = 64
 UNKNOWN = "und"
 
@@ -138,7 +141,7 @@ def train(rows: list[Row], snippets: list[Row] = ()) -> Model:
     for _, at, _ in rows:
         df[at] += 1
     model = Model([], np.zeros((0, DIMS), np.float32), {}, np.log((1 + len(rows)) / (1 + df)) + 1)
-    centres = []
+    centres, support = [], {}
     for lang in sorted({r[0] for r in rows}):
         own = [r for r in rows if r[0] == lang]
         dense = np.zeros((len(own), DIMS), dtype=np.float32)
@@ -148,6 +151,7 @@ def train(rows: list[Row], snippets: list[Row] = ()) -> Model:
         centres += list(c)
         model.languages += [lang] * len(c)
         model.limits[lang] = np.zeros(LENGTHS)
+        support[lang] = np.zeros(LENGTHS, dtype=np.int64)
     if centres:
         model.centroids = np.array(centres, dtype=np.float32)
     for own, at, n in [*rows, *snippets]:
@@ -155,11 +159,23 @@ def train(rows: list[Row], snippets: list[Row] = ()) -> Model:
         if lang == own:
             size = length_class(n)
             model.limits[lang][size] = max(model.limits[lang][size], 1 - score)
-    for lang, far in model.limits.items():  # a shorter text may be as far as any longer one
-        model.limits[lang] = np.minimum(np.maximum.accumulate(far[::-1])[::-1] + MARGIN, MOST_DISTANCE)
+            support[lang][size] += 1
+    for lang, far in model.limits.items():
+        model.limits[lang] = limits_from(far, support[lang])
     return model
 
 
+def limits_from(far: np.ndarray, support: np.ndarray) -> np.ndarray:
+    """Limits by length class from the largest distance and the number of texts seen in each."""
+    far = np.maximum.accumulate(far[::-1])[::-1]  # a shorter text may be as far as any longer one
+    upward = np.cumsum(support[::-1])[::-1]  # texts of this class and longer
+    if not upward[0]:  # nothing seen, nothing to reject by
+        return np.full(len(far), MOST_DISTANCE)
+    longest = np.flatnonzero(upward >= min(LEAST_SUPPORT, upward[0]))[-1]
+    far[longest:] = far[longest]
+    return np.minimum(far + MARGIN, MOST_DISTANCE)
+
+
 def fit(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> Model:
     """Fit on a bounded, hash-chosen sample of ``labelled``."""
     ship(labelled.sparkSession)

@@ -158,6 +158,30 @@ def test_language_id(spark, sf_small):
     assert (again.centroids == model.centroids).all()  # the same model whatever the partitions
 
 
+def test_language_limits_hold_beyond_the_sample():
+    r = np.random.default_rng(5)
+
+    def row(lang, letters, words):
+        n = langid.counts(" ".join("".join(r.choice(list(letters), 4)) for _ in range(words)))
+        at = np.flatnonzero(n)
+        return lang, at, n[at]
+
+    rows = [row("aa", "abcdefg", 60) for _ in range(100)] + [row("bb", "stuvwxy", 60) for _ in range(100)]
+    rows.append(row("aa", "abcdefg", 4000))  # one long text holds no limit of its own
+    model = langid.train(rows)
+    middle = langid.length_class(rows[0][2])
+    for lang in ("aa", "bb"):
+        limits = model.limits[lang]
+        assert limits[middle] > 0.1 and (limits[middle:] >= limits[middle]).all() and (np.diff(limits) <= 0).all()
+    # long clean texts on another subject of the language
+    for words in (3000, 30_000):
+        text = " ".join("".join(r.choice(list("abcdefg"), 4, p=[0.3, 0.3, 0.1, 0.1, 0.1, 0.05, 0.05])) for _ in range(words))
+        lang, score, rejected = model.predict(text)
+        assert lang == "aa" and 1 - score > langid.MARGIN and not rejected
+    far, seen = np.zeros(langid.LENGTHS), np.zeros(langid.LENGTHS, dtype=int)
+    assert (langid.limits_from(far, seen) == langid.MOST_DISTANCE).all()
+
+
 def reference_text(source):
     body = re.search(r"<article>(.*?)(?:</article>|\Z)", source, re.S)[1]
     import html

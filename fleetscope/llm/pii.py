@@ -10,7 +10,9 @@ mention of an entity in any document gets the same one (coreference) on any part
 Two entities might get equal surrogates, or a surrogate might be another document's real value.
 All distinct entities of the corpus are therefore checked; the entities in collision get a
 further attempt until none collides, and only those few exceptions are joined back to the
-documents that hold them (broadcast if their written size allows, else by a shuffle).
+documents that hold them (broadcast if their written size allows, else by a shuffle).  After some
+attempts surrogates grow (names by a syllable, others by a digit or letter), so that any number of
+entities settles; IP addresses cannot grow: of those at most half the address space may be real.
 
 Cases: null text stays null; texts without entities are returned unchanged; repeated rows get
 equal texts; null doc_ids keep their row; other columns are kept, ``n_entities`` and
@@ -21,6 +23,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import itertools
 import re
 from dataclasses import dataclass
 
@@ -31,7 +34,9 @@ from pyspark.sql import types as T
 
 from fleetscope.llm.common import byte_slices, cut, ship, stored
 
-MAX_ATTEMPTS = 64
+#: Attempts after which a surrogate is one syllable, for other types one character, longer.
+GROW_NAMES, GROW_OTHERS = 4, 16
+IP_ADDRESSES = 254 ** 4
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _NAME = r"(?:[A-ZÀ-ÖØ-ÞŒŠŽА-ЯЁΑ-Ω][a-zß-öø-ÿœšžа-яёά-ώ'’-]{1,40})"
@@ -172,49 +177,51 @@ def _like(value: str, draw: Stream) -> str:
 
 def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
     """The surrogate's canonical form; never the value itself."""
-    for again in range(1000):
-        out = _surrogate(kind, canonical, Stream(key, kind, canonical, attempt, again))
+    for again in itertools.count():  # ends: what cannot change grows
+        more = (attempt + again) // (GROW_NAMES if kind.startswith("name") else GROW_OTHERS)
+        out = _surrogate(kind, canonical, Stream(key, kind, canonical, attempt, again), more)
         if out != canonical:
             return out
-    raise ValueError(f"no surrogate for a value of type {kind}")
 
 
-def _surrogate(kind: str, value: str, draw: Stream) -> str:
+def _surrogate(kind: str, value: str, draw: Stream, more: int) -> str:
     if kind == "email":
         local, _, domain = value.rpartition("@")
         labels = domain.split(".")
-        return f"{_like(local, draw)}@{'.'.join([_like(x, draw) for x in labels[:-1]] + labels[-1:])}"
+        return f"{_like(local + 'x' * more, draw)}@{'.'.join([_like(x, draw) for x in labels[:-1]] + labels[-1:])}"
     if kind == "ip":
         return ".".join(str(1 + draw.below(254)) for _ in range(4))
     if kind == "access_key":
         return value[:4] + "".join("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"[draw.below(32)] for _ in value[4:])
     if kind == "card":
-        body = value[0] + "".join(str(draw.below(10)) for _ in value[2:])
+        body = value[0] + "".join(str(draw.below(10)) for _ in value[2:] + "0" * more)
         return next(body + d for d in "0123456789" if luhn_ok(body + d))
     if kind == "iban":
-        rest = _like(value[4:], draw)
+        rest = _like(value[4:] + "0" * more, draw)
         return value[:2] + iban_check(value[:2], rest) + rest
     if kind == "phone":
         keep = 1 if len(value) > 10 else 0
-        return value[:keep] + "".join(str(draw.below(10)) for _ in value[keep:])
+        return value[:keep] + "".join(str(draw.below(10)) for _ in value[keep:] + "0" * more)
     if kind.startswith("name"):
         gender = kind[5:] or None
         words = []
         for i, _ in enumerate(value.split(" ")):
             s = script(value)
-            word = "".join(_SYLLABLES[s][draw.below(len(_SYLLABLES[s]))] for _ in range(3))
+            word = "".join(_SYLLABLES[s][draw.below(len(_SYLLABLES[s]))] for _ in range(3 + more))
             words.append((word + (_ENDINGS[s][gender] if i == 0 else "")).capitalize())
         return " ".join(words)
-    return _like(value, draw)
+    return _like(value + ("0" if kind == "ssn" else "x") * more, draw)
 
 
 def shaped(entity: Entity, canonical: str) -> str:
     """A surrogate in the form of this mention: its separators, its letter case."""
     if entity.kind in ("card", "phone", "ssn", "iban"):
         rest = iter(canonical)
-        return "".join(next(rest) if c.isalnum() else c for c in entity.value)
+        return "".join([next(rest) if c.isalnum() else c for c in entity.value] + list(rest))
     if entity.kind == "email":
-        return "".join(n.upper() if o.isupper() else n for o, n in zip(entity.value, canonical))
+        more = len(canonical) - len(entity.value)  # a grown surrogate has them before its @
+        like = entity.value.replace("@", "x" * more + "@")
+        return "".join(n.upper() if o.isupper() else n for o, n in zip(like, canonical))
     return canonical
 
 
@@ -267,7 +274,7 @@ def assign(distinct: DataFrame, key: bytes) -> DataFrame:
     family = F.substring_index("kind", "-", 1)
     real = distinct.select(family.alias("rf"), F.col("canonical").alias("rc")).distinct()
     settled = cut(distinct.select("kind", "canonical", F.lit(0).alias("attempt")).mapInArrow(run, schema))
-    for _ in range(MAX_ATTEMPTS):
+    for attempt in itertools.count(1):
         marked = settled.withColumn("family", family)
         first = marked.groupBy("family", "surrogate").agg(F.min(F.struct("attempt", "kind", "canonical")).alias("keep"))
         marked = marked.join(first, ["family", "surrogate"]).join(
@@ -276,9 +283,10 @@ def assign(distinct: DataFrame, key: bytes) -> DataFrame:
         marked = cut(marked.select("kind", "canonical", "attempt", "surrogate", fine.alias("fine")))
         if marked.where("not fine").isEmpty():
             return settled
+        if attempt == GROW_OTHERS and 2 * real.where("rf = 'ip'").count() > IP_ADDRESSES:
+            raise RuntimeError("more than half of all IP addresses are real ones: there are too few surrogates")
         again = marked.where("not fine").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt"))
         settled = cut(marked.where("fine").drop("fine").unionByName(again.mapInArrow(run, schema)))
-    raise RuntimeError(f"surrogates still collide after {MAX_ATTEMPTS} attempts: the format has too few values")
 
 
 def pseudonymise(docs: DataFrame, key: bytes, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -260,6 +260,22 @@ def test_collisions_are_resolved(spark):
     assert len({r["surrogate"] for r in got if r["kind"].startswith("name")}) == 2
 
 
+def test_any_number_of_names_settles(spark):
+    # far more names than there are surrogates of three syllables, and one-letter mail addresses
+    names = [f"N{i:05d}" for i in range(50_000)]
+    mails = [f"{a}@{b}.{c}" for a in "abcdefghijklmnopqrstuvwxyz" for b in "abcdefghijklmnopqrstuvwxyz" for c in ("de", "fr")]
+    distinct = spark.createDataFrame([("name-m", n) for n in names] + [("email", m) for m in mails], "kind string, canonical string")
+    got = pii.assign(distinct, KEY).collect()
+    for kind, values in (("name-m", names), ("email", mails)):
+        own = [r["surrogate"] for r in got if r["kind"] == kind]
+        assert len(own) == len(set(own)) == len(values) and not set(own) & set(values)
+    for value in ("Ab.c@X.Example.com", "_@-.com"):  # grown surrogates keep the form of the mention
+        e = pii.Entity(0, len(value), "email", value)
+        new = pii.shaped(e, pii.surrogate("email", e.canonical, 2 * pii.GROW_OTHERS, KEY))
+        assert new.partition("@")[0][:1].isupper() == value[0].isupper() and len(new) >= len(value) + 2
+        assert re.fullmatch(r"[^@]+@[^@]+\.com", new) and new.lower() != value.lower()
+
+
 def test_surrogate_operator(spark):
     values = [f"{i * 7919 % 1_000_000:06d}" for i in range(3000)]  # six digits: some surrogates collide
     rows = [(i, f"user password={v} and token: {values[i - 1]}", "x", "y") for i, v in enumerate(values)]

@@ -260,6 +260,13 @@ def test_collisions_are_resolved(spark):
     assert len({r["surrogate"] for r in got if r["kind"].startswith("name")}) == 2
 
 
+def test_blanks_are_no_secrets():
+    for text in ("Password: ______ Name: ______", "Token: ------", "password: ..........", "api_key=~~~~~~~~", "pwd: \u017f\u017f\u017f\u017f\u017f\u017f"):
+        assert pii.rewrite(text, KEY, {}) == (text, [])
+    assert [e.value for e in pii.detect("password: __ab--__ token=......x")] == ["__ab--__", "......x"]
+    assert pii.rewrite("token=......x", KEY, {})[0] != "token=......x"
+
+
 def test_any_number_of_names_settles(spark):
     # far more names than there are surrogates of three syllables, and one-letter mail addresses
     names = [f"N{i:05d}" for i in range(50_000)]

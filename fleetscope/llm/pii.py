@@ -46,7 +46,7 @@ TITLES = {"Mr.": "m", "Mister": "m", "Mrs.": "f", "Ms.": "f", "Miss": "f", "Herr
           "Sr.": "m", "Sra.": "f", "Dr.": None, "Prof.": None, "господин": "m", "госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
 #: type, pattern (the entity is group 1), what must be in a text for the pattern to be tried.
 PATTERNS = [
-    ("secret", r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?((?=[+/_.~-]*(?-i:[A-Za-z0-9]))[A-Za-z0-9+/_.~-]{6,200})", "=:"),
+    ("secret", r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?((?=[+/_.~-]*(?-i:[A-Za-z0-9]))[A-Za-z0-9+/_.~-]{6,})", "=:"),
     ("access_key", r"\b((?:AKIA|ASIA)[0-9A-Z]{16})\b", "IA"),
     ("email", r"(?<![\w.+%-])([A-Za-z0-9._%+-]{1,64}@(?:[A-Za-z0-9-]{1,63}\.){1,8}[A-Za-z]{2,24})(?![\w-])", "@"),
     ("ip", rf"(?<![\w.])({_OCTET}(?:\.{_OCTET}){{3}})(?!\.?\w)", "."),

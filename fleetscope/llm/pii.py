@@ -7,6 +7,15 @@ same separators, digits for digits, letters for letters of the same case, valid
 surrogate is a keyed function (HMAC) of the type and the entity's canonical value, so every
 mention of an entity in any document gets the same one (coreference) on any partition.
 
+Names are keyed word by word and without the title, so surnames agree.  Within a document all
+mentions of a titled name's words are replaced, also without a title or shortened; a word that
+the document also has in lower case only where it cannot be the first of a sentence.  A given
+name's ending tells the gender that any mention in the document tells; across documents only
+the ending may differ (where one has no title with a gender; after a collision of one form
+also the rest).  A Cyrillic or Greek surname's
+ending follows its own form, a Latin surname has no gender.  Names in capitals only, inflected
+forms and names that no title in the document introduces are not found.
+
 Two entities might get equal surrogates, or a surrogate might be another document's real value.
 All distinct entities of the corpus are therefore checked; the entities in collision get a
 further attempt until none collides, and only those few exceptions are joined back to the
@@ -39,11 +48,13 @@ GROW_NAMES, GROW_OTHERS = 4, 16
 IP_ADDRESSES = 254 ** 4
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_NAME = r"(?:[A-ZÀ-ÖØ-ÞŒŠŽА-ЯЁΑ-Ω][a-zß-öø-ÿœšžа-яёά-ώ'’-]{1,40})"
+_UPPER, _LOWER = "A-ZÀ-ÖØ-ÞŒŠŽА-ЯЁΑ-Ω", "a-zß-öø-ÿœšžа-яёά-ώ"
+_NAME = rf"(?:(?:[{_UPPER}][{_LOWER}'’-]{{1,40}}){{1,4}})"  # also McDonald, O'Brien, Meyer-Landrut
 #: Titles that tell a gender; None tells none.
 TITLES = {"Mr.": "m", "Mister": "m", "Mrs.": "f", "Ms.": "f", "Miss": "f", "Herr": "m", "Herrn": "m", "Frau": "f",
           "Monsieur": "m", "Madame": "f", "Mme": "f", "Mlle": "f", "Señor": "m", "Señora": "f", "Señorita": "f",
           "Sr.": "m", "Sra.": "f", "Dr.": None, "Prof.": None, "господин": "m", "госпожа": "f", "Κύριος": "m", "Κυρία": "f"}
+_TITLES = "|".join(map(re.escape, TITLES))
 #: type, pattern (the entity is group 1), what must be in a text for the pattern to be tried.
 PATTERNS = [
     ("secret", r"(?i)\b(?:password|passwd|pwd|secret|token|api[_-]?key)\s{0,3}[=:]\s{0,3}[\"']?((?=[+/_.~-]*(?-i:[A-Za-z0-9]))[A-Za-z0-9+/_.~-]{6,})", "=:"),
@@ -54,12 +65,17 @@ PATTERNS = [
     ("card", r"(?<![\w.-])(\d(?:[ -]?\d){12,18})(?![\w-])", ""),
     ("ssn", r"(?<![\w-])(\d{3}-\d{2}-\d{4})(?![\w-])", "-"),
     ("phone", r"(?<![\w.+])(\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,4}|\(\d{3}\) ?\d{3}[ .-]\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?![\w-])", ""),
-    ("name", rf"\b(?:{'|'.join(map(re.escape, TITLES))})\s({_NAME}(?: {_NAME}){{0,2}})", None),
+    ("name", rf"\b(?:{_TITLES})(?:\s(?:{_TITLES}))*\s((?!(?:{_TITLES})\s){_NAME}(?: (?!(?:{_TITLES})\s){_NAME}){{0,2}})", None),
 ]
 _COMPILED = [(kind, re.compile(p), need) for kind, p, need in PATTERNS]
 _DIGIT = re.compile(r"\d")
-_TITLE = re.compile("|".join(map(re.escape, TITLES)))
-_TITLE_BEFORE = re.compile(rf"({'|'.join(map(re.escape, TITLES))})\s$")
+_TITLE = re.compile(_TITLES)
+_TITLE_BEFORE = re.compile(rf"({_TITLES})(?=\s)")
+_POSSESSIVE = re.compile(r"['’-]+s?(?= |$)")
+_WORD = re.compile(rf"(?<!\w){_NAME}")
+_PART = re.compile("[^'’-]+")
+_SMALL_WORD = re.compile(rf"(?<!\w)[{_LOWER}]{{2,}}(?!\w)")
+_MID_SENTENCE = re.compile(rf"[{_LOWER},;]\s")
 
 
 @dataclass(frozen=True)
@@ -68,6 +84,13 @@ class Entity:
     end: int
     kind: str  # type, for names with gender: name, name-m, name-f
     value: str
+    #: (kind, word) of each word of a name
+    words: tuple[tuple[str, str], ...] = ()
+
+    @property
+    def units(self) -> tuple[tuple[str, str], ...]:
+        """What gets surrogates of its own: (kind, canonical) of the entity or of a name's words."""
+        return self.words or ((self.kind, self.canonical),)
 
     @property
     def canonical(self) -> str:
@@ -123,10 +146,75 @@ def detect(text: str | None) -> list[Entity]:
                 if not 15 <= len(plain) <= 34 or iban_check(plain[:2], plain[4:]) != plain[2:4]:
                     continue
             if kind == "name":
-                gender = TITLES[_TITLE_BEFORE.search(text[max(0, start - 20):start])[1]]
-                own = f"name-{gender}" if gender else "name"
+                value = _POSSESSIVE.split(value, maxsplit=1)[0]
+                end = start + len(value)
+                own = _name_kind(next((g for t in _TITLE_BEFORE.findall(text[m.start():start]) if (g := TITLES[t])), None))
             found.append(Entity(start, end, own, value))
-    return sorted(found, key=lambda e: e.start)
+    found.sort(key=lambda e: e.start)
+    return _linked(text, found) if title else found
+
+
+def _name_kind(gender: str | None) -> str:
+    return f"name-{gender}" if gender else "name"
+
+
+def _surname_gender(word: str) -> str | None:
+    """The gender that the form of a surname tells."""
+    last = word[-1].lower()
+    if script(word) == "cyrillic":
+        return "f" if last in "ая" else None if last in "еёиоуыэю" else "m"
+    if script(word) == "greek":
+        return "m" if last in "ςσ" else "f"
+    return None
+
+
+def _linked(text: str, found: list[Entity]) -> list[Entity]:
+    """``found`` with the words of its names and with the mentions of these words elsewhere."""
+    titled = [e for e in found if e.kind.startswith("name")]
+    if not titled:
+        return found
+    given: dict[str, set[str]] = {}  # given names and the genders told of them
+    persons: dict[str, set[str]] = {}  # kinds of the titled mentions that hold a word
+    for e in titled:
+        words = e.value.split(" ")
+        for w in words:
+            persons.setdefault(w, set()).add(e.kind)
+        for w in words[:-1]:
+            given.setdefault(w, set()).update(e.kind[5:])
+    for e in titled:  # a title before a given name alone
+        if e.value in given:
+            given[e.value].update(e.kind[5:])
+
+    def unit(word: str, own: str) -> tuple[str, str]:
+        told = given.get(word)
+        if told is None:
+            return _name_kind(_surname_gender(word)), word
+        return _name_kind(own[5:] or min(told, default=None)), word
+
+    def with_words(e: Entity) -> Entity:
+        return Entity(e.start, e.end, e.kind, e.value, tuple(unit(w, e.kind) for w in e.value.split(" ")))
+
+    small = set(_SMALL_WORD.findall(text))
+    out = [with_words(e) if e.kind.startswith("name") else e for e in found]
+    mentions: list[tuple[int, int]] = []
+    k = 0
+    for m in _WORD.finditer(text):
+        whole = _POSSESSIVE.split(m[0], maxsplit=1)[0]
+        parts = [(m.start(), whole)] if whole in persons else [(m.start() + p.start(), p[0]) for p in _PART.finditer(m[0])]
+        for start, word in parts:
+            end = start + len(word)
+            while k < len(found) and found[k].end <= start:
+                k += 1
+            if word not in persons or len(word) < 2 or text[end:end + 1].isalnum() or k < len(found) and found[k].start < end:
+                continue
+            if mentions and mentions[-1][1] + 1 == start and text[start - 1] == " ":
+                mentions[-1] = (mentions[-1][0], end)
+            elif word.lower() not in small or _MID_SENTENCE.fullmatch(text[max(0, start - 2):start]):
+                mentions.append((start, end))
+    for start, end in mentions:
+        kinds = set.intersection(*(persons[w] for w in text[start:end].split(" "))) or persons[text[start:end].split(" ")[0]]
+        out.append(with_words(Entity(start, end, next(iter(kinds)) if len(kinds) == 1 else "name", text[start:end])))
+    return sorted(out, key=lambda e: e.start)
 
 
 class Stream:
@@ -176,10 +264,12 @@ def _like(value: str, draw: Stream) -> str:
 
 
 def surrogate(kind: str, canonical: str, attempt: int, key: bytes) -> str:
-    """The surrogate's canonical form; never the value itself."""
+    """The surrogate's canonical form; never the value itself.  Names come word by word; their
+    kind's gender decides on the ending only."""
+    label = "name" if kind.startswith("name") else kind
     for again in itertools.count():  # ends: what cannot change grows
         more = (attempt + again) // (GROW_NAMES if kind.startswith("name") else GROW_OTHERS)
-        out = _surrogate(kind, canonical, Stream(key, kind, canonical, attempt, again), more)
+        out = _surrogate(kind, canonical, Stream(key, label, canonical, attempt, again), more)
         if out != canonical:
             return out
 
@@ -203,13 +293,9 @@ def _surrogate(kind: str, value: str, draw: Stream, more: int) -> str:
         keep = 1 if len(value) > 10 else 0
         return value[:keep] + "".join(str(draw.below(10)) for _ in value[keep:] + "0" * more)
     if kind.startswith("name"):
-        gender = kind[5:] or None
-        words = []
-        for i, _ in enumerate(value.split(" ")):
-            s = script(value)
-            word = "".join(_SYLLABLES[s][draw.below(len(_SYLLABLES[s]))] for _ in range(3 + more))
-            words.append((word + (_ENDINGS[s][gender] if i == 0 else "")).capitalize())
-        return " ".join(words)
+        s = script(value)
+        word = "".join(_SYLLABLES[s][draw.below(len(_SYLLABLES[s]))] for _ in range(3 + more))
+        return (word + _ENDINGS[s][kind[5:] or None]).capitalize()
     return _like(value + ("0" if kind == "ssn" else "x") * more, draw)
 
 
@@ -231,13 +317,14 @@ def rewrite(text: str | None, key: bytes, attempts: dict[tuple[str, str], int])
         return text, found
     out, at = [], 0
     for e in found:
-        out += [text[at:e.start], shaped(e, surrogate(e.kind, e.canonical, attempts.get((e.kind, e.canonical), 0), key))]
+        new = " ".join(surrogate(k, v, attempts.get((k, v), 0), key) for k, v in e.units)
+        out += [text[at:e.start], shaped(e, new)]
         at = e.end
     return "".join([*out, text[at:]]), found
 
 
 def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, kind, canonical), each entity once for a document."""
+    """(id, kind, canonical), each entity (names: each word) once for a document."""
     ship(docs.sparkSession)
 
     def run(batches):
@@ -245,7 +332,7 @@ def entities(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
             for part in byte_slices(batch, text_col):
                 rows, kinds, values = [], [], []
                 for i, text in enumerate(part.column(1).to_pylist()):
-                    for kind, value in sorted({(e.kind, e.canonical) for e in detect(text)}):
+                    for kind, value in sorted({u for e in detect(text) for u in e.units}):
                         rows.append(i)
                         kinds.append(kind)
                         values.append(value)

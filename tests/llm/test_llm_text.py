@@ -260,6 +260,34 @@ def test_collisions_are_resolved(spark):
     assert len({r["surrogate"] for r in got if r["kind"].startswith("name")}) == 2
 
 
+def test_names_are_linked_within_a_document(spark):
+    text = ("Dr. Anna Weber met Frau Anna Weber's aunt. Weber left; Anna Weber stayed, Anna too. Mr. John Smith called, and Mr. Smith "
+            "or Smith-led staff wrote to John Smith (Mrs. Smith). Herr Dr. Max Brown ate brown bread. Brown bread, said Brown. "
+            "Mr. McDonald, Ms. O'Brien and Smithson; O'Brien, McDonald. Señora Ana Ruiz. Госпожа, госпожа Иванова: Иванова!")
+    new, found = pii.rewrite(text, KEY, {})
+    for name in ("Anna", "Weber", "John", "Max", "McDonald", "Donald", "O'Brien", "Brien", "Ruiz", "Иванова"):
+        assert name not in new, name
+    one = {u: pii.surrogate(*u, 0, KEY) for e in found for u in e.units}
+    assert len({w for _, w in one}) == len(one)  # one unit for each word
+    to = {w: v for (_, w), v in one.items()}
+    want = text
+    for word in sorted(to, key=len, reverse=True):
+        want = re.sub(rf"(?<!\w){word}(?!\w)", to[word], want)
+    assert new == want.replace(f". {to['Brown']} bread", ". Brown bread")  # may be the colour
+    assert to["Anna"].endswith("na") and to["John"].endswith("n") and to["Max"].endswith("n") and to["Ana"].endswith("na")
+    assert to["Иванова"].endswith("на") and len({to["Anna"], to["Ana"], to["Smith"], to["John"]}) == 4
+    again = pii.rewrite("Miss Weber and Prof. Weber", KEY, {})[0]  # surnames agree across documents
+    assert again == f"Miss {to['Weber']} and Prof. {to['Weber']}"
+    assert pii.rewrite("John Smith without a title", KEY, {})[1] == []
+    heading = "What You Miss If You Leave. You may go if you can."
+    assert pii.rewrite(heading, KEY, {})[0].endswith("You may go if you can.")
+    docs = spark.createDataFrame([(1, text), (2, "Mr. John Smith, John"), (3, None)], "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in pii.pseudonymise(docs, KEY).collect()}
+    assert got == {1: new, 2: f"Mr. {to['John']} {to['Smith']}, {to['John']}", 3: None}
+    many = " ".join(f"Mr. N{chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} x" for i in range(5000))
+    assert len(pii.detect(many + " Naaa" * 20_000)) == 5001
+
+
 def test_blanks_are_no_secrets():
     for text in ("Password: ______ Name: ______", "Token: ------", "password: ..........", "api_key=~~~~~~~~", "pwd: \u017f\u017f\u017f\u017f\u017f\u017f"):
         assert pii.rewrite(text, KEY, {}) == (text, [])

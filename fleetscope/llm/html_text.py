@@ -5,7 +5,10 @@ learned from labelled pages (pages whose main part is marked by one ``article``
 word's weight is the log-odds of its context (enclosing section and element) to lie in the main
 part, a tag's weight is always below zero.  One linear scan finds the contiguous region with the
 largest sum.  Elements inside the region that are boilerplate by kind (scripts, menus, forms,
-adverts, comments ...) are left out; what remains becomes one line for each block.
+adverts, comments ...) are left out; what remains becomes one line for each block.  A class, role
+or id makes an element boilerplate only as a whole name (``related``, ``cookie-notice``,
+``share-buttons``, not ``share-prices``); a name that merely holds such a word halves the weight
+of the words in it.  Ids of headings and sections are slugs of their titles and say nothing.
 
 The weights come from a bounded sample of pages (``SAMPLE_PAGES``, by hash of the id); only
 counts for each context, at most ``MOST_CONTEXTS`` of them, reach the driver.
@@ -40,7 +43,7 @@ _TOKEN = re.compile(
     r"|<(?P<close2>/?)(?P<name2>[a-z][a-z0-9:-]*)(?P<attrs2>[^>]*)(?:>|\Z)"
     r"|<[!?][^>]*(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.I | re.S)
-_LABEL = re.compile(r"\b(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
+_LABEL = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"'>]+)", re.I)
 
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre "
@@ -54,31 +57,50 @@ BOILERPLATE_WORDS = frozenset("ad ads advert advertisement adverts advertising b
                               "promo promoted promotion related search share sharing sidebar social sponsor sponsored "
                               "subscribe toolbar widget".split())
 HEADER_WORDS = frozenset("header masthead topbar".split())
-
-
-def labels(attrs: str) -> list[str]:
+#: Words that stand beside those in names of page parts.
+FORM_WORDS = frozenset("area article articles bar block body bottom box button buttons container content desktop entries footer "
+                       "form global group header icon icons inner input item items left link links list main mobile outer overlay "
+                       "page panel post posts primary right row secondary section sections site slot small sticky thread title "
+                       "toggle top unit wrap wrapper".split())
+#: Elements whose id is a slug of their title.
+TITLED = frozenset("h1 h2 h3 h4 h5 h6 section".split())
+#: What is left of a positive weight in elements whose names hold a boilerplate word among others.
+DOUBT = 0.5
+
+
+def names(element: str, attrs: str) -> list[list[str]]:
+    """The words of each class, role and id of an element."""
     out = []
-    for _, value in _LABEL.findall(attrs):
-        out += [w for w in re.split(r"[^a-z0-9]+", value.lower()) if w]
+    for kind, value in _LABEL.findall(attrs):
+        if kind.lower() != "id" or element not in TITLED:
+            out += [words for n in value.strip("\"'").lower().split() if (words := [w for w in re.split(r"[^a-z0-9]+", n) if w])]
     return out
 
 
+def names_part(words: list[str], parts: frozenset) -> bool:
+    """Whether a whole name says that its element is one of ``parts``."""
+    return not parts.isdisjoint(words) and all(
+        w in parts or w in BOILERPLATE_WORDS or w in FORM_WORDS or re.fullmatch(r"\d+(x\d+)?", w) for w in words)
+
+
 class Page:
     """Tokens of a page: ``kind`` 't' (words) or 'b' (block border), 'i' (inline tag); parallel
-    lists of weight key, text and whether the token lies in boilerplate or in the label element."""
+    lists of weight key, text and whether the token lies in boilerplate, in the label element or in
+    an element that may be boilerplate."""
 
     def __init__(self, source: str | None):
-        self.kind, self.key, self.value, self.junk, self.marked = [], [], [], [], []
+        self.kind, self.key, self.value, self.junk, self.marked, self.doubt = [], [], [], [], [], []
         self.articles = 0
-        stack: list[tuple[str, str, bool]] = []  # name, section, boilerplate
-        section, junk, inside = "body", 0, 0
+        stack: list[tuple[str, str, bool, bool]] = []  # name, section, boilerplate, doubtful
+        section, junk, inside, doubt = "body", 0, 0, 0
 
         def pop_to(name: str) -> None:
-            nonlocal section, junk, inside
+            nonlocal section, junk, inside, doubt
             for k in range(len(stack) - 1, -1, -1):
                 if stack[k][0] == name:
-                    for n, s, bad in reversed(stack[k:]):
+                    for n, s, bad, unsure in reversed(stack[k:]):
                         junk -= bad
+                        doubt -= unsure
                         inside -= n == "article"
                         section = s
                     del stack[k:]
@@ -89,8 +111,8 @@ class Page:
             if text is not None:
                 words = html.unescape(text)
                 if words.strip():
-                    leaf = next((n for n, _, _ in reversed(stack) if n in BLOCKS or n == "a"), "body")
-                    self._add("t", f"{section}|{leaf}", words, junk > 0, inside > 0)
+                    leaf = next((n for n, *_ in reversed(stack) if n in BLOCKS or n == "a"), "body")
+                    self._add("t", f"{section}|{leaf}", words, junk > 0, inside > 0, doubt > 0)
                 elif words:
                     self._add("s", "", " ", junk > 0, inside > 0)
                 continue
@@ -103,40 +125,43 @@ class Page:
                 self._add(border, f"/{name}", "", junk > 0, inside > 0)
                 pop_to(name)
                 continue
-            if name in BLOCKS and any(n == "p" for n, _, _ in stack):
-                if not any(n in SECTIONS and n != "body" for n, _, _ in stack[self._last(stack, "p"):]):
+            if name in BLOCKS and any(n == "p" for n, *_ in stack):
+                if not any(n in SECTIONS and n != "body" for n, *_ in stack[self._last(stack, "p"):]):
                     pop_to("p")
-            if name == "li" and any(n == "li" for n, _, _ in stack):
-                if not any(n in ("ul", "ol", "menu") for n, _, _ in stack[self._last(stack, "li"):]):
+            if name == "li" and any(n == "li" for n, *_ in stack):
+                if not any(n in ("ul", "ol", "menu") for n, *_ in stack[self._last(stack, "li"):]):
                     pop_to("li")
-            own = labels(attrs) if attrs else []
-            bad = name in BOILERPLATE_TAGS or not BOILERPLATE_WORDS.isdisjoint(own)
-            if not inside and (name == "header" or not HEADER_WORDS.isdisjoint(own)):
+            own = names(name, attrs) if attrs else []
+            bad = name in BOILERPLATE_TAGS or any(names_part(n, BOILERPLATE_WORDS) for n in own)
+            if not inside and (name == "header" or any(names_part(n, HEADER_WORDS) for n in own)):
                 bad = True
+            unsure = not bad and any(not (BOILERPLATE_WORDS if inside else BOILERPLATE_WORDS | HEADER_WORDS).isdisjoint(n) for n in own)
             if name in ("html", "body", "main", "article"):
-                bad = False
+                bad = unsure = False
             if name in VOID or attrs.endswith("/"):
                 self._add(border if name != "br" else "s", f"<{name}", " " if name == "br" else "", junk > 0, inside > 0)
                 continue
             if name == "article":
                 self.articles += 1
             self._add(border, f"<{name}", "", junk > 0 or bad, inside > 0)
-            stack.append((name, section, bad))
+            stack.append((name, section, bad, unsure))
             junk += bad
+            doubt += unsure
             inside += name == "article"
             if name in SECTIONS:
-                section = ".".join([name, *own[:1]])
+                section = ".".join([name, *(own[0][:1] if own else [])])
 
     @staticmethod
     def _last(stack, name: str) -> int:
         return max(k for k, x in enumerate(stack) if x[0] == name) + 1
 
-    def _add(self, kind, key, value, junk, marked) -> None:
+    def _add(self, kind, key, value, junk, marked, doubt=False) -> None:
         self.kind.append(kind)
         self.key.append(key)
         self.value.append(value)
         self.junk.append(junk)
         self.marked.append(marked)
+        self.doubt.append(doubt)
 
     def counts(self) -> dict[str, list[int]]:
         """key -> [inside, outside] occurrences: words of text contexts, single tags; what is
@@ -154,7 +179,8 @@ class Page:
             if self.junk[i]:
                 continue  # left out in any case: it neither joins nor parts what is around it
             if kind == "t":
-                total += weights.get(key, UNSEEN_WORD) * len(self.value[i].split())
+                weight = weights.get(key, UNSEEN_WORD)
+                total += weight * (DOUBT if self.doubt[i] and weight > 0 else 1) * len(self.value[i].split())
             elif key:
                 total += weights.get(key, UNSEEN_TAG)
             if total <= 0:

@@ -679,3 +679,32 @@ def missing_privileges(objects: DataFrame, grants: DataFrame, kind: str, exclude
     o = objects.where(F.col("object_type") == kind).where(~F.col("owner").isin(*excluded_schemas))
     return o.join(grants.select("pkey", "owner", "object_name").distinct(), on=["pkey", "owner", "object_name"],
                   how="left_anti").select("pkey", "owner", "object_name", "object_type")
+
+
+_NO_USER_SCHEMAS = ("information_schema", "pglogical", "pglogical_origin")
+#: Object kind, privilege wanted, schemas left out (besides all named pg_...).
+PRIVILEGE_KINDS = [("SCHEMA", "USAGE", (*_NO_USER_SCHEMAS, "cron", "pgbouncer", "google_vacuum_mgmt")),
+                   ("TABLE", "SELECT", _NO_USER_SCHEMAS), ("VIEW", "SELECT", _NO_USER_SCHEMAS),
+                   ("SEQUENCE", "SELECT", ("pglogical", "pglogical_origin"))]
+
+
+def missing_privileges_by_kind(objects: DataFrame, grants: DataFrame, kinds=PRIVILEGE_KINDS) -> DataFrame:
+    """``missing_privileges`` of all ``kinds`` in one anti-join, for each database; a schema is its
+    own owner."""
+    key = ["pkey", "database_name", "owner", "object_name", "object_type"]
+    checked = F.lit(False)
+    for kind, _, excluded in kinds:
+        checked = checked | ((F.col("object_type") == kind) & ~F.col("owner").isin(*excluded))
+    return (objects.where(checked & ~F.col("owner").startswith("pg_")).select(*key).distinct()
+            .join(grants.select(*key).distinct(), on=key, how="left_anti"))
+
+
+def missing_privilege_messages(missing: DataFrame, kinds=PRIVILEGE_KINDS) -> DataFrame:
+    """(pkey, database_name, kind_order, message) of ``missing_privileges_by_kind``, as E14 reads them."""
+    order, message = F.lit(None).cast("int"), F.lit(None).cast("string")
+    for i, (kind, privilege, _) in enumerate(kinds):
+        named = F.col("owner") if kind == "SCHEMA" else F.concat("owner", F.lit("."), "object_name")
+        own = F.col("object_type") == kind
+        order = F.when(own, i + 1).otherwise(order)
+        message = F.when(own, F.concat(F.lit(f"user doesn't have {privilege} privilege on {kind.lower()} "), named)).otherwise(message)
+    return missing.select("pkey", "database_name", order.alias("kind_order"), message.alias("message"))

@@ -55,6 +55,22 @@ FEATURES = [("PARTITIONING", "relkind = 'p'"), ("FOREIGN_TABLES", "relkind = 'f'
 # fixed values: packaged-application signature tables (probe name, signature table)
 APP_PROBES = [("EBS", "FND_PRODUCT_GROUPS"), ("SIEBEL", "S_REPOSITORY"), ("PEOPLESOFT", "PSSTATUS"),
               ("SAP", "SVERS"), ("JDE", "F0010"), ("FIXTURE_TAB_1", "TAB_1"), ("FIXTURE_TAB_42", "TAB_42")]
+_DB_OF_OBJECT = "concat('db', cast(object_id % 3 + 5 * (object_id % 4) as string))"
+_PG_SCHEMA = """case owner when 'SYS' then 'pg_catalog' when 'OWN0' then 'information_schema' when 'OWN1' then 'pglogical'
+  when 'OWN2' then 'cron' else lower(owner) end"""
+_PG_OBJECTS = f"""select pkey, {_DB_OF_OBJECT} as database_name, {_PG_SCHEMA} as owner, table_name as object_name,
+  case relkind when 'r' then 'TABLE' when 'p' then 'TABLE' when 'v' then 'VIEW' when 'q' then 'SEQUENCE' else 'FOREIGN TABLE' end
+  as object_type from est_tables"""
+_PG_SCHEMAS = f"select distinct pkey, {_DB_OF_OBJECT} as database_name, {_PG_SCHEMA} as owner, {_PG_SCHEMA} as object_name, 'SCHEMA' as object_type from est_tables"
+D39_KINDS_INPUTS = {"o": f"{_PG_OBJECTS} union all {_PG_SCHEMAS}",
+                    "g": f"{_PG_OBJECTS} where num_rows % 500 <> 0 union all {_PG_SCHEMAS} where owner in ('OWN4', 'OWN5') or object_id % 4 = 1"}
+D39_KINDS_ORACLE = "\nunion all\n".join(f"""select distinct pkey, database_name, owner, object_name, object_type from o
+where object_type = '{kind}' and owner not in ({_in(excluded)}) and owner not like 'pg!_%' escape '!'
+  and not exists (select 1 from g where g.pkey = o.pkey and g.database_name = o.database_name and g.owner = o.owner
+    and g.object_name = o.object_name and g.object_type = o.object_type)""" for kind, excluded in [
+    ("SCHEMA", ["information_schema", "pglogical", "pglogical_origin", "cron", "pgbouncer", "google_vacuum_mgmt"]),
+    ("TABLE", ["information_schema", "pglogical", "pglogical_origin"]),
+    ("VIEW", ["information_schema", "pglogical", "pglogical_origin"]), ("SEQUENCE", ["pglogical", "pglogical_origin"])])
 LANG_SQL = params.values_sql([("en", "sql"), ("fr", "plpgsql"), ("de", "c")], ["lang_code", "language_name"])
 
 
@@ -687,6 +703,8 @@ where t.replica_identity in ('f', 'n')"""),
         oracle="""select pkey, owner, object_name, object_type from o
 where object_type = 'TABLE' and owner not in ('SYS', 'OWN0')
   and not exists (select 1 from g where g.pkey = o.pkey and g.owner = o.owner and g.object_name = o.object_name)"""),
+    "d39_missing_privileges_by_kind": Spec(
+        build=lambda o, g: inv.missing_privileges_by_kind(o, g), inputs=D39_KINDS_INPUTS, oracle=D39_KINDS_ORACLE),
     "d31_calculated_metrics_mysql": Spec(
         build=lambda tables, parts, stats, plugins, versions: inv.calculated_metrics_mysql(
             inv.table_details_mysql(tables, parts, stats), plugins, versions),

@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import major_version, minor_version
+from fleetscope.operators import inventory as inv
 from fleetscope.plans import readiness as R
+from fleetscope.plans.catalog_inventory import D39_KINDS_INPUTS, D39_KINDS_ORACLE
 from fleetscope.plans.spec import Spec
 
 
@@ -406,3 +408,14 @@ for _code, _key in [("PGLOGICAL_INSTALLED", "e13_pglogical_installed"), ("PRIVIL
                        inputs={k: INPUTS[k] for k in ("databases", "extensions", "usage", "privs", "missing", "nodes",
                                                       "nopk", "replica")},
                        oracle=f"select * from ({O_PER_DB}) y where rule_code = '{_code}'")
+
+# E14 with the rows of D39 in place of the "missing" fixture
+_D39_MESSAGES = f"""select pkey, database_name, case object_type when 'SCHEMA' then 1 when 'TABLE' then 2 when 'VIEW' then 3 else 4 end
+  as kind_order, 'user doesn''t have ' || case object_type when 'SCHEMA' then 'USAGE privilege on schema ' || owner
+  else 'SELECT privilege on ' || lower(object_type) || ' ' || owner || '.' || object_name end as message
+from ({D39_KINDS_ORACLE}) m"""
+SPECS["e14_privileges_of_objects"] = Spec(
+    build=lambda o, g, **frames: _pick("PRIVILEGES")(
+        missing=inv.missing_privilege_messages(inv.missing_privileges_by_kind(o, g)), **frames),
+    inputs={k: INPUTS[k] for k in ("databases", "extensions", "usage", "privs", "nodes", "nopk", "replica")} | D39_KINDS_INPUTS,
+    oracle=f"select * from (with missing as ({_D39_MESSAGES}), {O_PER_DB[len('with '):]}) y where rule_code = 'PRIVILEGES'")

@@ -10,7 +10,8 @@ import zipfile
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
 #: White space of the contracts: space and U+0009..U+000D; everything else belongs to a word.
 SPACES = "[\\x20\\x09-\\x0D]"
@@ -86,3 +87,24 @@ def byte_slices(batch: pa.RecordBatch, column: str, most: int = 8 << 20):
         held += n
     if start < batch.num_rows:
         yield batch.slice(start)
+
+
+def ascii_lower(text: Column) -> Column:
+    """``text`` with only A-Z in lower case; ``translate`` only where a code point is not ASCII."""
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    return F.when(F.length(text) == F.octet_length(text), F.lower(text)).otherwise(
+        F.translate(text, letters, letters.lower()))
+
+
+def numbered(df: DataFrame, order: list[Column], name: str) -> DataFrame:
+    """``df`` with a column ``name``: its rows' places (from 0) in the order ``order``.
+
+    Rows are range-partitioned and sorted, so no task holds more than one range; the ranges' row
+    counts (one row a partition, hence broadcast) give each range its first place."""
+    at = f"_at_{name}"
+    placed = stored(df.repartitionByRange(*order).sortWithinPartitions(*order)
+                    .withColumn(at, F.monotonically_increasing_id()), f"numbered-{name}")
+    sizes = placed.groupBy(F.shiftright(at, 33).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    first = sizes.select("_part", (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_first"))
+    rows = placed.join(F.broadcast(first), F.shiftright(at, 33) == F.col("_part"))
+    return rows.withColumn(name, F.col("_first") + F.col(at).bitwiseAND(F.lit((1 << 33) - 1))).drop(at, "_part", "_first")

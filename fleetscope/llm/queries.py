@@ -7,8 +7,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from fleetscope.llm import bpe, chat, html_text, langid, multi_index, packing, pii, quality, simhash, token_files
-from fleetscope.llm.common import scratch, table
+from fleetscope.llm import (
+    bpe, chat, decontaminate, html_text, langid, merkle, multi_index, packing, pii, quality, simhash, token_files, variants,
+)
+from fleetscope.llm.common import ascii_lower, scratch, table
 
 WORD_BPE = public_tokenizers.path("word_bpe_49k.json")
 
@@ -83,8 +85,25 @@ def op10_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.variants(table(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op12_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    text = F.when(tampered, ascii_lower(F.col("text"))).otherwise(F.col("text"))
+    return merkle.audit(table(spark, sf_dir, "documents"), received={"text": text})
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contamination(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", "n_items", F.sha2("items", 256).alias("items_sha256"),
+                        (F.col("n_hit") > 0).alias("contaminated"))
+
+
 QUERIES = {f.__name__: f for f in (op1_quality, op2_token_files, op3_bpe, op4_chat, op5_simhash, op6_neighbours,
-                                   op7_packing, op8_surrogates, op9_language_id, op10_html_text)}
+                                   op7_packing, op8_surrogates, op9_language_id, op10_html_text, op11_variants,
+                                   op12_merkle, op13_decontamination)}
 
 _OP1_SQL = r"""
 with d as (select row_number() over () as rn, doc_id, lang, source, coalesce(text, '') as text from documents),
@@ -142,4 +161,86 @@ select conv_id, count(*) as n_turns,
 from e group by conv_id
 """
 
-ORACLE_SQL = {"op1_quality": _OP1_SQL, "op4_chat": _OP4_SQL}
+#: CTE ``crc``: the table of CRC-32; _crc32(x) is the unsigned CRC-32 of the text x in UTF-8.
+_CRC_TABLE = """
+crc as (select list(list_reduce(range(8), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end, i) order by i) as tab
+  from (select unnest(range(256)) as i))"""
+
+
+def _crc32(x: str) -> str:
+    digit = "strpos('0123456789ABCDEF', substr(hex(encode({x})), {at}, 1)) - 1"
+    byte = f"({digit.format(x=x, at='2 * k + 1')}) * 16 + {digit.format(x=x, at='2 * k + 2')}"
+    return (f"xor(list_reduce(list_transform(range(octet_length(encode({x}))), lambda k: {byte}), "
+            f"lambda c, b: xor(c >> 8, tab[(xor(c, b) & 255) + 1]), 4294967295), 4294967295)")
+
+
+_AZ = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'"
+
+_OP11_SQL = f"""
+with recursive {_CRC_TABLE.strip()},
+o as (select concat(coalesce(cast(doc_id as varchar), ''), ':', run) as tagged, run from (
+  select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\\x{{C0}}-\\x{{FF}}]+')), {_AZ}) as run from documents)),
+h as (select run, {_crc32('tagged')} as h from o, crc),
+w as (select case when h % 97 = 0 then substr(run, 1, cast(h % length(run) as bigint)) || substr(run, cast(h % length(run) as bigint) + 2)
+  else run end as word from h),
+v as (select word, count(*) as n from w where length(word) >= 5 group by word having count(*) >= 3),
+gap as (select word, n, i, substr(word, 1, i) || substr(word, i + 2) as rest from (select word, n, unnest(range(length(word))) as i from v)),
+link as (select a.word, b.word as near, b.n as near_n from gap a join gap b on a.i = b.i and a.rest = b.rest and a.word <> b.word
+  union select g.word, v.word, v.n from gap g join v on g.rest = v.word
+  union select v.word, g.word, g.n from gap g join v on g.rest = v.word),
+best as (select word, count(*) as n_near, first(struct_pack(w := near, n := near_n) order by near_n desc, near) as b from link group by word),
+f as (select v.word, case when b.n >= 2 * v.n then b.w end as form, v.n, coalesce(n_near, 0) as n_near,
+  case when b.n >= 2 * v.n then b.n end as form_n from v left join best on best.word = v.word),
+up as (select word, word as at from f union all select up.word, f.form from up join f on f.word = up.at where f.form is not null)
+select f.word, f.form, up.at as root, f.n, f.n_near, f.form_n from f join up on up.word = f.word join f e on e.word = up.at and e.form is null
+"""
+
+_OP12_FIELDS = " || ".join(f"coalesce(concat(octet_length(encode(cast({c} as varchar))), ':', cast({c} as varchar)), '-')"
+                           for c in ("doc_id", "source", "lang", "n_chars", "{text}"))
+
+_OP12_SQL = f"""
+with recursive {_CRC_TABLE.strip()},
+leaf as (select doc_id, source, sha256({_OP12_FIELDS.format(text="text")}) as leaf,
+  case when doc_id is not null and {_crc32('cast(doc_id as varchar)')} % 5 = 0 then sha256({_OP12_FIELDS.format(text=f"translate(text, {_AZ})")})
+  else sha256({_OP12_FIELDS.format(text="text")}) end as got from documents, crc),
+place as (select row_number() over () as id, doc_id, source, leaf, got, row_number() over (partition by source order by doc_id nulls first, leaf) - 1 as idx from leaf),
+low as (select source, 0 as lvl, idx, leaf as hash, count(*) over (partition by source) as n from place
+  union all select source, any_value(lvl) + 1, idx // 16, sha256(string_agg(hash, '' order by idx)), (any_value(n) + 15) // 16
+  from low where n > 1 group by source, idx // 16),
+sub as (select source, hash as subroot, row_number() over (order by encode(source) nulls first) - 1 as idx, count(*) over () as n from low where n = 1),
+top as (select 0 as lvl, idx, subroot as hash, n from sub
+  union all select any_value(lvl) + 1, idx // 16, sha256(string_agg(hash, '' order by idx)), (any_value(n) + 15) // 16 from top where n > 1 group by idx // 16),
+node as (select source, false as up, lvl, idx, hash, n from low union all select null, true, lvl, idx, hash, n from top),
+run as (select source, up, lvl, idx // 16 as run, list(hash order by idx) as items from node where n > 1 group by all),
+climb as (select p.id, p.source, false as up, 0 as lvl, p.idx, p.got as folded, '' as proof, l.n from place p
+    join low l on l.lvl = 0 and l.idx = p.idx and l.source is not distinct from p.source
+  union all select c.id, c.source, c.up, c.lvl + 1, c.idx // 16,
+    sha256(array_to_string(r.items[:c.idx % 16], '') || c.folded || array_to_string(r.items[c.idx % 16 + 2:], '')),
+    c.proof || array_to_string(r.items[:c.idx % 16], '') || array_to_string(r.items[c.idx % 16 + 2:], ''), (c.n + 15) // 16
+    from climb c join run r on c.n > 1 and r.up = c.up and r.lvl = c.lvl and r.run = c.idx // 16
+      and r.source is not distinct from case when c.up then null else c.source end
+  union all select c.id, c.source, true, 0, s.idx, c.folded, c.proof, s.n from climb c
+    join sub s on s.source is not distinct from c.source where c.n = 1 and not c.up)
+select p.doc_id, p.leaf, s.subroot, t.hash as root, sha256(c.proof) as proof_sha256, c.folded as folded_root, c.folded = t.hash as verified
+from climb c join place p on p.id = c.id join sub s on s.source is not distinct from p.source join top t on t.n = 1 where c.up and c.n = 1
+"""
+
+_OP13_SQL = f"""
+with d as (select row_number() over () as rn, doc_id,
+  regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from documents),
+b as (select item_id, regexp_extract_all(translate(coalesce(text, ''), {_AZ}), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') as w from benchmark),
+bw as (select distinct item_id, least(len(w), 10) as m, list_slice(w, i, i + least(len(w), 10) - 1) as k
+  from (select item_id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) as i from b where len(w) > 0)),
+ms as (select distinct m from bw),
+dw as (select rn, m, i, list_slice(w, i, i + m - 1) as k from (select rn, w, m, unnest(range(1, len(w) - m + 2)) as i from d, ms where len(w) >= m)),
+hit as (select rn, m, i, item_id from dw join bw using (m, k)),
+words as (select rn, count(distinct i + o) as n from (select rn, i, unnest(range(m)) as o from (select distinct rn, m, i from hit)) group by rn),
+items as (select rn, count(*) as n, string_agg(item, ',' order by item) as ids
+  from (select distinct rn, cast(item_id as varchar) as item from hit where item_id is not null) group by rn)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(words.n, 0) as n_hit, coalesce(items.n, 0) as n_items,
+  sha256(coalesce(ids, '')) as items_sha256, coalesce(words.n, 0) > 0 as contaminated
+from d left join words using (rn) left join items using (rn)
+"""
+
+ORACLE_SQL = {"op1_quality": _OP1_SQL, "op4_chat": _OP4_SQL, "op11_variants": _OP11_SQL, "op12_merkle": _OP12_SQL,
+              "op13_decontamination": _OP13_SQL}

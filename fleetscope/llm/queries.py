@@ -212,15 +212,16 @@ top as (select 0 as lvl, idx, subroot as hash, n from sub
   union all select any_value(lvl) + 1, idx // 16, sha256(string_agg(hash, '' order by idx)), (any_value(n) + 15) // 16 from top where n > 1 group by idx // 16),
 node as (select source, false as up, lvl, idx, hash, n from low union all select null, true, lvl, idx, hash, n from top),
 run as (select source, up, lvl, idx // 16 as run, list(hash order by idx) as items from node where n > 1 group by all),
-climb as (select p.id, p.source, false as up, 0 as lvl, p.idx, p.got as folded, '' as proof, l.n from place p
-    join low l on l.lvl = 0 and l.idx = p.idx and l.source is not distinct from p.source
-  union all select c.id, c.source, c.up, c.lvl + 1, c.idx // 16,
+climb as (select p.id, p.source, l.n = 1 as up, 0 as lvl, case when l.n = 1 then s.idx else p.idx end as idx, p.got as folded, '' as proof,
+    case when l.n = 1 then s.n else l.n end as n
+    from place p join low l on l.lvl = 0 and l.idx = p.idx and l.source is not distinct from p.source join sub s on s.source is not distinct from p.source
+  union all select c.id, c.source, c.up or c.n <= 16, case when not c.up and c.n <= 16 then 0 else c.lvl + 1 end,
+    case when not c.up and c.n <= 16 then s.idx else c.idx // 16 end,
     sha256(array_to_string(r.items[:c.idx % 16], '') || c.folded || array_to_string(r.items[c.idx % 16 + 2:], '')),
-    c.proof || array_to_string(r.items[:c.idx % 16], '') || array_to_string(r.items[c.idx % 16 + 2:], ''), (c.n + 15) // 16
-    from climb c join run r on c.n > 1 and r.up = c.up and r.lvl = c.lvl and r.run = c.idx // 16
-      and r.source is not distinct from case when c.up then null else c.source end
-  union all select c.id, c.source, true, 0, s.idx, c.folded, c.proof, s.n from climb c
-    join sub s on s.source is not distinct from c.source where c.n = 1 and not c.up)
+    c.proof || array_to_string(r.items[:c.idx % 16], '') || array_to_string(r.items[c.idx % 16 + 2:], ''),
+    case when not c.up and c.n <= 16 then s.n else (c.n + 15) // 16 end
+    from climb c join sub s on s.source is not distinct from c.source join run r on c.n > 1 and r.up = c.up and r.lvl = c.lvl
+      and r.run = c.idx // 16 and r.source is not distinct from case when c.up then null else c.source end)
 select p.doc_id, p.leaf, s.subroot, t.hash as root, sha256(c.proof) as proof_sha256, c.folded as folded_root, c.folded = t.hash as verified
 from climb c join place p on p.id = c.id join sub s on s.source is not distinct from p.source join top t on t.n = 1 where c.up and c.n = 1
 """

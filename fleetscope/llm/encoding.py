@@ -7,8 +7,9 @@ a bounded number of words, so memory stays bounded for any vocabulary.
 
 from __future__ import annotations
 
-import numpy as np
-from tokenizers import Tokenizer, pre_tokenizers
+from array import array
+
+from tokenizers import Tokenizer
 
 from fleetscope.llm.pretokens import Pretokenizer
 
@@ -52,16 +53,26 @@ class Cache(dict):
         return ids
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter by which a byte-level vocabulary writes a byte: printable Latin-1 signs stand
+    for themselves, the others for U+0100 and on in their order."""
+    printable = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+    others = [b for b in range(256) if b not in printable]
+    return {b: chr(0x100 + i) for i, b in enumerate(others)}
+
+
 class Encoder:
     def __init__(self, path: str, entries: int = CACHE_ENTRIES):
         self.pre = Pretokenizer(path)
-        model = Tokenizer.from_file(path)
-        model.normalizer = None  # words come normalised
-        model.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        model.no_truncation()
-        model.no_padding()
-        self.cache = Cache(lambda w: np.array(model.encode(w, add_special_tokens=False).ids, dtype="<u4").tobytes(),
-                           entries)
+        model, letters = Tokenizer.from_file(path).model, byte_letters()
+
+        def encode(word: str) -> bytes:
+            """The library's model on one word as bytes written in letters: no Encoding is built."""
+            if not (word.isascii() and word.isprintable()):  # else every byte is its own letter
+                word = word.encode().decode("latin-1").translate(letters)
+            return array("I", [t.id for t in model.tokenize(word)]).tobytes()
+
+        self.cache = Cache(encode, entries)
 
     def encode(self, text: str | None) -> bytes:
         """Ids as little-endian unsigned 32-bit integers; null counts as empty."""

@@ -29,7 +29,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from fleetscope.llm.common import byte_slices, cut, ship
+from fleetscope.llm.common import byte_slices, cut, ship, stored
+from fleetscope.llm.merkle import leaf_hash
 
 SEED = 42
 SAMPLE_ROWS = 16_384
@@ -38,7 +39,6 @@ SHARD_ROWS = 16_384
 LEAF_ROWS = 1_024
 #: A split must leave at most this share of the rows on both sides together, else the rows stay whole.
 MOST_COPIES = 1.7
-MAX_ROUNDS = 64
 
 
 def fingerprint(text: str | None, shingle: int) -> int:
@@ -211,7 +211,7 @@ def near_links(nodes: DataFrame, radius: int, shard_rows: int = SHARD_ROWS) -> D
 def connected(links: DataFrame) -> DataFrame:
     """(node, root) for every node of ``links`` (a, b): root is the least node of its part.
 
-    Alternating large-star and small-star rounds; a round groups and joins on nodes (the least
+    Alternating large-star and small-star rounds until nothing moves; a round groups and joins on nodes (the least
     neighbour is a partial aggregate, hot centres are split by AQE) and is checkpointed."""
     def both(e):
         return e.union(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -220,7 +220,7 @@ def connected(links: DataFrame) -> DataFrame:
         return e.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("n"), F.least("a", "m").alias("m"))
 
     edges = cut(links.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
-    for _ in range(MAX_ROUNDS):
+    while True:
         if edges.isEmpty():
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         pairs = both(edges)
@@ -236,7 +236,6 @@ def connected(links: DataFrame) -> DataFrame:
                                                       "left_semi").isEmpty():
             roots = edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
             return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).union(roots)
-    raise RuntimeError(f"parts are not joined after {MAX_ROUNDS} rounds")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id",
@@ -250,3 +249,20 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col
     names = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     labels = rooted.select("f", "root").join(names, "root").select("f", "component_id")
     return marked.join(labels, F.col("fp") == F.col("f")).select(id_col, "fp", "component_id")
+
+
+def representatives(docs: DataFrame, shingle: int = 3, max_bits: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of every group of near-duplicates: the least by id (null ids last),
+    then by the digest of all its columns, so the choice does not depend on partitions.
+
+    Rows are told apart by what they hold, not by id: of several texts under one id each stays
+    unless it is a near-duplicate itself.  Rows alike in every column count as copies; only their
+    groups are deduplicated by value, all others pass one semi-join on the digest."""
+    digest = leaf_hash([F.col(f"`{c}`") for c in docs.columns])
+    key = F.struct(F.col(f"`{id_col}`").isNull().alias("anonymous"), F.col(f"`{id_col}`").alias("id"), digest.alias("digest"))
+    linked = near_duplicates(docs.select(key.alias("_key"), F.col(f"`{text_col}`").alias("_text")), shingle, max_bits, "_key", "_text")
+    least = linked.where("_key = component_id").groupBy(F.col("_key.digest").alias("_kept")).agg(F.count(F.lit(1)).alias("_copies"))
+    kept = docs.withColumn("_digest", digest).join(stored(least, "representatives"), F.col("_digest") == F.col("_kept"))
+    own = [F.col(f"`{c}`") for c in docs.columns]
+    copies = kept.where("_copies > 1").dropDuplicates(["_digest"])
+    return kept.where("_copies = 1").select(*own).unionByName(copies.select(*own))

@@ -22,12 +22,10 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays: the one with the smallest id.
-    Repeated rows of one id count as copies; rows without an id cannot be told apart and stay."""
-    groups = simhash.near_duplicates(docs, shingle=3, max_bits=2)
-    keep = groups.where(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(keep, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.where("doc_id is null"))
+    """One document of each group of near-duplicates stays: the one with the smallest id, a row
+    without an id only where no other has one.  Groups hold rows, not ids: of several texts under
+    one id each stays that is no near-duplicate; rows alike in all columns are copies."""
+    return simhash.representatives(docs, shingle=3, max_bits=2)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

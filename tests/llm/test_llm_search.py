@@ -223,3 +223,18 @@ def test_stages_take_empty_and_odd_tables(spark, sf_small):
     for d in (empty, odd):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, d, sf_small).count() >= 0
+
+
+@pytest.mark.parametrize("parts_of", [1, 3, 8])
+def test_texts_under_one_id_stay_apart(spark, parts_of):
+    def text(k):
+        return " ".join(f"word{k}x{i}" for i in range(60))
+    rows = [(3, text(1), "a"), (5, text(1), "b"), (5, text(2), "c"), (5, text(3), "d"), (5, text(3), "d"), (7, text(3), "e"),
+            (None, text(4), "f"), (None, text(4), "f"), (None, text(1), "g"), (9, None, "h"), (9, "", "i"), (9, text(5), "j")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(parts_of)
+    kept = stages.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert len([r for r in got if not r[1]]) == 1  # null and empty text are copies of each other
+    assert sorted((r for r in got if r[1]), key=str) == sorted(
+        [(3, text(1), "a"), (5, text(2), "c"), (5, text(3), "d"), (None, text(4), "f"), (9, text(5), "j")], key=str)

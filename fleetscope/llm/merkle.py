@@ -10,8 +10,9 @@ stored as parent-linked node rows (tree, level, idx, hash, children, link to the
 its run).  A recursive common table expression then ascends from the leaves: a step joins the
 climbing rows with the node above them, folds the received hashes into it and appends the
 siblings.  From the second level on the leaves of one run share all siblings, so a climbing row
-carries a run of up to ``FAN`` leaves with one folded hash each and one proof for all of them;
-digests are binary until the end.  A tree of n leaves takes log16(n) steps, and hot groups are
+stands for a run of up to ``FAN`` leaves, with one proof for all of them and one folded hash for
+all that fold alike so far (leaves received as built); ids stay behind and are joined again at
+the top.  Digests are binary until the end.  A tree of n leaves takes log16(n) steps, and hot groups are
 spread like others: places come from a range partitioning, parents from (tree, idx).
 
 Cases: null ids come first; equal ids of a group are ordered by leaf hash, so repeated rows are
@@ -49,6 +50,10 @@ def _digest(content: str) -> str:
     return f"unhex(sha2(lower(hex({content})), 256))"
 
 
+#: SQL: the digests in c before and after the p-th, and f in its place.
+_AROUND = "substr({c}, 1, 32 * {p}), {f} substr({c}, 32 * {p} + 33)"
+
+
 def _joined(array: str, item: str = "x") -> str:
     """SQL: the binary items of an array one after another."""
     return f"aggregate({array}, cast('' as binary), (a, x) -> concat(a, {item}))"
@@ -107,9 +112,15 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
     runs = placed.join(g, F.col("grp").eqNullSafe(F.col("g"))).groupBy("tree", F.floor(idx / FAN).alias("idx")).agg(
         F.array_sort(F.collect_list(F.struct("place", "id", "leaf", "got"))).alias("docs"), F.max("n").alias("leaves"))
     lone = "leaves = 1"
-    runs = runs.selectExpr("tree", "idx", "leaves", "docs", f"{_joined('docs', 'x.leaf')} as children").selectExpr(
-        "tree", f"case when {lone} then 0 else 1 end as level", "idx", f"(leaves + {FAN - 1}) div {FAN} as n", "docs", "children",
-        f"case when {lone} then children else {_digest('children')} end as hash")
+    first = _digest("concat(" + _AROUND.format(c="children", p="i", f="d.got,") + ")")
+    runs = runs.selectExpr("tree", "idx", "leaves", "docs", f"{_joined('docs', 'x.leaf')} as children")
+    runs = runs.selectExpr("tree", f"case when {lone} then 0 else 1 end as level", "idx", f"(leaves + {FAN - 1}) div {FAN} as n",
+                           "transform(docs, d -> d.id) as ids", "children",
+                           f"case when {lone} then children else {_digest('children')} end as hash",
+                           f"case when {lone} then transform(docs, d -> d.got) else transform(docs, (d, i) -> {first}) end as folds")
+    runs = runs.withColumn("values", F.array_distinct("folds")).selectExpr(
+        "tree", "level", "idx", "n", "ids", "children", "hash", "values",
+        "transform(folds, f -> cast(array_position(values, f) as int)) as which")
     runs = stored(_linked(runs, trees), "merkle-runs")
 
     bottom = runs.select("tree", "level", "idx", "n", "hash")
@@ -126,29 +137,25 @@ def build(docs: DataFrame, fields: tuple[str, ...] = FIELDS, id_col: str = "doc_
 
 
 def climb(runs: DataFrame, nodes: DataFrame, steps: int) -> DataFrame:
-    """Every run at the root: docs, children, subroot, root, proof above the run, folded hashes.
+    """Every run (tree, idx) at the root: subroot, root, proof above the run, its folded hashes.
 
     The recursion's own bound on rows is lifted while it runs: its result has runs x steps rows."""
     spark = runs.sparkSession
     bound = "spark.sql.cteRecursionRowLimit"
     before = spark.conf.get(bound)
-    around = "substr({c}, 1, 32 * {p}), {f} substr({c}, 32 * {p} + 33)"
-    first = _digest("concat(" + around.format(c="children", p="i", f="d.got,") + ")")
-    step = _digest("concat(" + around.format(c="n.children", p="c.up_pos", f="f,") + ")")
-    siblings = around.format(c="n.children", p="c.up_pos", f="")
+    step = _digest("concat(" + _AROUND.format(c="n.children", p="c.up_pos", f="v,") + ")")
+    siblings = _AROUND.format(c="n.children", p="c.up_pos", f="")
     query = f"""
-      with recursive climb(docs, children, subroot, root, proof, folds, up_tree, up_level, up_idx, up_pos)
+      with recursive climb(tree, idx, subroot, root, proof, values, up_tree, up_level, up_idx, up_pos)
       max recursion level {steps + 2} as (
-        select docs, children, case when n = 1 then hash end, hash, cast('' as binary),
-          case when level = 0 then transform(docs, d -> d.got) else transform(docs, (d, i) -> {first}) end,
-          up_tree, up_level, up_idx, up_pos
+        select tree, idx, case when n = 1 then hash end, hash, cast('' as binary), values, up_tree, up_level, up_idx, up_pos
         from {{runs}}
         union all
-        select c.docs, c.children, case when n.tree >= 0 and n.n = 1 then n.hash else c.subroot end, n.hash,
-          concat(c.proof, {siblings}), transform(c.folds, f -> {step}),
+        select c.tree, c.idx, case when n.tree >= 0 and n.n = 1 then n.hash else c.subroot end, n.hash,
+          concat(c.proof, {siblings}), transform(c.values, v -> {step}),
           n.up_tree, n.up_level, n.up_idx, n.up_pos
         from climb c join {{nodes}} n on c.up_tree = n.tree and c.up_level = n.level and c.up_idx = n.idx)
-      select docs, children, subroot, root, proof, folds from climb where up_tree is null"""
+      select tree, idx, subroot, root, proof, values from climb where up_tree is null"""
     spark.conf.set(bound, "-1")
     try:
         return stored(spark.sql(query, runs=runs, nodes=nodes), "merkle-climb")
@@ -160,12 +167,14 @@ def audit(docs: DataFrame, received: dict[str, Column] | None = None, fields: tu
           id_col: str = "doc_id", group_col: str = "source") -> DataFrame:
     """One row a leaf: id, leaf, subroot, root, proof_sha256 of the data as built (hex text),
     folded_root from the row as received and the original siblings, verified."""
-    tops = climb(*build(docs, fields, id_col, group_col, received))
-    rows = tops.select("children", "subroot", "root", "proof", F.posexplode(F.arrays_zip("docs", "folds")).alias("i", "row"))
-    proof = F.expr("concat(substr(children, 1, 32 * i), substr(children, 32 * i + 33), proof)")
-
+    runs, nodes, steps = build(docs, fields, id_col, group_col, received)
+    tops = climb(runs, nodes, steps).withColumnRenamed("values", "folded")
+    rows = runs.select("tree", "idx", "ids", "children", "which").join(tops, ["tree", "idx"]).select(
+        "children", "subroot", "root", "proof", "folded", F.posexplode(F.arrays_zip("ids", "which")).alias("i", "row"))
+    rows = rows.selectExpr("row.ids as id", "substr(children, 32 * i + 1, 32) as leaf", "subroot", "root", "folded[row.which - 1] as folded",
+                           "concat(" + _AROUND.format(c="children", p="i", f="") + ", proof) as proof")
     def text(c):
         return F.lower(F.hex(c))
-    return rows.select(F.col("row.docs.id").alias(id_col), text("row.docs.leaf").alias("leaf"), text("subroot").alias("subroot"),
-                       text("root").alias("root"), F.sha2(text(proof), 256).alias("proof_sha256"),
-                       text("row.folds").alias("folded_root"), (F.col("row.folds") == F.col("root")).alias("verified"))
+    return rows.select(F.col("id").alias(id_col), text("leaf").alias("leaf"), text("subroot").alias("subroot"), text("root").alias("root"),
+                       F.sha2(text("proof"), 256).alias("proof_sha256"), text("folded").alias("folded_root"),
+                       (F.col("folded") == F.col("root")).alias("verified"))

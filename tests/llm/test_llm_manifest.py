@@ -81,6 +81,16 @@ def test_merkle_equals_brute_force(spark, sizes):
     assert spark.conf.get("spark.sql.cteRecursionRowLimit") == "1000000"  # the session's own bound is back
 
 
+def test_nodes_stored_in_shares_give_the_same(spark, monkeypatch):
+    docs = documents(spark, [(i, f"Text {i}", "hot" if i % 3 else f"s{i % 60}") for i in range(700)])
+    once = sorted(tuple(r) for r in merkle.audit(docs).collect())
+    monkeypatch.setattr(merkle, "SHARE", 2)
+    monkeypatch.setattr(merkle, "_SINGLE", 1)
+    _, nodes, _ = merkle.build(docs)
+    assert nodes.agg(F.max("share")).first()[0] > 3
+    assert sorted(tuple(r) for r in merkle.audit(docs).collect()) == once and all(r[-1] for r in once)
+
+
 def test_merkle_of_an_empty_table(spark):
     assert merkle.audit(documents(spark, [])).count() == 0
 

@@ -8,10 +8,8 @@ DataFrame (original -> masked) for collision repair, reversal and audit.
 
 * ``identity_map``: distinct values per rule -> pseudonym; the first rule that
   sees a value wins (``min_by`` over the rule order, partial aggregation).
-* ``resolve_collisions``: a masked value shared by several originals is
-  regenerated for all but the smallest original, with a bumped attempt counter,
-  until unique (each round is one grouped job; lineage is cut with
-  ``checkpoint()`` in the session's shared checkpoint folder).
+* ``resolve_collisions``: originals that share a pseudonym are numbered within their
+  group in one pass; published pseudonyms never change.
 * ``apply_mask`` / ``unmask``: equi-joins on the value (AQE picks broadcast when
   the map is small; nothing is hinted because the map grows with the fleet).
 """
@@ -153,34 +151,37 @@ def identity_map(sources, salt: str, existing: DataFrame | None = None) -> DataF
     return out
 
 
-def resolve_collisions(mapping: DataFrame, salt: str, max_rounds: int = 20, pseudo=None) -> DataFrame:
-    """While some masked value belongs to several originals, keep it for the smallest
-    original and regenerate the others with ``attempt + 1``.  ``pseudo(original, kind,
-    attempt)`` overrides the generator (tests use a tiny one to force collisions)."""
+#: The number that tells apart originals with one pseudonym, at the end or before a host's domain.
+_NUMBERED = r"-[0-9]+($|\.[a-z]+$)"
+
+
+def resolve_collisions(mapping: DataFrame, salt: str, existing: DataFrame | None = None, pseudo=None) -> DataFrame:
+    """One masked value for each original, in one pass.
+
+    Originals with the same pseudonym form a group (a keyed hash makes groups of a few).  What
+    ``existing`` has published stays as it is and comes first; of the others the smallest
+    original keeps the bare pseudonym where nobody published it, each further one gets the next
+    free number of its group (``OBJ_..-1``; before the domain of a host).  Bare pseudonyms end
+    in no ``-number``, so numbered ones meet only within their group: no rounds, no limit, and
+    new values never change old ones.  ``attempt`` is the number.  ``pseudo(original, kind)``
+    overrides the generator."""
     from pyspark.sql import Window
 
-    gen = pseudo or (lambda o, k, a: _kind_switch(o, k, a, salt))
-    m = mapping
-    for _ in range(max_rounds):
-        w = Window.partitionBy("masked").orderBy("original")
-        ranked = m.withColumn("__rn", F.row_number().over(w))
-        if ranked.where(F.col("__rn") > 1).limit(1).count() == 0:
-            return m
-        bump = F.col("__rn") > 1
-        m = (ranked.withColumn("attempt", F.when(bump, F.col("attempt") + 1).otherwise(F.col("attempt")))
-             .withColumn("masked", F.when(bump, gen(F.col("original"), F.col("kind"), F.col("attempt")))
-                         .otherwise(F.col("masked")))
-             .drop("__rn").checkpoint())  # a round costs one pass, whatever came before
-    raise RuntimeError("masked values still collide after %d rounds" % max_rounds)
-
-
-def _kind_switch(original: Column, kind: Column, attempt: Column, salt: str) -> Column:
-    out = None
-    for k in FORMATS:
-        e = keyed_pseudonym(original, k, salt, attempt)
-        out = F.when(kind == k, e) if out is None else out.when(kind == k, e)
-    again = F.concat_ws("#", original, attempt.cast("string"))  # a host in collision is hashed anew
-    return out.when(kind == "HOST_NAME", F.when(attempt == 0, host_pseudonym(original)).otherwise(host_pseudonym(again)))
+    old = mapping.select("original").limit(0) if existing is None else existing.select("original").distinct()
+    m = mapping.join(old.withColumn("__old", F.lit(True)), "original", "left").withColumn("__old", F.coalesce("__old", F.lit(False)))
+    if pseudo is not None:
+        m = m.withColumn("masked", F.when(F.col("__old"), F.col("masked")).otherwise(pseudo(F.col("original"), F.col("kind"))))
+    m = m.withColumn("__base", F.when(F.col("__old"), F.regexp_replace("masked", _NUMBERED, "$1")).otherwise(F.col("masked")))
+    number = F.coalesce(F.regexp_extract("masked", "-([0-9]+)(?:$|[.][a-z]+$)", 1).try_cast("int"), F.lit(0))
+    group = Window.partitionBy("__base")
+    taken = F.max(F.when(F.col("__old"), number)).over(group)
+    place = F.row_number().over(Window.partitionBy("__base", "__old").orderBy("original"))
+    m = m.withColumn("__n", F.when(F.col("__old"), number).otherwise(place + F.coalesce(taken, F.lit(-1))))
+    host = F.regexp_replace("__base", "([.][a-z]+)$", F.concat(F.lit("-"), F.col("__n").cast("string"), F.lit("$1")))
+    renamed = F.when((F.col("kind") == "HOST_NAME") & F.col("__base").rlike("[.][a-z]+$"), host).otherwise(F.concat_ws("-", "__base", "__n"))
+    new = ~F.col("__old")
+    return m.select("original", "kind", F.when(new & (F.col("__n") > 0), renamed).otherwise(F.col("masked")).alias("masked"),
+                    F.when(new, F.col("__n").cast("int")).otherwise(F.col("attempt")).alias("attempt"))
 
 
 def apply_mask(df: DataFrame, mapping: DataFrame, col: str, kind: str) -> DataFrame:

@@ -77,14 +77,43 @@ where constraint_type = 'C'""",
     "alogs": """select concat('pk', cast(o_custkey % 4 as string)) as pkey, o_orderpriority as name,
   case when o_orderstatus = 'F' then 'NO' else 'YES' end as deleted,
   case when o_orderkey % 2 = 0 then 'ARCH' else 'LGWR' end as creator from orders""",
-    "sprivs": """select distinct pkey, case extension_name when 'pglogical' then 'CREATE SESSION'
+    "sprivs": """select distinct pkey, case when extension_owner = 'alloydbadmin' then 'APP_USER' else 'MIGRATION_USER' end as grantee,
+  case extension_name when 'pglogical' then 'CREATE SESSION'
   when 'pg_cron' then 'SELECT ANY DICTIONARY' when 'hstore' then 'LOGMINING' else 'ALTER SESSION' end as privilege
 from est_extensions""",
-    "rprivs": """select distinct pkey, case when extension_owner = 'rdsadmin' then 'DBA' else 'CONNECT' end as granted_role
+    "rprivs": """select distinct pkey, case when extension_owner = 'alloydbadmin' then 'APP_USER' else 'MIGRATION_USER' end as grantee,
+  case when extension_owner = 'rdsadmin' then 'DBA' when extension_owner = 'alloydbadmin' then 'DBA' else 'CONNECT' end as granted_role
 from est_extensions""",
-    "rsprivs": params.values_sql([("CONNECT", "CREATE SESSION"), ("RESOURCE", "CREATE TABLE")], ["role", "privilege"]),
-    "tprivs": """select pkey, 'SYS' as owner, 'V_$DATABASE' as table_name, 'SELECT' as privilege from est_databases
-union all select pkey, owner, table_name, 'SELECT' from est_constraints where constraint_type = 'U'""",
+    "rsprivs": """select distinct pkey, case when version = '9.4.1' then 'RESOURCE' else 'CONNECT' end as role,
+  case when version = '14.2' then 'CREATE TABLE' else 'CREATE SESSION' end as privilege from est_databases""",
+    "tprivs": """select pkey, 'MIGRATION_USER' as grantee, 'SYS' as owner, 'V_$DATABASE' as table_name, 'SELECT' as privilege from est_databases
+union all select pkey, case when table_name like '%3' then 'APP_USER' else 'MIGRATION_USER' end, owner, table_name, 'SELECT'
+from est_constraints where constraint_type = 'U'""",
+}
+
+# container databases: pluggable database 3 and root 1 of every collection, chains and a cycle of roles
+MT_INPUTS = {
+    "mdb": "select pkey, min(version) as version, 3 as pdb_con_id from est_databases group by pkey",
+    "msprivs": """select distinct pkey, case when database_name in ('db0', 'db2', 'db4', 'db6', 'db8') then 1 else 3 end as con_id,
+  case when extension_owner = 'alloydbadmin' then 'APP_USER' else 'MIGRATION_USER' end as grantee,
+  case extension_name when 'pglogical' then 'SET CONTAINER' when 'hstore' then 'LOGMINING' else 'ALTER SESSION' end as privilege
+from est_extensions""",
+    "mrprivs": """select distinct pkey, case when database_name in ('db0', 'db2', 'db4', 'db6', 'db8') then 1 else 3 end as con_id,
+  case extension_name when 'pglogical' then 'MIGRATION_USER' when 'pg_cron' then 'CONNECT' when 'plpgsql' then 'BASE_ROLE'
+    when 'hstore' then 'BASE_ROLE' else 'APP_USER' end as grantee,
+  case extension_name when 'pglogical' then 'CONNECT' when 'pg_cron' then 'BASE_ROLE' when 'plpgsql' then 'CONNECT'
+    when 'hstore' then 'EXECUTE_CATALOG_ROLE' else 'DBA' end as granted_role
+from est_extensions
+union select distinct pkey, 3, 'MIGRATION_USER', 'DBA' from est_extensions where extension_owner = 'rdsadmin'""",
+    "mrsprivs": """select distinct pkey, case when database_name in ('db0', 'db2', 'db4', 'db6', 'db8') then 1 else 3 end as con_id,
+  'BASE_ROLE' as role, case when extension_name = 'hstore' then 'SELECT ANY DICTIONARY' else 'CREATE SESSION' end as privilege
+from est_extensions where extension_name in ('hstore', 'plpgsql')""",
+    "mtprivs": """select pkey, 1 as con_id, 'MIGRATION_USER' as grantee, 'SYS' as owner, 'DBMS_LOGMNR' as table_name, 'EXECUTE' as privilege
+from est_databases
+union all select pkey, 3, 'MIGRATION_USER', 'SYS', 'V_$DATABASE', 'SELECT' from est_databases where version <> '14.2'
+union all select pkey, case when table_name like '%5' then 1 else 3 end, case when table_name like '%3' then 'APP_USER' else 'MIGRATION_USER' end,
+  owner, table_name, 'SELECT' from est_constraints where constraint_type = 'U'""",
+    "mvt": f"""select *, case when table_name like '%9' then 4 else 3 end as con_id from ({INPUTS['vt']}) v""",
 }
 
 
@@ -198,8 +227,10 @@ O["ARCH_LOG_COUNT"] = f"""select d.pkey, {_sev('ARCH_LOG_COUNT')}, 'Count of ava
   '0' as result_object from vdb d left join (select pkey, count(*) as n from alogs where name is not null
   and deleted = 'NO' and creator <> 'LGWR' group by pkey) a on d.pkey = a.pkey where coalesce(a.n, 0) = 0"""
 O["PRIVS_PERMS"] = f"""with held as (select distinct pkey, privilege from (
-    select pkey, privilege from sprivs union all select pkey, granted_role from rprivs
-    union all select r.pkey, s.privilege from rprivs r join rsprivs s on r.granted_role = s.role) h),
+    select pkey, privilege from sprivs where grantee = 'MIGRATION_USER'
+    union all select pkey, granted_role from rprivs where grantee = 'MIGRATION_USER'
+    union all select r.pkey, s.privilege from rprivs r join rsprivs s on r.granted_role = s.role and r.pkey = s.pkey
+      where r.grantee = 'MIGRATION_USER') h),
 fl as (select pkey, max(case when privilege = 'DBA' then 1 else 0 end) as is_dba,
     max(case when privilege = 'SELECT ANY DICTIONARY' then 1 else 0 end) as any_dict,
     max(case when privilege = 'SELECT ANY TABLE' then 1 else 0 end) as any_table from held group by pkey),
@@ -210,10 +241,11 @@ need_priv as (select pkey, unnest(case when is_dba = 1 then []::varchar[] when d
     then [{_in(V.REQUIRED_PRIVS + V.REQUIRED_PRIVS_AFTER_11)}] else [{_in(V.REQUIRED_PRIVS)}] end) as privilege from d),
 need_dict as (select pkey, unnest(case when is_dba = 1 or any_dict = 1 then []::varchar[]
     else [{_in(V.REQUIRED_DICT_PERMS)}] end) as permission from d),
-have_dict as (select distinct pkey, privilege || ':' || table_name as permission from tprivs where owner = 'SYS'),
+have_dict as (select distinct pkey, privilege || ':' || table_name as permission from tprivs where owner = 'SYS' and grantee = 'MIGRATION_USER'),
 mt as (select t.pkey, t.owner, count(*) as n from vt t join d on t.pkey = d.pkey and d.is_dba = 0 and d.any_table = 0
   where t.temporary = 'N' and t.iot_type is null and {valid_sql('t.owner')}
-    and not exists (select 1 from tprivs p where p.pkey = t.pkey and p.owner = t.owner and p.table_name = t.table_name)
+    and not exists (select 1 from tprivs p where p.pkey = t.pkey and p.owner = t.owner and p.table_name = t.table_name
+      and p.grantee = 'MIGRATION_USER')
   group by t.pkey, t.owner)
 select distinct * from (
   select pkey, {_sev('PRIVS_PERMS')}, 'Missing privilege' as result_message, privilege as result_object from need_priv n
@@ -279,3 +311,32 @@ grid as (select v.pkey, t.finding, t.sev from vdb v, (values {', '.join(f"('{c}'
 select g.pkey, case when coalesce(c.n, 0) > 0 then g.sev else 'NO ISSUES' end as severity, count(*) as finding_count
 from grid g left join c on g.pkey = c.pkey and g.finding = c.finding
 group by g.pkey, case when coalesce(c.n, 0) > 0 then g.sev else 'NO ISSUES' end""")
+SPECS["f24_privileges_multitenant"] = Spec(
+    build=lambda mdb, msprivs, mrprivs, mrsprivs, mtprivs, mvt: V.privileges_multitenant(mdb, msprivs, mrprivs, mrsprivs, mtprivs, mvt),
+    inputs=MT_INPUTS,
+    oracle=f"""select distinct pkey, {_sev('PRIVS_PERMS')}, result_message, result_object from (
+with recursive roles as (select pkey, con_id, granted_role as role from mrprivs where grantee = 'MIGRATION_USER'
+  union select g.pkey, g.con_id, g.granted_role from roles r join mrprivs g on g.pkey = r.pkey and g.con_id = r.con_id and g.grantee = r.role),
+held as (select pkey, con_id, privilege from msprivs where grantee = 'MIGRATION_USER' union select pkey, con_id, role from roles
+  union select r.pkey, r.con_id, p.privilege from roles r join mrsprivs p on p.pkey = r.pkey and p.con_id = r.con_id and p.role = r.role),
+place as (select pkey, version, 'PDB' as scope, pdb_con_id as con_id from mdb union all select pkey, version, 'CDB$ROOT', 1 from mdb),
+need as (select pkey, con_id, scope, 'privilege' as what, unnest(case when scope = 'PDB' then ['CREATE SESSION', 'SET CONTAINER']
+    when try_cast(regexp_extract(version, '[0-9]+') as int) > 11 then ['CREATE SESSION', 'SET CONTAINER', 'EXECUTE_CATALOG_ROLE', 'LOGMINING']
+    else ['CREATE SESSION', 'SET CONTAINER', 'EXECUTE_CATALOG_ROLE'] end) as name from place
+  union all select pkey, con_id, scope, 'permission', unnest(case when scope = 'PDB'
+    then ['SELECT on V_$DATABASE', 'SELECT on V_$ARCHIVED_LOG', 'SELECT on DBA_SUPPLEMENTAL_LOGGING']
+    else ['SELECT on V_$DATABASE', 'SELECT on V_$LOGMNR_CONTENTS', 'EXECUTE on DBMS_LOGMNR', 'EXECUTE on DBMS_LOGMNR_D'] end) from place),
+have as (select pkey, con_id, 'privilege' as what, privilege as name from held
+  union select pkey, con_id, 'permission', privilege || ' on ' || table_name from mtprivs where owner = 'SYS' and grantee = 'MIGRATION_USER'),
+free as (select pkey, con_id, what from held, (values ('privilege'), ('permission'), ('table')) w(what) where privilege = 'DBA'
+  or (what = 'permission' and privilege = 'SELECT ANY DICTIONARY') or (what = 'table' and privilege = 'SELECT ANY TABLE'))
+select pkey, 'Missing ' || scope || ' ' || what as result_message, name as result_object from need
+  where (pkey, con_id, what) not in (select pkey, con_id, what from free) and (pkey, con_id, what, name) not in (select pkey, con_id, what, name from have)
+union all
+select t.pkey, 'Count of tables with missing SELECT permission in schema ' || t.owner, cast(count(*) as varchar) from mvt t
+  join mdb d on d.pkey = t.pkey and d.pdb_con_id = t.con_id
+  where t.temporary = 'N' and t.iot_type is null and {valid_sql('t.owner')}
+    and (t.pkey, t.con_id, 'table') not in (select pkey, con_id, what from free)
+    and not exists (select 1 from mtprivs p where p.pkey = t.pkey and p.con_id = t.con_id and p.owner = t.owner
+      and p.table_name = t.table_name and p.grantee = 'MIGRATION_USER')
+  group by t.pkey, t.owner) x""")

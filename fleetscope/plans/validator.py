@@ -243,17 +243,90 @@ def archive_log_count(db: DataFrame, logs: DataFrame) -> DataFrame:
     return _out(c, "ARCH_LOG_COUNT", F.lit("Count of available archive logs"), F.lit(0))
 
 
+# fixed values: privileges and dictionary permissions of the two containers
+REQUIRED_PDB_PRIVS = ["CREATE SESSION", "SET CONTAINER"]
+REQUIRED_ROOT_PRIVS = ["CREATE SESSION", "SET CONTAINER", "EXECUTE_CATALOG_ROLE"]
+REQUIRED_PDB_DICT_PERMS = ["SELECT:V_$DATABASE", "SELECT:V_$ARCHIVED_LOG", "SELECT:DBA_SUPPLEMENTAL_LOGGING"]
+REQUIRED_ROOT_DICT_PERMS = ["SELECT:V_$DATABASE", "SELECT:V_$LOGMNR_CONTENTS", "EXECUTE:DBMS_LOGMNR", "EXECUTE:DBMS_LOGMNR_D"]
+ROOT_CON_ID = 1
+
+
+def granted_roles(role_privs: DataFrame, user: str, keys: tuple[str, ...] = ("pkey",), nested: bool = False) -> DataFrame:
+    """(keys, role): roles granted to ``user``; ``nested`` follows roles granted to roles to
+    their end.  A frontier of roles not seen before is joined with the grants until it is empty,
+    so cycles of grants end; every step is checkpointed in the session's shared folder."""
+    grants = role_privs.select(*keys, "grantee", F.col("granted_role").alias("role")).distinct()
+    found = grants.where(F.col("grantee") == user).select(*keys, "role")
+    if not nested:
+        return found
+    found = frontier = found.checkpoint()
+    while True:
+        further = frontier.withColumnRenamed("role", "grantee").join(grants, [*keys, "grantee"]).select(*keys, "role").distinct()
+        frontier = further.join(found, [*keys, "role"], "left_anti").checkpoint()
+        if frontier.isEmpty():
+            return found
+        found = found.unionByName(frontier).checkpoint()
+
+
+def held_privileges(sys_privs: DataFrame, role_privs: DataFrame, role_sys_privs: DataFrame, user: str,
+                    keys: tuple[str, ...] = ("pkey",), nested: bool = False) -> DataFrame:
+    """(keys, privilege): direct system privileges of ``user`` U its roles U privileges of its
+    roles, each within its own collection (and container); grants to others do not count."""
+    roles = granted_roles(role_privs, user, keys, nested)
+    return (sys_privs.where(F.col("grantee") == user).select(*keys, "privilege")
+            .unionByName(roles.select(*keys, F.col("role").alias("privilege")))
+            .unionByName(roles.join(role_sys_privs, [*keys, "role"]).select(*keys, "privilege")).distinct())
+
+
+def privileges_multitenant(db: DataFrame, sys_privs: DataFrame, role_privs: DataFrame, role_sys_privs: DataFrame,
+                           tab_privs: DataFrame, tables: DataFrame, user: str = "MIGRATION_USER", nested: bool = True) -> DataFrame:
+    """F24 for container databases (inputs carry ``con_id``; ``db`` names the collection's
+    ``pdb_con_id``): privileges and dictionary permissions are required in the pluggable database
+    and in the root, each set skipped where the user has DBA there (permissions also with SELECT
+    ANY DICTIONARY); the per-owner table check runs in the pluggable database."""
+    keys = ("pkey", "con_id")
+    held = held_privileges(sys_privs, role_privs, role_sys_privs, user, keys, nested)
+
+    def has(privilege):
+        return F.max(F.when(F.col("privilege") == privilege, 1).otherwise(0))
+
+    flags = held.groupBy(*keys).agg(has("DBA").alias("is_dba"), has("SELECT ANY DICTIONARY").alias("any_dict"), has("SELECT ANY TABLE").alias("any_table"))
+    scopes = F.array(F.struct(F.lit("PDB").alias("scope"), F.col("pdb_con_id").cast("int").alias("con_id")),
+                     F.struct(F.lit("CDB$ROOT").alias("scope"), F.lit(ROOT_CON_ID).alias("con_id")))
+    d = db.select("pkey", F.regexp_extract("version", "[0-9]+", 0).try_cast("int").alias("db_version"), F.explode(scopes).alias("s"))
+    d = d.select("pkey", "db_version", "s.*").join(flags, [*keys], "left").na.fill(0, ["is_dba", "any_dict", "any_table"])
+
+    def names(values):
+        return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+
+    pdb = F.col("scope") == "PDB"
+    privs = (F.when(F.col("is_dba") == 1, names([])).when(pdb, names(REQUIRED_PDB_PRIVS))
+             .when(F.col("db_version") > 11, names(REQUIRED_ROOT_PRIVS + REQUIRED_PRIVS_AFTER_11)).otherwise(names(REQUIRED_ROOT_PRIVS)))
+    perms = (F.when((F.col("is_dba") == 1) | (F.col("any_dict") == 1), names([]))
+             .when(pdb, names(REQUIRED_PDB_DICT_PERMS)).otherwise(names(REQUIRED_ROOT_DICT_PERMS)))
+    own = tab_privs.where(F.col("grantee") == user)
+    have = own.where(F.col("owner") == "SYS").select(*keys, F.concat("privilege", F.lit(":"), "table_name").alias("permission")).distinct()
+    miss_priv = d.select(*keys, "scope", F.explode(privs).alias("privilege")).join(held, [*keys, "privilege"], "left_anti")
+    miss_perm = d.select(*keys, "scope", F.explode(perms).alias("permission")).join(have, [*keys, "permission"], "left_anti")
+    t = (_valid(tables).where((F.col("temporary") == "N") & F.col("iot_type").isNull())
+         .join(own.select(*keys, "owner", "table_name").distinct(), [*keys, "owner", "table_name"], "left_anti")
+         .join(d.where(pdb & (F.col("is_dba") == 0) & (F.col("any_table") == 0)).select(*keys), [*keys])
+         .groupBy("pkey", "owner").agg(F.count(F.lit(1)).alias("n")))
+    parts = [_out(miss_priv, "PRIVS_PERMS", F.concat(F.lit("Missing "), F.col("scope"), F.lit(" privilege")), F.col("privilege")),
+             _out(miss_perm, "PRIVS_PERMS", F.concat(F.lit("Missing "), F.col("scope"), F.lit(" permission")),
+                  F.replace(F.col("permission"), F.lit(":"), F.lit(" on "))),
+             _out(t, "PRIVS_PERMS", F.concat(F.lit("Count of tables with missing SELECT permission in schema "), F.col("owner")), F.col("n"))]
+    return reduce(DataFrame.unionByName, parts).distinct()
+
+
 def privileges(db: DataFrame, sys_privs: DataFrame, role_privs: DataFrame, role_sys_privs: DataFrame,
-               tab_privs: DataFrame, tables: DataFrame, user: str = "MIGRATION_USER") -> DataFrame:
-    """Held = direct system privileges U granted roles U privileges of granted roles.
+               tab_privs: DataFrame, tables: DataFrame, user: str = "MIGRATION_USER", nested: bool = False) -> DataFrame:
+    """Held = direct system privileges U granted roles U privileges of granted roles of ``user``.
     Required privileges depend on the version (>11 adds LOGMINING); nothing is required
     with the DBA role; dictionary permissions are skipped with SELECT ANY DICTIONARY and
     the per-owner table check with SELECT ANY TABLE."""
-    held = (sys_privs.select("pkey", "privilege")
-            .unionByName(role_privs.select("pkey", F.col("granted_role").alias("privilege")))
-            .unionByName(role_privs.join(role_sys_privs.withColumnRenamed("role", "granted_role"), "granted_role")
-                         .select("pkey", "privilege"))
-            .distinct())
+    held = held_privileges(sys_privs, role_privs, role_sys_privs, user, nested=nested)
+    tab_privs = tab_privs.where(F.col("grantee") == user)
     flags = held.groupBy("pkey").agg(
         F.max(F.when(F.col("privilege") == "DBA", 1).otherwise(0)).alias("is_dba"),
         F.max(F.when(F.col("privilege") == "SELECT ANY DICTIONARY", 1).otherwise(0)).alias("any_dict"),

@@ -18,25 +18,42 @@ def test_identity_map_is_function_and_injective(spark, sf_small):
     assert m.where(F.col("original") == "SYS").count() == 0   # excluded owner
 
 
-def test_collisions_are_repaired(spark):
-    vals = spark.createDataFrame([(f"v{i}",) for i in range(200)], "v string")
-
-    def tiny(original, kind, attempt):   # 16 possible outputs: forces collisions
-        return F.concat(F.lit("X"), F.substring(F.sha2(F.concat_ws("|", original, attempt.cast("string")), 256), 1, 1))
-
-    m = vals.select(F.col("v").alias("original"), F.lit("OBJECT_NAME").alias("kind"),
-                    F.lit("X0").alias("masked"), F.lit(0).alias("attempt"))
-    # 200 originals cannot fit 16 outputs: the repair must give up instead of looping forever
-    try:
-        M.resolve_collisions(m, SALT, max_rounds=3, pseudo=tiny)
-        raise AssertionError("expected failure")
-    except RuntimeError:
-        pass
-    few = m.limit(10)
-    fixed = M.resolve_collisions(few, SALT, max_rounds=60,
-                                 pseudo=lambda o, k, a: F.concat(F.lit("Y"), F.substring(
-                                     F.sha2(F.concat_ws("|", o, a.cast("string")), 256), 1, 2)))
-    assert fixed.count() == 10 and fixed.select("masked").distinct().count() == 10
+def test_collisions_are_numbered_in_one_pass(spark):
+    def tiny(original, kind):   # 16 possible outputs for 200 originals
+        return F.concat(F.lit("X"), F.substring(F.sha2(original, 256), 1, 1))
+
+    m = spark.range(200).select(F.format_string("v%03d", "id").alias("original"), F.lit("OBJECT_NAME").alias("kind"),
+                                F.lit("X0").alias("masked"), F.lit(0).alias("attempt"))
+    fixed = {r.original: (r.masked, r.attempt) for r in M.resolve_collisions(m, SALT, pseudo=tiny).collect()}
+    assert len(fixed) == 200 and len({x for x, _ in fixed.values()}) == 200
+    groups = {}
+    for original in sorted(fixed):
+        masked, number = fixed[original]
+        bare = masked.split("-")[0]
+        assert number == groups.get(bare, 0) and masked == (f"{bare}-{number}" if number else bare)
+        groups[bare] = number + 1
+
+
+def test_published_pseudonyms_never_change(spark):
+    schema = "original string, kind string, masked string, attempt int"
+    old = spark.createDataFrame([("m", "OBJECT_NAME", "OBJ_A1", 0), ("p", "OBJECT_NAME", "OBJ_A1-1", 1), ("q", "OBJECT_NAME", "OBJ_B1-7", 7),
+                                 ("h", "HOST_NAME", "db.aa-bb-cc-dd-2.com", 2)], schema)
+    new = spark.createDataFrame([("a", "OBJECT_NAME", "OBJ_A1", 0), ("z", "OBJECT_NAME", "OBJ_A1", 0), ("b", "OBJECT_NAME", "OBJ_B1", 0),
+                                 ("c", "OBJECT_NAME", "OBJ_C1", 0), ("i", "HOST_NAME", "db.aa-bb-cc-dd.com", 0)], schema)
+    got = {r.original: r.masked for r in M.resolve_collisions(old.unionByName(new), SALT, existing=old).collect()}
+    assert got == {"m": "OBJ_A1", "p": "OBJ_A1-1", "q": "OBJ_B1-7", "h": "db.aa-bb-cc-dd-2.com",
+                   "a": "OBJ_A1-2", "z": "OBJ_A1-3", "b": "OBJ_B1-8", "c": "OBJ_C1", "i": "db.aa-bb-cc-dd-3.com"}
+    grown = M.resolve_collisions(M.identity_map([(spark.createDataFrame([("m",), ("n",)], "v string"), "v", "OBJECT_NAME")], SALT, existing=old),
+                                 SALT, existing=old)
+    kept = {r.original: r.masked for r in grown.collect()}
+    assert all(kept[r.original] == r.masked for r in old.collect()) and "n" in kept
+
+
+def test_a_million_hosts_stay_apart(spark):
+    hosts = spark.range(1_000_000).select(F.concat(F.lit("host"), "id").alias("h"))
+    m = M.resolve_collisions(M.identity_map([(hosts, "h", "HOST_NAME")], SALT), SALT)
+    n, distinct, most = m.agg(F.count(F.lit(1)), F.countDistinct("masked"), F.max("attempt")).first()
+    assert n == distinct == 1_000_000 and most >= 1  # 26 bits of hash alone would collide thousands of times
 
 
 def test_mask_unmask_roundtrip(spark, sf_small):

@@ -127,3 +127,18 @@ def test_patches_keep_their_own_fields(spark):
     got = [tuple(r) for r in inv.patch_inventory(spark.createDataFrame([("p", xml)], "pkey string, xml string")).select(
         "patch_id", "patch_descr", "bug_descr").collect()]
     assert got == [("1", None, None), ("2", "d2", "b")]
+
+
+def test_nested_roles_end_in_cycles_and_stay_in_their_collection(spark):
+    from fleetscope.plans import validator as V
+    grants = spark.createDataFrame([("a", 3, "U", "R1"), ("a", 3, "R1", "R2"), ("a", 3, "R2", "R3"), ("a", 3, "R3", "R1"), ("a", 1, "R3", "R9"),
+                                    ("a", 3, "OTHER", "DBA"), ("b", 3, "R1", "DBA"), ("b", 3, "U", "R3")],
+                                   "pkey string, con_id int, grantee string, granted_role string")
+    def roles(nested):
+        return {tuple(r) for r in V.granted_roles(grants, "U", ("pkey", "con_id"), nested).collect()}
+    assert roles(False) == {("a", 3, "R1"), ("b", 3, "R3")}
+    assert roles(True) == {("a", 3, "R1"), ("a", 3, "R2"), ("a", 3, "R3"), ("b", 3, "R3")}
+    own = spark.createDataFrame([("a", 3, "R3", "LOGMINING"), ("b", 3, "R1", "X")], "pkey string, con_id int, role string, privilege string")
+    direct = spark.createDataFrame([("a", 3, "U", "P"), ("a", 3, "OTHER", "Q")], "pkey string, con_id int, grantee string, privilege string")
+    held = V.held_privileges(direct, grants, own, "U", ("pkey", "con_id"), nested=True)
+    assert {tuple(r) for r in held.collect()} == {("a", 3, "P"), ("a", 3, "R1"), ("a", 3, "R2"), ("a", 3, "R3"), ("a", 3, "LOGMINING"), ("b", 3, "R3")}

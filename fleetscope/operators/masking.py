@@ -55,6 +55,8 @@ FORMATS = {
     "SCHEMA_NAME": ("USER_", 6, 3),
     "OBJECT_NAME": ("OBJ_", 12, 3),
     "PARAMETER_VALUE": ("PARAM_", 12, 3),
+    "PKEY": ("PKEY_", 12, 3),
+    "DMA_SOURCE_ID": ("SRC_", 12, 3),
 }
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.types import IntegerType, LongType, StringType, StructField, St
 
 from fleetscope.functions.expressions import major_version, normalize_timestamp
 from fleetscope.plans.catalog_rules import major_sql
+from fleetscope.operators import mask_rules as R
 from fleetscope.operators import masking as M
 from fleetscope.plans.spec import Spec
 from fleetscope.session import checkpoint_path
@@ -100,6 +101,49 @@ FILE_NAMES = """select pkey, database_name, concat('opdb__dbobjects__ORA_4.3.',
 from est_databases"""
 
 
+# lines of three landed files in two script versions, cells joined by the delimiter
+RULE_LINES = """select concat('f', cast(object_id % 50 as string)) as file, object_id as line,
+  case object_id % 3 when 0 then 'columntypes' when 1 then 'dbsummary' else 'dbparameters' end as table_name,
+  case when object_id % 2 = 0 then '4.3.9' else '4.3.20' end as script_version,
+  case object_id % 3 when 0 then concat_ws('|', pkey, 'con', owner, table_name, 'NUMBER', 'src1', 'man')
+    when 1 then concat_ws('|', pkey, 'con', engine, 'x', owner, compress_for, 'src2', concat('man', pkey))
+    else concat_ws('|', pkey, '1', '0', case when object_id % 5 = 0 then 'db_name' else 'cursor_sharing' end, engine, relkind, 'src1', 'man')
+  end as text from est_tables"""
+
+
+def _cells(lines):
+    return lines.withColumn("cells", F.split("text", "[|]"))
+
+
+def _rule_map(lines):
+    return R.fleet_map(_cells(lines), R.RULES_ORACLE, SALT)
+
+
+def _rule_lines(lines):
+    df = _cells(lines)
+    masked = R.mask_lines(df, R.RULES_ORACLE, _rule_map(lines), ["file", "line"])
+    return masked.select("file", "line", "table_name", F.array_join("cells", "|").alias("text"))
+
+
+# the positions of these files written out: (order, kind, index, row filter, condition)
+_RULE_HITS = "\nunion all\n".join(
+    f"select file, line, {order} as ord, '{kind}' as kind, {idx} as idx, {plain} as plain, c[{idx} + 1] as v from cut where {condition}"
+    for order, (kind, idx, plain, condition) in enumerate([
+        ("PKEY", "0", "true", "true"), ("DMA_SOURCE_ID", "(len(c) - 2)", "true", "true"),
+        ("SCHEMA_NAME", "2", "true", "table_name = 'columntypes'"), ("OBJECT_NAME", "3", "true", "table_name = 'columntypes'"),
+        ("DATABASE_NAME", "2", "true", "table_name = 'dbsummary'"),
+        ("DATABASE_NAME", "7", "true", "table_name = 'dbsummary' and script_version = '4.3.9'"),
+        ("DATABASE_NAME", "5", "true", "table_name = 'dbsummary' and script_version = '4.3.20'"),
+        ("PARAMETER_VALUE", "4", "false", "table_name = 'dbparameters' and c[4] = 'db_name'"),
+        ("PARAMETER_VALUE", "5", "false", "table_name = 'dbparameters' and c[4] = 'db_name'")]))
+_RULE_CTES = f"""with cut as (select *, string_split(text, '|') as c from lines),
+hits as ({_RULE_HITS}),
+firsts as (select v as original, arg_min(kind, ord) as kind from hits where not (kind = 'SCHEMA_NAME' and {excluded_sql('v', 'SCHEMA_NAME')}) group by v),
+mapped as (select original, kind, case kind """ + " ".join(
+    f"when '{k}' then {keyed_sql('original', k)}"
+    for k in ("PKEY", "DMA_SOURCE_ID", "SCHEMA_NAME", "OBJECT_NAME", "DATABASE_NAME", "PARAMETER_VALUE")) + """ end as masked, 0 as attempt from firsts)"""
+
+
 def _scratch(spark, name):
     return checkpoint_path(spark, f"{name}-{uuid.uuid4().hex[:12]}")
 
@@ -249,6 +293,16 @@ from g left join miss m on g.collection_key = m.collection_key"""),
 select t.pkey, {_apply_sql('owner', 'SCHEMA_NAME', 'mo')} as owner, {_apply_sql('table_name', 'OBJECT_NAME', 'mt')} as table_name,
   {', '.join('t.' + c for c in TABLE_COLS if c not in ('pkey', 'owner', 'table_name'))}
 from tables t left join m mo on t.owner = mo.original left join m mt on t.table_name = mt.original"""),
+    "g1_mask_rules": Spec(build=_rule_map, inputs={"lines": RULE_LINES},
+                          oracle=f"{_RULE_CTES} select original, kind, masked, attempt from mapped"),
+    "g2_mask_rules": Spec(
+        build=_rule_lines, inputs={"lines": RULE_LINES},
+        oracle=f"""{_RULE_CTES},
+cells as (select file, line, table_name, unnest(range(len(c))) as idx, unnest(c) as cell from cut),
+new as (select file, line, idx, arg_min(case when starts_with(v, 'BIN$') and plain then 'BIN$' else '' end || coalesce(masked, '{M.UNMAPPED}'), ord) as text
+  from hits left join mapped on v = original where not (plain and {excluded_sql('v', 'SCHEMA_NAME')}) group by file, line, idx)
+select file, line, table_name, string_agg(coalesce(new.text, cell), '|' order by idx) as text
+from cells left join new using (file, line, idx) group by file, line, table_name"""),
     "g3_host_pseudonym": Spec(
         build=lambda cust: cust.select("c_custkey", "c_name", M.host_pseudonym("c_name").alias("host_name")),
         inputs={"cust": G_INPUTS["cust"]},

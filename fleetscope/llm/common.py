@@ -26,12 +26,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the cluster names it in ``spark.checkpoint.dir``.
 
-    Only where the session names none (tests on one machine) a private folder is made."""
+    Only where the session names none and runs on one machine (tests) a private folder is made;
+    executors elsewhere would not see it, so on a cluster that is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if not path:
         path = context.getCheckpointDir()
     if not path:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         path = "file://" + tempfile.mkdtemp(prefix="fleetscope-shared-")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(path)

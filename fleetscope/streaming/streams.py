@@ -5,8 +5,9 @@
   backlog and stops.
 * ``stream_interval_profile`` (I2): tumbling-window metric profile with a
   watermark (late rows dropped); approximate P95.
-* ``stream_counter_delta`` (I3): C1 with the previous value per key held in
-  streaming state (``applyInPandasWithState``); equals batch C1 on ordered input.
+* ``stream_counter_delta`` (I3): C1 with the samples of a key's open ranges held in
+  streaming state (``transformWithState``); equals batch C1 for any order of arrival
+  within the watermark, corrections included (``latest_deltas``).
 
 Sinks are written through ``foreachBatch`` into ``batch_id=<n>`` folders with
 overwrite, so a retried micro-batch replaces its own output (idempotent), and
@@ -16,12 +17,12 @@ the checkpoint lives in the session's shared checkpoint directory.
 from __future__ import annotations
 
 import os
+from functools import reduce
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupStateTimeout
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor
+from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from fleetscope.sources.extracts import CSV_OPTIONS, TS_NTZ_FORMAT, conform
 
@@ -36,6 +37,11 @@ except Exception:  # pragma: no cover - older cloudpickle without by-value regis
     pass
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+DELTA_RANGE = 4096      # snapshots of one key in one state value of I3
+
+
 def _batch_writer(path: str, partition_by=()):
     def write(batch: DataFrame, batch_id: int) -> None:
         w = batch.write.mode("overwrite")
@@ -89,37 +95,124 @@ def latest_windows(spark: SparkSession, sink: str, keys) -> DataFrame:
     return latest.select(*k, *[F.col("__v")[c].alias(c) for c in vals])
 
 
-def _delta_with_state(key, pdfs, state):
-    """Per key: sort the batch by snapshot id, take the previous value from state for the
-    first row, emit deltas (first sample and resets -> 0), keep the last sample in state.
-    Values come as text: pandas would turn 64-bit integers next to nulls into floats."""
-    frames = [p for p in pdfs]
-    if not frames:
-        return
-    df = pd.concat(frames, ignore_index=True).sort_values("snap_id", kind="stable")
-    values = [None if v is None or pd.isna(v) else int(v) for v in df["value"]]
-    before = [state.get[1] if state.exists else None, *values[:-1]]
-    df["value_delta"] = [v - p if v is not None and p is not None and v >= p else 0 for v, p in zip(values, before)]
-    state.update((int(df["snap_id"].iloc[-1]), values[-1]))
-    yield df
+class RangeDeltas(StatefulProcessor):
+    """Samples of one key and one range of snapshots, in snapshot order (``transformWithState``).
+
+    A batch's rows are merged into the range; what goes out is every new sample with the value
+    before it, and again each older sample whose predecessor has changed.  Times behind the
+    watermark can gain no neighbour any more, so a timer drops them, all but the last, which
+    is the predecessor of the range's next sample."""
+
+    def __init__(self, fields):
+        self.version = Row(*fields)
+
+    def init(self, handle) -> None:
+        self.handle = handle
+        self.samples = handle.getValueState("samples", "snaps array<long>, vals array<long>, times array<long>")
+
+    def _load(self) -> dict:
+        if not self.samples.exists():
+            return {}
+        snaps, vals, times = self.samples.get()
+        return {s: (v, t) for s, v, t in zip(snaps, vals, times)}
+
+    def _store(self, known: dict) -> None:
+        snaps = sorted(known)
+        self.samples.update((snaps, [known[s][0] for s in snaps], [known[s][1] for s in snaps]))
+
+    def handleInputRows(self, key, rows, timerValues):
+        known, changed = self._load(), set()
+        for row in rows:
+            snap, sample = row["__snap"], (row["__value"], row["__time"])
+            old = known.get(snap)
+            # a repeated snapshot counts once, whatever the order of arrival: its largest value stays
+            if old is None or (sample[0] is not None and (old[0] is None or sample > old)):
+                known[snap] = sample
+                changed.add(snap)
+        self._store(known)
+        self.handle.registerTimer(max(t for _, t in known.values()) // 1000 + 1)
+        before = None
+        for snap in sorted(known):
+            if snap in changed or before in changed:
+                value, time = known[snap]
+                yield self.version(*key, snap, time, value, None if before is None else known[before][0],
+                                   before is None)
+            before = snap
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
+        known = self._load()
+        passed = timerValues.getCurrentWatermarkInMs() * 1000
+        last = max(known)
+        self._store({s: x for s, x in known.items() if s == last or x[1] >= passed})
+        return iter(())
+
+    def close(self) -> None:
+        pass
 
 
 def stream_counter_delta(spark: SparkSession, src: str, schema: StructType, sink: str, checkpoint: str,
-                         keys=("pkey", "dbid", "instance_number", "stat_name"),
-                         max_files_per_trigger: int | None = None) -> None:
-    """C1 with state per key (``applyInPandasWithState``, Arrow batches)."""
+                         keys=("pkey", "dbid", "instance_number", "stat_name"), order: str = "snap_id",
+                         ts: str = "begin_ts", value: str = "value", watermark: str = "2 days",
+                         range_width: int = DELTA_RANGE, max_files_per_trigger: int | None = None) -> None:
+    """C1 over samples that arrive in any order within ``watermark`` (later ones are dropped).
+
+    State is held per key *and* range of ``range_width`` snapshots, so a hot key is spread over
+    tasks and no task or state value holds more than one range.  The sink receives versions:
+    (keys, snapshot, time, value, value before it in its range); ``latest_deltas`` reads the
+    last version of each sample and takes the values before the first samples of the ranges
+    from the ranges before them.  ``order`` must not fall while ``ts`` rises (as snapshots
+    do).  Null values, first samples and resets give 0, as in C1; rows without snapshot or
+    time are left out; an empty input gives an empty sink."""
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
-    s = reader.parquet(src).select(*schema.names)
-    text = StructType([StructField(f.name, StringType() if f.name == "value" else f.dataType) for f in schema.fields])
-    d = s.withColumn("value", F.col("value").cast("string")).groupBy(*keys).applyInPandasWithState(
-        _delta_with_state, outputStructType=text.add("value_delta", "long"), stateStructType="last_snap long, last_value long",
-        outputMode="append", timeoutConf=GroupStateTimeout.NoTimeout)
-    d = d.withColumn("value", F.col("value").cast(schema["value"].dataType))
-    q = (d.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
-         .foreachBatch(_batch_writer(sink)).trigger(availableNow=True).start())
-    q.awaitTermination()
+    moved = (reader.parquet(src).where(F.col(order).isNotNull() & F.col(ts).isNotNull())
+             .withColumn("__event", F.col(ts).cast("timestamp")).withWatermark("__event", watermark)
+             .select(*keys, F.floor(F.col(order) / range_width).alias("__range"), "__event",
+                     F.col(order).cast("long").alias("__snap"), F.col(value).cast("long").alias("__value"),
+                     F.unix_micros("__event").alias("__time")))
+    out = StructType([*[schema[k] for k in keys], StructField("__range", LongType()), StructField(order, LongType()),
+                      StructField("__time", LongType()), StructField(value, LongType()),
+                      StructField("__before", LongType()), StructField("__first", BooleanType())])
+    versions = moved.groupBy(*keys, "__range").transformWithState(
+        statefulProcessor=RangeDeltas(out.names), outputStructType=out, outputMode="append", timeMode="EventTime")
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, ROCKSDB)      # keyed state with timers; changed rows only per checkpoint
+    try:
+        q = (versions.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
+             .foreachBatch(_batch_writer(sink)).trigger(availableNow=True).start())
+        q.awaitTermination()
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
+def latest_deltas(spark: SparkSession, sink: str, schema: StructType,
+                  keys=("pkey", "dbid", "instance_number", "stat_name"), order: str = "snap_id",
+                  ts: str = "begin_ts", value: str = "value") -> DataFrame:
+    """Keys, snapshot, time, value and ``value_delta`` of every sample in the sink of
+    ``stream_counter_delta``.  Only the ranges' first samples meet another range."""
+    k = list(keys)
+    rows = (spark.read.parquet(sink).groupBy(*k, "__range", order)
+            .agg(F.max_by(F.struct("__time", value, "__before", "__first"), "batch_id").alias("__v"))
+            .select(*k, "__range", order, "__v.*"))
+    last = rows.groupBy(*k, "__range").agg(F.max_by(F.struct(value), order).alias("__last"))
+    carried = (last.withColumn("__carry", F.lag("__last").over(Window.partitionBy(*k).orderBy("__range")))
+               .where(F.col("__carry").isNotNull()).select(*k, "__range", F.lit(True).alias("__first"),
+                                                           F.col("__carry")[value].alias("__carry")))
+    on = reduce(lambda a, b: a & b, [F.col(f"r.{c}").eqNullSafe(F.col(f"c.{c}")) for c in [*k, "__range", "__first"]])
+    joined = rows.alias("r").join(carried.alias("c"), on, "left")
+    prior = F.coalesce("__before", "__carry")
+    delta = F.when(F.col(value) >= prior, F.col(value) - prior).otherwise(F.lit(0))
+    stamp = F.timestamp_micros("__time").cast(schema[ts].dataType)
+    return joined.select(*[F.col(f"r.{c}") for c in k], F.col(order).cast(schema[order].dataType), stamp.alias(ts),
+                         F.col(value).cast(schema[value].dataType), delta.alias("value_delta"))
+
+
+def land_mixed(df: DataFrame, path: str, files: int) -> str:
+    """A table as ``files`` Parquet files of equal size, each with rows of all keys and times:
+    an arrival order that no consumer can rely on."""
+    df.repartition(files).write.mode("overwrite").parquet(path)
+    return path
 
 
 def land_by_day(df: DataFrame, path: str, ts: str = "begin_ts", fmt: str = "parquet") -> str:

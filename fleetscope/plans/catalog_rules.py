@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from fleetscope.functions.expressions import major_version, minor_version
@@ -56,9 +58,7 @@ where extension_name = 'pglogical'""",
     "privs": """select pkey, database_name, true as has_tables_select_privilege,
   database_name <> 'db3' as has_local_node_select_privilege, true as has_node_select_privilege,
   true as has_node_interface_select_privilege from est_extensions where extension_name = 'pg_cron'""",
-    "missing": """select pkey, database_name, 1 as kind_order,
-  concat('user doesn''t have SELECT privilege on table public.', extension_name) as message
-from est_extensions where extension_name = 'hstore' and extension_owner = 'rdsadmin'""",
+    **D39_KINDS_INPUTS,
     "nodes": "select distinct pkey, database_name from est_extensions where extension_owner = 'alloydbadmin'",
     "nopk": """select t.pkey, concat('db', cast(t.object_id % 3 + 5 * (t.object_id % 4) as string)) as database_name, t.owner as schema_name, t.table_name
 from est_tables t left join (select distinct pkey, owner, table_name from est_constraints where constraint_type = 'P') c
@@ -84,9 +84,17 @@ def _facts(databases, settings=None, extensions=None, slots=None):
     return R.collection_facts(databases, databases, settings, extensions, slots)
 
 
-def _per_db(databases, extensions, usage, privs, missing, nodes, nopk, replica):
+def _per_db_items(databases, extensions, usage, privs, o, g, nodes, nopk, replica):
+    missing = inv.missing_privilege_messages(inv.missing_privileges_by_kind(o, g))
     gate = R.database_gate(databases, extensions, usage, privs, missing)
-    return R.rules_per_database(gate, nodes, nopk, replica)
+    return R.items_per_database(gate, nodes, nopk, replica)
+
+
+def _per_db(**frames):
+    return R.list_findings(_per_db_items(**frames), R.LIST_FORMATS, R.PG_TARGETS)
+
+
+PER_DB_INPUTS = {k: INPUTS[k] for k in ("databases", "extensions", "usage", "privs", "o", "g", "nodes", "nopk", "replica")}
 
 
 # --- oracle bodies (all over the same input aliases) ----------------------------------------
@@ -203,9 +211,9 @@ per_db as (select pkey, migration_target, database_name, 'database ' || database
 per_key as (select pkey, migration_target, string_agg(msg, '' order by database_name, msg) as info
   from per_db group by pkey, migration_target),
 base as (select distinct d.pkey, tg.migration_target from databases d cross join tg)
-select pkey, migration_target, '{rule}' as rule_code, 'WARNING' as severity, info from per_key
+select pkey, migration_target, '{rule}' as rule_code, 'WARNING' as severity, info, 0 as part from per_key
 union all
-select pkey, migration_target, '{rule}', 'PASS', '{pass_info}' from base b
+select pkey, migration_target, '{rule}', 'PASS', '{pass_info}', 0 from base b
 where not exists (select 1 from per_key k where k.pkey = b.pkey and k.migration_target = b.migration_target)"""
 
 
@@ -225,7 +233,12 @@ select pkey, migration_target, 'REPLICATION_ROLE' as rule_code, case when r = 'f
 
 NL = "chr(10)"
 PRIV_COLS = [c for c, _ in R.PGLOGICAL_TABLE_PRIVS]
-O_PER_DB = f"""with {TG},
+# missing privileges as D39 gives them
+_D39_MESSAGES = f"""select pkey, database_name, case object_type when 'SCHEMA' then 1 when 'TABLE' then 2 when 'VIEW' then 3 else 4 end
+  as kind_order, 'user doesn''t have ' || case object_type when 'SCHEMA' then 'USAGE privilege on schema ' || owner
+  else 'SELECT privilege on ' || lower(object_type) || ' ' || owner || '.' || object_name end as message
+from ({D39_KINDS_ORACLE}) m"""
+O_PER_DB = f"""with {TG}, missing as ({_D39_MESSAGES}),
 dbs as (select distinct pkey, database_name from databases),
 inst as (select distinct pkey, database_name from extensions where extension_name = 'pglogical'),
 d as (select dbs.*, inst.pkey is not null as installed from dbs left join inst
@@ -233,14 +246,14 @@ d as (select dbs.*, inst.pkey is not null as installed from dbs left join inst
 u as (select pkey, database_name, min(cast(has_schema_usage_privilege as int)) as uu from usage group by all),
 p as (select pkey, database_name, 1 as pp, {', '.join(f'min(cast({c} as int)) as {c}' for c in PRIV_COLS)}
   from privs group by all),
-g as (select d.pkey, d.database_name, u.uu, p.pp, {', '.join('p.' + c for c in PRIV_COLS)} from d
+held as (select d.pkey, d.database_name, u.uu, p.pp, {', '.join('p.' + c for c in PRIV_COLS)} from d
   left join u on d.pkey = u.pkey and d.database_name = u.database_name
   left join p on d.pkey = p.pkey and d.database_name = p.database_name where d.installed),
 own as (select pkey, database_name, 0 as kind_order, '' as sub,
     case when uu is null then 'Empty result reading pglogical schema usage privilege for the user'
       when uu = 0 then 'user doesn''t have USAGE privilege on schema pglogical'
-      when pp is null then 'Empty result reading pglogical privileges for the user' end as msg from g
-  {' '.join(f"union all select pkey, database_name, {i + 1}, '', case when uu = 1 and {c} = 0 then 'user doesn''t have SELECT privilege on table {t}' end from g" for i, (c, t) in enumerate(R.PGLOGICAL_TABLE_PRIVS))}),
+      when pp is null then 'Empty result reading pglogical privileges for the user' end as msg from held
+  {' '.join(f"union all select pkey, database_name, {i + 1}, '', case when uu = 1 and {c} = 0 then 'user doesn''t have SELECT privilege on table {t}' end from held" for i, (c, t) in enumerate(R.PGLOGICAL_TABLE_PRIVS))}),
 objs as (select m.pkey, m.database_name, m.kind_order + 100 as kind_order, m.message as sub, m.message as msg
   from missing m join d on m.pkey = d.pkey and m.database_name = d.database_name where d.installed),
 errs as (select pkey, database_name, string_agg(msg, {NL} order by kind_order, sub, msg) as errors from (
@@ -278,7 +291,7 @@ rows as (
   union all select pkey, 'UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY', 'ACTION REQUIRED', 'Source has table(s) with both '
     || 'primary key and replica identity FULL or NOTHING. Please remove replica identity or change it to DEFAULT to migrate: '
     || string_agg(tables || ' in database ' || database_name, ';' order by database_name) from rep_db group by pkey)
-select rows.pkey, tg.migration_target, rows.rule_code, rows.severity, rows.info from rows cross join tg"""
+select rows.pkey, tg.migration_target, rows.rule_code, rows.severity, rows.info, 0 as part from rows cross join tg"""
 
 O_E18 = f"""with {MANAGED} select * from mg"""
 
@@ -304,8 +317,11 @@ PG_RULE_ORACLES = [O_E1, O_E2, O_E3, O_E4, O_E5, O_E6, O_E7, O_E9, O_E10, O_E11,
 SEV_RANK_SQL = "case severity " + " ".join(f"when '{s}' then {i}" for i, s in enumerate(R.SEVERITY_ORDER)) + " end"
 
 
-def _pg_all(databases, settings, extensions, ftables, slots, roles, usage, privs, missing, nodes, nopk, replica):
+def _pg_all(databases, settings, extensions, ftables, slots, roles, **frames):
     f = _facts(databases, settings, extensions, slots)
+    lacking, supported = R.unsupported_extensions(extensions, databases)
+    left, migrated = R.extensions_not_migrated(extensions, databases)
+    items = lacking.unionByName(left).unionByName(_per_db_items(databases=databases, extensions=extensions, **frames))
     return R.evaluate([
         R.rule_database_version_pg(f),
         R.rule_collation(databases),
@@ -315,22 +331,21 @@ def _pg_all(databases, settings, extensions, ftables, slots, roles, usage, privs
         R.rule_wal_senders_replication_slots(f),
         R.rule_max_worker_processes(f),
         R.rule_fdws(ftables, databases),
-        R.rule_unsupported_extensions(extensions, databases),
-        R.rule_extensions_not_migrated(extensions, databases),
+        supported, migrated,
         R.rule_replication_role(f, roles),
-        _per_db(databases, extensions, usage, privs, missing, nodes, nopk, replica),
+        R.list_findings(items, R.LIST_FORMATS, R.PG_TARGETS),   # E10, E11, E13-E17 in one pass
     ])
 
 
 def _pick(rule_code):
-    def build(databases, extensions, usage, privs, missing, nodes, nopk, replica, **_):
-        return (_per_db(databases, extensions, usage, privs, missing, nodes, nopk, replica)
-                .where(F.col("rule_code") == rule_code))
+    def build(**frames):
+        items = _per_db_items(**frames).where(F.col("rule_code") == rule_code)
+        return R.list_findings(items, R.LIST_FORMATS, R.PG_TARGETS)
     return build
 
 
 def _sub(body: str) -> str:
-    return f"select * from ({body}) x"
+    return f"select *{'' if ' as part' in body else ', 0 as part'} from ({body}) x"
 
 
 SPECS: dict[str, Spec] = {
@@ -383,9 +398,7 @@ union all select database_name, case cast(substr(database_name, 3) as int) % 4 w
         inputs={k: INPUTS[k] for k in ("databases", "extensions", "roles")}, oracle=O_E12),
     "e13_e17_per_database_checks": Spec(
         build=_per_db,
-        inputs={k: INPUTS[k] for k in ("databases", "extensions", "usage", "privs", "missing", "nodes", "nopk",
-                                       "replica")},
-        oracle=O_PER_DB),
+        inputs=PER_DB_INPUTS, oracle=O_PER_DB),
     "e18_managed_flag": Spec(
         build=_managed, inputs={k: INPUTS[k] for k in ("databases", "extensions")}, oracle=O_E18),
     "e19_database_version_mysql": Spec(
@@ -405,17 +418,8 @@ for _code, _key in [("PGLOGICAL_INSTALLED", "e13_pglogical_installed"), ("PRIVIL
                     ("TABLES_WITH_NO_PK", "e16_tables_with_no_pk"),
                     ("UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", "e17_replica_identity")]:
     SPECS[_key] = Spec(build=_pick(_code),
-                       inputs={k: INPUTS[k] for k in ("databases", "extensions", "usage", "privs", "missing", "nodes",
-                                                      "nopk", "replica")},
+                       inputs=PER_DB_INPUTS,
                        oracle=f"select * from ({O_PER_DB}) y where rule_code = '{_code}'")
 
-# E14 with the rows of D39 in place of the "missing" fixture
-_D39_MESSAGES = f"""select pkey, database_name, case object_type when 'SCHEMA' then 1 when 'TABLE' then 2 when 'VIEW' then 3 else 4 end
-  as kind_order, 'user doesn''t have ' || case object_type when 'SCHEMA' then 'USAGE privilege on schema ' || owner
-  else 'SELECT privilege on ' || lower(object_type) || ' ' || owner || '.' || object_name end as message
-from ({D39_KINDS_ORACLE}) m"""
-SPECS["e14_privileges_of_objects"] = Spec(
-    build=lambda o, g, **frames: _pick("PRIVILEGES")(
-        missing=inv.missing_privilege_messages(inv.missing_privileges_by_kind(o, g)), **frames),
-    inputs={k: INPUTS[k] for k in ("databases", "extensions", "usage", "privs", "nodes", "nopk", "replica")} | D39_KINDS_INPUTS,
-    oracle=f"select * from (with missing as ({_D39_MESSAGES}), {O_PER_DB[len('with '):]}) y where rule_code = 'PRIVILEGES'")
+# every job of E14 reads the rows of D39; the earlier name of the one that did stays
+SPECS["e14_privileges_of_objects"] = replace(SPECS["e14_privileges"])

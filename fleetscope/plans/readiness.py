@@ -1,6 +1,7 @@
 """Readiness rules (survey section E): facts per collection -> findings per target.
 
-Every rule returns rows ``(pkey, migration_target, rule_code, severity, info)``.
+Every rule returns rows ``(pkey, migration_target, rule_code, severity, info)``; rules that
+list databases, extensions or tables also ``part`` (``long_findings``).
 The fleet version of the reference's per-database Python loop is a set of
 grouped DataFrame jobs: targets are a bounded literal list attached with
 ``explode`` (no join), allow-lists are ``IN`` sets, and the per-database gate
@@ -10,6 +11,7 @@ boolean column instead of ``continue``.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +19,7 @@ from pyspark.sql import functions as F
 
 from fleetscope.session import ensure_checkpoint_dir
 from fleetscope.functions.expressions import major_version, minor_version
+from fleetscope.plans.long_findings import items_of, list_findings
 
 ERROR, ACTION, WARNING, PASS, INFO = "ERROR", "ACTION REQUIRED", "WARNING", "PASS", "INFO"
 # fixed values: report order of severities
@@ -101,11 +104,6 @@ def finding(df: DataFrame, rule_code: str, severity, info) -> DataFrame:
                      info.alias("info"))
 
 
-def sorted_join(values: Column, sep: str) -> Column:
-    """``sep``-joined sorted values of a collected list (order-free ``collect_list``)."""
-    return F.array_join(F.array_sort(values), sep)
-
-
 def _as_int(c: str) -> Column:
     return F.coalesce(F.col(c).try_cast("long"), F.lit(0))
 
@@ -328,36 +326,50 @@ def rule_replication_role(facts: DataFrame, roles: DataFrame, targets=PG_TARGETS
 # extensions
 # ---------------------------------------------------------------------------
 
-def _extension_rule(extensions: DataFrame, collections: DataFrame, rule_code: str, picked: Column, text: str,
-                    pass_info: str, targets) -> DataFrame:
+# (rule, severity) -> prefix, separator of items, separator of databases, suffix
+EXTENSION_FORMATS = {("UNSUPPORTED_EXTENSIONS_NOT_MIGRATED", WARNING): ("", ",", "", ""),
+                     ("EXTENSIONS_NOT_MIGRATED", WARNING): ("", ",", "", "")}
+
+
+def _extension_items(extensions, rule_code: str, picked: Column, text: str, targets) -> DataFrame:
     t = with_targets(extensions, targets).where(picked)
-    per_db = (t.groupBy("pkey", "migration_target", "database_name")
-              .agg(sorted_join(F.collect_list("extension_name"), ",").alias("__names"))
-              .withColumn("__msg", F.concat(F.lit("database "), F.col("database_name"), F.lit(text),
-                                            F.col("__names"), F.lit(";\n\n"))))
-    per_key = (per_db.groupBy("pkey", "migration_target")
-               .agg(F.array_sort(F.collect_list(F.struct("database_name", "__msg"))).alias("__l"))
-               .withColumn("__info", F.array_join(F.transform("__l", lambda x: x["__msg"]), "")))
-    warn = finding(per_key, rule_code, WARNING, F.col("__info"))
+    return items_of(t, rule_code, WARNING, F.col("extension_name"), target="migration_target",
+                    opening=F.concat(F.lit("database "), F.col("database_name"), F.lit(text)), closing=";\n\n")
+
+
+def _no_items(items, collections, rule_code: str, pass_info: str, targets) -> DataFrame:
+    """PASS for each collection and target without an item of the rule."""
     base = with_targets(collections.select("pkey").distinct(), targets)
-    passes = finding(base.join(per_key.select("pkey", "migration_target"), ["pkey", "migration_target"], "left_anti"),
-                     rule_code, PASS, F.lit(pass_info))
-    return warn.unionByName(passes)
+    hit = items.select("pkey", "migration_target").distinct()
+    return finding(base.join(hit, ["pkey", "migration_target"], "left_anti"), rule_code, PASS, F.lit(pass_info))
 
 
-def rule_unsupported_extensions(extensions, collections, targets=PG_TARGETS) -> DataFrame:
+def unsupported_extensions(extensions, collections, targets=PG_TARGETS) -> tuple[DataFrame, DataFrame]:
+    """E10 as (items, passes): the extensions that a target lacks, system owners' left out."""
     picked = ~F.col("extension_owner").isin(*SUPER_ROLES) & ~per_target_isin(F.col("extension_name"), targets,
                                                                             "extensions")
-    return _extension_rule(extensions, collections, "UNSUPPORTED_EXTENSIONS_NOT_MIGRATED", picked,
-                           " has unsupported extensions installed and they will not be migrated: ",
-                           "All utilized extensions are supported.", targets)
+    rule = "UNSUPPORTED_EXTENSIONS_NOT_MIGRATED"
+    items = _extension_items(extensions, rule, picked,
+                             " has unsupported extensions installed and they will not be migrated: ", targets)
+    return items, _no_items(items, collections, rule, "All utilized extensions are supported.", targets)
+
+
+def extensions_not_migrated(extensions, collections, targets=PG_TARGETS) -> tuple[DataFrame, DataFrame]:
+    """E11 as (items, passes): extensions that no migration carries over."""
+    rule = "EXTENSIONS_NOT_MIGRATED"
+    items = _extension_items(extensions, rule, F.col("extension_name").isin(*NONMIGRATED_EXTENSIONS),
+                             " has extensions that will not be migrated: ", targets)
+    return items, _no_items(items, collections, rule, "All utilized extensions will be migrated.", targets)
+
+
+def rule_unsupported_extensions(extensions, collections, targets=PG_TARGETS) -> DataFrame:
+    items, passes = unsupported_extensions(extensions, collections, targets)
+    return evaluate([list_findings(items, EXTENSION_FORMATS, targets), passes])
 
 
 def rule_extensions_not_migrated(extensions, collections, targets=PG_TARGETS) -> DataFrame:
-    return _extension_rule(extensions, collections, "EXTENSIONS_NOT_MIGRATED",
-                           F.col("extension_name").isin(*NONMIGRATED_EXTENSIONS),
-                           " has extensions that will not be migrated: ", "All utilized extensions will be migrated.",
-                           targets)
+    items, passes = extensions_not_migrated(extensions, collections, targets)
+    return evaluate([list_findings(items, EXTENSION_FORMATS, targets), passes])
 
 
 # ---------------------------------------------------------------------------
@@ -370,10 +382,18 @@ PGLOGICAL_TABLE_PRIVS = [("has_tables_select_privilege", "pglogical.tables"),
                          ("has_node_interface_select_privilege", "pglogical.node_interface")]
 
 
+@dataclass
+class Gate:
+    """``databases``: (pkey, database_name, installed, passed), one row each.  ``errors``: (pkey,
+    database_name, kind_order, message), one row for each missing privilege, in no list."""
+    databases: DataFrame
+    errors: DataFrame
+
+
 def database_gate(databases: DataFrame, extensions: DataFrame, schema_usage: DataFrame, table_privs: DataFrame,
-                  missing_objects: DataFrame) -> DataFrame:
-    """Per (pkey, database): ``installed`` (pglogical), ``errors`` (privilege messages joined by
-    newlines, null when none) and ``passed``.  ``missing_objects`` rows carry (pkey,
+                  missing_objects: DataFrame) -> Gate:
+    """Which databases have pglogical (``installed``) and all privileges (``passed``), and each
+    privilege that is missing where it is installed.  ``missing_objects`` rows carry (pkey,
     database_name, kind_order, message) for schemas / tables / views / sequences without
     privileges."""
     k = ["pkey", "database_name"]
@@ -383,95 +403,75 @@ def database_gate(databases: DataFrame, extensions: DataFrame, schema_usage: Dat
     d = dbs.join(inst, k, "left").withColumn("installed", F.coalesce("installed", F.lit(False)))
     usage = schema_usage.groupBy(*k).agg(F.min(F.col("has_schema_usage_privilege").cast("int")).alias("__u"))
     privs = table_privs.groupBy(*k).agg(*[F.min(F.col(c).cast("int")).alias(c) for c, _ in PGLOGICAL_TABLE_PRIVS])
-    g = d.where("installed").join(usage, k, "left").join(privs.withColumn("__p", F.lit(1)), k, "left")
+    wanted = missing_objects.groupBy(*k).agg(F.count(F.lit(1)).alias("__m"))
     msgs = [F.when(F.col("__u").isNull(), F.lit("Empty result reading pglogical schema usage privilege for the user"))
             .when(F.col("__u") == 0, F.lit("user doesn't have USAGE privilege on schema pglogical"))
             .when(F.col("__p").isNull(), F.lit("Empty result reading pglogical privileges for the user"))]
     msgs += [F.when((F.col("__u") == 1) & (F.col(c) == 0),
                     F.lit(f"user doesn't have SELECT privilege on table {tbl}")) for c, tbl in PGLOGICAL_TABLE_PRIVS]
-    own = (g.select(*k, F.posexplode(F.array(*msgs)).alias("__ord", "__msg")).where(F.col("__msg").isNotNull())
-           .select(*k, F.col("__ord").alias("kind_order"), F.lit("").alias("__sub"), "__msg"))
-    objs = missing_objects.select(*k, (F.col("kind_order") + 100).alias("kind_order"),
-                                  F.col("message").alias("__sub"), F.col("message").alias("__msg"))
-    errs = (own.unionByName(objs).join(d.where("installed").select(*k), k)
-            .groupBy(*k).agg(F.array_sort(F.collect_list(F.struct("kind_order", "__sub", "__msg"))).alias("__l"))
-            .select(*k, F.array_join(F.transform("__l", lambda x: x["__msg"]), "\n").alias("errors")))
-    out = d.join(errs, k, "left")
+    own = F.when(F.col("installed"), F.filter(
+        F.array(*[F.struct(F.lit(i).alias("kind_order"), m.alias("message")) for i, m in enumerate(msgs)]),
+        lambda e: e["message"].isNotNull())).alias("__own")
     # one row per database of the fleet, read by every per-database rule: computed once, into
     # the shared checkpoint folder
-    ensure_checkpoint_dir(out.sparkSession)
-    return out.withColumn("passed", F.col("installed") & F.col("errors").isNull()).checkpoint()
-
-
-# (rule, severity) -> (prefix, separator, suffix) of the per-database list findings
+    ensure_checkpoint_dir(d.sparkSession)
+    gate = (d.join(usage, k, "left").join(privs.withColumn("__p", F.lit(1)), k, "left").join(wanted, k, "left")
+            .select(*k, "installed", "__m", own)
+            .withColumn("passed", F.col("installed") & (F.size("__own") == 0) & F.col("__m").isNull()).checkpoint())
+    installed = gate.where("installed").select(*k)
+    errors = (gate.select(*k, F.explode("__own").alias("__e")).select(*k, "__e.*")
+              .unionByName(missing_objects.join(installed, k)
+                           .select(*k, (F.col("kind_order") + 100).alias("kind_order"), "message")))
+    return Gate(gate.select(*k, "installed", "passed"), errors)
+
+
+# (rule, severity) -> prefix, separator of items, separator of databases, suffix
 _DB_LIST_FORMATS = {
-    ("PGLOGICAL_INSTALLED", ACTION): ("`pglogical` extension is not installed on the databases: ", ",", "."),
-    ("PGLOGICAL_INSTALLED", PASS): ("`pglogical` is installed on the databases: ", ",", "."),
-    ("PRIVILEGES", ACTION): ("", ";\n\n", ""),
-    ("PRIVILEGES", PASS): ("", ";\n", ""),
-    ("PGLOGICAL_NODE_ALREADY_EXISTS", ACTION): ("pglogical provider node already exists on databases: ", ",", ""),
-    ("PGLOGICAL_NODE_ALREADY_EXISTS", PASS): ("No existing pglogical provider node on the database: ", ",", ""),
+    ("PGLOGICAL_INSTALLED", ACTION): ("`pglogical` extension is not installed on the databases: ", "", ",", "."),
+    ("PGLOGICAL_INSTALLED", PASS): ("`pglogical` is installed on the databases: ", "", ",", "."),
+    ("PRIVILEGES", ACTION): ("", "\n", ";\n\n", ""),
+    ("PRIVILEGES", PASS): ("", "", ";\n", ""),
+    ("PGLOGICAL_NODE_ALREADY_EXISTS", ACTION): ("pglogical provider node already exists on databases: ", "", ",", ""),
+    ("PGLOGICAL_NODE_ALREADY_EXISTS", PASS): ("No existing pglogical provider node on the database: ", "", ",", ""),
     ("TABLES_WITH_NO_PK", WARNING): ("Some tables have limited support. Tables without primary keys were identified "
-                                     "and only INSERT statements will be replicated for these tables: ", ";", ""),
+                                     "and only INSERT statements will be replicated for these tables: ", ", ", ";", ""),
     ("UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", ACTION): (
         "Source has table(s) with both primary key and replica identity FULL or NOTHING. Please remove replica "
-        "identity or change it to DEFAULT to migrate: ", ";", ""),
+        "identity or change it to DEFAULT to migrate: ", ", ", ";", ""),
 }
+LIST_FORMATS = {**EXTENSION_FORMATS, **_DB_LIST_FORMATS}
 
 
-def _items(frame: DataFrame, rule_code: str, severity: str, item: Column) -> DataFrame:
-    return frame.select("pkey", F.lit(rule_code).alias("rule_code"), F.lit(severity).alias("severity"),
-                        "database_name", item.alias("item"))
-
-
-def rules_per_database(gate: DataFrame, provider_nodes: DataFrame, no_pk_tables: DataFrame,
-                       replica_tables: DataFrame, targets=PG_TARGETS) -> DataFrame:
-    """E13 - E17.  A database failing the privilege check skips E15 - E17 (the gate column).
-
-    All per-database items go through one union and ONE grouped aggregation per
-    (collection, rule, severity); each finding joins its items sorted by database name."""
+def items_per_database(gate: Gate, provider_nodes: DataFrame, no_pk_tables: DataFrame,
+                       replica_tables: DataFrame) -> DataFrame:
+    """E13 - E17, one row for each database, missing privilege or table named in a finding.  A
+    database failing the privilege check skips E15 - E17 (the gate column)."""
     k = ["pkey", "database_name"]
-    db = F.col("database_name")
+    db, d = F.col("database_name"), gate.databases
     nodes = provider_nodes.select(*k).distinct().withColumn("__node", F.lit(True))
-    checked = gate.where("passed").join(nodes, k, "left")
-    open_dbs = gate.where(~F.col("installed") | F.col("passed")).select(*k)
-
-    def tables_by_db(tables):
-        return (tables.join(open_dbs, k)
-                .groupBy(*k).agg(sorted_join(F.collect_list(F.concat("schema_name", F.lit("."), "table_name")), ", ")
-                                 .alias("__tables")))
-
-    items = [
-        _items(gate.where(~F.col("installed")), "PGLOGICAL_INSTALLED", ACTION, db),
-        _items(gate.where("installed"), "PGLOGICAL_INSTALLED", PASS, db),
-        _items(gate.where(F.col("installed") & ~F.col("passed")), "PRIVILEGES", ACTION,
-               F.concat(F.col("errors"), F.lit(" in database "), db)),
-        _items(gate.where("passed"), "PRIVILEGES", PASS,
-               F.concat(F.lit("User has all privileges required for migration for the database "), db)),
-        _items(checked.where(F.col("__node").isNotNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", ACTION, db),
-        _items(checked.where(F.col("__node").isNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", PASS, db),
-        _items(tables_by_db(no_pk_tables), "TABLES_WITH_NO_PK", WARNING,
-               F.concat(F.lit("In database "), db, F.lit(", "), F.col("__tables"), F.lit(" don't have primary keys"))),
-        _items(tables_by_db(replica_tables), "UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", ACTION,
-               F.concat(F.col("__tables"), F.lit(" in database "), db)),
-    ]
-    g = (reduce(DataFrame.unionByName, items)
-         .groupBy("pkey", "rule_code", "severity")
-         .agg(F.array_sort(F.collect_list(F.struct(F.col("database_name").alias("d"), F.col("item").alias("i"))))
-              .alias("__l")))
-    key = F.concat(F.col("rule_code"), F.lit("|"), F.col("severity"))
-    fmt = {f"{r}|{sv}": v for (r, sv), v in _DB_LIST_FORMATS.items()}
-    prefix = F.create_map(*[x for kk, v in fmt.items() for x in (F.lit(kk), F.lit(v[0]))])[key]
-    suffix = F.create_map(*[x for kk, v in fmt.items() for x in (F.lit(kk), F.lit(v[2]))])[key]
-    seps = sorted({v[1] for v in fmt.values()})
-    joined = None
-    for sep in seps:
-        cond = key.isin(*[kk for kk, v in fmt.items() if v[1] == sep])
-        e = F.array_join(F.transform("__l", lambda x: x["i"]), sep)
-        joined = F.when(cond, e) if joined is None else joined.when(cond, e)
-    g = g.withColumn("__info", F.concat(prefix, joined, suffix))
-    t = with_targets(g, targets)
-    return t.select("pkey", "migration_target", "rule_code", "severity", F.col("__info").alias("info"))
+    checked = d.where("passed").join(nodes, k, "left")
+    open_dbs = d.where(~F.col("installed") | F.col("passed")).select(*k)
+    table = F.concat("schema_name", F.lit("."), "table_name")
+    return reduce(DataFrame.unionByName, [
+        items_of(d.where(~F.col("installed")), "PGLOGICAL_INSTALLED", ACTION, db),
+        items_of(d.where("installed"), "PGLOGICAL_INSTALLED", PASS, db),
+        items_of(gate.errors, "PRIVILEGES", ACTION, F.col("message"), ord=F.col("kind_order"),
+                 closing=F.concat(F.lit(" in database "), db)),
+        items_of(d.where("passed"), "PRIVILEGES", PASS,
+                 F.concat(F.lit("User has all privileges required for migration for the database "), db)),
+        items_of(checked.where(F.col("__node").isNotNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", ACTION, db),
+        items_of(checked.where(F.col("__node").isNull()), "PGLOGICAL_NODE_ALREADY_EXISTS", PASS, db),
+        items_of(no_pk_tables.join(open_dbs, k), "TABLES_WITH_NO_PK", WARNING, table,
+                 opening=F.concat(F.lit("In database "), db, F.lit(", ")), closing=" don't have primary keys"),
+        items_of(replica_tables.join(open_dbs, k), "UNSUPPORTED_TABLES_WITH_REPLICA_IDENTITY", ACTION, table,
+                 closing=F.concat(F.lit(" in database "), db)),
+    ])
+
+
+def rules_per_database(gate: Gate, provider_nodes: DataFrame, no_pk_tables: DataFrame,
+                       replica_tables: DataFrame, targets=PG_TARGETS) -> DataFrame:
+    """E13 - E17 as findings, long lists in parts (``long_findings``)."""
+    return list_findings(items_per_database(gate, provider_nodes, no_pk_tables, replica_tables), LIST_FORMATS, targets)
 
 
 # ---------------------------------------------------------------------------
@@ -484,11 +484,13 @@ def severity_rank(c="severity") -> Column:
 
 
 def evaluate(findings) -> DataFrame:
-    """Union of all rule outputs (by name)."""
-    return reduce(DataFrame.unionByName, [f.select(*FINDING_COLS) for f in findings])
+    """Union of all rule outputs (by name).  ``part`` numbers the rows of one long text; rules
+    without a list have one row, part 0."""
+    return reduce(DataFrame.unionByName, [
+        f.select(*FINDING_COLS, (F.col("part") if "part" in f.columns else F.lit(0)).alias("part")) for f in findings])
 
 
 def report(findings: DataFrame) -> DataFrame:
     """Per collection and target, ordered by severity rank then rule code."""
     return (findings.withColumn("severity_rank", severity_rank())
-            .orderBy("pkey", "migration_target", "severity_rank", "rule_code", "info"))
+            .orderBy("pkey", "migration_target", "severity_rank", "rule_code", "part", "info"))

@@ -314,6 +314,75 @@ def lob_sizing(cols: DataFrame, tables: DataFrame, lobs: DataFrame, segments: Da
                         .otherwise(F.round(F.col("lob_bytes") / F.col("num_rows"), 2)))
 
 
+def _or_na(df: DataFrame, column: str) -> Column:
+    """A catalog column that older database versions lack: 'N/A' there."""
+    return F.col(column) if column in df.columns else F.lit("N/A")
+
+
+def lob_segment_sizing(cols: DataFrame, tables: DataFrame, lobs: DataFrame, table_parts: DataFrame,
+                       table_subparts: DataFrame, lob_parts: DataFrame, lob_subparts: DataFrame,
+                       segments: DataFrame) -> DataFrame:
+    """One row for each segment of a LOB column of a table, partition or sub-partition.
+
+    LOB columns meet their table and LOB (inner), then by left joins the table's partitions
+    and sub-partitions, the LOB's own, and the segment.  Which name the segment goes by depends
+    on the level the LOB is stored at; that name is a column of the left side before the join
+    (null on neither side), so every join is an equi-join that hash or sort-merge plans and
+    skew splitting can take, and none is a nested loop.  Averages divide by the rows of the
+    respective level, 0 where it has none; a missing segment leaves them null.
+    ``segment_created``, ``compression`` and ``deduplication`` may be missing from a frame."""
+    db = ["pkey", "con_id"]
+    key = [*db, "owner", "table_name"]
+    c = exclude_system_schemas(cols, "owner").where(F.col("data_type").like("%LOB%")).select(*key, "column_name", "data_type")
+    t = tables.select(*key, F.col("num_rows").alias("table_num_rows"), "partitioned",
+                      _or_na(tables, "segment_created").alias("table_seg_created"))
+    lb = lobs.select(*key, "column_name", F.col("segment_name").alias("lob_seg_name"),
+                     _or_na(lobs, "compression").alias("lob_compression"),
+                     _or_na(lobs, "deduplication").alias("lob_deduplication"))
+    tp = table_parts.select(*key, F.col("partition_name").alias("table_partition_name"), "subpartition_count",
+                            F.col("num_rows").alias("partition_num_rows"),
+                            _or_na(table_parts, "segment_created").alias("table_partition_seg_created"))
+    ts = table_subparts.select(*key, F.col("partition_name").alias("table_partition_name"),
+                               F.col("subpartition_name").alias("table_subpartition_name"),
+                               F.col("num_rows").alias("subpartition_num_rows"),
+                               _or_na(table_subparts, "segment_created").alias("table_subpartition_created"))
+    lp = lob_parts.select(*key, F.col("lob_name").alias("lob_seg_name"),
+                          F.col("partition_name").alias("table_partition_name"), "lob_partition_name",
+                          _or_na(lob_parts, "segment_created").alias("lob_partition_seg_created"),
+                          _or_na(lob_parts, "compression").alias("lob_partition_compression"),
+                          _or_na(lob_parts, "deduplication").alias("lob_partition_deduplication"))
+    ls = lob_subparts.select(*db, "owner", F.col("lob_name").alias("lob_seg_name"), "lob_partition_name",
+                             F.col("subpartition_name").alias("table_subpartition_name"), "lob_subpartition_name",
+                             _or_na(lob_subparts, "segment_created").alias("lob_subpartition_seg_created"),
+                             _or_na(lob_subparts, "compression").alias("lob_subpartition_compression"),
+                             _or_na(lob_subparts, "deduplication").alias("lob_subpartition_deduplication"))
+    sg = segments.select(*db, "owner", F.col("segment_name").alias("lob_seg_name"),
+                         F.coalesce("partition_name", F.lit("-")).alias("__place"), F.lit(True).alias("__found"),
+                         F.col("partition_name").alias("seg_partition_name"), F.col("bytes").alias("seg_bytes"))
+    stored_as = F.coalesce("lob_subpartition_name", "lob_partition_name", F.lit("-"))
+    rows = (c.join(t, key).join(lb, [*key, "column_name"]).join(tp, key, "left")
+            .join(ts, [*key, "table_partition_name"], "left")
+            .join(lp, [*key, "lob_seg_name", "table_partition_name"], "left")
+            .join(ls, [*db, "owner", "lob_seg_name", "lob_partition_name", "table_subpartition_name"], "left")
+            .withColumn("__place", stored_as)
+            .join(sg, [*db, "owner", "lob_seg_name", "__place"], "left"))
+
+    def average(n: str) -> Column:
+        return F.when(F.coalesce(n, F.lit(0)) > 0, F.round(F.col("seg_bytes") / F.col(n))).otherwise(F.lit(0.0))
+
+    return rows.select(
+        *key, "table_num_rows", "table_seg_created", "partitioned", "column_name", "data_type", "table_partition_name",
+        "table_partition_seg_created", "partition_num_rows", "lob_partition_name", "lob_partition_seg_created",
+        "subpartition_count", "table_subpartition_name", "table_subpartition_created", "subpartition_num_rows",
+        "lob_subpartition_name", "lob_subpartition_seg_created", "lob_seg_name",
+        F.when(F.col("__found"), F.col("lob_seg_name")).alias("seg_name"), "seg_partition_name", "lob_compression",
+        "lob_partition_compression", "lob_subpartition_compression", "lob_deduplication",
+        "lob_partition_deduplication", "lob_subpartition_deduplication", "seg_bytes",
+        average("table_num_rows").alias("table_avg_lob_bytes"),
+        average("partition_num_rows").alias("partition_avg_lob_bytes"),
+        average("subpartition_num_rows").alias("subpartition_avg_lob_bytes"))
+
+
 # D18 ------------------------------------------------------------------------------
 def space_by_segment_type(segs: DataFrame) -> DataFrame:
     """Whole GB per owner and segment type, without system owners."""
@@ -404,6 +473,46 @@ def dialect_dependencies(defs: DataFrame, pattern: str, text_col: str = "definit
     return m.groupBy(*keys, "matched").agg(_count().alias("match_count"))
 
 
+# fixed value: names of the Oracle compatibility schema that a schema conversion leaves in definitions
+CONVERSION_PATTERN = 'aws_oracle_ext[.][a-z]*[_,a-z,$,"]*'
+_CONVERSION_SCHEMAS = ("pg_catalog", "information_schema", "aws_oracle_ext")
+
+
+def conversion_dependencies(routines: DataFrame, defaults: DataFrame, checks: DataFrame, indexes: DataFrame,
+                            views: DataFrame, pattern: str = CONVERSION_PATTERN) -> DataFrame:
+    """Names of the compatibility schema in six classes of objects, with their count per object.
+
+    ``defaults``, ``checks``, ``indexes`` and ``views`` hold (pkey, schema_name, object_name,
+    definition), ``routines`` also language, prokind and is_trigger.  A text is searched once:
+    a routine that is both a procedure and a trigger function gets its two classes after the
+    search.  Routines count in SQL and PL/pgSQL only, in lower case, equal texts of overloaded
+    names once; the other classes keep the case of the match.  Definitions that are null or
+    name nothing give no row."""
+    cols = ["pkey", "schema_name", "object_language", "object_name", "classes", "text"]
+    kind = F.col("prokind")
+    classes = F.filter(F.array(F.when(~kind.isin("a", "w", "f"), F.lit("Procedures")),
+                               F.when(~kind.isin("a", "w") & F.col("is_trigger"), F.lit("Triggers"))),
+                       lambda c: c.isNotNull())
+    found = (routines.where(~F.col("schema_name").isin(*_CONVERSION_SCHEMAS) & F.col("language").isin("sql", "plpgsql"))
+             .select("pkey", "schema_name", F.col("language").alias("object_language"), "object_name",
+                     classes.alias("classes"), F.lower("definition").alias("text"))
+             .where(F.size("classes") > 0).where(F.col("text").rlike("(?i)" + pattern)).distinct())
+    for frame, label in ((defaults, "TableDefaultConstraints"), (checks, "TableCheckConstraints"),
+                         (indexes, "TableIndexesAsFunctions"),
+                         (views.where(F.col("schema_name") != "aws_oracle_ext"), "Views")):
+        found = found.unionByName(frame.where(F.col("definition").rlike("(?i)" + pattern)).select(
+            "pkey", "schema_name", F.lit("N/A").alias("object_language"), "object_name",
+            F.array(F.lit(label)).alias("classes"), F.col("definition").alias("text")).select(*cols))
+    matches = F.regexp_extract_all("text", F.lit("(?i)" + pattern), F.lit(0))
+    return (found.select("pkey", "schema_name", "object_language", "object_name", "classes",
+                         F.explode(matches).alias("aws_extension_dependency"))
+            .groupBy("pkey", "schema_name", "object_language", "classes", "object_name", "aws_extension_dependency")
+            .agg(_count().alias("sct_function_reference_count"))
+            .withColumn("object_type", F.explode("classes"))
+            .groupBy("pkey", "schema_name", "object_language", "object_type", "object_name", "aws_extension_dependency")
+            .agg(F.sum("sct_function_reference_count").alias("sct_function_reference_count")))
+
+
 # D24 - D27 ------------------------------------------------------------------------------
 def index_details_pg(idx: DataFrame, tabs: DataFrame, access: DataFrame, io: DataFrame, stat: DataFrame) -> DataFrame:
     """Indexes x tables x access methods (inner), io and usage stats (left); at least one
@@ -582,6 +691,59 @@ def application_footprint(objects: DataFrame, probes) -> DataFrame:
             .withColumn("present", F.when(F.col("signature_owner").isNotNull(), F.lit("Y"))))
 
 
+# fixed values: columns (table, column, type) by which a packaged application is known
+APPLICATION_SIGNATURES = {
+    "ebs_owner": [("FND_PRODUCT_GROUPS", "RELEASE_NAME", "VARCHAR2")],
+    "siebel_owner": [("S_REPOSITORY", "ROW_ID", "VARCHAR2")],
+    "psft_owner": [("PSSTATUS", "TOOLSREL", "VARCHAR2")],
+    "sap_owner": [("DD02T", "DDLANGUAGE", "VARCHAR2")],
+}
+
+
+def application_schemas(collections: DataFrame, cols: DataFrame, objects: DataFrame, views: DataFrame, users: DataFrame,
+                        settings: DataFrame, signatures=None) -> DataFrame:
+    """One row per collection: owner of each packaged application and 'Y' for each platform found.
+
+    An application is present where one owner has every column of its signature, so the match is
+    a division: the columns an owner has are OR-ed into one bit mask (combined before the
+    shuffle) and compared with the signature's mask.  Of several owners the first by name
+    counts.  Columns of other tables are left out at the scan.  Platform probes are conditional
+    aggregates over objects; two of them also need a setting (the prefix of common users) or
+    a user.  Nothing found is null."""
+    signatures = APPLICATION_SIGNATURES if signatures is None else signatures
+    wanted = sorted({column for members in signatures.values() for column in members})
+    bit = {column: i for i, column in enumerate(wanted)}
+    if len(wanted) > 63:
+        raise ValueError("signatures name more than 63 columns")
+    mine = F.lit(0).cast("long")
+    for table, column, data_type in wanted:
+        mine = F.when((F.col("table_name") == table) & (F.col("column_name") == column) & (F.col("data_type") == data_type),
+                      F.lit(1 << bit[table, column, data_type]).cast("long")).otherwise(mine)
+    owners = (cols.where(F.col("table_name").isin(sorted({w[0] for w in wanted}))).withColumn("__bits", mine)
+              .where(F.col("__bits") != 0).groupBy("pkey", "owner").agg(F.bit_or("__bits").alias("__bits")))
+    masks = {name: sum(1 << bit[m] for m in set(members)) for name, members in signatures.items()}
+    apps = owners.groupBy("pkey").agg(*[
+        F.min(F.when(F.col("__bits").bitwiseAND(F.lit(m).cast("long")) == m, F.col("owner"))).alias(n)
+        for n, m in masks.items()])
+    prefix = (settings.where(F.col("name") == "common_user_prefix").groupBy("pkey").agg(F.min("value").alias("__prefix")))
+    apex_user = (users.where(F.col("username") == "apex_public_user").select("pkey").distinct()
+                 .withColumn("__apex", F.lit(True)))
+    name, yes = F.col("object_name"), F.lit("Y")
+    found = (objects.where(name.isin("RDAADMIN_UTIL", "DBMS_CLOUD", "WWV_FLOW")).join(prefix, "pkey", "left")
+             .join(apex_user, "pkey", "left").groupBy("pkey").agg(
+                 F.max(F.when((name == "RDAADMIN_UTIL") & (F.col("owner") == "RDSADMIN"), yes)).alias("rds_flag"),
+                 F.max(F.when((name == "DBMS_CLOUD") & (F.col("owner") == F.concat("__prefix", F.lit("CLOUD$SERVICE"))),
+                              yes)).alias("dbms_cloud_pkg_installed"),
+                 F.max(F.when((name == "WWV_FLOW") & (F.col("object_type") == "PACKAGE") & F.col("__apex"), yes))
+                 .alias("apex_installed")))
+    autonomous = (views.where(F.col("view_name") == "OCI_AUTONOMOUS_DATABASES").select("pkey").distinct()
+                  .withColumn("oci_autonomous_flag", yes))
+    out = collections.select("pkey").distinct()
+    for part in (apps, found, autonomous):
+        out = out.join(part, "pkey", "left")
+    return out.select("pkey", *signatures, "rds_flag", "oci_autonomous_flag", "dbms_cloud_pkg_installed", "apex_installed")
+
+
 def feature_usage(objects: DataFrame, features) -> DataFrame:
     """(feature, used 0/1, count) per collection: one grouped row with a conditional count per
     feature, unpivoted, so features without objects still get a 0 row."""

@@ -54,7 +54,11 @@ FEATURES = [("PARTITIONING", "relkind = 'p'"), ("FOREIGN_TABLES", "relkind = 'f'
             ("COLUMNSTORE", "compress_for = 'COLUMNSTORE'")]
 # fixed values: packaged-application signature tables (probe name, signature table)
 APP_PROBES = [("EBS", "FND_PRODUCT_GROUPS"), ("SIEBEL", "S_REPOSITORY"), ("PEOPLESOFT", "PSSTATUS"),
-              ("SAP", "SVERS"), ("JDE", "F0010"), ("FIXTURE_TAB_1", "TAB_1"), ("FIXTURE_TAB_42", "TAB_42")]
+              ("SAP", "DD02T")]
+# test binding: some tables of the estate carry the signatures' names
+_APP_NAME = """case substr(table_name, 5) when '1' then 'FND_PRODUCT_GROUPS' when '14' then 'S_REPOSITORY'
+  when '42' then 'PSSTATUS' when '55' then 'DD02T' when '8' then 'FND_PRODUCT_GROUPS' else table_name end"""
+APP_TABLES = f"select pkey, owner, {_APP_NAME} as table_name from est_tables"
 _DB_OF_OBJECT = "concat('db', cast(object_id % 3 + 5 * (object_id % 4) as string))"
 _PG_SCHEMA = """case owner when 'SYS' then 'pg_catalog' when 'OWN0' then 'information_schema' when 'OWN1' then 'pglogical'
   when 'OWN2' then 'cron' else lower(owner) end"""
@@ -624,7 +628,7 @@ w as (select coalesce(ta.pkey, ea.pkey) as pkey, tc, ftc, sc, uc from ta full jo
                  "metric_name", "metric_value", "w")),
     "d32_application_footprint": Spec(
         build=lambda objs: inv.application_footprint(objs, APP_PROBES),
-        inputs={"objs": "select pkey, owner, table_name from est_tables"},
+        inputs={"objs": APP_TABLES},
         oracle="with g as (select pkey, " + ", ".join(
             f"max(case when table_name = '{t}' then owner end) as p{i}" for i, (_, t) in enumerate(APP_PROBES))
         + " from objs group by pkey)\nselect *, case when signature_owner is not null then 'Y' end as present from (\n"
@@ -736,7 +740,7 @@ select distinct * from (""" + "\nunion all\n".join(
             + [n for n, _ in inv.MYSQL_PLUGIN_PROBES] + ["VERSION_NUM"]) + ") x where variable_value is not null"),
     "d32_application_footprint_lines": Spec(
         build=lambda objs: inv.application_footprint_lines(inv.application_footprint(objs, APP_PROBES)),
-        inputs={"objs": "select pkey, owner, table_name from est_tables"},
+        inputs={"objs": APP_TABLES},
         oracle="with g as (select pkey, " + ", ".join(
             f"max(case when table_name = '{t}' then owner end) as p{i}" for i, (_, t) in enumerate(APP_PROBES))
         + " from objs group by pkey)\nselect pkey, probe_name || ': ' || coalesce(signature_owner, '') as line from (\n"
@@ -744,6 +748,137 @@ select distinct * from (""" + "\nunion all\n".join(
         + ") x"),
 })
 
+# D17 by partition, D23 by class of object, D32 by signature column ---------------------------
+_CON = "cast(substr(table_name, 5) as bigint) % 2"
+_LOB_COLS = f"""select c.pkey, {_CON.replace('table_name', 'c.table_name')} as con_id, c.owner, c.table_name, c.column_name,
+  concat('SEG_', c.column_name) as segment_name, length(c.column_name) as width, cast(substr(c.column_name, length(c.column_name)) as string) as tail,
+  t.relkind from est_columns c join est_tables t on c.pkey = t.pkey and c.owner = t.owner and c.table_name = t.table_name
+  where c.data_type = 'CLOB'"""
+
+
+def _each(text: str, names) -> str:
+    return "\nunion all\n".join(text.replace("{n}", n) for n in names)
+
+
+# partitioned tables have P1-P3, P3 with two sub-partitions; the LOB's own are missing for some columns
+_PARTED = "from est_tables where relkind = 'p'"
+D17_PART_INPUTS = {
+    "cols": f"select *, {_CON} as con_id from est_columns",
+    "tables": f"""select pkey, {_CON} as con_id, owner, table_name, case when num_rows % 700 = 0 then null else num_rows end as num_rows,
+  case when relkind = 'p' then 'YES' else 'NO' end as partitioned, case when num_rows % 300 = 0 then 'NO' else 'YES' end as segment_created
+  from est_tables""",
+    "lobs": f"""select pkey, con_id, owner, table_name, column_name, segment_name,
+  case when width % 2 = 0 then 'MEDIUM' else 'NO' end as compression from ({_LOB_COLS}) x""",
+    "table_parts": _each(f"""select pkey, {_CON} as con_id, owner, table_name, 'P{{n}}' as partition_name,
+  case when {{n}} = 3 then 2 else 0 end as subpartition_count, num_rows * ({{n}} - 1) as num_rows, 'YES' as segment_created {_PARTED}""", "123"),
+    "table_subparts": _each(f"""select pkey, {_CON} as con_id, owner, table_name, 'P3' as partition_name, 'P3S{{n}}' as subpartition_name,
+  num_rows * {{n}} as num_rows {_PARTED}""", "12"),
+    "lob_parts": _each(f"""select pkey, con_id, owner, table_name, segment_name as lob_name, 'P{{n}}' as partition_name,
+  'LOB_P{{n}}' as lob_partition_name, 'NO' as compression, 'LOB' as deduplication from ({_LOB_COLS}) x where relkind = 'p' and tail <> '{{n}}'""", "123"),
+    "lob_subparts": _each(f"""select pkey, con_id, owner, segment_name as lob_name, 'LOB_P3' as lob_partition_name, 'P3S{{n}}' as subpartition_name,
+  'LOB_P3S{{n}}' as lob_subpartition_name from ({_LOB_COLS}) x where relkind = 'p' and tail <> '{{n}}'""", "12"),
+    "segs": f"""select pkey, con_id, owner, segment_name, cast(null as string) as partition_name, cast(width * 1000 as bigint) as bytes
+  from ({_LOB_COLS}) x where relkind <> 'p' or tail = '1'
+union all
+""" + _each(f"""select pkey, con_id, owner, segment_name, 'LOB_{{n}}', cast(width * 77 as bigint) from ({_LOB_COLS}) x where relkind = 'p'""",
+            ["P1", "P2", "P3", "P3S1", "P3S2"]),
+}
+_D17_LEVELS = [("table", "t"), ("partition", "tp"), ("subpartition", "tsp")]
+D17_PART_ORACLE = f"""select c.pkey, c.con_id, c.owner, c.table_name, t.num_rows as table_num_rows, t.segment_created as table_seg_created,
+  t.partitioned, c.column_name, c.data_type, tp.partition_name as table_partition_name,
+  tp.segment_created as table_partition_seg_created, tp.num_rows as partition_num_rows, lp.lob_partition_name,
+  case when lp.lob_name is not null then 'N/A' end as lob_partition_seg_created, tp.subpartition_count,
+  tsp.subpartition_name as table_subpartition_name, case when tsp.table_name is not null then 'N/A' end as table_subpartition_created,
+  tsp.num_rows as subpartition_num_rows, lsp.lob_subpartition_name,
+  case when lsp.lob_name is not null then 'N/A' end as lob_subpartition_seg_created, l.segment_name as lob_seg_name,
+  s.segment_name as seg_name, s.partition_name as seg_partition_name, l.compression as lob_compression,
+  lp.compression as lob_partition_compression, case when lsp.lob_name is not null then 'N/A' end as lob_subpartition_compression,
+  'N/A' as lob_deduplication, lp.deduplication as lob_partition_deduplication,
+  case when lsp.lob_name is not null then 'N/A' end as lob_subpartition_deduplication, s.bytes as seg_bytes,
+  {', '.join(f"case when coalesce({a}.num_rows, 0) > 0 then round(s.bytes / {a}.num_rows) else 0 end as {n}_avg_lob_bytes" for n, a in _D17_LEVELS)}
+from cols c
+join tables t on t.pkey = c.pkey and t.con_id = c.con_id and t.owner = c.owner and t.table_name = c.table_name
+join lobs l on l.pkey = c.pkey and l.con_id = c.con_id and l.owner = c.owner and l.table_name = c.table_name and l.column_name = c.column_name
+left join table_parts tp on tp.pkey = t.pkey and tp.con_id = t.con_id and tp.owner = t.owner and tp.table_name = t.table_name
+left join table_subparts tsp on tsp.pkey = tp.pkey and tsp.con_id = tp.con_id and tsp.owner = tp.owner
+  and tsp.table_name = tp.table_name and tsp.partition_name = tp.partition_name
+left join lob_parts lp on lp.pkey = tp.pkey and lp.con_id = tp.con_id and lp.owner = tp.owner and lp.table_name = tp.table_name
+  and lp.lob_name = l.segment_name and lp.partition_name = tp.partition_name
+left join lob_subparts lsp on lsp.pkey = lp.pkey and lsp.con_id = lp.con_id and lsp.owner = lp.owner and lsp.lob_name = lp.lob_name
+  and lsp.lob_partition_name = lp.lob_partition_name and lsp.subpartition_name = tsp.subpartition_name
+left join segs s on s.pkey = l.pkey and s.con_id = l.con_id and s.owner = l.owner and s.segment_name = l.segment_name
+  and coalesce(s.partition_name, '-') = case when lsp.subpartition_name is not null then lsp.lob_subpartition_name
+    when lp.partition_name is not null then lp.lob_partition_name else '-' end
+where c.data_type like '%LOB%' and not coalesce({_sys_sql('c.owner')}, false)"""
+
+# some words of the texts stand for calls of the compatibility schema
+_D23_BASE = "select pkey, owner as schema_name, concat('OBJ', cast(object_id % 900 as string)) as object_name, {x} from est_lines where {w}"
+_D23_TEXT = "concat(replace(definition, ' the ', ' aws_oracle_ext.to_char(1, '), replace(definition, ' a ', ' AWS_oracle_EXT.Sysdate_$ ')) as definition"
+
+
+def _d23(where: str, extra: str = "") -> str:
+    return _D23_BASE.replace("{x}", extra + _D23_TEXT).replace("{w}", where)
+
+
+D23_INPUTS = {
+    "routines": _d23("object_id % 3 <> 0", "case object_id % 4 when 0 then 'sql' when 1 then 'c' else 'plpgsql' end as language, "
+                     "case object_id % 5 when 0 then 'a' when 1 then 'f' when 2 then 'w' else 'p' end as prokind, "
+                     "object_id % 7 < 3 as is_trigger, "),
+    "defaults": _d23("object_id % 6 = 0"), "checks": _d23("object_id % 6 = 3"), "indexes": _d23("object_id % 12 = 6"),
+    "views": _d23("object_id % 9 = 0"),
+}
+_AWS = """(?i)aws_oracle_ext[.][a-z]*[_,a-z,$,"]*"""
+D23_ORACLE = """with r as (select distinct pkey, schema_name, language, object_name, prokind not in ('a', 'w', 'f') as is_proc,
+    prokind not in ('a', 'w') and is_trigger as is_trg, lower(definition) as def from routines where language in ('sql', 'plpgsql')
+    and schema_name not in ('pg_catalog', 'information_schema', 'aws_oracle_ext')),
+all_defs as (select pkey, schema_name, language as object_language, 'Procedures' as object_type, object_name, def from
+    (select distinct pkey, schema_name, language, object_name, def, is_trg from r where is_proc) a
+  union all select pkey, schema_name, language, 'Triggers', object_name, def from
+    (select distinct pkey, schema_name, language, object_name, def, is_proc from r where is_trg) b
+""" + "".join(f"  union all select pkey, schema_name, 'N/A', '{label}', object_name, definition from {frame}\n"
+              for frame, label in [("defaults", "TableDefaultConstraints"), ("checks", "TableCheckConstraints"),
+                                   ("indexes", "TableIndexesAsFunctions"), ("views", "Views")]) + f"""),
+m as (select * exclude (def), unnest(regexp_extract_all(def, '{_AWS}', 0)) as aws_extension_dependency from all_defs)
+select *, count(*) as sct_function_reference_count from m group by all"""
+
+D32_INPUTS = {
+    "collections": "select distinct pkey from est_tables",
+    "cols": f"""select pkey, owner, {_APP_NAME} as table_name, case when table_name in ('TAB_1', 'TAB_8') then 'RELEASE_NAME'
+  when table_name = 'TAB_14' then 'ROW_ID' when table_name = 'TAB_42' then 'TOOLSREL' when table_name = 'TAB_55' then 'DDLANGUAGE'
+  else column_name end as column_name, data_type from est_columns""",
+    "objects": """select pkey, case when num_rows % 300 = 0 then 'RDSADMIN' when num_rows % 500 = 100 then 'C##CLOUD$SERVICE' else owner end as owner,
+  case object_id % 5 when 0 then 'RDAADMIN_UTIL' when 1 then 'DBMS_CLOUD' when 2 then 'WWV_FLOW' else table_name end as object_name,
+  case when num_rows % 200 = 0 then 'PACKAGE' else 'TABLE' end as object_type from est_tables""",
+    "views": "select pkey, case when object_id % 11 = 0 and pkey = 'pk1' then 'OCI_AUTONOMOUS_DATABASES' else table_name end as view_name "
+             "from est_tables where relkind = 'v'",
+    "users": "select pkey, case when pkey = 'pk2' and object_id % 4 = 0 then 'apex_public_user' else owner end as username from est_tables",
+    "settings": "select pkey, 'common_user_prefix' as name, case pkey when 'pk0' then 'C##' else 'X#' end as value from est_tables "
+                "where object_id % 50 = 0",
+}
+
+
+def _owner_sql(table: str, column: str) -> str:
+    return (f"(select min(owner) from cols c where c.pkey = k.pkey and table_name = '{table}' and column_name = '{column}' "
+            "and data_type = 'VARCHAR2')")
+
+
+D32_ORACLE = f"""select k.pkey, {_owner_sql('FND_PRODUCT_GROUPS', 'RELEASE_NAME')} as ebs_owner,
+  {_owner_sql('S_REPOSITORY', 'ROW_ID')} as siebel_owner, {_owner_sql('PSSTATUS', 'TOOLSREL')} as psft_owner,
+  {_owner_sql('DD02T', 'DDLANGUAGE')} as sap_owner,
+  (select max('Y') from objects o where o.pkey = k.pkey and owner = 'RDSADMIN' and object_name = 'RDAADMIN_UTIL') as rds_flag,
+  (select max('Y') from views v where v.pkey = k.pkey and view_name = 'OCI_AUTONOMOUS_DATABASES') as oci_autonomous_flag,
+  (select max('Y') from objects o join settings s on o.pkey = s.pkey and s.name = 'common_user_prefix'
+    and o.owner = s.value || 'CLOUD$SERVICE' where o.pkey = k.pkey and object_name = 'DBMS_CLOUD') as dbms_cloud_pkg_installed,
+  (select max('Y') from objects o join users u on o.pkey = u.pkey and u.username = 'apex_public_user' where o.pkey = k.pkey
+    and object_name = 'WWV_FLOW' and object_type = 'PACKAGE') as apex_installed
+from collections k"""
+SPECS.update({
+    "d17_lob_segment_sizing": Spec(build=lambda **frames: inv.lob_segment_sizing(segments=frames.pop("segs"), **frames),
+                                   inputs=D17_PART_INPUTS, oracle=D17_PART_ORACLE),
+    "d23_conversion_dependencies": Spec(build=inv.conversion_dependencies, inputs=D23_INPUTS, oracle=D23_ORACLE),
+    "d32_application_schemas": Spec(build=inv.application_schemas, inputs=D32_INPUTS, oracle=D32_ORACLE),
+})
+
 # system owners are left out of these jobs; their results are rows of single owners
 for _name in ("d1_data_type_counts", "d2_data_type_matrix", "d3_table_type_counts", "d4_table_type_detail", "d5_index_type_counts",
               "d5_index_type_detail", "d7_constraint_matrix", "d8_constraint_summary_by_owner", "d17_lob_sizing"):

@@ -3,7 +3,8 @@
 A page is a sequence of words and tags.  Words score positive and tags negative, with weights
 learned from labelled pages (pages whose main part is marked by one ``article`` element): a
 word's weight is the log-odds of its context (enclosing section and element) to lie in the main
-part, a tag's weight is always below zero.  One linear scan finds the contiguous region with the
+part, a tag's weight is always below zero.  The ``article`` element itself is in no context and
+weighs nothing, so weights say the same of pages that do not mark their main part.  One linear scan finds the contiguous region with the
 largest sum.  Elements inside the region that are boilerplate by kind (scripts, menus, forms,
 adverts, comments ...) are left out; what remains becomes one line for each block.  A class, role
 or id makes an element boilerplate only as a whole name (``related``, ``cookie-notice``,
@@ -13,6 +14,9 @@ of the words in it.  Ids of headings and sections are slugs of their titles and
 The weights come from a bounded sample of pages (``SAMPLE_PAGES``, by hash of the id); only
 counts for each context, at most ``MOST_CONTEXTS`` of them, reach the driver.
 
+Work is linear in the length of a page however deep its elements nest: places of open elements are
+kept by name, and an element is pushed and popped once.
+
 Cases: null or empty html and pages without text give an empty text; markup cut off in the
 middle is read up to its end; repeated rows get equal texts; ties between regions go to the
 first; an empty table gives an empty result; other columns are ignored.
@@ -48,7 +52,9 @@ _LABEL = re.compile(r"(?<![\w-])(class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s\"
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre "
                    "section select summary table tbody td tfoot th thead tr ul".split())
-SECTIONS = frozenset("article aside body dialog div fieldset footer form header main menu nav section table".split())
+SECTIONS = frozenset("aside body dialog div fieldset footer form header main menu nav section table".split())
+#: Sections that an open paragraph outside of them does not end at.
+ENCLOSING = SECTIONS - {"body"} | {"article"}
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 #: Elements and class, id or role words of boilerplate.
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu dialog select button".split())
@@ -91,27 +97,28 @@ class Page:
     def __init__(self, source: str | None):
         self.kind, self.key, self.value, self.junk, self.marked, self.doubt = [], [], [], [], [], []
         self.articles = 0
-        stack: list[tuple[str, str, bool, bool]] = []  # name, section, boilerplate, doubtful
-        section, junk, inside, doubt = "body", 0, 0, 0
+        stack: list[tuple[str, str, str, bool, bool]] = []  # name, section and leaf outside, boilerplate, doubtful
+        places: dict[str, list[int]] = {}  # where each name is open, so that no tag looks through the stack
+        section, leaf, junk, inside, doubt = "body", "body", 0, 0, 0
+
+        def last(names) -> int:
+            return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
         def pop_to(name: str) -> None:
-            nonlocal section, junk, inside, doubt
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    for n, s, bad, unsure in reversed(stack[k:]):
-                        junk -= bad
-                        doubt -= unsure
-                        inside -= n == "article"
-                        section = s
-                    del stack[k:]
-                    return
+            nonlocal section, leaf, junk, inside, doubt
+            k = last((name,))
+            while -1 < k < len(stack):
+                n, section, leaf, bad, unsure = stack.pop()
+                places[n].pop()
+                junk -= bad
+                doubt -= unsure
+                inside -= n == "article"
 
         for m in _TOKEN.finditer(source or ""):
             text = m["text"]
             if text is not None:
                 words = html.unescape(text)
                 if words.strip():
-                    leaf = next((n for n, *_ in reversed(stack) if n in BLOCKS or n == "a"), "body")
                     self._add("t", f"{section}|{leaf}", words, junk > 0, inside > 0, doubt > 0)
                 elif words:
                     self._add("s", "", " ", junk > 0, inside > 0)
@@ -122,15 +129,13 @@ class Page:
             closing, attrs = bool(m["close"] or m["close2"]), m["attrs"] or m["attrs2"] or ""
             border = "b" if name in BLOCKS else "i"
             if closing:
-                self._add(border, f"/{name}", "", junk > 0, inside > 0)
+                self._add(border, "" if name == "article" else f"/{name}", "", junk > 0, inside > 0)
                 pop_to(name)
                 continue
-            if name in BLOCKS and any(n == "p" for n, *_ in stack):
-                if not any(n in SECTIONS and n != "body" for n, *_ in stack[self._last(stack, "p"):]):
-                    pop_to("p")
-            if name == "li" and any(n == "li" for n, *_ in stack):
-                if not any(n in ("ul", "ol", "menu") for n, *_ in stack[self._last(stack, "li"):]):
-                    pop_to("li")
+            if name in BLOCKS and last(("p",)) > last(ENCLOSING):
+                pop_to("p")
+            if name == "li" and last(("li",)) > last(("ul", "ol", "menu")):
+                pop_to("li")
             own = names(name, attrs) if attrs else []
             bad = name in BOILERPLATE_TAGS or any(names_part(n, BOILERPLATE_WORDS) for n in own)
             if not inside and (name == "header" or any(names_part(n, HEADER_WORDS) for n in own)):
@@ -143,17 +148,16 @@ class Page:
                 continue
             if name == "article":
                 self.articles += 1
-            self._add(border, f"<{name}", "", junk > 0 or bad, inside > 0)
-            stack.append((name, section, bad, unsure))
+            self._add(border, "" if name == "article" else f"<{name}", "", junk > 0 or bad, inside > 0)
+            places.setdefault(name, []).append(len(stack))
+            stack.append((name, section, leaf, bad, unsure))
             junk += bad
             doubt += unsure
             inside += name == "article"
             if name in SECTIONS:
                 section = ".".join([name, *(own[0][:1] if own else [])])
-
-    @staticmethod
-    def _last(stack, name: str) -> int:
-        return max(k for k, x in enumerate(stack) if x[0] == name) + 1
+            if name in BLOCKS or name == "a":
+                leaf = name
 
     def _add(self, kind, key, value, junk, marked, doubt=False) -> None:
         self.kind.append(kind)
@@ -164,12 +168,13 @@ class Page:
         self.doubt.append(doubt)
 
     def counts(self) -> dict[str, list[int]]:
-        """key -> [inside, outside] occurrences: words of text contexts, single tags; what is
-        boilerplate by kind does not score and does not count."""
+        """key -> [inside, outside] occurrences: words of text contexts, single tags.  Words of
+        boilerplate count as outside, wherever they lie: they show in which contexts menus and
+        adverts are.  Its tags do not count, as lists and links are in main parts too."""
         out: dict[str, list[int]] = {}
         for kind, key, value, junk, marked in zip(self.kind, self.key, self.value, self.junk, self.marked):
-            if key and not junk:
-                out.setdefault(key, [0, 0])[not marked] += len(value.split()) if kind == "t" else 1
+            if key and (kind == "t" or not junk):
+                out.setdefault(key, [0, 0])[junk or not marked] += len(value.split()) if kind == "t" else 1
         return out
 
     def region(self, weights: dict[str, float]) -> tuple[int, int]:

@@ -156,8 +156,10 @@ def _a1_files(spark, tables):
 
 def _a5(spark, tables):
     path = _scratch(spark, "canonical")
-    X.append_canonical(tables.where(F.col("relkind").isin("r", "p")), TABLES_SCHEMA, path)
-    X.append_canonical(tables.where(~F.col("relkind").isin("r", "p")).drop("iot_type", "engine"), TABLES_SCHEMA, path)
+    for load, rows in [("tables", tables.where(F.col("relkind").isin("r", "p"))),
+                       ("others", tables.where(~F.col("relkind").isin("r", "p")).drop("iot_type", "engine")),
+                       ("tables", tables.where(F.col("relkind").isin("r", "p")))]:     # a load that is run again
+        X.append_canonical(rows, TABLES_SCHEMA, path, load_id=load)
     return spark.read.parquet(path).select(*TABLE_COLS)
 
 
@@ -170,6 +172,23 @@ def _a6(spark, tables, idx):
             .groupBy("table_name").agg(F.count(F.lit(1)).alias("row_count")))
 
 
+def _a6_content(spark, tables):
+    path = _scratch(spark, "export-content")
+    X.export_extracts({"opdb__tables__run": tables}, path)
+    return spark.read.options(**X.CSV_OPTIONS).schema(tables.schema).csv(os.path.join(path, "opdb__tables__run"))
+
+
+# one file a collection with its lines in order: the digest follows from the table alone
+_LINES = "concat_ws('|', owner, table_name, cast(object_id as string), cast(num_rows as string), relkind)"
+
+
+def _a7_digests(spark, lines):
+    path = _scratch(spark, "manifest-digests")
+    (lines.repartition("pkey").sortWithinPartitions("pkey", "line").write.partitionBy("pkey").text(path))
+    return X.file_manifest(spark, path, "oracle", pattern="*.txt", block_bytes=1 << 12).select(
+        F.regexp_extract("file_name", "pkey=([^/]+)/", 1).alias("pkey"), "db_type", "md5")
+
+
 def _a7(spark, tables, idx):
     path = _scratch(spark, "manifest")
     X.export_extracts({"opdb__tables__run": tables, "opdb__indexes__run": idx}, path)
@@ -258,6 +277,12 @@ from tables where relkind not in ('r', 'p')"""),
                "select 'indexes', count(*) from idx"),
     "a7_file_manifest": Spec(build=_a7, inputs={"tables": EST_TABLES, "idx": "select * from est_indexes"},
                              needs_spark=True),
+    "a6_export_content": Spec(build=_a6_content, inputs={"tables": EST_TABLES}, needs_spark=True,
+                              oracle="select * from tables"),
+    "a7_manifest_digests": Spec(
+        build=_a7_digests, inputs={"lines": f"select pkey, {_LINES} as line from est_tables"}, needs_spark=True,
+        oracle="select pkey, 'oracle' as db_type, md5(string_agg(line, chr(10) order by line) || chr(10)) as md5 "
+               "from lines group by pkey"),
     "a8_collection_completeness": Spec(
         build=lambda files: X.collection_completeness(files, EXPECTED),
         inputs={"files": COMPLETENESS_FILES},

@@ -108,11 +108,21 @@ def canonicalize_by_version(variants: dict, versions: DataFrame, schema: StructT
     return tagged.join(pick, ["pkey", "__variant"], "inner").drop("__variant")
 
 
-def append_canonical(df: DataFrame, schema: StructType, path: str, partition_by=("pkey",)) -> None:
+def append_canonical(df: DataFrame, schema: StructType, path: str, partition_by=("pkey",),
+                     load_id: str | None = None) -> None:
     """A5: insert by column name into the canonical table (unknown columns null); an empty
-    input writes nothing.  Partitioned by collection so later jobs prune by ``pkey``."""
-    out = conform(df, schema)
-    out.write.mode("append").partitionBy(*partition_by).parquet(path)
+    input writes nothing.  Partitioned by collection so later jobs prune by ``pkey``.
+
+    Rows are rebalanced by collection first: small collections share a task, a large one is
+    split, and no task writes a file into every folder.  With ``load_id`` the rows go to a
+    folder of that load in each collection, which a rerun of the load replaces, so a job that
+    was stopped half way is run again without doubling rows; without it rows are appended."""
+    out = conform(df, schema).hint("rebalance", *[F.col(c) for c in partition_by])
+    if load_id is None:
+        out.write.mode("append").partitionBy(*partition_by).parquet(path)
+        return
+    (out.withColumn("load_id", F.lit(load_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*partition_by, "load_id").parquet(path))
 
 
 def export_extracts(tables: dict, path: str, sep: str = "|") -> None:
@@ -123,17 +133,55 @@ def export_extracts(tables: dict, path: str, sep: str = "|") -> None:
 
 
 # A7 / A8 ------------------------------------------------------------------------------
-def file_manifest(spark: SparkSession, path: str, db_type: str) -> DataFrame:
+def _file_digests(block_bytes: int):
+    """Arrow batches of paths -> (path, MD5 of the file), one block of a file in memory at a time."""
+    def run(batches):
+        import hashlib
+        import re
+        from urllib.parse import quote
+
+        import pyarrow as pa
+        from pyarrow import fs
+
+        def digest(path):
+            local = re.match("(?:file:)?/+(?P<path>.*)", path)
+            if local:
+                files, name = fs.LocalFileSystem(), "/" + local["path"]
+            else:
+                files, name = fs.FileSystem.from_uri(quote(re.sub("^s3[an]:", "s3:", path), safe=":/@=+,~"))
+            total = hashlib.md5(usedforsecurity=False)
+            try:
+                with files.open_input_file(name) as source:
+                    while block := source.read(block_bytes):
+                        total.update(block)
+            except FileNotFoundError:      # gone since it was listed
+                return None
+            return total.hexdigest()
+
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([digest(p) for p in paths], pa.string())],
+                                             names=["path", "md5"])
+    return run
+
+
+def file_manifest(spark: SparkSession, path: str, db_type: str, pattern: str = "*.csv",
+                  block_bytes: int = 8 << 20) -> DataFrame:
     """One row per file: database type, MD5 of the content, file name; the manifest itself
-    and performance-counter logs are skipped."""
+    and performance-counter logs are skipped.
+
+    Spark lists the files and packs them into tasks by size; the contents never become values
+    of a column (which end at 2 GB) but are read block by block, so a task needs the memory
+    of one block whatever the size of a file.  A file that has gone has no digest: 'N/A'.  Files
+    of no bytes (extracts have a header line) are not part of Spark's listing and get no row."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-             .option("pathGlobFilter", "*.csv").load(path))
+             .option("pathGlobFilter", pattern).load(path).select("path"))
     name = F.element_at(F.split("path", "/"), -1)
     rel = F.regexp_replace("path", "^.*?/([^/]+/[^/]+)$", "$1")
-    return (files.where(~name.contains("opdb__manifest") & ~name.contains("opdb__perfMonLog_")
-                        & ~name.contains("SQLServerDataSet"))
-            .select(F.lit(db_type).alias("db_type"), F.coalesce(F.md5("content"), F.lit("N/A")).alias("md5"),
-                    rel.alias("file_name")))
+    listed = files.where(~name.contains("opdb__manifest") & ~name.contains("opdb__perfMonLog_")
+                         & ~name.contains("SQLServerDataSet"))
+    return (listed.mapInArrow(_file_digests(block_bytes), "path string, md5 string")
+            .select(F.lit(db_type).alias("db_type"), F.coalesce("md5", F.lit("N/A")).alias("md5"), rel.alias("file_name")))
 
 
 def collection_completeness(files: DataFrame, expected, end_marker: str = "eoj") -> DataFrame:

@@ -1,5 +1,6 @@
 """Readers and file-level jobs."""
 
+import hashlib
 import os
 import tempfile
 
@@ -47,3 +48,29 @@ def test_manifest_and_completeness(spark):
     out = {r.collection_key: r for r in X.collection_completeness(files, ["t1", "t2", "eoj"]).collect()}
     assert out["k1"].status == "ERROR" and out["k1"].missing_tables == "t2" and out["k1"].duplicate_tables == "t1"
     assert out["k2"].status == "OK"
+
+
+def test_manifest_of_files_above_two_gigabytes(spark):
+    d = tempfile.mkdtemp(prefix="fs-manifest-")
+    size = (2 << 30) + 5
+    with open(os.path.join(d, "opdb__big one%20.csv"), "wb") as f:      # sparse: takes no space
+        f.truncate(size)
+        f.seek(size - 3)
+        f.write(b"end")
+    for name in ("empty.csv", "opdb__manifest__x.csv", "other.txt"):
+        open(os.path.join(d, name), "w").close()
+    want, block = hashlib.md5(), bytes(1 << 20)
+    for _ in range(2048):
+        want.update(block)
+    want.update(b"\0\0end")
+    got = {r.file_name.split("/")[1]: r.md5 for r in X.file_manifest(spark, d, "oracle").collect()}
+    assert got == {"opdb__big one%20.csv": want.hexdigest()}      # files without bytes are not listed
+
+
+def test_a_load_that_is_run_again_replaces_its_own_rows(spark):
+    path = os.path.join(tempfile.mkdtemp(prefix="fs-canonical-"), "t")
+    df = spark.createDataFrame([("k1", 1), ("k2", 2)], "pkey string, v int")
+    for load, rows in [("a", df), ("b", df), ("a", df), ("a", df.limit(0)), ("b", df.where("v = 1"))]:
+        X.append_canonical(rows, df.schema, path, load_id=load)
+    got = sorted((r.pkey, r.load_id, r.v) for r in spark.read.parquet(path).collect())
+    assert got == [("k1", "a", 1), ("k1", "b", 1), ("k2", "a", 2), ("k2", "b", 2)]

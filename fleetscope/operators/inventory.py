@@ -781,6 +781,28 @@ def unsupported_settings(cfg: DataFrame, allow: DataFrame) -> DataFrame:
             .where(F.col("setting_value") != "0").drop("__name"))
 
 
+# fixed values: server configurations that the managed target lets a user set
+SUPPORTED_FLAGS = [
+    "recovery interval (min)", "locks", "remote access", "default language", "remote login timeout (s)",
+    "disallow results from triggers", "ft notify bandwidth (min)", "fill factor (%)", "max server memory (mb)",
+    "query wait (s)", "default full-text language", "access check cache quota", "affinity mask",
+    "external scripts enabled", "ft crawl bandwidth (min)", "default trace enabled", "access check cache bucket count",
+    "two digit year cutoff", "max worker threads", "query governor cost limit", "nested triggers",
+    "cross db ownership chaining", "optimize for ad hoc workloads", "automatic soft-numa disabled",
+    "transform noise words", "contained database authentication", "ft notify bandwidth (max)",
+    "cost threshold for parallelism", "max text repl size (b)", "index create memory (kb)",
+    "remote query timeout (s)", "ft crawl bandwidth (max)", "agent xps", "cursor threshold", "user options",
+    "user connections", "ph timeout (s)",
+]
+
+
+def unsupported_flags(cfg: DataFrame, supported=SUPPORTED_FLAGS) -> DataFrame:
+    """Server configurations in use (``value_in_use`` other than 0) that the target does not
+    support, any case of the name; a filter at the scan, no join.  Null names and values
+    give no row."""
+    return cfg.where(~F.lower("setting_name").isin(*supported) & (F.col("value_in_use") != 0))
+
+
 # D35 - D39 -------------------------------------------------------------------------------
 PATCH_SCHEMA = ("patches struct<patch: array<struct<patchID: string, uniquePatchID: string, patchDescription: string, "
                 "patchType: string, appliedDate: string, bugs: struct<bug: array<struct<description: string>>>>>>")

@@ -458,6 +458,60 @@ def top_statements(stats: DataFrame, n: int = 299, keys=("pkey",), byte_columns=
     return g.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
 
 
+# output column -> counter summed over the statement's snapshots
+STATEMENT_TOTALS = {
+    "total_executions": "executions_delta", "total_px_servers_execs": "px_servers_execs_delta",
+    "elapsed_time_total": "elapsed_time_total", "disk_reads_total": "disk_reads_delta",
+    "physical_read_bytes_total": "physical_read_bytes_delta", "physical_write_bytes_total": "physical_write_bytes_delta",
+    "io_offload_elig_bytes_total": "io_offload_elig_bytes_delta",
+    "io_interconnect_bytes_total": "io_interconnect_bytes_delta",
+    "optimized_physical_reads_total": "optimized_physical_reads_delta",
+    "cell_uncompressed_bytes_total": "cell_uncompressed_bytes_delta",
+    "io_offload_return_bytes_total": "io_offload_return_bytes_delta", "direct_writes_total": "direct_writes_delta",
+}
+# output column -> counter averaged over executions
+STATEMENT_AVERAGES = {
+    "avg_rows": "rows_processed_delta", "avg_disk_reads": "disk_reads_delta", "avg_buffer_gets": "buffer_gets_delta",
+    "avg_cpu_time_us": "cpu_time_delta", "avg_elapsed_us": "elapsed_time_delta", "avg_iowait_us": "iowait_delta",
+    "avg_clwait_us": "clwait_delta", "avg_apwait_us": "apwait_delta", "avg_ccwait_us": "ccwait_delta",
+    "avg_plsexec_us": "plsexec_time_delta", "avg_javexec_us": "javexec_time_delta",
+}
+
+
+def statement_profile(stats: DataFrame, snapshots: DataFrame, lo: int, hi: int, n: int = 299) -> DataFrame:
+    """C14 in full: statements of the snapshots ``lo`` to ``hi`` per database, instance and
+    signature, with all totals and averages per execution; the ``n`` of largest elapsed time for
+    each collection (ties: instance, then signature).
+
+    Snapshots outside the bounds are cut at both scans, and counters are summed per snapshot
+    before the join, so a hot statement meets its snapshots as one row each.  Averages are
+    truncated and 0 where nothing ran.  A counter that the collected version lacks gives -1
+    as total and null as average."""
+    key = ["pkey", "con_id", "dbid", "instance_number", "force_matching_signature"]
+    per = ["pkey", "dbid", "instance_number", "snap_id"]
+    counters = list(dict.fromkeys([*STATEMENT_TOTALS.values(), *STATEMENT_AVERAGES.values(), "end_of_fetch_count_delta"]))
+    held = [c for c in counters if c in stats.columns]
+    inside = F.col("snap_id").between(lo, hi)
+    summed = stats.where(inside).groupBy(*key, "snap_id").agg(F.min("sql_id").alias("sql_id"), *[F.sum(c).alias(c) for c in held])
+    g = (summed.join(snapshots.where(inside).select(*per).distinct(), per).groupBy(*key)
+         .agg(F.min("sql_id").alias("sql_id"), *[F.sum(c).alias(c) for c in held]))
+    runs = F.col("executions_delta")
+
+    def per_run(c, factor=1) -> Column:
+        if c not in held:
+            return F.lit(None).cast("long")
+        return F.when(runs == 0, F.lit(0)).otherwise(F.col(c) * factor / runs).cast("long")
+
+    out = g.select(*key, "sql_id",
+                   *[(F.round(c).cast("long") if c in held else F.lit(-1).cast("long")).alias(name)
+                     for name, c in STATEMENT_TOTALS.items()],
+                   per_run("end_of_fetch_count_delta", 100).alias("perc_exec_finished"),
+                   *[per_run(c).alias(name) for name, c in STATEMENT_AVERAGES.items()])
+    w = Window.partitionBy("pkey").orderBy(F.desc_nulls_last("elapsed_time_total"), "con_id", "dbid", "instance_number",
+                                           "force_matching_signature")
+    return out.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
 def _since(df: DataFrame, ts: str, as_of, days):
     """Rows with ``ts >= trunc(as_of) - days`` (the extracts' history window)."""
     if days is None:

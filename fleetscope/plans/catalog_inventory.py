@@ -872,10 +872,20 @@ D32_ORACLE = f"""select k.pkey, {_owner_sql('FND_PRODUCT_GROUPS', 'RELEASE_NAME'
   (select max('Y') from objects o join users u on o.pkey = u.pkey and u.username = 'apex_public_user' where o.pkey = k.pkey
     and object_name = 'WWV_FLOW' and object_type = 'PACKAGE') as apex_installed
 from collections k"""
+# 37 supported names in mixed case and 5 others, which the oracle names
+_UNSUPPORTED = ["clr enabled", "xp_cmdshell", "show advanced options", "max degree of parallelism", "filestream access level"]
+_FLAG_NAMES = params.values_sql([(i, n.upper() if i % 3 == 0 else n) for i, n in enumerate(sorted(inv.SUPPORTED_FLAGS + _UNSUPPORTED))],
+                                ["i", "name"])
+D34_CFG = f"""select concat('pk', cast(p.p_partkey % 3 as string)) as pkey, n.name as setting_name, p.p_size % 4 as value_in_use
+  from part p join ({_FLAG_NAMES}) n on p.p_partkey % 42 = n.i"""
 SPECS.update({
     "d17_lob_segment_sizing": Spec(build=lambda **frames: inv.lob_segment_sizing(segments=frames.pop("segs"), **frames),
                                    inputs=D17_PART_INPUTS, oracle=D17_PART_ORACLE),
     "d23_conversion_dependencies": Spec(build=inv.conversion_dependencies, inputs=D23_INPUTS, oracle=D23_ORACLE),
+    "d34_unsupported_flags": Spec(
+        build=inv.unsupported_flags, inputs={"cfg": D34_CFG},
+        oracle="select * from cfg where lower(setting_name) in ('clr enabled', 'xp_cmdshell', 'show advanced options', "
+               "'max degree of parallelism', 'filestream access level') and value_in_use <> 0"),
     "d32_application_schemas": Spec(build=inv.application_schemas, inputs=D32_INPUTS, oracle=D32_ORACLE),
 })
 

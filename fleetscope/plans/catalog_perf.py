@@ -352,3 +352,44 @@ left join __mode m on a.dbid = m.dbid and a.instance_number = m.instance_number
                                    "sum(rows_processed) as rows_processed, -1 as physical_read_bytes_total, "
                                    "-1 as physical_write_bytes_total from stats")),
 }
+
+# C14 with snapshots and all measures; every counter is a different multiple of two columns
+_C14_COUNTERS = ["executions_delta", "px_servers_execs_delta", "elapsed_time_total", "disk_reads_delta",
+                 "physical_read_bytes_delta", "physical_write_bytes_delta", "io_offload_elig_bytes_delta",
+                 "io_interconnect_bytes_delta", "optimized_physical_reads_delta", "cell_uncompressed_bytes_delta",
+                 "io_offload_return_bytes_delta", "direct_writes_delta", "end_of_fetch_count_delta", "rows_processed_delta",
+                 "buffer_gets_delta", "cpu_time_delta", "elapsed_time_delta", "iowait_delta", "clwait_delta", "apwait_delta",
+                 "ccwait_delta", "plsexec_time_delta", "javexec_time_delta"]
+C14_INPUTS = {
+    "stats": "select concat('pk', cast(l_suppkey % 3 as string)) as pkey, 'N/A' as con_id, 1 as dbid, "
+             "cast(l_suppkey % 2 as int) as instance_number, l_orderkey % 97 as snap_id, "
+             "cast(l_partkey % 700 as string) as force_matching_signature, concat('sql', cast(l_orderkey as string)) as sql_id, "
+             + ", ".join("cast(l_linenumber % 3 as bigint) as executions_delta" if i == 0 else
+                         f"cast(floor(l_extendedprice) as bigint) * {i} + cast(l_quantity as bigint) % {i + 1} as {c}"
+                         for i, c in enumerate(_C14_COUNTERS)) + " from lineitem",
+    "snaps": "select distinct concat('pk', cast(o_custkey % 3 as string)) as pkey, 1 as dbid, "
+             "cast(o_custkey % 2 as int) as instance_number, o_orderkey % 97 as snap_id from orders where o_orderkey % 13 <> 5",
+}
+
+
+def _c14_avg(c, name, factor=""):
+    return f"cast(trunc(case when sum(executions_delta) = 0 then 0 else sum({c}){factor} / sum(executions_delta) end) as bigint) as {name}"
+
+
+C14_ORACLE = """with g as (select a.pkey, a.con_id, b.dbid, b.instance_number, force_matching_signature, min(sql_id) as sql_id,
+  cast(round(sum(executions_delta)) as bigint) as total_executions, cast(round(sum(px_servers_execs_delta)) as bigint)
+  as total_px_servers_execs, cast(round(sum(elapsed_time_total)) as bigint) as elapsed_time_total,
+  """ + ",\n  ".join([f"cast(round(sum({c}_delta)) as bigint) as {c}_total" for c in (
+    "disk_reads", "physical_read_bytes", "physical_write_bytes", "io_offload_elig_bytes", "io_interconnect_bytes",
+    "optimized_physical_reads", "cell_uncompressed_bytes", "io_offload_return_bytes", "direct_writes")]
+    + [_c14_avg("end_of_fetch_count_delta", "perc_exec_finished", " * 100"), _c14_avg("rows_processed_delta", "avg_rows"),
+       _c14_avg("disk_reads_delta", "avg_disk_reads"), _c14_avg("buffer_gets_delta", "avg_buffer_gets"),
+       _c14_avg("cpu_time_delta", "avg_cpu_time_us"), _c14_avg("elapsed_time_delta", "avg_elapsed_us")]
+    + [_c14_avg(f"{c}_delta", f"avg_{c}_us") for c in ("iowait", "clwait", "apwait", "ccwait")]
+    + [_c14_avg("plsexec_time_delta", "avg_plsexec_us"), _c14_avg("javexec_time_delta", "avg_javexec_us")]) + """
+from stats a join snaps b on a.pkey = b.pkey and a.snap_id = b.snap_id and a.instance_number = b.instance_number and a.dbid = b.dbid
+where b.snap_id between 10 and 80 group by a.pkey, a.con_id, b.dbid, b.instance_number, force_matching_signature)
+select * from (select *, row_number() over (partition by pkey order by elapsed_time_total desc, con_id, dbid, instance_number,
+  force_matching_signature) as rank from g) r where rank <= 299"""
+SPECS["c14_statement_profile"] = Spec(build=lambda stats, snaps: ts.statement_profile(stats, snaps, lo=10, hi=80),
+                                      inputs=C14_INPUTS, oracle=C14_ORACLE)

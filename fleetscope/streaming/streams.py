@@ -176,14 +176,20 @@ def stream_counter_delta(spark: SparkSession, src: str, schema: StructType, sink
                       StructField("__before", LongType()), StructField("__first", BooleanType())])
     versions = moved.groupBy(*keys, "__range").transformWithState(
         statefulProcessor=RangeDeltas(out.names), outputStructType=out, outputMode="append", timeMode="EventTime")
-    before = spark.conf.get(STATE_STORE)
-    spark.conf.set(STATE_STORE, ROCKSDB)      # keyed state with timers; changed rows only per checkpoint
+    # keyed state with timers in RocksDB, a checkpoint of what changed; timers that fall due wait
+    # for the next batch with rows instead of starting one of their own
+    own = {STATE_STORE: ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+           "spark.sql.streaming.noDataMicroBatches.enabled": "false"}
+    before = {c: spark.conf.get(c, None) for c in own}
+    for c, v in own.items():
+        spark.conf.set(c, v)
     try:
         q = (versions.writeStream.outputMode("append").option("checkpointLocation", checkpoint)
              .foreachBatch(_batch_writer(sink)).trigger(availableNow=True).start())
         q.awaitTermination()
     finally:
-        spark.conf.set(STATE_STORE, before)
+        for c, v in before.items():
+            spark.conf.unset(c) if v is None else spark.conf.set(c, v)
 
 
 def latest_deltas(spark: SparkSession, sink: str, schema: StructType,

@@ -781,6 +781,25 @@ def unsupported_settings(cfg: DataFrame, allow: DataFrame) -> DataFrame:
             .where(F.col("setting_value") != "0").drop("__name"))
 
 
+def database_features(databases: DataFrame, policies: DataFrame, file_tables: DataFrame,
+                      permissions: DataFrame) -> DataFrame:
+    """D33 of one SQL Server estate: enabled security policies (``SP``) and file tables for every
+    database, 0 where it has none or its version knows none, and a row for each unsupported
+    permission granted.  Each input is counted per database before the one join."""
+    k = ["pkey", "database_name"]
+    probes = [("SP", policies), ("IsFileTablesEnabled", file_tables)]
+    counted = None
+    for name, frame in probes:
+        part = frame.where(F.col("is_enabled") == 1).select(*k, F.lit(name).alias("feature_name"))
+        counted = part if counted is None else counted.unionByName(part)
+    counted = counted.groupBy(*k, "feature_name").agg(_count().alias("__n"))
+    wanted = databases.select(*k).distinct().withColumn("feature_name", F.explode(F.array(*[F.lit(n) for n, _ in probes])))
+    rows = wanted.join(counted, [*k, "feature_name"], "left").select(
+        *k, "feature_name", F.coalesce("__n", F.lit(0)).cast("long").alias("object_count"))
+    rows = rows.withColumn("is_used", F.when(F.col("object_count") > 0, 1).otherwise(0))
+    return rows.unionByName(unsupported_permissions(permissions))
+
+
 # fixed values: server configurations that the managed target lets a user set
 SUPPORTED_FLAGS = [
     "recovery interval (min)", "locks", "remote access", "default language", "remote login timeout (s)",

@@ -882,6 +882,23 @@ SPECS.update({
     "d17_lob_segment_sizing": Spec(build=lambda **frames: inv.lob_segment_sizing(segments=frames.pop("segs"), **frames),
                                    inputs=D17_PART_INPUTS, oracle=D17_PART_ORACLE),
     "d23_conversion_dependencies": Spec(build=inv.conversion_dependencies, inputs=D23_INPUTS, oracle=D23_ORACLE),
+    "d33_database_features": Spec(
+        build=lambda dbs, policies, filetables, perms: inv.database_features(dbs, policies, filetables, perms),
+        inputs={"dbs": "select pkey, database_name from est_databases",
+                "policies": "select pkey, database_name, case when extension_owner = 'postgres' then 1 else 0 end as is_enabled "
+                            "from est_extensions where extension_name <> 'plpgsql'",
+                "filetables": "select pkey, database_name, case when extension_name = 'hstore' then 1 else 0 end as is_enabled "
+                              "from est_extensions",
+                "perms": SPECS["d33_unsupported_permissions"].inputs["perms"]},
+        oracle="""with f as (select pkey, database_name, 'SP' as feature_name from policies where is_enabled = 1
+  union all select pkey, database_name, 'IsFileTablesEnabled' from filetables where is_enabled = 1),
+b as (select distinct d.pkey, d.database_name, n.feature_name from dbs d cross join (values ('SP'), ('IsFileTablesEnabled')) n(feature_name))
+select b.pkey, b.database_name, b.feature_name, count(f.pkey) as object_count, case when count(f.pkey) > 0 then 1 else 0 end as is_used
+from b left join f on b.pkey = f.pkey and b.database_name = f.database_name and b.feature_name = f.feature_name
+group by b.pkey, b.database_name, b.feature_name
+union all
+select pkey, database_name, permission_name, count(*), 1 from perms where not starts_with(principal_name, 'NT SERVICE' || chr(92))
+  and permission_name in ('CREATE ASSEMBLY', 'SHUTDOWN', 'CONTROL SERVER') group by pkey, database_name, permission_name"""),
     "d34_unsupported_flags": Spec(
         build=inv.unsupported_flags, inputs={"cfg": D34_CFG},
         oracle="select * from cfg where lower(setting_name) in ('clr enabled', 'xp_cmdshell', 'show advanced options', "

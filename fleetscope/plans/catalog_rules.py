@@ -401,6 +401,13 @@ union all select database_name, case cast(substr(database_name, 3) as int) % 4 w
         inputs=PER_DB_INPUTS, oracle=O_PER_DB),
     "e18_managed_flag": Spec(
         build=_managed, inputs={k: INPUTS[k] for k in ("databases", "extensions")}, oracle=O_E18),
+    "e18_managed_flag_mysql": Spec(
+        build=R.managed_flag_by_plugin,
+        inputs={"collections": "select * from est_databases",
+                "plugins": """select pkey, case when pkey in ('pk1', 'pk4') and extension_name = 'plpgsql' then 'rdsadmin'
+  when pkey = 'pk2' then 'rdsadmin_x' else extension_name end as plugin_name from est_extensions"""},
+        oracle="select distinct pkey, (select count(*) from plugins p where p.pkey = c.pkey and plugin_name = 'rdsadmin') > 0 "
+               "as is_managed from collections c"),
     "e19_database_version_mysql": Spec(
         build=lambda mdatabases: R.rule_database_version_mysql(R.collection_facts(mdatabases, mdatabases)),
         inputs={"mdatabases": MYSQL_INPUTS["mdatabases"]}, oracle=O_E19),

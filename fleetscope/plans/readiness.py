@@ -121,6 +121,13 @@ def managed_flag(collections: DataFrame, extensions: DataFrame, role: str = MANA
             .select("pkey", (F.coalesce(F.col("__m"), F.lit(0)) == 1).alias("is_managed")))
 
 
+def managed_flag_by_plugin(collections: DataFrame, plugins: DataFrame, plugin: str = MANAGED_ADMIN_ROLE) -> DataFrame:
+    """E18, MySQL form: managed if a plugin has the admin's name.  Collections without plugins are not."""
+    named = plugins.where(F.col("plugin_name") == plugin).select("pkey").distinct().withColumn("__m", F.lit(True))
+    return (collections.select("pkey").distinct().join(named, "pkey", "left")
+            .select("pkey", F.coalesce("__m", F.lit(False)).alias("is_managed")))
+
+
 # ---------------------------------------------------------------------------
 # per-collection facts (one pass per source, shared by the rules)
 # ---------------------------------------------------------------------------

@@ -5,6 +5,7 @@ CASTS = {'a8_collection_completeness': {'error_lines': 'BIGINT'},
  'b8_line_count': {'mssql_lines': 'INTEGER', 'pg_lines': 'INTEGER'},
  'c11_snapshot_intervals': {'max_snap_id': 'INTEGER', 'min_snap_id': 'INTEGER'},
  'c11_snapshot_intervals_awr': {'max_snap_id': 'INTEGER', 'min_snap_id': 'INTEGER'},
+ 'c14_statement_profile': {'rank': 'INTEGER'},
  'c14_top_statements': {'elapsed': 'BIGINT',
                         'executions': 'BIGINT',
                         'rank': 'INTEGER',

@@ -31,14 +31,17 @@ INT_DUCK = {"TINYINT", "SMALLINT", "INTEGER", "BIGINT", "HUGEINT"}
 def main():
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.001")
+    ap.add_argument("prefixes", nargs="*", help="only these jobs are run anew; the others keep their casts")
     a = ap.parse_args()
     spark = get_spark("local[8]", shuffle_partitions=8)
     con = duckdb.connect()
     for t in BASE_TABLES:
         con.sql(f"create view {t} as select * from read_parquet('{a.sf}/{t}.parquet')")
+    out = {n: c for n, c in oracle_casts.CASTS.items() if a.prefixes and not n.startswith(tuple(a.prefixes))}
     oracle_casts.CASTS.clear()
-    out = {}
     for name, spec in all_specs().items():
+        if a.prefixes and not name.startswith(tuple(a.prefixes)):
+            continue
         sql = spec.oracle_sql()
         if sql is None:
             continue
@@ -49,6 +52,9 @@ def main():
                  if t in INT_SPARK and dtypes.get(c) in INT_DUCK and dtypes.get(c) != INT_SPARK[t]}
         if casts:
             out[name] = casts
+        other = {c: (t, dtypes.get(c)) for c, t in df.dtypes if t not in INT_SPARK}
+        if a.prefixes:
+            print(name, casts, other)
     path = os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "fleetscope", "plans",
                         "oracle_casts.py")
     with open(path, "w") as f:

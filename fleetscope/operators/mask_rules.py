@@ -87,11 +87,13 @@ RULES_ORACLE = [
 SHIFTED_BEFORE = (4, 3, 15)
 
 
-def _literal(rules: list[MaskRule]) -> Column:
-    """The rules of the row's ``table_name``; those of every file where a table has no own."""
+def _literal(rules: list[MaskRule], old: bool) -> Column:
+    """The rules of the row's ``table_name``, with their places in new or ``old`` files; those of
+    every file where a table has no own."""
     def one(order, r):
         only = F.array(*[F.lit(v) for v in r.only]).cast("array<string>") if r.only else F.lit(None).cast("array<string>")
-        return F.struct(F.lit(order).alias("ord"), F.lit(r.kind).alias("kind"), F.lit(r.position).alias("pos"),
+        at = r.position + (2 if old and r.position < -2 else 0)
+        return F.struct(F.lit(order).alias("ord"), F.lit(r.kind).alias("kind"), F.lit(at).alias("pos"),
                         F.lit(r.missing_ok).alias("ok"), only.alias("only"))
 
     def of(table):
@@ -103,35 +105,40 @@ def _literal(rules: list[MaskRule]) -> Column:
 
 def resolve(lines: DataFrame, rules: list[MaskRule]) -> DataFrame:
     """``lines`` (table_name, script_version, cells, ...) with ``_hits``: for each rule that meets
-    the row a struct (ord, kind, idx, plain, value); plain rules have no row filter."""
+    the row a struct (ord, kind, idx, plain, value); plain rules have no row filter.
+
+    Version and table choose one constant list of rules a row; each rule is placed once, in one
+    pass over that list, and nothing of the row is worked out again for each rule."""
     version = F.transform(F.regexp_extract_all("script_version", F.lit("[0-9]+"), F.lit(0)), lambda x: x.cast("int"))
-    old = F.coalesce(version < F.array(*[F.lit(v) for v in SHIFTED_BEFORE]), F.lit(False))
+    is_old = F.coalesce(version < F.array(*[F.lit(v) for v in SHIFTED_BEFORE]), F.lit(False))
     size = F.size("cells")
+    message = F.concat(F.lit("a column to mask is missing in "), F.coalesce("table_name", F.lit("?")), F.lit(", cells: "), size.cast("string"))
 
     def place(r):
-        at = r["pos"] + F.when(F.col("_old") & (r["pos"] < -2), 2).otherwise(0)
-        idx = F.when(at < 0, at + size).otherwise(at)
-        return F.struct(r["ord"].alias("ord"), r["kind"].alias("kind"), idx.alias("idx"), r["ok"].alias("ok"), r["only"].alias("only"))
+        idx = F.when(r["pos"] < 0, r["pos"] + size).otherwise(r["pos"])
+        checked = F.when((idx >= 0) & (idx < size), idx).when(~r["ok"], F.raise_error(message).cast("int"))
+        return F.struct(r["ord"].alias("ord"), r["kind"].alias("kind"), checked.alias("idx"), r["only"].alias("only"))
 
-    def inside(x):
-        return (x["idx"] >= 0) & (x["idx"] < size)
+    def met(x):
+        return x["idx"].isNotNull() & (x["only"].isNull() | F.coalesce(F.arrays_overlap(x["only"], F.col("cells")), F.lit(False)))
 
-    placed = lines.withColumn("_old", old).withColumn("_rules", _literal(rules)).withColumn("_places", F.transform("_rules", place))
-    lost = F.filter("_places", lambda x: ~x["ok"] & ~inside(x))
-    message = F.concat(F.lit("a column to mask is missing in "), F.coalesce("table_name", F.lit("?")), F.lit(", cells: "), size.cast("string"))
-    met = F.filter("_places", lambda x: inside(x) & (x["only"].isNull() | F.coalesce(F.arrays_overlap(x["only"], F.col("cells")), F.lit(False))))
-    hits = F.transform(met, lambda x: F.struct(x["ord"].alias("ord"), x["kind"].alias("kind"), x["idx"].alias("idx"),
-                                               x["only"].isNull().alias("plain"), F.get(F.col("cells"), x["idx"]).alias("value")))
-    checked = F.when(F.size(lost) > 0, F.raise_error(message).cast(_HITS)).otherwise(hits)
-    return placed.withColumn("_hits", checked).drop("_old", "_rules", "_places")
+    def hit(x):
+        return F.struct(x["ord"].alias("ord"), x["kind"].alias("kind"), x["idx"].alias("idx"), x["only"].isNull().alias("plain"),
+                        F.get(F.col("cells"), x["idx"]).alias("value"))
+    chosen = F.when(is_old, _literal(rules, True)).otherwise(_literal(rules, False))
+    return lines.withColumn("_hits", F.transform(F.filter(F.transform(chosen, place), met), hit))
 
 
-_HITS = "array<struct<ord:int,kind:string,idx:int,plain:boolean,value:string>>"
+def _hits(lines: DataFrame, rules: list[MaskRule], keys: list[str]) -> DataFrame:
+    """A row for each cell to mask that has a value.  The outer form: for the inner one Spark adds a
+    filter on the array's size, which places all rules of the row a second time."""
+    hits = resolve(lines, rules).select(*keys, F.explode_outer("_hits").alias("h"))
+    return hits.select(*keys, "h.*").where("value is not null")
 
 
 def fleet_map(lines: DataFrame, rules: list[MaskRule], salt: str, existing: DataFrame | None = None) -> DataFrame:
     """G1: (original, kind, masked, attempt) over all files; one masked value for each original."""
-    hit = resolve(lines, rules).select(F.explode("_hits").alias("h")).select("h.*").where("value is not null")
+    hit = _hits(lines, rules, [])
     system = (F.col("kind") == "DATABASE_NAME") & M.is_excluded("value", "DATABASE_NAME")
     owner = (F.col("kind") == "SCHEMA_NAME") & M.is_excluded("value", "SCHEMA_NAME")
     first = hit.where(~system & ~owner).groupBy(F.col("value").alias("original")).agg(F.min_by("kind", "ord").alias("kind"))
@@ -151,8 +158,7 @@ def mask_lines(lines: DataFrame, rules: list[MaskRule], mapping: DataFrame, keys
     by value (one row an original; hot values are split by adaptive execution), then come
     back to their row, at most one entry a rule.  System databases, and owner-like values under
     rules without a row filter, stay; ``BIN$`` stays in front."""
-    rows = resolve(lines, rules)
-    hit = rows.select(*keys, F.explode("_hits").alias("h")).select(*keys, "h.*").where("value is not null")
+    hit = _hits(lines, rules, keys)
     stays = ((F.col("kind") == "DATABASE_NAME") & M.is_excluded("value", "DATABASE_NAME")) | (F.col("plain") & M.is_excluded("value", "SCHEMA_NAME"))
     m = mapping.select(F.col("original").alias("_o"), F.col("masked").alias("_m"))
     prefix = F.when(F.col("plain") & F.col("value").startswith("BIN$"), "BIN$").otherwise("")
@@ -160,5 +166,5 @@ def mask_lines(lines: DataFrame, rules: list[MaskRule], mapping: DataFrame, keys
         *keys, F.struct("ord", "idx", F.concat(prefix, F.coalesce("_m", F.lit(M.UNMAPPED))).alias("text")).alias("_new"))
     new = new.groupBy(*keys).agg(F.array_sort(F.collect_list("_new")).alias("_new"))
     cells = F.transform("cells", lambda c, i: F.coalesce(F.get(F.filter(F.col("_new"), lambda x: x["idx"] == i), F.lit(0))["text"], c))
-    joined = rows.drop("_hits").join(new, keys, "left")
+    joined = lines.join(new, keys, "left")
     return joined.withColumn("cells", F.when(F.col("_new").isNull(), F.col("cells")).otherwise(cells)).drop("_new")

@@ -63,3 +63,22 @@ def test_published_values_survive_a_rule_run(spark):
     assert m["EMP"] == "OBJ_OLD" and m["SCOTT"].startswith("USER_")
     assert R.fleet_map(df.where("false"), R.RULES_ORACLE, "salt").count() == 0
     assert R.mask_lines(df.where("false"), R.RULES_ORACLE, R.fleet_map(df, R.RULES_ORACLE, "s"), ["file", "line"]).count() == 0
+
+
+def test_rules_of_a_row_are_placed_once_a_use(spark):
+    """The map and the mask each read the lines once; nothing is worked out again for a filter or a rule."""
+    df = lines(spark, ROWS)
+    masked = R.mask_lines(df, R.RULES_ORACLE, R.fleet_map(df, R.RULES_ORACLE, "salt"), ["file", "line"])
+    plan = masked._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all(") <= 2 and plan.count("raise_error(") <= 2
+
+
+def test_odd_versions_lengths_and_cells(spark):
+    rows = [("columntypes", None, ["k1", "c", None, "T", "1", "s1", "m"]), ("nothing", "x", ["k1", "s1"]),
+            (None, "4.3.9", ["k2", "s2", None]), ("dbsummary", "3", ["k1", "c", "D", "s1", "m"])]
+    got = {r.line: [(h.ord, h.kind, h.idx, h.plain, h.value) for h in r._hits]
+           for r in R.resolve(lines(spark, rows), R.RULES_ORACLE).collect()}
+    assert [h[1:] for h in got[0]] == [("PKEY", 0, True, "k1"), ("DMA_SOURCE_ID", 5, True, "s1"), ("SCHEMA_NAME", 2, True, None),
+                                       ("OBJECT_NAME", 3, True, "T")]
+    assert [h[1:3] for h in got[1]] == [("PKEY", 0), ("DMA_SOURCE_ID", 0)] and [h[4] for h in got[2]] == ["k2", "s2"]
+    assert [h[2] for h in got[3]] == [0, 3, 2, 4]  # before 4.3.15 position -3 is -1

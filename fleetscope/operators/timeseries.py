@@ -574,25 +574,33 @@ def counter_pivot(counters: DataFrame, names, keys=("pkey",), name_col="counter_
     return wide
 
 
+_HEALTH = "Record/SchedulerMonitorEvent/SystemHealth/"
+HEALTH_PATHS = {"record_id": "Record/@id", "idle": _HEALTH + "SystemIdle", "sql_cpu": _HEALTH + "ProcessUtilization",
+                "user_mode_time": _HEALTH + "UserModeTime", "kernel_mode_time": _HEALTH + "KernelModeTime",
+                "memory_utilization": _HEALTH + "MemoryUtilization"}
+
+
 def health_samples(records: DataFrame, now_col="now_ts", ticks_now_col="ms_ticks", record_col="record",
                    stamp_col="timestamp_ms") -> DataFrame:
     """Ring-buffer XML record -> six numbers; idle 0 becomes 100 - process use;
-    event time = now - (ticks_now - stamp) ms."""
-    x = F.col(record_col)
-
-    def num(path):
-        return F.xpath_long(x, F.lit(path))
-
-    idle = num("Record/SchedulerMonitorEvent/SystemHealth/SystemIdle")
-    proc = num("Record/SchedulerMonitorEvent/SystemHealth/ProcessUtilization")
-    return records.select(
-        "pkey",
-        num("Record/@id").alias("record_id"),
-        F.when(idle == 0, F.lit(100) - proc).otherwise(idle).alias("system_idle"),
-        proc.alias("sql_cpu"),
-        num("Record/SchedulerMonitorEvent/SystemHealth/UserModeTime").alias("user_mode_time"),
-        num("Record/SchedulerMonitorEvent/SystemHealth/KernelModeTime").alias("kernel_mode_time"),
-        num("Record/SchedulerMonitorEvent/SystemHealth/MemoryUtilization").alias("memory_utilization"),
+    event time = now - (ticks_now - stamp) ms.
+
+    A record is parsed once: one XPath writes all numbers into one text, which is then cut up.
+    Numbers are XPath's as ``xpath_long`` returns them: 0 where an element is missing or no number,
+    without fraction, the nearest long beyond the longs."""
+    all_numbers = "concat(" + ", ' ', ".join(f"number({p})" for p in HEALTH_PATHS.values()) + ")"
+    parsed = records.withColumn("__n", F.split(F.xpath_string(F.col(record_col), F.lit(all_numbers)), " "))
+
+    def num(name):
+        d = F.get("__n", F.lit(list(HEALTH_PATHS).index(name))).cast("double")
+        return (F.when(F.isnan(d), F.lit(0).cast("long")).when(d >= F.lit(2.0 ** 63), F.lit((1 << 63) - 1))
+                .when(d <= F.lit(-2.0 ** 63), F.lit(-1 << 63)).otherwise(d.cast("long")))
+
+    numbers = parsed.select("pkey", *[num(n).alias(n) for n in HEALTH_PATHS], now_col, ticks_now_col, stamp_col)
+    idle, proc = F.col("idle"), F.col("sql_cpu")
+    return numbers.select(
+        "pkey", "record_id", F.when(idle == 0, F.lit(100) - proc).otherwise(idle).alias("system_idle"), "sql_cpu",
+        "user_mode_time", "kernel_mode_time", "memory_utilization",
         (F.col(now_col) - F.make_dt_interval(secs=(F.col(ticks_now_col) - F.col(stamp_col)) / F.lit(1000.0)))
         .alias("event_time"),
     )

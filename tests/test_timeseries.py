@@ -107,3 +107,26 @@ def test_value_bucket_never_falls(spark):
                                         .alias("v")).union(spark.sql("select explode(transform(sequence(0, 60), i -> power(2D, i)))"))
     pairs = df.select("v", ts.value_bucket(F.col("v")).alias("b")).orderBy("v").collect()
     assert all(x["b"] <= y["b"] for x, y in zip(pairs, pairs[1:]))
+
+
+def test_health_record_is_parsed_once_and_odd_numbers_are_xpaths(spark):
+    from datetime import datetime
+
+    def record(i, idle, proc, rest=""):
+        return (f'<Record id="{i}"><SchedulerMonitorEvent><SystemHealth>{idle}<ProcessUtilization>{proc}</ProcessUtilization>{rest}'
+                '</SystemHealth></SchedulerMonitorEvent></Record>')
+    texts = [record(1, "<SystemIdle>0</SystemIdle>", 30), record(2, "", " 7.9 "), record(3, "<SystemIdle>x</SystemIdle>", "-2"),
+             record(4, "<SystemIdle>5</SystemIdle><SystemIdle>6</SystemIdle>", "1" * 25), record("9007199254740993", "", "", "<UserModeTime>1e3</UserModeTime>"),
+             "<Other/>", "", None, record(5, "", "9" * 400, "<KernelModeTime>-" + "9" * 30 + "</KernelModeTime>")]
+    df = spark.createDataFrame([("k", t, datetime(2024, 2, 1), 5000, 1500) for t in texts],
+                               "pkey string, record string, now_ts timestamp_ntz, ms_ticks long, timestamp_ms long")
+    out = ts.health_samples(df)
+    assert out._jdf.queryExecution().optimizedPlan().toString().lower().count("xpath") == 1
+    paths = {"record_id": "Record/@id", "sql_cpu": "ProcessUtilization", "user_mode_time": "UserModeTime",
+             "kernel_mode_time": "KernelModeTime", "memory_utilization": "MemoryUtilization"}
+    one = df.select(*[F.xpath_long("record", F.lit(p if "/" in p else f"Record/SchedulerMonitorEvent/SystemHealth/{p}")).alias(n)
+                      for n, p in paths.items()]).collect()
+    got = out.collect()
+    assert [tuple(r[n] for n in paths) for r in got] == [tuple(r) for r in one]
+    assert [r.system_idle for r in got][:4] == [70, 93, 102, 5] and got[6].system_idle is None
+    assert got[0].event_time == datetime(2024, 1, 31, 23, 59, 56, 500000)

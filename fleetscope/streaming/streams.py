@@ -6,7 +6,7 @@
 * ``stream_interval_profile`` (I2): tumbling-window metric profile with a
   watermark (late rows dropped); approximate P95.
 * ``stream_counter_delta`` (I3): C1 with the samples of a key's open ranges held in
-  streaming state (``transformWithState``); equals batch C1 for any order of arrival
+  streaming state (``transformWithStateInPandas``); equals batch C1 for any order of arrival
   within the watermark, corrections included (``latest_deltas``).
 
 Sinks are written through ``foreachBatch`` into ``batch_id=<n>`` folders with
@@ -17,12 +17,13 @@ the checkpoint lives in the session's shared checkpoint directory.
 from __future__ import annotations
 
 import os
+from array import array
 from functools import reduce
 
-from pyspark.sql import DataFrame, Row, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor
-from pyspark.sql.types import BooleanType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, LongType, StringType, StructField, StructType
 
 from fleetscope.sources.extracts import CSV_OPTIONS, TS_NTZ_FORMAT, conform
 
@@ -39,7 +40,7 @@ except Exception:  # pragma: no cover - older cloudpickle without by-value regis
 
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-DELTA_RANGE = 4096      # snapshots of one key in one state value of I3
+DELTA_RANGE = 1 << 16   # snapshots of one key in one state value of I3 (1.6 MB at most), as in C1
 
 
 def _batch_writer(path: str, partition_by=()):
@@ -96,48 +97,63 @@ def latest_windows(spark: SparkSession, sink: str, keys) -> DataFrame:
 
 
 class RangeDeltas(StatefulProcessor):
-    """Samples of one key and one range of snapshots, in snapshot order (``transformWithState``).
+    """Samples of one key and one range of snapshots, in snapshot order (``transformWithStateInPandas``).
 
     A batch's rows are merged into the range; what goes out is every new sample with the value
     before it, and again each older sample whose predecessor has changed.  Times behind the
     watermark can gain no neighbour any more, so a timer drops them, all but the last, which
-    is the predecessor of the range's next sample."""
+    is the predecessor of the range's next sample.
+
+    Rows come in as frames, for rows one by one cost more than all else.  So that no frame turns a
+    null into a float, keys come as one text and null values as 0 with a mark.  A range's samples
+    are held as one binary value (snapshots, values and times as 64-bit integers, then a byte for
+    each null value) and go out as one row of arrays."""
 
     def __init__(self, fields):
-        self.version = Row(*fields)
+        self.fields = fields
 
     def init(self, handle) -> None:
         self.handle = handle
-        self.samples = handle.getValueState("samples", "snaps array<long>, vals array<long>, times array<long>")
+        self.samples = handle.getValueState("samples", "packed binary")
 
     def _load(self) -> dict:
-        if not self.samples.exists():
+        held = self.samples.get()
+        if held is None:
             return {}
-        snaps, vals, times = self.samples.get()
-        return {s: (v, t) for s, v, t in zip(snaps, vals, times)}
+        data, n = held[0], len(held[0]) // 25
+        numbers = array("q", data[:24 * n]).tolist()
+        vals = [None if gone else v for v, gone in zip(numbers[n:2 * n], data[24 * n:])]
+        return dict(zip(numbers[:n], zip(vals, numbers[2 * n:])))
 
     def _store(self, known: dict) -> None:
         snaps = sorted(known)
-        self.samples.update((snaps, [known[s][0] for s in snaps], [known[s][1] for s in snaps]))
+        samples = [known[s] for s in snaps]
+        numbers = array("q", [*snaps, *[v or 0 for v, _ in samples], *[t for _, t in samples]])
+        self.samples.update((numbers.tobytes() + bytes([v is None for v, _ in samples]),))
 
     def handleInputRows(self, key, rows, timerValues):
+        import pandas as pd
+
         known, changed = self._load(), set()
-        for row in rows:
-            snap, sample = row["__snap"], (row["__value"], row["__time"])
-            old = known.get(snap)
-            # a repeated snapshot counts once, whatever the order of arrival: its largest value stays
-            if old is None or (sample[0] is not None and (old[0] is None or sample > old)):
-                known[snap] = sample
-                changed.add(snap)
+        for frame in rows:
+            columns = (frame[c].tolist() for c in ("snap", "number", "gone", "micros"))
+            for snap, value, gone, time in zip(*columns):
+                sample = (None if gone else value, time)
+                old = known.get(snap)
+                # a repeated snapshot counts once, whatever the order of arrival: its largest value stays
+                if old is None or (not gone and (old[0] is None or sample > old)):
+                    known[snap] = sample
+                    changed.add(snap)
         self._store(known)
         self.handle.registerTimer(max(t for _, t in known.values()) // 1000 + 1)
-        before = None
+        out, before = [], None
         for snap in sorted(known):
             if snap in changed or before in changed:
                 value, time = known[snap]
-                yield self.version(*key, snap, time, value, None if before is None else known[before][0],
-                                   before is None)
+                out.append((snap, time, value, None if before is None else known[before][0], before is None))
             before = snap
+        if out:
+            yield pd.DataFrame({n: [v] for n, v in zip(self.fields, (*key, *map(list, zip(*out))))})
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo):
         known = self._load()
@@ -166,16 +182,22 @@ def stream_counter_delta(spark: SparkSession, src: str, schema: StructType, sink
     reader = spark.readStream.schema(schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
+    texts = F.to_json(F.struct(*[F.col(k).cast("string").alias(f"k{i}") for i, k in enumerate(keys)]))
+    number = F.col(value).cast("long")
     moved = (reader.parquet(src).where(F.col(order).isNotNull() & F.col(ts).isNotNull())
              .withColumn("__event", F.col(ts).cast("timestamp")).withWatermark("__event", watermark)
-             .select(*keys, F.floor(F.col(order) / range_width).alias("__range"), "__event",
-                     F.col(order).cast("long").alias("__snap"), F.col(value).cast("long").alias("__value"),
-                     F.unix_micros("__event").alias("__time")))
-    out = StructType([*[schema[k] for k in keys], StructField("__range", LongType()), StructField(order, LongType()),
-                      StructField("__time", LongType()), StructField(value, LongType()),
-                      StructField("__before", LongType()), StructField("__first", BooleanType())])
-    versions = moved.groupBy(*keys, "__range").transformWithState(
+             .select(texts.alias("__key"), F.floor(F.col(order) / range_width).alias("__range"), "__event",
+                     F.col(order).cast("long").alias("snap"), F.coalesce(number, F.lit(0)).alias("number"),
+                     number.isNull().alias("gone"), F.unix_micros("__event").alias("micros")))
+    parts = {order: LongType(), "__time": LongType(), value: LongType(), "__before": LongType(), "__first": BooleanType()}
+    out = StructType([StructField("__key", StringType()), StructField("__range", LongType()),
+                      *[StructField(n, ArrayType(t)) for n, t in parts.items()]])
+    ranges = moved.groupBy("__key", "__range").transformWithStateInPandas(
         statefulProcessor=RangeDeltas(out.names), outputStructType=out, outputMode="append", timeMode="EventTime")
+    own_keys = F.from_json("__key", ", ".join(f"k{i} string" for i in range(len(keys))))
+    versions = (ranges.withColumn("__keys", own_keys)
+                .select(*[F.col(f"__keys.k{i}").cast(schema[k].dataType).alias(k) for i, k in enumerate(keys)], "__range",
+                        F.inline(F.arrays_zip(*parts))))
     # keyed state with timers in RocksDB, a checkpoint of what changed; timers that fall due wait
     # for the next batch with rows instead of starting one of their own
     own = {STATE_STORE: ROCKSDB, "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",

@@ -78,3 +78,19 @@ def test_landing_is_exactly_once(spark, sf_small):
     S.stream_landing(spark, src, c.schema, sink, ckpt, max_files_per_trigger=4)
     S.stream_landing(spark, src, c.schema, sink, ckpt, max_files_per_trigger=4)   # rerun: nothing new
     assert spark.read.parquet(sink).count() == c.count()
+
+
+def test_counter_delta_of_odd_keys_and_rows_handed_over_in_frames(spark):
+    """Null and odd keys, null values beside large ones; samples reach Python as frames, not row by row."""
+    import inspect
+    src, sink, ckpt = _folders("odd")
+    schema = spark.createDataFrame([], SAMPLES).schema
+    keys = [(None, None, 1, "s"), ("null", 1, None, None), ('a"\\|\u00fc\n', 1, 1, ""), ("k", 2, 1, "s")]
+    rows = [(*k, s, datetime(2026, 1, 1), v) for k in keys for s, v in ((1, (1 << 62) + 1), (2, None), (3, 5), (5, (1 << 53) + 1), (6, (1 << 53) + 2))]
+    for part in (rows[::2], rows[1::2]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(src)
+        S.stream_counter_delta(spark, src, schema, sink, ckpt, keys=KEYS, range_width=4)
+    got = {(*r[:4], r.snap_id): (r.value, r.value_delta) for r in S.latest_deltas(spark, sink, schema, KEYS).collect()}
+    want = {1: ((1 << 62) + 1, 0), 2: (None, 0), 3: (5, 0), 5: ((1 << 53) + 1, (1 << 53) - 4), 6: ((1 << 53) + 2, 1)}
+    assert got == {(*k, s): w for k in keys for s, w in want.items()}
+    assert "transformWithStateInPandas(" in inspect.getsource(S.stream_counter_delta)

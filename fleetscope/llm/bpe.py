@@ -20,16 +20,16 @@ import heapq
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from fleetscope.llm.common import byte_slices, ship
 from fleetscope.llm.encoding import CACHE_CHARS, Cache
 from fleetscope.llm.pretokens import Pretokenizer, read_spec
 
-#: Encoding and decoding run side by side in an executor, so each keeps fewer words.
 CACHE_ENTRIES = 300_000
+#: Text bytes whose new words are indexed together; a word's parts, places and ids take some hundred bytes until then.
+SLICE_BYTES = 1 << 20
 
 _CODECS: dict[str, "PairIndexEncoder"] = {}
 _DECODERS: dict[str, "Decoder"] = {}
@@ -80,9 +80,10 @@ class PairIndexEncoder:
             symbol.extend(map(inner, data))
             symbol[-1] = last[data[-1]]
             symbol.append(border)
-        follow, before = list(range(1, len(symbol) + 1)), list(range(-1, len(symbol) - 1))
+        place = list(range(-1, len(symbol) + 1))  # both lists share its numbers
+        follow, before = place[2:], place[:-2]
         places: dict[int, list[int]] = {}
-        for p in range(len(symbol) - 1):
+        for p in place[1:-2]:
             r = rank(symbol[p] * size + symbol[p + 1])
             if r is not None:
                 if r in places:
@@ -153,6 +154,14 @@ class Decoder:
         named = {i: t for t, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
         self.tokens = [named.get(i) for i in range(max(named) + 1)]
 
+    def token(self, i: Column) -> Column:
+        """The token of an id as an expression, null if there is none.  The tokens are a constant array, which the
+        optimizer splits once from one string at a character that no token has."""
+        used = set().union(*(t for t in self.tokens if t is not None))
+        mark, none = [c for c in map(chr, range(0xE000, 0xF900)) if c not in used][:2]
+        found = F.get(F.split(F.lit(mark.join(none if t is None else t for t in self.tokens)), mark, -1), i)
+        return F.nullif(found, F.lit(none)) if None in self.tokens else found
+
     def decode(self, ids: np.ndarray) -> str:
         """Tokens joined by a space, as the library decodes files without a decoder."""
         try:
@@ -183,31 +192,23 @@ def encode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: st
     def run(batches):
         code = codec(tokenizer)
         for batch in batches:
-            for part in byte_slices(batch, text_col, 4 << 20):
+            for part in byte_slices(batch, text_col, SLICE_BYTES):
                 ids = code.encode(part.column(1).to_pylist())
                 offsets = np.concatenate([[0], np.cumsum([len(x) for x in ids])]).astype(np.int32)
                 flat = np.concatenate([np.empty(0, "<u4"), *ids]).view(np.int32)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=[id_col, "ids"])
+        code.cache.rest()
 
     kind = docs.schema[id_col].dataType.simpleString()
     return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>")
 
 
 def decode(encoded: DataFrame, tokenizer: str, id_col: str = "doc_id") -> DataFrame:
-    """(id, ids, decoded) for every row with an ``ids`` array; null ids decode to an empty text."""
-    ship(encoded.sparkSession)
+    """(id, ids, decoded) for every row with an ``ids`` array; null ids decode to an empty text.
 
-    def run(batches):
-        code = decoder(tokenizer)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                offsets = part.column(1).offsets.to_numpy()
-                flat = pc.fill_null(part.column(1).values, -1).to_numpy(zero_copy_only=False)
-                texts = [code.decode(flat[a:b]) for a, b in zip(offsets[:-1], offsets[1:])]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(texts, pa.string())], names=[id_col, "ids", "decoded"])
-
-    kind = encoded.schema[id_col].dataType.simpleString()
-    ids = F.coalesce(F.col("ids"), F.array().cast("array<int>")).alias("ids")
-    return encoded.select(id_col, ids).mapInArrow(run, f"`{id_col}` {kind}, ids array<int>, decoded string")
+    An expression of Spark's: a second Python stage would double an executor's Python workers, and as Spark
+    hands any idle worker to either stage, each of them would come to hold the encoder and its words too."""
+    token = decoder(tokenizer).token
+    rows = encoded.select(id_col, F.coalesce(F.col("ids"), F.array().cast("array<int>")).alias("ids"))
+    return rows.withColumn("decoded", F.array_join(F.transform("ids", token), " "))

@@ -4,10 +4,12 @@ import hashlib
 import io
 import random
 import tempfile
+import tracemalloc
 import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from fleetscope.llm import bpe, encoding, packing, token_files
@@ -80,6 +82,30 @@ def test_encode_decode_operator(spark, library):
     assert bpe.decode(bpe.encode(empty, WORD_BPE), WORD_BPE).count() == 0
 
 
+def test_bpe_takes_one_python_stage_and_small_slices(spark, sf_small, capsys):
+    # each Python stage has workers of its own in an executor, and any of them may come to hold the encoder
+    QUERIES["op3_bpe"](spark, sf_small).explain()
+    assert capsys.readouterr().out.count("MapInArrow") == 1
+    e, words = bpe.codec(WORD_BPE), [f"{i:06d}" * 5 for i in range(2000)]
+    tracemalloc.start()
+    e.encode_words(words)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 90 * len("".join(words)) and bpe.SLICE_BYTES <= 1 << 20
+
+
+def test_decode_with_ids_without_tokens(spark, capsys):
+    d = bpe.Decoder.__new__(bpe.Decoder)
+    d.tokens = ["a", None, "b c", "", "\ue000", None]
+    rows = [(1, [0, 1, 2, 3, 4, 5, 6, -1, None]), (2, [1]), (3, []), (4, [3, 3])]
+    got = spark.createDataFrame(rows, "k int, ids array<int>").select(
+        F.array_join(F.transform("ids", d.token), " ").alias("decoded"), "ids")
+    got.explain()
+    assert "split(" not in capsys.readouterr().out  # the list of tokens is made once, not for each id
+    assert [r[0] for r in got.collect()] == ["a b c  \ue000", "", "", " "]
+    assert all(r[0] == d.decode(np.array([-1 if i is None else i for i in r[1]], int)) for r in got.collect())
+
+
 def test_token_file_round_trip(monkeypatch):
     monkeypatch.setattr(token_files, "FRAME_IDS", 7)
     sink = io.BytesIO()

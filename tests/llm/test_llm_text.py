@@ -75,12 +75,13 @@ def test_sketch_quantiles_are_close(spark):
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_oracles(spark, sf_small, name):
     con = duckdb.connect()
-    for t in ("documents", "conversations"):
+    for t in ("documents", "conversations", "benchmark"):
         con.execute(f"create view {t} as select * from '{sf_small}/{t}.parquet'")
     got = QUERIES[name](spark, sf_small).toPandas()
     want = con.execute(ORACLE_SQL[name]).df()[list(got.columns)]
     key = got.columns[0]
-    got, want = (x.sort_values(key).reset_index(drop=True) for x in (got, want))
+    # a long with nulls comes as float from Spark and as Int64 from DuckDB
+    got, want = (x.sort_values(key).reset_index(drop=True).convert_dtypes() for x in (got, want))
     assert len(got) == len(want) and (got.astype(str) == want.astype(str)).all().all()
 
 
